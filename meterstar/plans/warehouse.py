@@ -1 +1,323 @@
-"""placeholder"""
+"""Warehouse model build (Q-M4-*): staging -> union -> dedup/enrich -> star schema -> marts.
+
+Spark plan shape of the fact build, per stage:
+  scan lineitem/orders/supplier/customer (pruned columns) -> fact-to-fact join on the order key
+  -> rename/cast (one projection) -> union of the two feeds -> surrogate key + payment lookup
+  (broadcast, 7 rows, size checked) -> ROW_NUMBER()=1 per trip key (WindowGroupLimit, partial
+  before the shuffle) -> two zone lookups (broadcast, size checked) -> marts (partial aggregation).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from meterstar.functions import expr as X
+from meterstar.operators import dedup, star
+from meterstar.operators.staging import FHV_FIELDS, UNIONED_COLUMNS, fill, standardize, taxi_fields, union_feeds
+from meterstar.plans.registry import query
+from meterstar.sources import driver_tables as D
+
+DEDUP_KEY = ["vendor_id", "pickup_datetime", "pickup_location_id", "service_type"]
+# The reference orders by dropoff time only; the remaining columns make the order total, so the
+# surviving row is the same on every run and engine.
+DEDUP_ORDER = ["dropoff_datetime", "dropoff_location_id", "rate_code_id", "store_and_fwd_flag",
+               "passenger_count", "trip_distance", "trip_type", "fare_amount", "extra", "mta_tax",
+               "tip_amount", "tolls_amount", "ehail_fee", "improvement_surcharge", "total_amount", "payment_type"]
+MONEY_MEASURES = ["fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "ehail_fee",
+                  "improvement_surcharge", "total_amount"]
+MART_SUMS = {
+    "revenue_monthly_fare": "fare_amount",
+    "revenue_monthly_extra": "extra",
+    "revenue_monthly_mta_tax": "mta_tax",
+    "revenue_monthly_tip_amount": "tip_amount",
+    "revenue_monthly_tolls_amount": "tolls_amount",
+    "revenue_monthly_ehail_fee": "ehail_fee",
+    "revenue_monthly_improvement_surcharge": "improvement_surcharge",
+    "revenue_monthly_total_amount": "total_amount",
+}
+FCT_COLUMNS = [
+    "trip_id", "vendor_id", "service_type", "rate_code_id",
+    "pickup_location_id", "pickup_borough", "pickup_zone",
+    "dropoff_location_id", "dropoff_borough", "dropoff_zone",
+    "pickup_datetime", "dropoff_datetime", "store_and_fwd_flag",
+    "passenger_count", "trip_distance", "trip_type", "trip_duration_minutes",
+    "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "ehail_fee",
+    "improvement_surcharge", "total_amount", "payment_type", "payment_type_description",
+]
+TOP_ZONE_YEAR = 1997
+TRIPS_MONTH = (1996, 10)
+
+
+# --- model functions ----------------------------------------------------------------------------
+
+def stg_green(spark: SparkSession, sf_dir: str, sample_window=None) -> DataFrame:
+    raw = D.raw_taxi_feed(spark, sf_dir, "Green")
+    return standardize(raw, taxi_fields("lpep", green=True), not_null=["VendorID"], sample_window=sample_window)
+
+
+def stg_yellow(spark: SparkSession, sf_dir: str, sample_window=None) -> DataFrame:
+    raw = D.raw_taxi_feed(spark, sf_dir, "Yellow")
+    return standardize(raw, taxi_fields("tpep", green=False), not_null=["VendorID"], sample_window=sample_window)
+
+
+def stg_fhv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return standardize(D.raw_fhv_feed(spark, sf_dir), FHV_FIELDS, not_null=["dispatching_base_num"])
+
+
+def trips_unioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    green = stg_green(spark, sf_dir).withColumn("service_type", F.lit("Green"))
+    yellow = fill(stg_yellow(spark, sf_dir), trip_type=(1, "int"), ehail_fee=(0, X.MONEY))
+    yellow = yellow.withColumn("service_type", F.lit("Yellow"))
+    return union_feeds([green, yellow], UNIONED_COLUMNS)
+
+
+def int_trips(spark: SparkSession, sf_dir: str, unioned: DataFrame | None = None) -> DataFrame:
+    u = unioned if unioned is not None else trips_unioned(spark, sf_dir)
+    u = u.withColumn("trip_id", X.surrogate_key(DEDUP_KEY)).withColumn(
+        "payment_type", F.coalesce(F.col("payment_type"), F.lit(0)))
+    u = star.enrich(u, D.payment_types(spark), "payment_type", "payment_type",
+                    {"description": "payment_type_description"}, how="left")
+    u = u.withColumn("payment_type_description", F.coalesce("payment_type_description", F.lit("Unknown")))
+    u = dedup.keep_first(u, DEDUP_KEY, DEDUP_ORDER)
+    return u.select("trip_id", *[c for c in UNIONED_COLUMNS if c != "payment_type"],
+                    "payment_type", "payment_type_description")
+
+
+def dim_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.zones(spark, sf_dir).select("location_id", "borough", "zone", "service_zone")
+
+
+def fct_trips(spark: SparkSession, sf_dir: str, trips: DataFrame | None = None) -> DataFrame:
+    t = trips if trips is not None else int_trips(spark, sf_dir)
+    t = star.role_playing(t, dim_zones(spark, sf_dir), "location_id",
+                          {"pickup": "pickup_location_id", "dropoff": "dropoff_location_id"},
+                          ["borough", "zone"], how="left")
+    t = t.withColumn("trip_duration_minutes", X.minute_boundaries("pickup_datetime", "dropoff_datetime"))
+    return t.select(*FCT_COLUMNS)
+
+
+def dim_vendors(fct: DataFrame) -> DataFrame:
+    return fct.select("vendor_id").distinct().withColumn("vendor_name", X.vendor_name("vendor_id"))
+
+
+def monthly_zone_revenue(fct: DataFrame) -> DataFrame:
+    """Group by the full expressions (not by output aliases that shadow input columns)."""
+    return fct.groupBy(
+        F.coalesce("pickup_zone", F.lit("Unknown Zone")).alias("pickup_zone"),
+        X.month_start("pickup_datetime").alias("revenue_month"),
+        F.col("service_type"),
+    ).agg(
+        *[F.sum(src).cast("decimal(38,3)").alias(dst) for dst, src in MART_SUMS.items()],
+        F.count("trip_id").alias("total_monthly_trips"),
+        X.mean("passenger_count").alias("avg_monthly_passenger_count"),
+        X.mean("trip_distance").alias("avg_monthly_trip_distance"),
+    )
+
+
+def top_zone_for_year(mart: DataFrame, service: str, year: int) -> DataFrame:
+    g = (mart.where((F.col("service_type") == service) & (F.year("revenue_month") == year))
+         .groupBy("pickup_zone").agg(F.sum("revenue_monthly_total_amount").alias("total_revenue")))
+    return dedup.top_n(g, [F.col("total_revenue").desc(), F.col("pickup_zone").asc()], 1)
+
+
+def trips_in_month(mart: DataFrame, service: str, year: int, month: int) -> DataFrame:
+    return (mart.where((F.col("service_type") == service) & (F.year("revenue_month") == year)
+                       & (F.month("revenue_month") == month))
+            .agg(F.sum("total_monthly_trips").alias("total_trips")))
+
+
+# --- oracle SQL ----------------------------------------------------------------------------------
+
+def _raw_sql(service: str, prefix: str) -> str:
+    green = service == "Green"
+    cols = [
+        "CAST(vendor_id AS VARCHAR) AS VendorID",
+        f"pickup_datetime AS {prefix}_pickup_datetime",
+        f"dropoff_datetime AS {prefix}_dropoff_datetime",
+        "store_and_fwd_flag",
+        "CAST(rate_code_id AS VARCHAR) AS RatecodeID",
+        "CAST(pickup_location_id AS VARCHAR) AS PULocationID",
+        "CAST(dropoff_location_id AS VARCHAR) AS DOLocationID",
+        "CAST(passenger_count AS BIGINT) AS passenger_count",
+        "trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
+    ]
+    if green:
+        cols.append("CAST(0 AS DECIMAL(18,3)) AS ehail_fee")
+    cols += ["improvement_surcharge", "total_amount", "payment_type"]
+    if green:
+        cols.append("CAST(trip_type AS VARCHAR) AS trip_type")
+    return f"{service.lower()}_raw AS (SELECT {', '.join(cols)} FROM trips WHERE service_type = '{service}')"
+
+
+def _stg_sql(service: str, prefix: str) -> str:
+    green = service == "Green"
+    safe = "TRY_CAST" if green else "CAST"
+    cols = [
+        "CAST(VendorID AS INTEGER) AS vendor_id",
+        f"{safe}(RatecodeID AS INTEGER) AS rate_code_id",
+        "CAST(PULocationID AS INTEGER) AS pickup_location_id",
+        "CAST(DOLocationID AS INTEGER) AS dropoff_location_id",
+        f"CAST({prefix}_pickup_datetime AS TIMESTAMP) AS pickup_datetime",
+        f"CAST({prefix}_dropoff_datetime AS TIMESTAMP) AS dropoff_datetime",
+        "CAST(store_and_fwd_flag AS VARCHAR) AS store_and_fwd_flag",
+        "CAST(passenger_count AS INTEGER) AS passenger_count",
+        "CAST(trip_distance AS DECIMAL(18,3)) AS trip_distance",
+    ]
+    if green:
+        cols.append("TRY_CAST(trip_type AS INTEGER) AS trip_type")
+    money = ["fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount"] + (["ehail_fee"] if green else []) + [
+        "improvement_surcharge", "total_amount"]
+    cols += [f"CAST({m} AS DECIMAL(18,3)) AS {m}" for m in money]
+    cols.append(f"{safe}(payment_type AS INTEGER) AS payment_type")
+    return (f"stg_{service.lower()} AS (SELECT {', '.join(cols)} FROM {service.lower()}_raw "
+            f"WHERE VendorID IS NOT NULL)")
+
+
+_UNION_SQL = """
+unioned AS (
+  SELECT vendor_id, rate_code_id, pickup_location_id, dropoff_location_id, pickup_datetime, dropoff_datetime,
+         store_and_fwd_flag, passenger_count, trip_distance, trip_type, fare_amount, extra, mta_tax, tip_amount,
+         tolls_amount, ehail_fee, improvement_surcharge, total_amount, payment_type, 'Green' AS service_type
+  FROM stg_green
+  UNION ALL
+  SELECT vendor_id, rate_code_id, pickup_location_id, dropoff_location_id, pickup_datetime, dropoff_datetime,
+         store_and_fwd_flag, passenger_count, trip_distance, CAST(1 AS INTEGER) AS trip_type, fare_amount, extra,
+         mta_tax, tip_amount, tolls_amount, CAST(0 AS DECIMAL(18,3)) AS ehail_fee, improvement_surcharge,
+         total_amount, payment_type, 'Yellow' AS service_type
+  FROM stg_yellow
+)"""
+
+_NULL_MARK = X.SURROGATE_NULL
+_INT_SQL = f"""
+int_trips AS (
+  SELECT
+    md5(concat_ws('-', coalesce(CAST(u.vendor_id AS VARCHAR), '{_NULL_MARK}'),
+                       coalesce(CAST(u.pickup_datetime AS VARCHAR), '{_NULL_MARK}'),
+                       coalesce(CAST(u.pickup_location_id AS VARCHAR), '{_NULL_MARK}'),
+                       coalesce(u.service_type, '{_NULL_MARK}'))) AS trip_id,
+    u.vendor_id, u.rate_code_id, u.pickup_location_id, u.dropoff_location_id, u.pickup_datetime,
+    u.dropoff_datetime, u.store_and_fwd_flag, u.passenger_count, u.trip_distance, u.trip_type, u.fare_amount,
+    u.extra, u.mta_tax, u.tip_amount, u.tolls_amount, u.ehail_fee, u.improvement_surcharge, u.total_amount,
+    u.service_type,
+    coalesce(u.payment_type, 0) AS payment_type,
+    coalesce(pt.description, 'Unknown') AS payment_type_description
+  FROM unioned u LEFT JOIN payment_types pt ON coalesce(u.payment_type, 0) = pt.payment_type
+  QUALIFY row_number() OVER (
+    PARTITION BY u.vendor_id, u.pickup_datetime, u.pickup_location_id, u.service_type
+    ORDER BY {", ".join(f"u.{c} ASC NULLS FIRST" for c in DEDUP_ORDER[:-1])},
+             coalesce(u.payment_type, 0) ASC NULLS FIRST) = 1
+)"""
+
+_FCT_SQL = """
+fct AS (
+  SELECT t.trip_id, t.vendor_id, t.service_type, t.rate_code_id,
+         t.pickup_location_id, pz.borough AS pickup_borough, pz.zone AS pickup_zone,
+         t.dropoff_location_id, dz.borough AS dropoff_borough, dz.zone AS dropoff_zone,
+         t.pickup_datetime, t.dropoff_datetime, t.store_and_fwd_flag,
+         t.passenger_count, t.trip_distance, t.trip_type,
+         date_diff('minute', t.pickup_datetime, t.dropoff_datetime) AS trip_duration_minutes,
+         t.fare_amount, t.extra, t.mta_tax, t.tip_amount, t.tolls_amount, t.ehail_fee,
+         t.improvement_surcharge, t.total_amount, t.payment_type, t.payment_type_description
+  FROM int_trips t
+  LEFT JOIN zones pz ON t.pickup_location_id = pz.location_id
+  LEFT JOIN zones dz ON t.dropoff_location_id = dz.location_id
+)"""
+
+_MART_SQL = "mart AS (SELECT coalesce(pickup_zone, 'Unknown Zone') AS pickup_zone, " \
+    "CAST(date_trunc('month', pickup_datetime) AS DATE) AS revenue_month, service_type, " + \
+    ", ".join(f"CAST(sum({src}) AS DECIMAL(38,3)) AS {dst}" for dst, src in MART_SUMS.items()) + \
+    ", count(trip_id) AS total_monthly_trips, " \
+    "CAST(sum(passenger_count) AS DOUBLE) / count(passenger_count) AS avg_monthly_passenger_count, " \
+    "CAST(sum(trip_distance) AS DOUBLE) / count(trip_distance) AS avg_monthly_trip_distance " \
+    "FROM fct GROUP BY 1, 2, 3)"
+
+STG_GREEN_SQL = D.with_sql(D.TRIPS_SQL, _raw_sql("Green", "lpep"), _stg_sql("Green", "lpep"))
+UNION_SQL = D.with_sql(D.TRIPS_SQL, _raw_sql("Green", "lpep"), _stg_sql("Green", "lpep"),
+                       _raw_sql("Yellow", "tpep"), _stg_sql("Yellow", "tpep"), _UNION_SQL)
+INT_SQL = D.with_sql(D.TRIPS_SQL, D.ZONES_SQL, D.PAYMENT_TYPES_SQL, _raw_sql("Green", "lpep"),
+                     _stg_sql("Green", "lpep"), _raw_sql("Yellow", "tpep"), _stg_sql("Yellow", "tpep"),
+                     _UNION_SQL, _INT_SQL)
+FCT_SQL = INT_SQL.rstrip() + ",\n" + _FCT_SQL.strip() + "\n"
+MART_SQL = FCT_SQL.rstrip() + ",\n" + _MART_SQL + "\n"
+
+_FHV_SQL = D.with_sql(D.FHV_RAW_SQL, """
+stg_fhv AS (
+  SELECT CAST(PULocationID AS INTEGER) AS pickup_location_id, CAST(DOLocationID AS INTEGER) AS dropoff_location_id,
+         CAST(pickup_datetime AS TIMESTAMP) AS pickup_datetime, CAST(dropOff_datetime AS TIMESTAMP) AS dropoff_datetime,
+         CAST(dispatching_base_num AS VARCHAR) AS dispatching_base_num,
+         TRY_CAST(Affiliated_base_number AS INTEGER) AS affiliated_base_number,
+         TRY_CAST(SR_FLAG AS INTEGER) AS sr_flag
+  FROM fhv_raw WHERE dispatching_base_num IS NOT NULL)""")
+
+
+# --- registered queries ---------------------------------------------------------------------------
+
+@query("m4_stg_green", covers="Q-M4-stg-green PRJ-1 FN-1 FN-2 FLT-1", sql=STG_GREEN_SQL + "SELECT * FROM stg_green")
+def q_stg_green(spark, sf_dir):
+    return stg_green(spark, sf_dir)
+
+
+@query("m4_stg_fhv", covers="Q-M4-stg-fhv PRJ-1 FN-2 FLT-1", sql=_FHV_SQL + "SELECT * FROM stg_fhv")
+def q_stg_fhv(spark, sf_dir):
+    return stg_fhv(spark, sf_dir)
+
+
+@query("m4_trips_unioned", covers="Q-M4-stg-yellow Q-M4-union PRJ-2 PRJ-4 SET-1", sql=UNION_SQL + "SELECT * FROM unioned")
+def q_trips_unioned(spark, sf_dir):
+    return trips_unioned(spark, sf_dir)
+
+
+@query("m4_int_trips", covers="Q-M4-int FN-7 JN-2 WN-1 FLT-11", sql=INT_SQL + "SELECT * FROM int_trips")
+def q_int_trips(spark, sf_dir):
+    return int_trips(spark, sf_dir)
+
+
+@query("m4_fct_trips", covers="Q-M4-fct JN-3 FN-9", sql=FCT_SQL + "SELECT * FROM fct")
+def q_fct_trips(spark, sf_dir):
+    return fct_trips(spark, sf_dir)
+
+
+@query("m4_dim_zones", covers="Q-M4-dimz", sql=D.with_sql(D.ZONES_SQL) + "SELECT * FROM zones")
+def q_dim_zones(spark, sf_dir):
+    return dim_zones(spark, sf_dir)
+
+
+@query("m4_dim_vendors", covers="Q-M4-dimv AG-7 FN-8", sql=FCT_SQL + """
+SELECT DISTINCT vendor_id, CASE vendor_id WHEN 1 THEN 'Creative Mobile Technologies'
+  WHEN 2 THEN 'VeriFone Inc.' WHEN 4 THEN 'Unknown/Other' END AS vendor_name FROM fct""")
+def q_dim_vendors(spark, sf_dir):
+    return dim_vendors(fct_trips(spark, sf_dir))
+
+
+@query("m4_monthly_zone_revenue", covers="Q-M4-mart AG-2 AG-4 AG-5 AG-8 FN-3 FN-10", sql=MART_SQL + "SELECT * FROM mart")
+def q_monthly_zone_revenue(spark, sf_dir):
+    return monthly_zone_revenue(fct_trips(spark, sf_dir))
+
+
+@query("m4_mart_row_count", covers="Q-M4-3 AG-1", sql=MART_SQL + "SELECT count(*) AS row_count FROM mart")
+def q_mart_row_count(spark, sf_dir):
+    return monthly_zone_revenue(fct_trips(spark, sf_dir)).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("m4_top_green_zone_for_year", covers="Q-M4-4 FLT-8 FN-11 AG-4 WN-2", sql=MART_SQL + f"""
+SELECT pickup_zone, sum(revenue_monthly_total_amount) AS total_revenue FROM mart
+WHERE service_type = 'Green' AND extract(year FROM revenue_month) = {TOP_ZONE_YEAR}
+GROUP BY pickup_zone ORDER BY total_revenue DESC, pickup_zone ASC LIMIT 1""")
+def q_top_green_zone_for_year(spark, sf_dir):
+    return top_zone_for_year(monthly_zone_revenue(fct_trips(spark, sf_dir)), "Green", TOP_ZONE_YEAR)
+
+
+@query("m4_green_trips_in_month", covers="Q-M4-5 FLT-8 FLT-13 AG-4", sql=MART_SQL + f"""
+SELECT sum(total_monthly_trips) AS total_trips FROM mart
+WHERE service_type = 'Green' AND extract(year FROM revenue_month) = {TRIPS_MONTH[0]}
+  AND extract(month FROM revenue_month) = {TRIPS_MONTH[1]}""")
+def q_green_trips_in_month(spark, sf_dir):
+    return trips_in_month(monthly_zone_revenue(fct_trips(spark, sf_dir)), "Green", *TRIPS_MONTH)
+
+
+@query("m4_fhv_rows_with_base", covers="Q-M4-6 FLT-1 AG-1", sql=_FHV_SQL + """
+SELECT count(*) AS fhv_rows FROM stg_fhv WHERE dispatching_base_num IS NOT NULL""")
+def q_fhv_rows_with_base(spark, sf_dir):
+    return stg_fhv(spark, sf_dir).where(F.col("dispatching_base_num").isNotNull()).agg(
+        F.count(F.lit(1)).alias("fhv_rows"))
