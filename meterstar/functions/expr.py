@@ -116,7 +116,7 @@ def hours_between(start: ColumnOrName, end: ColumnOrName) -> Column:
 def parse_ts(c: ColumnOrName, fmt: str = TS_TEXT, strict: bool = False) -> Column:
     """FN-14: text -> timestamp. Lenient form gives NULL for bad text, strict form raises."""
     c = _c(c)
-    return F.to_timestamp(c, F.lit(fmt)) if strict else F.try_to_timestamp(c, F.lit(fmt))
+    return F.to_timestamp(c, fmt) if strict else F.try_to_timestamp(c, F.lit(fmt))
 
 
 def format_ts(c: ColumnOrName, fmt: str = TS_TEXT) -> Column:

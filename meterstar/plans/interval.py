@@ -1 +1,104 @@
-"""placeholder"""
+"""Interval pipeline (Q-M5-*): append ingestion -> interval-replaced staging -> interval-replaced
+daily report.
+
+A run covers a half-open window [start, end). The registered queries run the window over the
+whole data range (a full run); ``rerun_report`` replaces one month of an existing report.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from meterstar.functions import expr as X
+from meterstar.operators import dedup, load, star
+from meterstar.plans.registry import query
+from meterstar.sources import driver_tables as D
+
+FULL_RUN = ("1995-01-01", "2002-01-01")      # covers every order date of the driver tables
+RERUN = ("1997-03-01", "1997-04-01")
+RUN_STAMP = "2024-01-01 00:00:00"            # extracted_at of this run (a run argument, not now())
+
+STG_KEY = ["pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id", "fare_amount"]
+# the reference orders by a key column (arbitrary survivor); the two remaining columns make it total
+STG_ORDER = ["pickup_datetime", "taxi_type", "payment_type_name"]
+
+
+def ingestion_trips(spark: SparkSession, sf_dir: str, run_stamp: str = RUN_STAMP) -> DataFrame:
+    """Append-ingested trips tagged with taxi type and load time (PRJ-2, PRJ-3)."""
+    t = D.trips(spark, sf_dir, ["pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id",
+                                "fare_amount", "payment_type", "service_type"])
+    return (t.withColumn("taxi_type", F.lower("service_type")).drop("service_type")
+            .withColumn("extracted_at", F.lit(run_stamp).cast("timestamp_ntz")))
+
+
+def staging_trips(spark: SparkSession, sf_dir: str, window=FULL_RUN, ingested: DataFrame | None = None) -> DataFrame:
+    t = ingested if ingested is not None else ingestion_trips(spark, sf_dir)
+    t = t.where(load.in_window("pickup_datetime", *window))
+    t = star.enrich(t, D.payment_names(spark), "payment_type", "payment_type_id",
+                    {"payment_type_name": "payment_type_name"}, how="left")
+    t = t.select("pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id",
+                 "fare_amount", "taxi_type", "payment_type_name")
+    return dedup.keep_first(t, STG_KEY, STG_ORDER)
+
+
+def trips_report(staging: DataFrame, window=FULL_RUN) -> DataFrame:
+    s = staging.where(load.in_window("pickup_datetime", *window))
+    return s.groupBy(F.to_date("pickup_datetime").alias("trip_date"), F.col("taxi_type"),
+                     F.col("payment_type_name").alias("payment_type")).agg(
+        F.count(F.lit(1)).alias("trip_count"),
+        F.sum("fare_amount").cast("decimal(38,3)").alias("total_fare"),
+        X.mean("fare_amount").alias("avg_fare"))
+
+
+def rerun_report(spark: SparkSession, sf_dir: str, window=RERUN) -> DataFrame:
+    """Replace the window's days of a full report with a re-run of that window."""
+    staging = staging_trips(spark, sf_dir)
+    full = trips_report(staging)
+    redo = trips_report(staging_trips(spark, sf_dir, window), window)
+    full = full.withColumn("trip_date", F.col("trip_date").cast("timestamp_ntz"))
+    redo = redo.withColumn("trip_date", F.col("trip_date").cast("timestamp_ntz"))
+    out = load.replace_interval(full, redo, "trip_date", *window)
+    return out.withColumn("trip_date", F.col("trip_date").cast("date"))
+
+
+def _staging_sql(window) -> str:
+    return D.with_sql(D.TRIPS_SQL, D.PAYMENT_NAMES_SQL, f"""
+ingested AS (
+  SELECT pickup_datetime, dropoff_datetime, pickup_location_id, dropoff_location_id, fare_amount, payment_type,
+         lower(service_type) AS taxi_type, TIMESTAMP '{RUN_STAMP}' AS extracted_at FROM trips),
+staging AS (
+  SELECT t.pickup_datetime, t.dropoff_datetime, t.pickup_location_id, t.dropoff_location_id, t.fare_amount,
+         t.taxi_type, p.payment_type_name
+  FROM ingested t LEFT JOIN payment_names p ON t.payment_type = p.payment_type_id
+  WHERE t.pickup_datetime >= TIMESTAMP '{window[0]}' AND t.pickup_datetime < TIMESTAMP '{window[1]}'
+  QUALIFY row_number() OVER (
+    PARTITION BY t.pickup_datetime, t.dropoff_datetime, t.pickup_location_id, t.dropoff_location_id, t.fare_amount
+    ORDER BY t.pickup_datetime, t.taxi_type, p.payment_type_name) = 1)""")
+
+
+def _report_sql(src: str, window) -> str:
+    return f"""SELECT CAST(pickup_datetime AS DATE) AS trip_date, taxi_type, payment_type_name AS payment_type,
+       count(*) AS trip_count, CAST(sum(fare_amount) AS DECIMAL(38,3)) AS total_fare,
+       CAST(sum(fare_amount) AS DOUBLE) / count(fare_amount) AS avg_fare
+FROM {src} WHERE pickup_datetime >= TIMESTAMP '{window[0]}' AND pickup_datetime < TIMESTAMP '{window[1]}'
+GROUP BY 1, 2, 3"""
+
+
+@query("m5_staging_trips", covers="Q-M5-stg FLT-2 JN-4 WN-1 SRC-8 PRJ-3", sql=_staging_sql(FULL_RUN) + "SELECT * FROM staging")
+def q_staging_trips(spark, sf_dir):
+    return staging_trips(spark, sf_dir)
+
+
+@query("m5_trips_report", covers="Q-M5-rep AG-1 AG-4 AG-5 AG-8", sql=_staging_sql(FULL_RUN) + _report_sql("staging", FULL_RUN))
+def q_trips_report(spark, sf_dir):
+    return trips_report(staging_trips(spark, sf_dir))
+
+
+@query("m5_trips_report_rerun_month", covers="SNK-10 Q-M5-rep", sql=_staging_sql(FULL_RUN) + f""",
+full_report AS ({_report_sql("staging", FULL_RUN)}),
+redo AS ({_report_sql("staging", RERUN)})
+SELECT * FROM full_report WHERE NOT (trip_date >= DATE '{RERUN[0]}' AND trip_date < DATE '{RERUN[1]}')
+UNION ALL SELECT * FROM redo""")
+def q_trips_report_rerun(spark, sf_dir):
+    return rerun_report(spark, sf_dir)

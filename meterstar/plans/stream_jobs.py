@@ -1 +1,127 @@
-"""placeholder"""
+"""Trip-event stream jobs (Q-M7-*), bound to the driver ``events`` table.
+
+The topic is produced from ``events`` exactly as the reference producer serialises rides: one JSON
+message per event (SNK-18). Mapping: PULocationID = user_id, DOLocationID = event_id mod 265,
+trip_distance = tip_amount = total_amount = value, pickup text = ts formatted to whole seconds,
+dropoff = pickup + 10 minutes. The jobs then decode the messages (SRC-11) and window them.
+
+Batch forms are registered (the SQL oracle checks them); ``tests/test_streaming.py`` runs the same
+functions on a file stream with ``availableNow`` and compares with the batch result.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from meterstar.functions.expr import TS_TEXT
+from meterstar.plans.registry import query
+from meterstar.sources import driver_tables as D
+from meterstar.streaming import windows as W
+
+TUMBLE = "5 minutes"
+HOUR = "1 hour"
+SESSION_GAP = "5 minutes"
+DISTANCE_OVER = 5
+
+
+def trip_events_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = D.events(spark, sf_dir)
+    return e.select(
+        F.col("user_id").cast("int").alias("PULocationID"),
+        (F.col("event_id") % 265).cast("int").alias("DOLocationID"),
+        F.lit(1).alias("passenger_count"),
+        F.col("value").alias("trip_distance"),
+        F.col("value").alias("tip_amount"),
+        F.col("value").alias("total_amount"),
+        F.date_format("ts", TS_TEXT).alias("lpep_pickup_datetime"),
+        F.date_format(F.col("ts") + F.expr("INTERVAL 10 MINUTES"), TS_TEXT).alias("lpep_dropoff_datetime"))
+
+
+def trip_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages a producer would publish for the events table (``value`` JSON text)."""
+    return W.to_messages(trip_events_frame(spark, sf_dir), W.TRIP_EVENT_FIELDS)
+
+
+def decoded(spark, sf_dir, strict=False) -> DataFrame:
+    return W.parse_trip_events(trip_topic(spark, sf_dir), strict=strict)
+
+
+def five_minute_counts(events: DataFrame) -> DataFrame:
+    ev = W.with_watermark(W.guard(events, "PULocationID", "lpep_pickup_datetime", "event_time"))
+    return W.tumbling_counts(ev, TUMBLE, "PULocationID")
+
+
+def hourly_tips(events: DataFrame) -> DataFrame:
+    ev = W.with_watermark(W.guard(events, "tip_amount", "lpep_pickup_datetime", "event_time"))
+    return W.tumbling_sum(ev, HOUR, "tip_amount", "total_tip_amount")
+
+
+def zone_sessions(events: DataFrame) -> DataFrame:
+    ev = W.with_watermark(W.guard(events, "PULocationID", "lpep_pickup_datetime", "event_time"))
+    return W.session_counts(ev, SESSION_GAP, "PULocationID")
+
+
+_EV_SQL = """WITH ev AS (
+  SELECT CAST(user_id AS INTEGER) AS pulocationid, CAST(event_id % 265 AS INTEGER) AS dolocationid,
+         value AS tip_amount, value AS trip_distance, value AS total_amount,
+         date_trunc('second', ts) AS event_time, date_trunc('second', ts + INTERVAL 10 MINUTE) AS dropoff_time
+  FROM events)
+"""
+
+_SESSIONS_SQL = _EV_SQL + f""",
+marked AS (
+  SELECT pulocationid, event_time,
+         CASE WHEN event_time - lag(event_time) OVER (PARTITION BY pulocationid ORDER BY event_time)
+                   <= INTERVAL '{SESSION_GAP}' THEN 0 ELSE 1 END AS new_session
+  FROM ev),
+numbered AS (
+  SELECT *, sum(new_session) OVER (PARTITION BY pulocationid ORDER BY event_time
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
+  FROM marked),
+sessions AS (
+  SELECT min(event_time) AS window_start, max(event_time) + INTERVAL '{SESSION_GAP}' AS window_end,
+         pulocationid, count(*) AS num_trips
+  FROM numbered GROUP BY pulocationid, sid)
+"""
+
+
+@query("m7_consumer_distance_count", covers="Q-M7-0 SRC-14 AG-12 FLT-6 FN-19", sql=_EV_SQL + f"""
+SELECT count(*) AS record_count, count_if(trip_distance > {DISTANCE_OVER}) AS distance_over_5 FROM ev""")
+def m7_consumer_distance_count(spark, sf_dir):
+    return W.count_with_predicate(decoded(spark, sf_dir), F.col("trip_distance") > DISTANCE_OVER, "distance_over_5")
+
+
+@query("m7_pass_through", covers="Q-M7-1 STR-2 SRC-10 SRC-12 FN-14 FN-15 SNK-15 SNK-18", sql=_EV_SQL + """
+SELECT pulocationid AS PULocationID, dolocationid AS DOLocationID, 1 AS passenger_count, trip_distance,
+       tip_amount, total_amount, event_time AS pickup_datetime, dropoff_time AS dropoff_datetime FROM ev""")
+def m7_pass_through(spark, sf_dir):
+    return W.pass_through(decoded(spark, sf_dir, strict=True))
+
+
+@query("m7_five_minute_zone_counts", covers="Q-M7-2 STR-3 STR-8 SRC-11 FLT-1 SNK-17 FN-21", sql=_EV_SQL + f"""
+SELECT time_bucket(INTERVAL '{TUMBLE}', event_time) AS window_start, pulocationid, count(*) AS num_trips
+FROM ev GROUP BY 1, 2""")
+def m7_five_minute_zone_counts(spark, sf_dir):
+    return five_minute_counts(decoded(spark, sf_dir))
+
+
+@query("m7_hourly_tips", covers="Q-M7-3 STR-1 STR-4 SNK-16", sql=_EV_SQL + f"""
+SELECT time_bucket(INTERVAL '{HOUR}', event_time) AS window_start,
+       time_bucket(INTERVAL '{HOUR}', event_time) + INTERVAL '{HOUR}' AS window_end,
+       CAST(sum(CAST(tip_amount AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_tip_amount
+FROM ev GROUP BY 1, 2""")
+def m7_hourly_tips(spark, sf_dir):
+    return hourly_tips(decoded(spark, sf_dir))
+
+
+@query("m7_zone_sessions", covers="Q-M7-4 STR-5 STR-8 STR-11", sql=_SESSIONS_SQL + "SELECT * FROM sessions")
+def m7_zone_sessions(spark, sf_dir):
+    return zone_sessions(decoded(spark, sf_dir))
+
+
+@query("m7_longest_session", covers="Q-M7-5 STR-7 WN-2 SRC-13", sql=_SESSIONS_SQL + """
+SELECT 1 AS id, pulocationid, num_trips, window_start, window_end FROM sessions
+ORDER BY num_trips DESC, window_start ASC, pulocationid ASC LIMIT 1""")
+def m7_longest_session(spark, sf_dir):
+    return W.longest_session(zone_sessions(decoded(spark, sf_dir)))
