@@ -58,8 +58,18 @@ def hourly_tips(events: DataFrame) -> DataFrame:
 
 
 def zone_sessions(events: DataFrame) -> DataFrame:
-    ev = W.with_watermark(W.guard(events, "PULocationID", "lpep_pickup_datetime", "event_time"))
-    return W.session_counts(ev, SESSION_GAP, "PULocationID")
+    """Sessions per zone. Streams use Spark's stateful session window; batch runs use the
+    skew-tolerant split form (same result, checked in tests)."""
+    ev = W.guard(events, "PULocationID", "lpep_pickup_datetime", "event_time")
+    if events.isStreaming:
+        return W.session_counts(W.with_watermark(ev), SESSION_GAP, "PULocationID")
+    return W.session_counts_split(ev, SESSION_GAP, "PULocationID")
+
+
+def global_sessions(events: DataFrame) -> DataFrame:
+    """STR-6: sessions over all zones together (batch only)."""
+    ev = W.guard(events, "lpep_pickup_datetime", "event_time")
+    return W.session_counts_split(ev, SESSION_GAP, None)
 
 
 _EV_SQL = """WITH ev AS (
@@ -120,6 +130,25 @@ def m7_zone_sessions(spark, sf_dir):
     return zone_sessions(decoded(spark, sf_dir))
 
 
+_GLOBAL_SQL = _EV_SQL + f""",
+marked AS (
+  SELECT event_time,
+         CASE WHEN event_time - lag(event_time) OVER (ORDER BY event_time) <= INTERVAL '{SESSION_GAP}'
+              THEN 0 ELSE 1 END AS new_session
+  FROM ev),
+numbered AS (
+  SELECT *, sum(new_session) OVER (ORDER BY event_time ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
+  FROM marked)
+SELECT min(event_time) AS window_start, max(event_time) + INTERVAL '{SESSION_GAP}' AS window_end,
+       count(*) AS num_trips
+FROM numbered GROUP BY sid"""
+
+
+@query("m7_global_sessions", covers="STR-6", sql=_GLOBAL_SQL)
+def m7_global_sessions(spark, sf_dir):
+    return global_sessions(decoded(spark, sf_dir))
+
+
 @query("m7_longest_session", covers="Q-M7-5 STR-7 WN-2 SRC-13", sql=_SESSIONS_SQL + """
 SELECT 1 AS id, pulocationid, num_trips, window_start, window_end FROM sessions
 ORDER BY num_trips DESC, window_start ASC, pulocationid ASC LIMIT 1""")

@@ -47,7 +47,10 @@ def parse_trip_events(messages: DataFrame, strict: bool = False, value_col: str
     """
     opts = {"mode": "FAILFAST"} if strict else {"mode": "PERMISSIVE"}
     v = F.col(value_col).cast("string")
-    parsed = messages.select(F.from_json(v, TRIP_EVENT_SCHEMA, opts).alias("e")).select("e.*")
+    # inline(array(struct)) yields the parsed fields as a one-row generator: later filters on the
+    # fields stay above it instead of being inlined into the scan as repeated from_json calls,
+    # so every message is parsed exactly once.
+    parsed = messages.select(F.inline(F.array(F.from_json(v, TRIP_EVENT_SCHEMA, opts))))
     txt = F.col("lpep_pickup_datetime")
     ts = F.to_timestamp(txt, TS_TEXT) if strict else F.try_to_timestamp(txt, F.lit(TS_TEXT))
     return parsed.withColumn("event_time", ts.cast("timestamp_ntz"))
@@ -103,6 +106,53 @@ def session_counts(events: DataFrame, gap: str, key: str | None, time_col: str =
     return g.agg(F.count(F.lit(1)).alias("num_trips")).select(*out, "num_trips")
 
 
+def session_counts_split(events: DataFrame, gap: str, key: str | None, time_col: str = "event_time",
+                         bucket: str = "hour") -> DataFrame:
+    """STR-5 / STR-6 for batch at any skew: same result as ``session_counts``.
+
+    Spark's session aggregation shuffles on the key alone and merges sessions after the shuffle,
+    so one key holding a third of all events lands in one task. Here:
+
+    1. local sessions per (key, time bucket) -- the shuffle is on (key, bucket), a hot key spreads
+       over all its buckets;
+    2. only the first and last local session of each (key, bucket) can continue across a bucket
+       edge; those boundary rows (at most two per key and bucket, bounded by the time span, not by
+       the data volume) are chained per key with the gap rule (new session when start - previous
+       last > gap);
+    3. interior local sessions are final; chained groups are summed. Union of both.
+
+    ``key=None`` gives the global session variant; its chaining step then orders the boundary rows
+    of all buckets (two per bucket) in one window.
+    """
+    from pyspark.sql import Window
+
+    gap_expr = F.expr(f"INTERVAL {gap}")
+    keys = [key] if key else []
+    b = F.date_trunc(bucket, F.col(time_col)).alias("__bucket")
+    local = (events.groupBy(*keys, b, F.session_window(time_col, gap).alias("w"))
+             .agg(F.min(time_col).alias("__first"), F.max(time_col).alias("__last"),
+                  F.count(F.lit(1)).alias("__n"))
+             .drop("w"))
+    per_bucket = Window.partitionBy(*keys, "__bucket")
+    local = (local.withColumn("__is_first", F.col("__first") == F.min("__first").over(per_bucket))
+             .withColumn("__is_last", F.col("__last") == F.max("__last").over(per_bucket)))
+    interior = local.where(~F.col("__is_first") & ~F.col("__is_last")).select(
+        *keys, F.col("__first").alias("__start"), "__last", "__n")
+    edge = local.where(F.col("__is_first") | F.col("__is_last"))
+    by_key = Window.partitionBy(*keys).orderBy("__first") if keys else Window.orderBy("__first")
+    prev_last = F.lag("__last").over(by_key)
+    edge = edge.withColumn("__new", F.when(prev_last.isNull() | (F.col("__first") > prev_last + gap_expr), 1)
+                           .otherwise(0))
+    edge = edge.withColumn("__sid", F.sum("__new").over(by_key.rowsBetween(Window.unboundedPreceding, 0)))
+    chained = edge.groupBy(*keys, "__sid").agg(F.min("__first").alias("__start"), F.max("__last").alias("__last"),
+                                                F.sum("__n").alias("__n")).drop("__sid")
+    sessions = interior.unionByName(chained)
+    out = [F.col("__start").alias("window_start"), (F.col("__last") + gap_expr).alias("window_end")]
+    if key:
+        out.append(F.col(key).alias(key.lower()))
+    return sessions.select(*out, F.col("__n").alias("num_trips"))
+
+
 def longest_session(sessions: DataFrame, key: str = "pulocationid") -> DataFrame:
     """STR-7: the session with the most trips as the single ``id = 1`` row (ties: earliest start,
     then lowest key). ORDER BY + LIMIT 1 is a per-partition top-1 and a merge, never one task."""
