@@ -1 +1,126 @@
-"""placeholder"""
+"""Data-quality runs over the built models (DQ-1..13), as registered queries with SQL oracles."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from meterstar.operators import quality as Q
+from meterstar.plans import interval, warehouse
+from meterstar.plans.registry import query
+from meterstar.session import materialized
+from meterstar.sources import driver_tables as D
+
+ACCEPTED_PAYMENT = [1, 2, 3, 4, 5]
+FRESHNESS_RUN_AT = "2001-08-03 12:00:00"
+
+
+def fct_checks(spark, sf_dir, fct):
+    zones = warehouse.dim_zones(spark, sf_dir)
+    return [
+        Q.not_null("trip_id"),
+        Q.unique("trip_id"),
+        Q.accepted_values("service_type", ["Green", "Yellow"]),
+        Q.accepted_values("payment_type", ACCEPTED_PAYMENT),
+        Q.relationships("pickup_location_id", zones, "location_id"),
+        Q.relationships("dropoff_location_id", zones, "location_id"),
+        Q.non_negative("trip_distance"),
+        Q.not_null("pickup_datetime"),
+    ]
+
+
+def _checks_sql(table: str, rows: list[tuple[str, str, str]]) -> str:
+    body = "\nUNION ALL\n".join(f"SELECT '{k}' AS \"check\", '{c}' AS \"column\", CAST(({q}) AS BIGINT) AS failing_rows"
+                                for k, c, q in rows)
+    return f"SELECT *, failing_rows = 0 AS passed FROM (\n{body}\n)"
+
+
+_FCT_ROWS = [
+    ("not_null", "trip_id", "SELECT count_if(trip_id IS NULL) FROM fct"),
+    ("accepted_values", "service_type", "SELECT count_if(service_type NOT IN ('Green', 'Yellow')) FROM fct"),
+    ("accepted_values", "payment_type",
+     f"SELECT count_if(payment_type NOT IN ({', '.join(map(str, ACCEPTED_PAYMENT))})) FROM fct"),
+    ("non_negative", "trip_distance", "SELECT count_if(trip_distance < 0) FROM fct"),
+    ("not_null", "pickup_datetime", "SELECT count_if(pickup_datetime IS NULL) FROM fct"),
+    ("unique", "trip_id", "SELECT count(*) FROM (SELECT trip_id FROM fct WHERE trip_id IS NOT NULL "
+                          "GROUP BY trip_id HAVING count(*) > 1)"),
+    ("relationships", "pickup_location_id", "SELECT count(*) FROM fct f WHERE f.pickup_location_id IS NOT NULL "
+     "AND NOT EXISTS (SELECT 1 FROM zones z WHERE z.location_id = f.pickup_location_id)"),
+    ("relationships", "dropoff_location_id", "SELECT count(*) FROM fct f WHERE f.dropoff_location_id IS NOT NULL "
+     "AND NOT EXISTS (SELECT 1 FROM zones z WHERE z.location_id = f.dropoff_location_id)"),
+]
+
+
+@query("dq_fct_trips", covers="DQ-1 DQ-2 DQ-3 DQ-4 DQ-8 JN-7", sql=warehouse.FCT_SQL + _checks_sql("fct", _FCT_ROWS))
+def dq_fct_trips(spark, sf_dir):
+    # the fact table is built once (as the warehouse materialises it), then every check scans it
+    fct = materialized(warehouse.fct_trips(spark, sf_dir), "fct_trips")
+    return Q.run_checks(fct, fct_checks(spark, sf_dir, fct))
+
+
+_MART_ROWS = [
+    ("expression_is_true", "total_monthly_trips > 0", "SELECT count_if(NOT (total_monthly_trips > 0)) FROM mart"),
+    ("not_null", "revenue_month", "SELECT count_if(revenue_month IS NULL) FROM mart"),
+    ("unique_combination", "pickup_zone,revenue_month,service_type",
+     "SELECT count(*) FROM (SELECT 1 FROM mart GROUP BY pickup_zone, revenue_month, service_type HAVING count(*) > 1)"),
+]
+
+
+@query("dq_monthly_zone_revenue", covers="DQ-5 DQ-6 DQ-1", sql=warehouse.MART_SQL + _checks_sql("mart", _MART_ROWS))
+def dq_monthly_zone_revenue(spark, sf_dir):
+    mart = warehouse.monthly_zone_revenue(warehouse.fct_trips(spark, sf_dir))
+    return Q.run_checks(mart, [
+        Q.expression_is_true("total_monthly_trips > 0"),
+        Q.not_null("revenue_month"),
+        Q.unique_combination(["pickup_zone", "revenue_month", "service_type"]),
+    ])
+
+
+_STG_ROWS = [
+    ("not_null", "pickup_datetime", "SELECT count_if(pickup_datetime IS NULL) FROM staging"),
+    ("non_negative", "fare_amount", "SELECT count_if(fare_amount < 0) FROM staging"),
+    ("row_count_greater_than_zero", "*",
+     "SELECT CASE WHEN (SELECT CASE WHEN count(*) > 0 THEN 1 ELSE 0 END FROM staging) = 1 THEN 0 ELSE 1 END"),
+]
+
+
+@query("dq_interval_staging", covers="DQ-1 DQ-8 DQ-10 DQ-11 AG-10",
+       sql=interval._staging_sql(interval.FULL_RUN) + _checks_sql("staging", _STG_ROWS))
+def dq_interval_staging(spark, sf_dir):
+    stg = interval.staging_trips(spark, sf_dir)
+    return Q.run_checks(stg, [
+        Q.not_null("pickup_datetime"),
+        Q.non_negative("fare_amount"),
+        Q.scalar(Q.flag_any(stg, F.lit(True)), 1, "row_count_greater_than_zero"),
+    ])
+
+
+_REP_ROWS = [
+    ("non_negative", "trip_count", "SELECT count_if(trip_count < 0) FROM report"),
+    ("positive", "trip_count", "SELECT count_if(trip_count <= 0) FROM report"),
+    ("unique_combination", "trip_date,taxi_type,payment_type",
+     "SELECT count(*) FROM (SELECT 1 FROM report GROUP BY trip_date, taxi_type, payment_type HAVING count(*) > 1)"),
+]
+
+
+@query("dq_trips_report", covers="DQ-5 DQ-8 DQ-9 DQ-11",
+       sql=interval._staging_sql(interval.FULL_RUN) + f", report AS ({interval._report_sql('staging', interval.FULL_RUN)})\n"
+       + _checks_sql("report", _REP_ROWS))
+def dq_trips_report(spark, sf_dir):
+    rep = interval.trips_report(interval.staging_trips(spark, sf_dir))
+    return Q.run_checks(rep, [
+        Q.non_negative("trip_count"),
+        Q.positive("trip_count"),
+        Q.unique_combination(["trip_date", "taxi_type", "payment_type"]),
+    ])
+
+
+@query("dq_source_freshness", covers="DQ-13", sql=D.with_sql(D.TRIPS_SQL) + f"""
+SELECT 'trips' AS source, max(pickup_datetime) AS max_loaded_at,
+       (epoch(TIMESTAMP '{FRESHNESS_RUN_AT}') - epoch(max(pickup_datetime))) / 3600.0 AS age_hours,
+       CASE WHEN (epoch(TIMESTAMP '{FRESHNESS_RUN_AT}') - epoch(max(pickup_datetime))) / 3600.0 > 48 THEN 'error'
+            WHEN (epoch(TIMESTAMP '{FRESHNESS_RUN_AT}') - epoch(max(pickup_datetime))) / 3600.0 > 24 THEN 'warn'
+            ELSE 'pass' END AS status
+FROM trips""")
+def dq_source_freshness(spark, sf_dir):
+    t = D.trips(spark, sf_dir, ["pickup_datetime"])
+    return Q.freshness(t, "pickup_datetime", FRESHNESS_RUN_AT, source="trips")

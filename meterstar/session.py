@@ -69,3 +69,18 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint root (staged writes, versioned tables)."""
     return os.path.join(checkpoint_root(spark), *parts)
+
+
+def materialized(df, name: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage: later actions (several checks, several reports) scan the written table
+    instead of recomputing the whole upstream plan, and a lost executor re-reads files instead of
+    re-running upstream stages. The folder name is unique per call.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
