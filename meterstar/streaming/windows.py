@@ -30,6 +30,11 @@ TRIP_EVENT_FIELDS = [f.name for f in TRIP_EVENT_SCHEMA.fields]
 WATERMARK = "5 seconds"
 
 
+def _ntz(c: str) -> Column:
+    """Window bounds as wall-clock TIMESTAMP_NTZ (no dependence on the reader's time zone)."""
+    return F.col(c).cast("timestamp_ntz")
+
+
 def to_messages(df: DataFrame, columns=None, key: str | Column | None = None) -> DataFrame:
     """SNK-18 / FN-19: rows -> JSON ``value`` (and optional ``key``) as a topic holds them."""
     cols = columns or df.columns
@@ -53,7 +58,8 @@ def parse_trip_events(messages: DataFrame, strict: bool = False, value_col: str
     parsed = messages.select(F.inline(F.array(F.from_json(v, TRIP_EVENT_SCHEMA, opts))))
     txt = F.col("lpep_pickup_datetime")
     ts = F.to_timestamp(txt, TS_TEXT) if strict else F.try_to_timestamp(txt, F.lit(TS_TEXT))
-    return parsed.withColumn("event_time", ts.cast("timestamp_ntz"))
+    # TIMESTAMP (session time zone UTC): watermarks require it; outputs are cast back to NTZ
+    return parsed.withColumn("event_time", ts)
 
 
 def pass_through(events: DataFrame) -> DataFrame:
@@ -80,7 +86,7 @@ def tumbling_counts(events: DataFrame, size: str, key: str, time_col: str = "eve
     """STR-3: count per (tumbling window, key) -> window_start, <key lower-case>, num_trips."""
     g = events.groupBy(F.window(time_col, size).alias("w"), F.col(key))
     return g.agg(F.count(F.lit(1)).alias("num_trips")).select(
-        F.col("w.start").alias("window_start"), F.col(key).alias(key.lower()), "num_trips")
+        _ntz("w.start").alias("window_start"), F.col(key).alias(key.lower()), "num_trips")
 
 
 def tumbling_sum(events: DataFrame, size: str, value: str, alias: str, time_col: str = "event_time",
@@ -89,7 +95,7 @@ def tumbling_sum(events: DataFrame, size: str, value: str, alias: str, time_col:
     result does not depend on the order rows meet in the shuffle."""
     g = events.groupBy(F.window(time_col, size).alias("w"))
     return g.agg(F.sum(F.col(value).cast(value_type)).cast("decimal(38,2)").alias(alias)).select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), alias)
+        _ntz("w.start").alias("window_start"), _ntz("w.end").alias("window_end"), alias)
 
 
 def session_counts(events: DataFrame, gap: str, key: str | None, time_col: str = "event_time") -> DataFrame:
@@ -100,7 +106,7 @@ def session_counts(events: DataFrame, gap: str, key: str | None, time_col: str =
     """
     keys = [F.col(key)] if key else []
     g = events.groupBy(F.session_window(time_col, gap).alias("w"), *keys)
-    out = [F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end")]
+    out = [_ntz("w.start").alias("window_start"), _ntz("w.end").alias("window_end")]
     if key:
         out.append(F.col(key).alias(key.lower()))
     return g.agg(F.count(F.lit(1)).alias("num_trips")).select(*out, "num_trips")
@@ -147,7 +153,7 @@ def session_counts_split(events: DataFrame, gap: str, key: str | None, time_col:
     chained = edge.groupBy(*keys, "__sid").agg(F.min("__first").alias("__start"), F.max("__last").alias("__last"),
                                                 F.sum("__n").alias("__n")).drop("__sid")
     sessions = interior.unionByName(chained)
-    out = [F.col("__start").alias("window_start"), (F.col("__last") + gap_expr).alias("window_end")]
+    out = [_ntz("__start").alias("window_start"), (F.col("__last") + gap_expr).cast("timestamp_ntz").alias("window_end")]
     if key:
         out.append(F.col(key).alias(key.lower()))
     return sessions.select(*out, F.col("__n").alias("num_trips"))
