@@ -25,14 +25,21 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
     """SRC-4/5/6: CSV (also .csv.gz) with a header.
 
     Without ``schema`` every column is a string (as the reference's Spark read). With a declared
-    schema Spark matches columns by *position*; ``check_header`` makes Spark verify that the header
+    schema Spark matches columns by *position*; ``check_header`` first verifies that the header
     names agree with the schema (case-insensitive) instead of silently mislabelling columns.
     Surplus trailing fields are dropped, missing ones are NULL.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.option("header", header).option("mode", mode)
     if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", not check_header)
+        if header and check_header:
+            # header names only (no type inference reads just the first line); surplus trailing
+            # columns are allowed, a renamed or reordered column is not
+            found = [c.lower() for c in spark.read.option("header", True).csv(paths).columns]
+            want = [f.name.lower() for f in schema.fields]
+            if found[:len(want)] != want[:len(found)]:
+                raise ValueError(f"CSV header {found} does not match the declared schema {want}")
+        reader = reader.schema(schema).option("enforceSchema", True)
     return reader.csv(paths)
 
 
