@@ -17,12 +17,23 @@ from pyspark.sql import functions as F
 # Rows a dimension may hold to be broadcast. 1e6 rows of a few narrow columns is a few tens of MB.
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
-_checked: dict[int, bool] = {}
+_checked: dict[tuple, bool] = {}
+
+
+def _plan_key(dim: DataFrame) -> tuple:
+    # same logical plan over the same files -> same answer; files are part of the key so a table
+    # that receives new data is checked again
+    try:
+        files = tuple(sorted(dim.inputFiles()))
+    except Exception:  # noqa: BLE001 - sources without a file listing
+        files = ()
+    return dim.semanticHash(), tuple(dim.columns), files
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (checked with a bounded count)."""
-    key = (id(dim), max_rows)
+    """True when ``dim`` has at most ``max_rows`` rows (checked with a bounded count, remembered
+    per logical plan and input files so repeated queries do not re-run the check)."""
+    key = (_plan_key(dim), max_rows)
     if key not in _checked:
         _checked[key] = dim.limit(max_rows + 1).count() <= max_rows
     return _checked[key]

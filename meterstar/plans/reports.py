@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from meterstar.functions import expr as X
 from meterstar.operators import dedup, star
+from meterstar.operators import load
 from meterstar.plans.registry import query
+from meterstar.session import scratch_path
 from meterstar.sources import driver_tables as D
 
 # Report parameters (dates inside the 1995-2001 order range of the driver tables).
@@ -177,3 +179,32 @@ SELECT CAST(sum(tip_amount) AS DECIMAL(38,4)) AS total_tips FROM trips""")
 def dlt_total_tips(spark, sf_dir):
     t = D.trips(spark, sf_dir, ["tip_amount"])
     return t.agg(F.sum("tip_amount").cast("decimal(38,4)").alias("total_tips"))
+
+
+# Q-M6-2: rewrite the trips as 4 Parquet parts, read back (SNK-1).
+@query("m6_rewrite_four_parts", covers="Q-M6-2 SNK-1 SRC-1", sql=T + """
+SELECT vendor_id, pickup_datetime, dropoff_datetime, pickup_location_id, total_amount FROM trips""")
+def m6_rewrite_four_parts(spark, sf_dir):
+    import uuid
+    t = D.trips(spark, sf_dir, ["vendor_id", "pickup_datetime", "dropoff_datetime", "pickup_location_id",
+                                "total_amount"])
+    path = scratch_path(spark, "tables", f"trips_4parts-{uuid.uuid4().hex[:12]}")
+    load.write_files(t, path, 4)
+    return spark.read.parquet(path)
+
+
+# Q-M3-6, second half: the same question on a partitioned table clustered by vendor; the scan prunes
+# to the period's folders (PartitionFilters in the plan). The reference partitions by day; this
+# example partitions by month because at the check's scale a day folder holds a few dozen rows
+# (same result, far fewer files). ``load.write_partitioned`` defaults to day.
+@query("m3_distinct_vendors_partitioned", covers="Q-M3-6 SNK-12 SNK-13 FLT-4", sql=T + f"""
+SELECT DISTINCT vendor_id FROM trips
+WHERE pickup_datetime BETWEEN TIMESTAMP '{VENDOR_PERIOD[0]}' AND TIMESTAMP '{VENDOR_PERIOD[1]}'""")
+def m3_distinct_vendors_partitioned(spark, sf_dir):
+    import uuid
+    t = D.trips(spark, sf_dir, ["vendor_id", "pickup_datetime", "trip_distance"])
+    path = scratch_path(spark, "tables", f"trips_by_day-{uuid.uuid4().hex[:12]}")
+    load.write_partitioned(t, path, "pickup_datetime", cluster_by=["vendor_id"], granularity="month")
+    part = spark.read.parquet(path)
+    pruned = part.where(load.pruned_range("pickup_datetime", *VENDOR_PERIOD, granularity="month", inclusive_end=True))
+    return pruned.select("vendor_id").distinct()

@@ -149,7 +149,7 @@ def m7_global_sessions(spark, sf_dir):
     return global_sessions(decoded(spark, sf_dir))
 
 
-@query("m7_longest_session", covers="Q-M7-5 STR-7 WN-2 SRC-13", sql=_SESSIONS_SQL + """
+@query("m7_longest_session", covers="Q-M7-5 STR-7 WN-2", sql=_SESSIONS_SQL + """
 SELECT 1 AS id, pulocationid, num_trips, window_start, window_end FROM sessions
 ORDER BY num_trips DESC, window_start ASC, pulocationid ASC LIMIT 1""")
 def m7_longest_session(spark, sf_dir):
