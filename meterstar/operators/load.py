@@ -113,24 +113,43 @@ def add_new_columns(target: DataFrame, source: DataFrame) -> DataFrame:
 class VersionedTable:
     """Parquet segments + a commit log under ``root`` (a shared folder on a cluster).
 
-    ``root/_commits/`` holds one small JSON file per version: {"version", "segments", "ts"}.
-    The current version is the highest committed one. Reads never see a half-written segment.
+    ``root/_commits/v=N/`` holds one JSON line per version: the segments that make up the table.
+    The current version is the highest committed one; a segment is written completely before the
+    commit that names it, so readers never see a half-written table.
+
+    Partitioned tables (one partition column, e.g. the pickup day) rewrite only what a load
+    touches: a segment entry may list partition values that a later segment supersedes
+    (``exclude``); reads drop them with a partition filter, so superseded folders are pruned, not
+    scanned. A merge into one day of a ten-year table reads and writes that day only.
     """
 
-    def __init__(self, spark: SparkSession, root: str, partition_by: Sequence[str] = ()):
+    _SCHEMA = "version long, segments array<struct<path:string,exclude:array<string>>>, ts double"
+
+    def __init__(self, spark: SparkSession, root: str, partition_by: Sequence[str] = (),
+                 cluster_by: Sequence[str] = (), granularity: str = "day"):
+        if len(partition_by) > 1:
+            raise ValueError("one partition column is supported")
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition_by = list(partition_by)
+        self.cluster_by = list(cluster_by)
+        self.granularity = granularity
+
+    @property
+    def part(self) -> str | None:
+        return self.partition_by[0] if self.partition_by else None
 
     # commit log: written and read by Spark itself so it works on any Hadoop file system
     def _commits(self) -> list[dict]:
         path = f"{self.root}/_commits"
         try:
-            rows = self.spark.read.schema("version long, segments array<string>, ts double").json(path).collect()
+            rows = self.spark.read.schema(self._SCHEMA).json(path).collect()
         except Exception:  # noqa: BLE001 - no commit yet
             return []
-        return sorted(({"version": r.version, "segments": list(r.segments)} for r in rows),
-                      key=lambda c: c["version"])
+        out = [{"version": r.version,
+                "segments": [{"path": s.path, "exclude": list(s.exclude or [])} for s in r.segments]}
+               for r in rows]
+        return sorted(out, key=lambda c: c["version"])
 
     def current(self) -> dict | None:
         commits = self._commits()
@@ -140,22 +159,34 @@ class VersionedTable:
         cur = self.current()
         if cur is None or not cur["segments"]:
             return None
-        # each segment is its own Parquet dataset (partition folders discovered inside it)
-        dfs = [self.spark.read.parquet(f"{self.root}/{s}") for s in cur["segments"]]
-        out = dfs[0]
-        for d in dfs[1:]:
+        whole = [f"{self.root}/{s['path']}" for s in cur["segments"] if not s["exclude"]]
+        parts = []
+        if whole:   # one scan over all untouched segments (schemas merged when they differ)
+            parts.append(self.spark.read.option("mergeSchema", len(whole) > 1).parquet(*whole))
+        for s in cur["segments"]:
+            if s["exclude"]:
+                df = self.spark.read.parquet(f"{self.root}/{s['path']}")
+                parts.append(df.where(~F.col(self.part).cast("string").isin(*s["exclude"])))
+        out = parts[0]
+        for d in parts[1:]:
             out = out.unionByName(d, allowMissingColumns=True)
         return out
 
     def _write_segment(self, df: DataFrame) -> str:
         seg = f"seg-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
-        w = df.write.mode("error")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(f"{self.root}/{seg}")
+        path = f"{self.root}/{seg}"
+        if self.part:
+            # range split on (partition, cluster columns, row hash): hot partitions spread over
+            # tasks, each task writes few folders, row groups sorted on the cluster columns
+            salt = F.xxhash64(*[F.col(c) for c in df.columns])
+            keys = [F.col(self.part), *[F.col(c) for c in self.cluster_by], salt]
+            (df.repartitionByRange(*keys).sortWithinPartitions(self.part, *self.cluster_by)
+             .write.mode("error").partitionBy(self.part).parquet(path))
+        else:
+            df.write.mode("error").parquet(path)
         return seg
 
-    def _commit(self, segments: list[str]) -> int:
+    def _commit(self, segments: list[dict]) -> int:
         cur = self.current()
         version = 0 if cur is None else cur["version"] + 1
         rec = json.dumps({"version": version, "segments": segments, "ts": time.time()})
@@ -164,11 +195,30 @@ class VersionedTable:
         return version
 
     def replace(self, df: DataFrame) -> int:
-        return self._commit([self._write_segment(df)])
+        return self._commit([{"path": self._write_segment(df), "exclude": []}])
 
     def append(self, df: DataFrame) -> int:
         cur = self.current()
-        return self._commit((cur["segments"] if cur else []) + [self._write_segment(df)])
+        return self._commit((cur["segments"] if cur else []) + [{"path": self._write_segment(df), "exclude": []}])
+
+    def replace_partitions(self, df: DataFrame, touched: Sequence[str]) -> int:
+        """New contents for the ``touched`` partition values; every other partition is kept."""
+        cur = self.current()
+        if not touched and cur is not None:
+            return cur["version"]
+        kept = [{"path": s["path"], "exclude": sorted(set(s["exclude"]) | set(touched))}
+                for s in (cur["segments"] if cur else [])]
+        return self._commit(kept + [{"path": self._write_segment(df), "exclude": []}])
+
+    def partition_values(self, df: DataFrame) -> list[str]:
+        """Distinct partition values of ``df`` (one row per partition, e.g. per day: bounded)."""
+        return sorted(r[0] for r in df.select(F.col(self.part).cast("string")).distinct().collect())
+
+    def window_partitions(self, start, end) -> Column:
+        """Partition predicate covering [start, end) of the column the partition is derived from."""
+        lo = F.lit(start).cast("timestamp_ntz").cast("date")
+        lo = lo if self.granularity == "day" else F.trunc(lo, self.granularity)
+        return (F.col(self.part) >= lo) & (F.col(self.part) <= F.lit(end).cast("timestamp_ntz").cast("date"))
 
 
 STRATEGIES = ("view", "table", "append", "insert_new", "merge", "delete_insert", "time_interval")
@@ -183,6 +233,8 @@ def materialize(spark: SparkSession, df: DataFrame, strategy: str, table: Versio
     ``view`` registers a temp view (lazy); the others persist into ``table`` and return the new
     version number. ``full_refresh`` rebuilds the table from ``df`` whatever the strategy.
     ``high_water`` (a column) keeps only rows newer than the table's maximum first (SNK-8).
+    On a partitioned table, merge / delete_insert / time_interval read and rewrite only the
+    partitions the load touches.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; one of {STRATEGIES}")
@@ -203,12 +255,26 @@ def materialize(spark: SparkSession, df: DataFrame, strategy: str, table: Versio
     if strategy == "merge":
         # on_schema_change = append_new_columns: widen the target, never drop a column
         target = add_new_columns(target, df.limit(0))
-        return table.replace(upsert(target, df, key, order))
-    if strategy == "delete_insert":
-        return table.replace(delete_insert(target, df, key))
+    part = table.part
+    if strategy in ("merge", "delete_insert"):
+        if part:
+            # partitions of the new rows, plus partitions where a source key currently lives (a key
+            # may move between partitions; its old row must go too)
+            src_keys = df.select(*key).distinct()
+            hit = target.select(*key, part).join(src_keys, list(key), "left_semi").select(part)
+            touched = table.partition_values(df.select(part).unionByName(hit))
+            target = target.where(F.col(part).cast("string").isin(*touched))
+        result = upsert(target, df, key, order) if strategy == "merge" else delete_insert(target, df, key)
+        return table.replace_partitions(result, touched) if part else table.replace(result)
     if strategy == "time_interval":
         if not incremental_key or not window:
             raise ValueError("time_interval needs incremental_key and window=(start, end)")
+        if part:
+            scope = table.window_partitions(*window)
+            in_src = df.where(in_window(incremental_key, *window)).select(part)
+            touched = table.partition_values(target.where(scope).select(part).unionByName(in_src))
+            target = target.where(F.col(part).cast("string").isin(*touched))
+            return table.replace_partitions(replace_interval(target, df, incremental_key, *window), touched)
         return table.replace(replace_interval(target, df, incremental_key, *window))
     raise AssertionError(strategy)
 

@@ -59,7 +59,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        # Local runs only: the cluster always names a shared folder.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: a machine-local scratch "
+                               "folder does not survive a lost executor")
+        # local runs and tests only
         root = tempfile.mkdtemp(prefix="meterstar-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)

@@ -122,3 +122,27 @@ def test_materialize_time_interval(spark, tmp_dir):
     assert rows(tbl.read(), "x") == [(5,), (11,)]
     with pytest.raises(ValueError):
         load.materialize(spark, run, "bogus", tbl)
+
+
+def test_partitioned_table_rewrites_only_touched_partitions(spark, tmp_dir):
+    d = lambda day, h=0: dt.datetime(2020, 1, day, h)
+    schema = "k int, ts timestamp_ntz, v string"
+    tbl = load.VersionedTable(spark, f"{tmp_dir}/pt", partition_by=["day"])
+    day = lambda df: df.withColumn("day", F.to_date("ts"))
+    base = spark.createDataFrame([(1, d(1), "a"), (2, d(2), "b"), (3, d(3), "c"), (4, d(3, 5), "d")], schema)
+    load.materialize(spark, day(base), "table", tbl)
+    # key 2 moves from day 2 to day 4; key 1 changes in place; day 3 untouched
+    src = day(spark.createDataFrame([(2, d(4), "B"), (1, d(1, 3), "A")], schema))
+    load.materialize(spark, src, "merge", tbl, key=["k"])
+    got = rows(tbl.read(), "k", "v")
+    assert got == [(1, "A"), (2, "B"), (3, "c"), (4, "d")]
+    cur = tbl.current()
+    assert cur["segments"][0]["exclude"] == ["2020-01-01", "2020-01-02", "2020-01-04"]
+    # interval replace on a partitioned table: window empties day 3 except rows outside it
+    run = day(spark.createDataFrame([(9, d(3, 1), "z")], schema))
+    for _ in range(2):
+        load.materialize(spark, run, "time_interval", tbl, incremental_key="ts",
+                         window=("2020-01-03 00:00:00", "2020-01-03 04:00:00"))
+    assert rows(tbl.read(), "k", "v") == [(1, "A"), (2, "B"), (4, "d"), (9, "z")]
+    plan = tbl.read()._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan
