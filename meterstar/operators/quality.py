@@ -77,6 +77,15 @@ def _row(label: str, column: str, failing: Column) -> Column:
                     failing.cast("bigint").alias("failing_rows"))
 
 
+def run_models(runs: Sequence[tuple[str, DataFrame, Sequence[Check]]]) -> DataFrame:
+    """Check several models in one report: ``model, check, column, failing_rows, passed``."""
+    out = None
+    for model, df, checks in runs:
+        r = run_checks(df, checks).select(F.lit(model).alias("model"), "*")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Evaluate ``checks`` on ``df``; one report row per check."""
     parts: list[DataFrame] = []

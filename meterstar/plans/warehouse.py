@@ -45,6 +45,16 @@ FCT_COLUMNS = [
     "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "ehail_fee",
     "improvement_surcharge", "total_amount", "payment_type", "payment_type_description",
 ]
+# Enforced contract of the fact table (DQ-12): names and types, column order free.
+FCT_CONTRACT = ", ".join([
+    "trip_id string", "vendor_id int", "service_type string", "rate_code_id int",
+    "pickup_location_id int", "pickup_borough string", "pickup_zone string",
+    "dropoff_location_id int", "dropoff_borough string", "dropoff_zone string",
+    "pickup_datetime timestamp_ntz", "dropoff_datetime timestamp_ntz", "store_and_fwd_flag string",
+    "passenger_count int", "trip_distance decimal(18,3)", "trip_type int", "trip_duration_minutes bigint",
+    *[f"{m} decimal(18,3)" for m in MONEY_MEASURES],
+    "payment_type int", "payment_type_description string",
+])
 TOP_ZONE_YEAR = 1997
 TRIPS_MONTH = (1996, 10)
 

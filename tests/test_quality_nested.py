@@ -84,3 +84,17 @@ def test_replace_with_children(spark, tmp_dir):
     v = N.replace_with_children(spark, tmp_dir, "books", parent, {"authors": child})
     v2 = N.replace_with_children(spark, tmp_dir, "books", parent, {"authors": child.limit(0)})
     assert v == {"books": 0, "books__authors": 0} and v2 == {"books": 1, "books__authors": 1}
+
+
+def test_fact_table_meets_contract_and_checks_enforce(spark):
+    from pyspark.sql.types import _parse_datatype_string
+
+    from meterstar.plans import quality_checks, warehouse
+    from tests.conftest import SF_SMALL
+    fct = warehouse.fct_trips(spark, SF_SMALL)
+    assert Q.contract_violations(fct, _parse_datatype_string(warehouse.FCT_CONTRACT)) == []
+    report = quality_checks.dq_fct_trips(spark, SF_SMALL)
+    Q.enforce(report)                     # every reference test passes on the driver data
+    broken = fct.withColumn("service_type", F.lit("Blue"))
+    with pytest.raises(Q.QualityError):
+        Q.enforce(Q.run_checks(broken, [Q.accepted_values("service_type", ["Green", "Yellow"])]))
