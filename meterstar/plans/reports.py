@@ -157,6 +157,33 @@ def m6_least_used_pickup_zones(spark, sf_dir):
     return dedup.lowest_with_ties(counts, "cnt")
 
 
+# Q-M6-6 as written in the reference notebook: temp views + Spark SQL with DENSE_RANK. The window
+# runs over the per-zone counts (one row per zone name, bounded by the zone dimension, not by the
+# trip volume), so its single partition holds at most a few hundred rows.
+@query("m6_least_used_pickup_zones_sql", covers="Q-M6-6 SNK-19 SRC-18 PRJ-8 PRJ-9 WN-3", sql=TZ + """
+, pickup_counts AS (
+  SELECT z.zone AS pickup_zone, count(*) AS cnt
+  FROM trips t JOIN zones z ON t.pickup_location_id = z.location_id GROUP BY z.zone),
+ranked AS (SELECT pickup_zone, cnt, dense_rank() OVER (ORDER BY cnt ASC) AS rnk FROM pickup_counts)
+SELECT pickup_zone, cnt FROM ranked WHERE rnk = 1""")
+def m6_least_used_pickup_zones_sql(spark, sf_dir):
+    from meterstar.sources.catalog import view
+    view(D.trips(spark, sf_dir, ["pickup_location_id"]), "yellow_tripdata")
+    view(D.zones(spark, sf_dir), "zone_lookup")
+    return spark.sql("""
+        WITH pickup_counts AS (
+            SELECT z.`zone` AS pickup_zone, COUNT(*) AS cnt
+            FROM yellow_tripdata t
+            JOIN zone_lookup z ON t.pickup_location_id = z.location_id
+            GROUP BY z.`zone`
+        ),
+        ranked_pickups AS (
+            SELECT pickup_zone, cnt, DENSE_RANK() OVER (ORDER BY cnt ASC) AS rnk
+            FROM pickup_counts
+        )
+        SELECT pickup_zone, cnt FROM ranked_pickups WHERE rnk = 1""")
+
+
 # Q-DLT-1..3: date span, credit-card share, total tips (questions without query text).
 @query("dlt_trip_date_span", covers="Q-DLT-1 AG-11", sql=T + """
 SELECT CAST(min(pickup_datetime) AS DATE) AS first_day, CAST(max(pickup_datetime) AS DATE) AS last_day FROM trips""")

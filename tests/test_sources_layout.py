@@ -51,3 +51,26 @@ def test_partitioned_clustered_write_prunes(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(pickup_date" in p
     load.write_files(t, os.path.join(tmp_dir, "four"), 4)
     assert len([f for f in os.listdir(os.path.join(tmp_dir, "four")) if f.endswith(".parquet")]) == 4
+
+
+def test_gzip_csv_and_catalog_views(spark, tmp_dir):
+    import gzip
+
+    from meterstar.sources import catalog
+    path = os.path.join(tmp_dir, "payment_type_lookup.csv.gz")
+    with gzip.open(path, "wt") as f:
+        f.write("payment_type,description\n0,Unknown\n1,Credit card\n")
+    schema = T.StructType([T.StructField("payment_type", T.IntegerType()), T.StructField("description", T.StringType())])
+    df = files.read_csv(spark, path, schema)
+    assert [(r.payment_type, r.description) for r in df.collect()] == [(0, "Unknown"), (1, "Credit card")]
+    catalog.view(df, "payment_type_lookup")
+    assert catalog.named(spark, "payment_type_lookup").count() == 2
+    assert "orders" in catalog.register_views(spark, SF_SMALL) and catalog.named(spark, "orders").count() > 0
+
+
+def test_development_sample_window(spark):
+    from meterstar.plans import warehouse
+    full = warehouse.stg_green(spark, SF_SMALL)
+    dev = warehouse.stg_green(spark, SF_SMALL, sample_window=("1996-01-01", "1996-02-01"))
+    expect = full.where((F.col("pickup_datetime") >= "1996-01-01") & (F.col("pickup_datetime") < "1996-02-01"))
+    assert dev.count() == expect.count() > 0
