@@ -113,29 +113,36 @@ def session_counts(events: DataFrame, gap: str, key: str | None, time_col: str =
 
 
 def session_counts_split(events: DataFrame, gap: str, key: str | None, time_col: str = "event_time",
-                         bucket: str = "hour") -> DataFrame:
+                         buckets: int | None = None) -> DataFrame:
     """STR-5 / STR-6 for batch at any skew: same result as ``session_counts``.
 
     Spark's session aggregation shuffles on the key alone and merges sessions after the shuffle,
     so one key holding a third of all events lands in one task. Here:
 
-    1. local sessions per (key, time bucket) -- the shuffle is on (key, bucket), a hot key spreads
-       over all its buckets;
-    2. only the first and last local session of each (key, bucket) can continue across a bucket
-       edge; those boundary rows (at most two per key and bucket, bounded by the time span, not by
-       the data volume) are chained per key with the gap rule (new session when start - previous
-       last > gap);
-    3. interior local sessions are final; chained groups are summed. Union of both.
-
-    ``key=None`` gives the global session variant; its chaining step then orders the boundary rows
-    of all buckets (two per bucket) in one window.
+    1. events are range-partitioned on (key, time, row hash) into ``buckets`` contiguous slices;
+       the row hash lets even a run of identical (key, time) values spread over slices. The slice
+       number is the bucket, so no key, hour or timestamp can pin a third of the data to one task;
+    2. local sessions per (key, bucket) -- each bounded by one slice;
+    3. only the first and last local session of a (key, bucket) can continue into a neighbouring
+       slice; those edge rows (at most two per key and bucket: bounded by the bucket count, not by
+       the data volume) are chained per key in time order, a new session starting when its first
+       event is more than ``gap`` after the latest end seen so far (running max, exact for
+       overlapping edges at a shared boundary timestamp);
+    4. interior local sessions are final; chained groups are summed. Union of both.
+
+    ``key=None`` gives the global session variant; its chaining step orders the edge rows of all
+    buckets (at most ``2 * buckets``) in one window.
     """
     from pyspark.sql import Window
 
+    spark = events.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     gap_expr = F.expr(f"INTERVAL {gap}")
     keys = [key] if key else []
-    b = F.date_trunc(bucket, F.col(time_col)).alias("__bucket")
-    local = (events.groupBy(*keys, b, F.session_window(time_col, gap).alias("w"))
+    salt = F.xxhash64(*[F.col(c) for c in events.columns])
+    ev = (events.repartitionByRange(n, *[F.col(k) for k in keys], F.col(time_col), salt)
+          .select(*keys, time_col, F.spark_partition_id().alias("__bucket")))
+    local = (ev.groupBy(*keys, "__bucket", F.session_window(time_col, gap).alias("w"))
              .agg(F.min(time_col).alias("__first"), F.max(time_col).alias("__last"),
                   F.count(F.lit(1)).alias("__n"))
              .drop("w"))
@@ -145,9 +152,10 @@ def session_counts_split(events: DataFrame, gap: str, key: str | None, time_col:
     interior = local.where(~F.col("__is_first") & ~F.col("__is_last")).select(
         *keys, F.col("__first").alias("__start"), "__last", "__n")
     edge = local.where(F.col("__is_first") | F.col("__is_last"))
-    by_key = Window.partitionBy(*keys).orderBy("__first") if keys else Window.orderBy("__first")
-    prev_last = F.lag("__last").over(by_key)
-    edge = edge.withColumn("__new", F.when(prev_last.isNull() | (F.col("__first") > prev_last + gap_expr), 1)
+    order = ["__first", "__last", "__bucket"]
+    by_key = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
+    seen_end = F.max("__last").over(by_key.rowsBetween(Window.unboundedPreceding, -1))
+    edge = edge.withColumn("__new", F.when(seen_end.isNull() | (F.col("__first") > seen_end + gap_expr), 1)
                            .otherwise(0))
     edge = edge.withColumn("__sid", F.sum("__new").over(by_key.rowsBetween(Window.unboundedPreceding, 0)))
     chained = edge.groupBy(*keys, "__sid").agg(F.min("__first").alias("__start"), F.max("__last").alias("__last"),
@@ -156,7 +164,7 @@ def session_counts_split(events: DataFrame, gap: str, key: str | None, time_col:
     out = [_ntz("__start").alias("window_start"), (F.col("__last") + gap_expr).cast("timestamp_ntz").alias("window_end")]
     if key:
         out.append(F.col(key).alias(key.lower()))
-    return sessions.select(*out, F.col("__n").alias("num_trips"))
+    return sessions.select(*out, F.col("__n").cast("bigint").alias("num_trips"))
 
 
 def longest_session(sessions: DataFrame, key: str = "pulocationid") -> DataFrame:

@@ -65,6 +65,6 @@ def test_only_needed_tables_are_joined(spark):
 
 
 def test_zone_sessions_do_not_shuffle_on_key_alone(spark):
-    # the split form shuffles local sessions on (key, hour bucket)
+    # the split form range-partitions on (key, time, row hash) and merges per (key, slice)
     p = plan(E.queries()["m7_zone_sessions"](spark, SF_SMALL))
-    assert "MergingSessions" in p and "__bucket" in p
+    assert "MergingSessions" in p and "__bucket" in p and "rangepartitioning" in p

@@ -98,6 +98,13 @@ def test_split_sessions_match_native_on_hot_key(spark):
             as_set(W.session_counts(ev, gap, "PULocationID"), cols)
     g = ["window_start", "window_end", "num_trips"]
     assert as_set(W.session_counts_split(ev, "5 minutes", None), g) == as_set(W.session_counts(ev, "5 minutes", None), g)
+    # many buckets, and a burst of identical timestamps on the hot key (split across slices)
+    burst = _events(spark, rows + [(7, t0 + dt.timedelta(minutes=40))] * 200)
+    for nb in (3, 16, 64):
+        assert as_set(W.session_counts_split(burst, "5 minutes", "PULocationID", buckets=nb), cols) == \
+            as_set(W.session_counts(burst, "5 minutes", "PULocationID"), cols)
+        assert as_set(W.session_counts_split(burst, "30 minutes", None, buckets=nb), g) == \
+            as_set(W.session_counts(burst, "30 minutes", None), g)
 
 
 def test_longest_session_single_row(spark):
