@@ -134,22 +134,30 @@ class VersionedTable:
         self.partition_by = list(partition_by)
         self.cluster_by = list(cluster_by)
         self.granularity = granularity
+        self._seen: list[dict] = []      # commits already read by this instance
 
     @property
     def part(self) -> str | None:
         return self.partition_by[0] if self.partition_by else None
 
-    # commit log: written and read by Spark itself so it works on any Hadoop file system
+    # commit log: written and read by Spark itself so it works on any Hadoop file system.
+    # Commit folders are ``v=<version>``: a reader that has seen version N reads only v > N (partition
+    # pruning), so a long-running stream does not re-read its whole history on every micro-batch.
+    # Two writers racing for the same version collide on the folder (write mode "error"): the
+    # second commit fails instead of silently overwriting the first.
     def _commits(self) -> list[dict]:
         path = f"{self.root}/_commits"
         try:
-            rows = self.spark.read.schema(self._SCHEMA).json(path).collect()
+            df = self.spark.read.schema(self._SCHEMA).json(path)
         except Exception:  # noqa: BLE001 - no commit yet
-            return []
-        out = [{"version": r.version,
+            return self._seen
+        if self._seen:
+            df = df.where(F.col("v") > F.lit(self._seen[-1]["version"]))
+        new = [{"version": r.version,
                 "segments": [{"path": s.path, "exclude": list(s.exclude or [])} for s in r.segments]}
-               for r in rows]
-        return sorted(out, key=lambda c: c["version"])
+               for r in df.select("version", "segments").collect()]
+        self._seen = sorted(self._seen + new, key=lambda c: c["version"])[-1:]
+        return self._seen
 
     def current(self) -> dict | None:
         commits = self._commits()
@@ -191,7 +199,7 @@ class VersionedTable:
         version = 0 if cur is None else cur["version"] + 1
         rec = json.dumps({"version": version, "segments": segments, "ts": time.time()})
         (self.spark.createDataFrame([(rec,)], "value string").coalesce(1)
-         .write.mode("error").text(f"{self.root}/_commits/v={version:012d}"))
+         .write.mode("error").text(f"{self.root}/_commits/v={version}"))
         return version
 
     def replace(self, df: DataFrame) -> int:

@@ -27,3 +27,8 @@ def view(df: DataFrame, name: str) -> DataFrame:
 def named(spark: SparkSession, name: str) -> DataFrame:
     """``source(...)`` / ``ref(...)``: a table or view by name from the session catalog."""
     return spark.table(name)
+
+
+def preview(df: DataFrame, n: int = 5):
+    """SNK-20: the first ``n`` rows as a local pandas frame (bounded: LIMIT before the transfer)."""
+    return df.limit(n).toPandas()

@@ -51,9 +51,17 @@ def read_topic_batch(spark: SparkSession, topic: str, bootstrap: str | None = No
     return spark.read.schema(MESSAGE_SCHEMA).json(path)
 
 
-def upsert_sink(table: load.VersionedTable, key: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """SNK-16: foreachBatch writer merging each micro-batch into a keyed table."""
+def upsert_sink(table: load.VersionedTable, key: Sequence[str],
+                derive: dict | None = None) -> Callable[[DataFrame, int], None]:
+    """SNK-16: foreachBatch writer merging each micro-batch into a keyed table.
+
+    ``derive`` adds columns before the merge, typically the table's partition column (e.g.
+    ``{"window_day": F.to_date("window_start")}``): a micro-batch then rewrites only the days it
+    touches instead of the whole result table.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
+        for name, col in (derive or {}).items():
+            batch = batch.withColumn(name, col)
         load.materialize(batch.sparkSession, batch, "merge", table, key=key)
     return write
 
@@ -65,6 +73,16 @@ def replace_sink(table: load.VersionedTable) -> Callable[[DataFrame, int], None]
     return write
 
 
+def run_unbounded(df: DataFrame, checkpoint: str, mode: str, every: str = "10 seconds",
+                  sink: Callable | None = None, path: str | None = None, name: str | None = None) -> StreamingQuery:
+    """STR-2 / STR-10: a long-running query with a micro-batch every ``every``; offsets and state
+    are committed to ``checkpoint`` at each batch (the recovery point). Returns the running query."""
+    w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(processingTime=every)
+    if name:
+        w = w.queryName(name)
+    return w.foreachBatch(sink).start() if sink is not None else w.format("parquet").start(path)
+
+
 def run_bounded(df: DataFrame, checkpoint: str, mode: str, sink: Callable | None = None,
                 path: str | None = None, name: str | None = None) -> StreamingQuery:
     """STR-9/STR-10: process everything available, then stop (``trigger(availableNow=True)``).

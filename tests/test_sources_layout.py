@@ -74,3 +74,9 @@ def test_development_sample_window(spark):
     dev = warehouse.stg_green(spark, SF_SMALL, sample_window=("1996-01-01", "1996-02-01"))
     expect = full.where((F.col("pickup_datetime") >= "1996-01-01") & (F.col("pickup_datetime") < "1996-02-01"))
     assert dev.count() == expect.count() > 0
+
+
+def test_preview_is_bounded(spark):
+    from meterstar.sources import catalog
+    pdf = catalog.preview(D.trips(spark, SF_SMALL, ["vendor_id", "fare_amount"]), 5)
+    assert len(pdf) == 5 and list(pdf.columns) == ["vendor_id", "fare_amount"]
