@@ -52,7 +52,7 @@ def m1_longest_trip_day(spark, sf_dir):
 
 # Q-M1-5: pickup zone with the largest total amount on one day.
 @query("m1_top_revenue_zone_on_day", covers="Q-M1-5 JN-1 FLT-5 AG-4 FN-16 SRT-1", sql=TZ + f"""
-SELECT z.zone AS zone, round(sum(t.total_amount), 3) AS total_amount_sum
+SELECT z.zone AS zone, CAST(round(sum(t.total_amount), 3) AS DECIMAL(38,3)) AS total_amount_sum
 FROM trips t JOIN zones z ON z.location_id = t.pickup_location_id
 WHERE CAST(t.pickup_datetime AS DATE) = DATE '{REVENUE_DAY}'
 GROUP BY z.zone ORDER BY total_amount_sum DESC, zone ASC LIMIT 1""")
@@ -60,7 +60,7 @@ def m1_top_revenue_zone_on_day(spark, sf_dir):
     t = D.trips(spark, sf_dir, ["pickup_datetime", "pickup_location_id", "total_amount"]).where(
         X.on_day("pickup_datetime", REVENUE_DAY))
     t = star.enrich(t, D.zones(spark, sf_dir), "pickup_location_id", "location_id", {"zone": "zone"}, how="inner")
-    g = t.groupBy("zone").agg(F.round(F.sum("total_amount"), 3).alias("total_amount_sum"))
+    g = t.groupBy("zone").agg(F.round(F.sum("total_amount"), 3).cast("decimal(38,3)").alias("total_amount_sum"))
     return dedup.top_n(g, [F.col("total_amount_sum").desc(), F.col("zone").asc()], 1)
 
 

@@ -97,7 +97,7 @@ sessions AS (
 
 
 @query("m7_consumer_distance_count", covers="Q-M7-0 SRC-14 AG-12 FLT-6 FN-19", sql=_EV_SQL + f"""
-SELECT count(*) AS record_count, count_if(trip_distance > {DISTANCE_OVER}) AS distance_over_5 FROM ev""")
+SELECT count(*) AS record_count, CAST(count_if(trip_distance > {DISTANCE_OVER}) AS BIGINT) AS distance_over_5 FROM ev""")
 def m7_consumer_distance_count(spark, sf_dir):
     return W.count_with_predicate(decoded(spark, sf_dir), F.col("trip_distance") > DISTANCE_OVER, "distance_over_5")
 

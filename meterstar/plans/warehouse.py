@@ -327,7 +327,7 @@ def q_top_green_zone_for_year(spark, sf_dir):
 
 
 @query("m4_green_trips_in_month", covers="Q-M4-5 FLT-8 FLT-13 AG-4", sql=MART_SQL + f"""
-SELECT sum(total_monthly_trips) AS total_trips FROM mart
+SELECT CAST(sum(total_monthly_trips) AS BIGINT) AS total_trips FROM mart
 WHERE service_type = 'Green' AND extract(year FROM revenue_month) = {TRIPS_MONTH[0]}
   AND extract(month FROM revenue_month) = {TRIPS_MONTH[1]}""")
 def q_green_trips_in_month(spark, sf_dir):

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
-from tools.oracle_check import TABLES, digest
+from tools.oracle_check import TABLES, digest, type_diffs
 
 
 def plan(df):
@@ -35,10 +35,11 @@ def duck():
 def test_query_matches_oracle_on_small_data(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
-    res = duck.execute(E.oracle_sql()[name])
-    ocols = [d[0] for d in res.description]
-    orows = res.fetchall()
+    rel = duck.sql(E.oracle_sql()[name])
+    ocols = rel.columns
+    orows = rel.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    assert type_diffs(df, rel) == {}
     assert len(rows) == len(orows)
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
 
