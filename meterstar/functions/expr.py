@@ -125,8 +125,9 @@ def format_ts(c: ColumnOrName, fmt: str = TS_TEXT) -> Column:
 
 
 def round_money(c: ColumnOrName, scale: int = 3) -> Column:
-    """FN-16: ROUND(x::numeric, s): decimal first, then half-up rounding."""
-    return F.round(_c(c).cast(MONEY), scale)
+    """FN-16: ROUND(x::numeric, s): to a wide decimal first (no intermediate rounding at a
+    smaller scale, which would round twice), then one half-up rounding."""
+    return F.round(_c(c).cast("decimal(38,10)"), scale)
 
 
 def ratio(num: ColumnOrName, den: ColumnOrName) -> Column:

@@ -287,11 +287,6 @@ def materialize(spark: SparkSession, df: DataFrame, strategy: str, table: Versio
     raise AssertionError(strategy)
 
 
-def ensure_dir(path: str) -> str:
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
-
 
 # --- physical layouts ------------------------------------------------------------------------------
 

@@ -155,6 +155,3 @@ def enforce(report: DataFrame) -> DataFrame:
         raise QualityError("; ".join(f"{r['check']}({r['column']}): {r['failing_rows']}" for r in failed))
     return report
 
-
-def empty_report(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], REPORT_SCHEMA)

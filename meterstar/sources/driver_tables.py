@@ -38,8 +38,6 @@ from pyspark.sql import functions as F
 
 from meterstar.functions.expr import MONEY
 
-DEFAULT_SF_DIR = "/root/testdata/sf0.01"
-
 # Payment type codes and their descriptions (warehouse seed).
 PAYMENT_TYPES = [
     (0, "Unknown"),
@@ -124,13 +122,6 @@ TRIP_COLUMNS = [
     "trip_type", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge",
     "total_amount", "payment_type",
 ]
-TIE_BREAK = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-
-_SOURCE_COLUMNS = {
-    "l": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-          "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
-    "o": ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"],
-}
 
 
 def trips(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None,

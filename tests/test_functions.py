@@ -85,3 +85,17 @@ def test_day_range_is_half_open_on_raw_column(spark):
 def test_mean_matches_sum_over_count(spark):
     df = spark.createDataFrame([(Decimal("1.001"),), (Decimal("1.002"),), (None,)], "x decimal(18,3)")
     assert df.agg(X.mean("x").alias("m")).first().m == 2.003 / 2
+
+
+def test_format_round_and_rank_helpers(spark):
+    from meterstar.operators import dedup
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 2, 3, 4, 5), "1.2345", "a", 3),
+                                (dt.datetime(2024, 1, 2, 3, 4, 6), "2.0", "a", 1),
+                                (dt.datetime(2024, 1, 2, 3, 4, 7), "0.5", "b", 1)], "t timestamp_ntz, s string, g string, n int")
+    r = df.select(X.format_ts("t").alias("f"), X.round_money("s", 2).alias("r")).first()
+    assert r.f == "2024-01-02 03:04:05" and r.r == Decimal("1.23")
+    ranked = {(x.g, x.n): x.rnk for x in dedup.rank_dense(df, ["g"], ["n"]).collect()}
+    assert ranked == {("a", 1): 1, ("a", 3): 2, ("b", 1): 1}
+    with pytest.raises(ValueError):
+        dedup.rank_dense(df, [], ["n"])
+    assert dedup.highest_with_ties(df, "n").count() == 1

@@ -145,3 +145,12 @@ def test_longest_session_single_row(spark):
                               "window_start timestamp_ntz, window_end timestamp_ntz, pulocationid int, num_trips long")
     r = W.longest_session(s).collect()
     assert len(r) == 1 and r[0].id == 1 and r[0].pulocationid == 3
+
+
+def test_bounded_batch_read_of_topic_folder(spark, topic_dir):
+    from meterstar.sources import files
+    msgs = S.read_topic_batch(spark, "green-trips", path=topic_dir)
+    assert msgs.count() == J.trip_topic(spark, SF_SMALL).count()
+    assert files.generated_range(spark, 10).count() == 10
+    with pytest.raises(ValueError):
+        S.read_topic(spark, "green-trips")
