@@ -50,21 +50,29 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged table versions.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared folder there). Only when it is
     unset -- local runs and tests -- a fresh scratch folder is created and registered.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    root = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "local")
+        if not str(master).startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: a machine-local scratch "
                                "folder does not survive a lost executor")
         # local runs and tests only
         root = tempfile.mkdtemp(prefix="meterstar-ckpt-")
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root
 

@@ -64,6 +64,9 @@ PAYMENT_NAMES = [
 # Fact-sized tables: their scans feed joins and aggregations with most of the work.
 FACT_TABLES = {"lineitem", "orders", "events"}
 
+# Schemas already read from the footers: later reads pass them and skip Spark's footer-reading job.
+_SCHEMAS: dict[str, object] = {}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read a driver table.
@@ -73,10 +76,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     repartition; filters and column pruning still reach the scan below it. With many files -- any
     real data size -- the scan already has enough splits and nothing is added.
     """
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    known = _SCHEMAS.get(path)
+    df = (spark.read.schema(known) if known is not None else spark.read).parquet(path)
+    if known is None:
+        _SCHEMAS[path] = df.schema
     if name in FACT_TABLES:
-        par = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < par:
+        try:
+            par = spark.sparkContext.defaultParallelism
+            splits = df.rdd.getNumPartitions()
+        except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the scan as it is
+            return df
+        if splits < par:
             df = df.repartition(par)
     return df
 
