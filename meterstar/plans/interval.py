@@ -102,3 +102,18 @@ SELECT * FROM full_report WHERE NOT (trip_date >= DATE '{RERUN[0]}' AND trip_dat
 UNION ALL SELECT * FROM redo""")
 def q_trips_report_rerun(spark, sf_dir):
     return rerun_report(spark, sf_dir)
+
+
+# --- persisted interval run (SNK-10 into day-partitioned tables) -------------------------------------
+
+def run_window(spark: SparkSession, sf_dir: str, window, staging_table, report_table) -> tuple[int, int]:
+    """One run of the interval pipeline for ``window`` = [start, end): the staging rows of the window
+    replace the window in the staging table, then the report days of the window are recomputed from
+    the persisted staging table and replace those days in the report. Tables partitioned by day
+    rewrite only the window's days."""
+    stg = staging_trips(spark, sf_dir, window).withColumn("pickup_date", F.to_date("pickup_datetime"))
+    v1 = load.materialize(spark, stg, "time_interval", staging_table, incremental_key="pickup_datetime",
+                          window=window)
+    rep = trips_report(staging_table.read(), window).withColumn("report_date", F.col("trip_date"))
+    v2 = load.materialize(spark, rep, "time_interval", report_table, incremental_key="trip_date", window=window)
+    return v1, v2

@@ -339,3 +339,23 @@ SELECT count(*) AS fhv_rows FROM stg_fhv WHERE dispatching_base_num IS NOT NULL"
 def q_fhv_rows_with_base(spark, sf_dir):
     return stg_fhv(spark, sf_dir).where(F.col("dispatching_base_num").isNotNull()).agg(
         F.count(F.lit(1)).alias("fhv_rows"))
+
+
+# --- persisted, incremental fact load (SNK-7/8/9 as the fact model uses them) ----------------------
+
+def load_fct(spark: SparkSession, sf_dir: str, table, until: str | None = None, full_refresh: bool = False,
+             lookback: str | None = None) -> int:
+    """Build or extend the persisted fact table.
+
+    First run (or ``full_refresh``): the whole fact table. Later runs: only trips picked up after the
+    table's latest pickup (strict ``>``, optionally widened by ``lookback``), merged on ``trip_id``;
+    new columns are appended, none dropped. ``until`` limits the source to pickups before a time
+    (the data available at that run). Returns the committed version.
+    """
+    from meterstar.operators.load import materialize
+
+    fct = fct_trips(spark, sf_dir)
+    if until:
+        fct = fct.where(F.col("pickup_datetime") < F.lit(until).cast("timestamp_ntz"))
+    return materialize(spark, fct, "merge", table, key=["trip_id"], high_water="pickup_datetime",
+                       lookback=lookback, full_refresh=full_refresh)
