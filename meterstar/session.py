@@ -21,6 +21,24 @@ SESSION_DEFAULTS = {
 }
 
 
+def scale_settings(input_bytes: int, executor_cores: int, partition_mb: int = 256) -> dict[str, str]:
+    """Partition sizing for a job reading ``input_bytes`` on ``executor_cores`` cores in total.
+
+    Scan splits and shuffle partitions target ``partition_mb`` each, so a task's working set fits
+    an executor core's share of memory (and spills in sort / aggregation stay rare). The shuffle
+    partition count is an upper bound: AQE coalesces small ones and splits skewed ones at run time.
+    100 TB at 256 MB gives ~400k scan tasks and ~400k shuffle partitions before coalescing.
+    """
+    part = partition_mb * 1024 * 1024
+    n = max(2 * executor_cores, -(-input_bytes // part))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(part),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(part),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * part),
+    }
+
+
 def get_session(master: str | None = None, app: str = "meterstar", shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library defaults.

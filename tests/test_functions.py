@@ -99,3 +99,10 @@ def test_format_round_and_rank_helpers(spark):
     with pytest.raises(ValueError):
         dedup.rank_dense(df, [], ["n"])
     assert dedup.highest_with_ties(df, "n").count() == 1
+
+
+def test_scale_settings():
+    from meterstar.session import scale_settings
+    s = scale_settings(100 * 1024 ** 4, 8000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_settings(10, 8)["spark.sql.shuffle.partitions"] == "16"
