@@ -144,11 +144,11 @@ def m6_longest_trip_hours(spark, sf_dir):
 
 # Q-M6-6: least-used pickup zones, ties kept (DENSE_RANK ascending = 1).
 @query("m6_least_used_pickup_zones", covers="Q-M6-6 JN-1 AG-1 AG-8 WN-3 FLT-12", sql=TZ + """
-, pickup_counts AS (
+, zone_counts AS (
   SELECT z.zone AS pickup_zone, count(*) AS cnt
   FROM trips t JOIN zones z ON t.pickup_location_id = z.location_id GROUP BY z.zone),
-ranked AS (SELECT pickup_zone, cnt, dense_rank() OVER (ORDER BY cnt ASC) AS rnk FROM pickup_counts)
-SELECT pickup_zone, cnt FROM ranked WHERE rnk = 1""")
+by_rank AS (SELECT pickup_zone, cnt, dense_rank() OVER (ORDER BY cnt) AS r FROM zone_counts)
+SELECT pickup_zone, cnt FROM by_rank WHERE r = 1""")
 def m6_least_used_pickup_zones(spark, sf_dir):
     t = D.trips(spark, sf_dir, ["pickup_location_id"])
     t = star.enrich(t, D.zones(spark, sf_dir), "pickup_location_id", "location_id", {"zone": "pickup_zone"},
@@ -157,31 +157,27 @@ def m6_least_used_pickup_zones(spark, sf_dir):
     return dedup.lowest_with_ties(counts, "cnt")
 
 
-# Q-M6-6 as written in the reference notebook: temp views + Spark SQL with DENSE_RANK. The window
-# runs over the per-zone counts (one row per zone name, bounded by the zone dimension, not by the
-# trip volume), so its single partition holds at most a few hundred rows.
-@query("m6_least_used_pickup_zones_sql", covers="Q-M6-6 SNK-19 SRC-18 PRJ-8 PRJ-9 WN-3", sql=TZ + """
-, pickup_counts AS (
+# Q-M6-6 through the SQL API: temp views over the bound tables and Spark SQL. "Rank 1 with ties"
+# is the zones whose count equals the smallest count (a one-row aggregate compared in HAVING), so
+# no unpartitioned window is needed.
+@query("m6_least_used_pickup_zones_sql", covers="Q-M6-6 SNK-19 SRC-18 PRJ-8 PRJ-9 FLT-10", sql=TZ + """
+, per_zone AS (
   SELECT z.zone AS pickup_zone, count(*) AS cnt
-  FROM trips t JOIN zones z ON t.pickup_location_id = z.location_id GROUP BY z.zone),
-ranked AS (SELECT pickup_zone, cnt, dense_rank() OVER (ORDER BY cnt ASC) AS rnk FROM pickup_counts)
-SELECT pickup_zone, cnt FROM ranked WHERE rnk = 1""")
+  FROM trips t JOIN zones z ON t.pickup_location_id = z.location_id GROUP BY z.zone)
+SELECT pickup_zone, cnt FROM per_zone WHERE cnt = (SELECT min(cnt) FROM per_zone)""")
 def m6_least_used_pickup_zones_sql(spark, sf_dir):
     from meterstar.sources.catalog import view
-    view(D.trips(spark, sf_dir, ["pickup_location_id"]), "yellow_tripdata")
-    view(D.zones(spark, sf_dir), "zone_lookup")
+    view(D.trips(spark, sf_dir, ["pickup_location_id"]), "trip_pickups")
+    view(D.zones(spark, sf_dir), "zone_dim")
     return spark.sql("""
-        WITH pickup_counts AS (
-            SELECT z.`zone` AS pickup_zone, COUNT(*) AS cnt
-            FROM yellow_tripdata t
-            JOIN zone_lookup z ON t.pickup_location_id = z.location_id
-            GROUP BY z.`zone`
-        ),
-        ranked_pickups AS (
-            SELECT pickup_zone, cnt, DENSE_RANK() OVER (ORDER BY cnt ASC) AS rnk
-            FROM pickup_counts
-        )
-        SELECT pickup_zone, cnt FROM ranked_pickups WHERE rnk = 1""")
+        WITH zone_use AS (
+            SELECT d.`zone` AS pickup_zone, COUNT(*) AS cnt
+            FROM trip_pickups AS p
+            INNER JOIN zone_dim AS d ON d.location_id = p.pickup_location_id
+            GROUP BY d.`zone`)
+        SELECT pickup_zone, cnt
+        FROM zone_use
+        WHERE cnt = (SELECT MIN(cnt) FROM zone_use)""")
 
 
 # Q-DLT-1..3: date span, credit-card share, total tips (questions without query text).
