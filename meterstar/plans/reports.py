@@ -168,10 +168,11 @@ SELECT pickup_zone, cnt FROM per_zone WHERE cnt = (SELECT min(cnt) FROM per_zone
 def m6_least_used_pickup_zones_sql(spark, sf_dir):
     from meterstar.sources.catalog import view
     view(D.trips(spark, sf_dir, ["pickup_location_id"]), "trip_pickups")
-    view(D.zones(spark, sf_dir), "zone_dim")
-    return spark.sql("""
+    zones = view(D.zones(spark, sf_dir), "zone_dim")
+    hint = "/*+ BROADCAST(d) */" if star.fits_broadcast(zones) else ""
+    return spark.sql(f"""
         WITH zone_use AS (
-            SELECT d.`zone` AS pickup_zone, COUNT(*) AS cnt
+            SELECT {hint} d.`zone` AS pickup_zone, COUNT(*) AS cnt
             FROM trip_pickups AS p
             INNER JOIN zone_dim AS d ON d.location_id = p.pickup_location_id
             GROUP BY d.`zone`)

@@ -74,14 +74,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     A fact table whose scan yields fewer splits than the cluster's default parallelism (one small
     file with one row group gives a single task) is spread over the cores with a round-robin
     repartition; filters and column pruning still reach the scan below it. With many files -- any
-    real data size -- the scan already has enough splits and nothing is added.
+    real data size -- the scan already has enough splits and nothing is added. Session setting
+    ``meterstar.spreadSmallScans=false`` turns this off.
     """
     path = os.path.join(sf_dir, f"{name}.parquet")
     known = _SCHEMAS.get(path)
     df = (spark.read.schema(known) if known is not None else spark.read).parquet(path)
     if known is None:
         _SCHEMAS[path] = df.schema
-    if name in FACT_TABLES:
+    spread = str(spark.conf.get("meterstar.spreadSmallScans", "true")).lower() == "true"
+    if name in FACT_TABLES and spread:
         try:
             par = spark.sparkContext.defaultParallelism
             splits = df.rdd.getNumPartitions()
@@ -171,9 +173,12 @@ def trips(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zone lookup: location_id, borough, zone, service_zone (nation x region)."""
+    """Zone lookup: location_id, borough, zone, service_zone (nation x region, region broadcast
+    after its size check)."""
+    from meterstar.operators.star import bounded_broadcast
+
     n = table(spark, sf_dir, "nation")
-    r = table(spark, sf_dir, "region")
+    r = bounded_broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
     return (n.join(r, n.n_regionkey == r.r_regionkey, "inner")
             .select(F.col("n_nationkey").cast("int").alias("location_id"),
                     F.col("r_name").alias("borough"),
