@@ -74,8 +74,11 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     """JN-7: child rows whose non-NULL key is absent from the parent (left anti join).
 
     The parent side is reduced to its distinct keys first (partial aggregation, so a hot key
-    is collapsed map-side before any shuffle).
+    is collapsed map-side before any shuffle); a parent proven small (a dimension) is broadcast,
+    so the child is checked where it lies, without a shuffle.
     """
     keys = parent.select(F.col(parent_key).alias("__pk")).distinct()
+    if fits_broadcast(parent):
+        keys = F.broadcast(keys)
     return (child.where(F.col(child_key).isNotNull())
             .join(keys, F.col(child_key) == F.col("__pk"), "left_anti"))
