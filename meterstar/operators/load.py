@@ -218,6 +218,14 @@ class VersionedTable:
                 for s in (cur["segments"] if cur else [])]
         return self._commit(kept + [{"path": self._write_segment(df), "exclude": []}])
 
+    def compact(self) -> int:
+        """Rewrite the current contents as one segment (after many appends / partition rewrites).
+        A new version like any other: readers of older versions are unaffected."""
+        cur = self.current()
+        if cur is None or (len(cur["segments"]) <= 1 and not any(s["exclude"] for s in cur["segments"])):
+            return -1 if cur is None else cur["version"]
+        return self.replace(self.read())
+
     def partition_values(self, df: DataFrame) -> list[str]:
         """Distinct partition values of ``df`` (one row per partition, e.g. per day: bounded)."""
         return sorted(r[0] for r in df.select(F.col(self.part).cast("string")).distinct().collect())

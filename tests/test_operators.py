@@ -175,3 +175,14 @@ def test_high_water_merge_through_materialize(spark, tmp_dir):
     # replaces its key while the 01:00 row stays out
     load.materialize(spark, feed, "merge", tbl, key=["k"], high_water="ts", lookback="2 hours")
     assert rows(tbl.read(), "k", "v") == [(1, "a"), (2, "TIE"), (3, "c")]
+
+
+def test_compact_keeps_contents(spark, tmp_dir):
+    tbl = load.VersionedTable(spark, f"{tmp_dir}/cp", partition_by=["k"])
+    for i in range(4):
+        tbl.append(spark.createDataFrame([(i, f"v{i}")], T))
+    before = rows(tbl.read(), "k", "v")
+    v = tbl.compact()
+    assert len(tbl.current()["segments"]) == 1 and v == 4
+    assert rows(tbl.read(), "k", "v") == before
+    assert tbl.compact() == 4          # nothing to do
