@@ -167,14 +167,19 @@ class VersionedTable:
         cur = self.current()
         if cur is None or not cur["segments"]:
             return None
-        whole = [f"{self.root}/{s['path']}" for s in cur["segments"] if not s["exclude"]]
         parts = []
-        if whole:   # one scan over all untouched segments (schemas merged when they differ)
-            parts.append(self.spark.read.option("mergeSchema", len(whole) > 1).parquet(*whole))
-        for s in cur["segments"]:
-            if s["exclude"]:
+        if not self.part:
+            # one scan over all segments (schemas merged when they differ)
+            paths = [f"{self.root}/{s['path']}" for s in cur["segments"]]
+            parts.append(self.spark.read.option("mergeSchema", len(paths) > 1).parquet(*paths))
+        else:
+            # each segment is its own partitioned dataset (one root per read); superseded
+            # partitions are dropped with a partition filter, so their folders are not scanned
+            for s in cur["segments"]:
                 df = self.spark.read.parquet(f"{self.root}/{s['path']}")
-                parts.append(df.where(~F.col(self.part).cast("string").isin(*s["exclude"])))
+                if s["exclude"]:
+                    df = df.where(~F.col(self.part).cast("string").isin(*s["exclude"]))
+                parts.append(df)
         out = parts[0]
         for d in parts[1:]:
             out = out.unionByName(d, allowMissingColumns=True)

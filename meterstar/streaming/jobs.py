@@ -52,17 +52,20 @@ def read_topic_batch(spark: SparkSession, topic: str, bootstrap: str | None = No
 
 
 def upsert_sink(table: load.VersionedTable, key: Sequence[str],
-                derive: dict | None = None) -> Callable[[DataFrame, int], None]:
+                derive: dict | None = None, compact_every: int = 100) -> Callable[[DataFrame, int], None]:
     """SNK-16: foreachBatch writer merging each micro-batch into a keyed table.
 
     ``derive`` adds columns before the merge, typically the table's partition column (e.g.
     ``{"window_day": F.to_date("window_start")}``): a micro-batch then rewrites only the days it
-    touches instead of the whole result table.
+    touches instead of the whole result table. Every ``compact_every`` batches the table's segments
+    are compacted into one, so reads do not grow with the number of micro-batches.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         for name, col in (derive or {}).items():
             batch = batch.withColumn(name, col)
         load.materialize(batch.sparkSession, batch, "merge", table, key=key)
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            table.compact()
     return write
 
 

@@ -47,7 +47,7 @@ def test_stream_counts_into_partitioned_table(spark, tmp_dir):
     table = load.VersionedTable(spark, os.path.join(tmp_dir, "counts_by_day"), partition_by=["window_day"])
     S.run_bounded(J.five_minute_counts(stream), os.path.join(tmp_dir, "ckp"), "update",
                   sink=S.upsert_sink(table, ["window_start", "pulocationid"],
-                                     derive={"window_day": F.to_date("window_start")}))
+                                     derive={"window_day": F.to_date("window_start")}, compact_every=2))
     batch = J.five_minute_counts(J.decoded(spark, SF_SMALL))
     cols = ["window_start", "pulocationid", "num_trips"]
     assert as_set(table.read(), cols) == as_set(batch, cols)
