@@ -64,7 +64,12 @@ def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequ
     which is ``delete_insert``.
     """
     if order:
-        source = keep_first(source, key, order)
+        # only keyed rows are reduced: a NULL key never matches, so every such row is inserted
+        has_key = None
+        for k in key:
+            c = F.col(k).isNotNull()
+            has_key = c if has_key is None else has_key & c
+        source = keep_first(source.where(has_key), key, order).unionByName(source.where(~has_key))
     return delete_insert(target, source, key)
 
 
