@@ -42,7 +42,7 @@ def top_n(df: DataFrame, order: Sequence[ColumnOrName], n: int = 1) -> DataFrame
 
 
 def _with_ties(df: DataFrame, metric: str, pick) -> DataFrame:
-    best = df.agg(pick(metric).alias("__best"))
+    best = df.agg(pick(metric).alias("__best"))   # a global aggregate: exactly one row to broadcast
     return df.join(F.broadcast(best), F.col(metric) == F.col("__best"), "inner").drop("__best")
 
 
