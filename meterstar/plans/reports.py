@@ -166,15 +166,18 @@ def m6_least_used_pickup_zones(spark, sf_dir):
   FROM trips t JOIN zones z ON t.pickup_location_id = z.location_id GROUP BY z.zone)
 SELECT pickup_zone, cnt FROM per_zone WHERE cnt = (SELECT min(cnt) FROM per_zone)""")
 def m6_least_used_pickup_zones_sql(spark, sf_dir):
+    import uuid
+
     from meterstar.sources.catalog import view
-    view(D.trips(spark, sf_dir, ["pickup_location_id"]), "trip_pickups")
-    zones = view(D.zones(spark, sf_dir), "zone_dim")
+    tag = uuid.uuid4().hex[:8]          # view names unique per call: concurrent queries do not collide
+    view(D.trips(spark, sf_dir, ["pickup_location_id"]), f"trip_pickups_{tag}")
+    zones = view(D.zones(spark, sf_dir), f"zone_dim_{tag}")
     hint = "/*+ BROADCAST(d) */" if star.fits_broadcast(zones) else ""
     return spark.sql(f"""
         WITH zone_use AS (
             SELECT {hint} d.`zone` AS pickup_zone, COUNT(*) AS cnt
-            FROM trip_pickups AS p
-            INNER JOIN zone_dim AS d ON d.location_id = p.pickup_location_id
+            FROM trip_pickups_{tag} AS p
+            INNER JOIN zone_dim_{tag} AS d ON d.location_id = p.pickup_location_id
             GROUP BY d.`zone`)
         SELECT pickup_zone, cnt
         FROM zone_use

@@ -39,6 +39,7 @@ def test_query_matches_oracle_on_small_data(spark, duck, name):
     ocols = rel.columns
     orows = rel.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    assert len(set(df.columns)) == len(df.columns)
     assert type_diffs(df, rel) == {}
     assert len(rows) == len(orows)
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
