@@ -70,3 +70,22 @@ def test_zone_sessions_do_not_shuffle_on_key_alone(spark):
     # the split form range-partitions on (key, time, row hash) and merges per (key, slice)
     p = plan(E.queries()["m7_zone_sessions"](spark, SF_SMALL))
     assert "MergingSessions" in p and "__bucket" in p and "rangepartitioning" in p
+
+
+# the global session variant chains at most two edge rows per bucket in one window (bounded)
+SINGLE_PARTITION_WINDOW_OK = {"m7_global_sessions"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_no_unbounded_single_partition_window(spark, name):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = E.queries()[name](spark, SF_SMALL)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        lines = plan(df).splitlines()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    for i, ln in enumerate(lines):
+        if "Exchange SinglePartition" in ln:
+            above = " ".join(lines[max(0, i - 3):i])
+            assert "Window [" not in above or name in SINGLE_PARTITION_WINDOW_OK, name
