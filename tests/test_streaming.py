@@ -154,3 +154,10 @@ def test_bounded_batch_read_of_topic_folder(spark, topic_dir):
     assert files.generated_range(spark, 10).count() == 10
     with pytest.raises(ValueError):
         S.read_topic(spark, "green-trips")
+
+
+def test_consumer_count_with_record_cap(spark):
+    ev = J.decoded(spark, SF_SMALL)
+    full = W.count_with_predicate(ev, F.col("trip_distance") > 5, "over").first()
+    capped = W.count_with_predicate(ev, F.col("trip_distance") > 5, "over", max_records=100).first()
+    assert full.record_count == ev.count() and capped.record_count == 100 and capped.over <= 100
