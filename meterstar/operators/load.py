@@ -5,7 +5,8 @@ joins and unions, so it can be planned, explained and checked against SQL. ``mat
 persists the result into a versioned table folder:
 
 * a table is a list of Parquet segments; a commit (one tiny JSON record) names the segments of the
-  new version. Appending adds a segment, rewriting strategies write one new segment.
+  new version. Appending adds a segment; rewriting strategies write one new segment holding the
+  whole table, or -- on a partitioned table -- only the partitions the load touches.
 * nothing is ever overwritten in place: a strategy that reads the target and rewrites it writes a
   new segment first and commits afterwards, so a failed job leaves the previous version intact and
   a lost executor only re-runs tasks of the new segment.
@@ -16,7 +17,6 @@ Spark has no MERGE for plain Parquet tables, which is why this layer exists at a
 from __future__ import annotations
 
 import json
-import os
 import time
 import uuid
 from collections.abc import Sequence
@@ -60,8 +60,7 @@ def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequ
     """SNK-7: keyed merge. Target rows whose key is in the source are replaced by the source row.
 
     A key repeated in the source is ambiguous for MERGE; ``order`` picks the surviving source row
-    (first under the order). Without ``order`` repeated source keys raise nothing but all stay,
-    which is ``delete_insert``.
+    (first under the order). Without ``order`` every source row is kept, i.e. ``delete_insert``.
     """
     if order:
         # only keyed rows are reduced: a NULL key never matches, so every such row is inserted
