@@ -103,3 +103,18 @@ def tag(df: DataFrame, **constants) -> DataFrame:
             col = F.lit(value)
         df = df.withColumn(name, col)
     return df
+
+
+def read_seed(spark: SparkSession, path: str, schema: T.StructType, primary_key: Sequence[str]) -> DataFrame:
+    """SRC-7: a small CSV lookup (seed) with a declared schema and primary key.
+
+    The key is checked (not null, unique) before the seed is used; a violation raises. The seed is
+    returned lazily; joins decide broadcasting through ``operators.star`` (size checked).
+    """
+    from meterstar.operators import quality as Q
+
+    df = read_csv(spark, path, schema)
+    checks = [Q.not_null(k) for k in primary_key]
+    checks.append(Q.unique(primary_key[0]) if len(primary_key) == 1 else Q.unique_combination(primary_key))
+    Q.enforce(Q.run_checks(df, checks))
+    return df

@@ -80,3 +80,17 @@ def test_preview_is_bounded(spark):
     from meterstar.sources import catalog
     pdf = catalog.preview(D.trips(spark, SF_SMALL, ["vendor_id", "fare_amount"]), 5)
     assert len(pdf) == 5 and list(pdf.columns) == ["vendor_id", "fare_amount"]
+
+
+def test_read_seed_enforces_primary_key(spark, tmp_dir):
+    from meterstar.operators.quality import QualityError
+    schema = T.StructType([T.StructField("payment_type", T.IntegerType()), T.StructField("description", T.StringType())])
+    good = os.path.join(tmp_dir, "good.csv")
+    bad = os.path.join(tmp_dir, "bad.csv")
+    with open(good, "w") as f:
+        f.write("payment_type,description\n0,Unknown\n1,Credit card\n5,Unknown\n")
+    with open(bad, "w") as f:
+        f.write("payment_type,description\n1,Credit card\n1,Cash\n")
+    assert files.read_seed(spark, good, schema, ["payment_type"]).count() == 3
+    with pytest.raises(QualityError):
+        files.read_seed(spark, bad, schema, ["payment_type"])

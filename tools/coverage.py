@@ -20,7 +20,7 @@ IMPL = {
     "SRC-4": ("sources/files.py:read_csv (no schema -> strings)", "test_sources_layout::test_csv_declared_schema_header_check"),
     "SRC-5": ("sources/files.py:read_csv (declared schema, header prefix check, surplus fields dropped)", "test_sources_layout::test_csv_declared_schema_header_check"),
     "SRC-6": ("sources/files.py:read_csv (.csv.gz read natively)", "test_sources_layout::test_gzip_csv_and_catalog_views"),
-    "SRC-7": ("sources/files.py:read_csv + driver_tables.PAYMENT_TYPES + quality checks", "test_sources_layout::test_gzip_csv_and_catalog_views"),
+    "SRC-7": ("sources/files.py:read_seed (declared schema, primary key checked)", "test_sources_layout::test_read_seed_enforces_primary_key"),
     "SRC-8": ("sources/files.py:monthly_file_names, read_monthly_feeds", "test_sources_layout::test_read_monthly_feeds_tags_and_unions"),
     "SRC-9": ("sources/files.py:monthly_file_names(pattern)", "test_sources_layout::test_monthly_file_names_keep_month_starts_only"),
     "SRC-10": ("streaming/jobs.py:read_topic(bootstrap=..., starting='latest')", "test_streaming (file-stream path)"),
