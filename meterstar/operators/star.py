@@ -30,22 +30,28 @@ def _plan_key(dim: DataFrame) -> tuple:
     return dim.semanticHash(), tuple(dim.columns), files
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+def broadcast_bound(dim: DataFrame) -> int:
+    """Row bound for broadcasting: session setting ``meterstar.broadcastMaxRows`` or the default."""
+    return int(dim.sparkSession.conf.get("meterstar.broadcastMaxRows", str(DEFAULT_BROADCAST_ROWS)))
+
+
+def fits_broadcast(dim: DataFrame, max_rows: int | None = None) -> bool:
     """True when ``dim`` has at most ``max_rows`` rows (checked with a bounded count, remembered
     per logical plan and input files so repeated queries do not re-run the check)."""
+    max_rows = max_rows or broadcast_bound(dim)
     key = (_plan_key(dim), max_rows)
     if key not in _checked:
         _checked[key] = dim.limit(max_rows + 1).count() <= max_rows
     return _checked[key]
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``F.broadcast(dim)`` when its size is proven small, else ``dim`` unchanged."""
     return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
 
 
 def enrich(fact: DataFrame, dim: DataFrame, fact_key: str | Column, dim_key: str,
-           columns: Mapping[str, str], how: str = "left", max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+           columns: Mapping[str, str], how: str = "left", max_rows: int | None = None) -> DataFrame:
     """Attach ``columns`` (dim column -> new name) of ``dim`` to ``fact`` by key.
 
     ``fact_key`` may be an expression (JN-2 joins on ``coalesce(payment_type, 0)``).
@@ -59,7 +65,7 @@ def enrich(fact: DataFrame, dim: DataFrame, fact_key: str | Column, dim_key: str
 
 
 def role_playing(fact: DataFrame, dim: DataFrame, dim_key: str, roles: Mapping[str, str],
-                 columns: Sequence[str], how: str = "left", max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 columns: Sequence[str], how: str = "left", max_rows: int | None = None) -> DataFrame:
     """JN-3: join the same dimension once per role.
 
     ``roles`` maps a role prefix to the fact key, e.g. ``{"pickup": "pickup_location_id",

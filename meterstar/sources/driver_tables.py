@@ -158,13 +158,19 @@ def trips(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None
     lineitem = table(spark, sf_dir, "lineitem")
     df = lineitem
     if "o" in need:
+        from meterstar.operators.star import fits_broadcast
+
         orders = table(spark, sf_dir, "orders")
         if order_where is not None:
             orders = orders.where(order_where)
+        # The order side is broadcast only while its row count is proven under the bound. The check
+        # runs on the orders scan (it stops after bound+1 rows); joining customer on its key cannot
+        # add rows. At scale the check fails and both sides are shuffled.
+        small = fits_broadcast(orders)
         if "c" in need:
             cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
             orders = orders.join(cust, orders.o_custkey == cust.c_custkey, "inner")
-        df = df.join(orders, df.l_orderkey == orders.o_orderkey, "inner")
+        df = df.join(F.broadcast(orders) if small else orders, df.l_orderkey == orders.o_orderkey, "inner")
     if "s" in need:
         sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
         df = df.join(sup, df.l_suppkey == sup.s_suppkey, "inner")
