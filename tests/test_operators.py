@@ -186,3 +186,15 @@ def test_compact_keeps_contents(spark, tmp_dir):
     assert len(tbl.current()["segments"]) == 1 and v == 4
     assert rows(tbl.read(), "k", "v") == before
     assert tbl.compact() == 4          # nothing to do
+
+
+def test_failed_load_leaves_previous_version(spark, tmp_dir):
+    tbl = load.VersionedTable(spark, f"{tmp_dir}/atomic")
+    load.materialize(spark, spark.createDataFrame([(1, "a"), (2, "b")], T), "table", tbl)
+    # a source whose evaluation fails part-way through the write
+    bad = spark.createDataFrame([(2, "B"), (3, "boom")], T).withColumn(
+        "v", F.when(F.col("v") == "boom", F.raise_error(F.lit("simulated task failure"))).otherwise(F.col("v")))
+    with pytest.raises(Exception):
+        load.materialize(spark, bad, "merge", tbl, key=["k"])
+    assert tbl.current()["version"] == 0
+    assert rows(tbl.read(), "k", "v") == [(1, "a"), (2, "b")]
