@@ -40,9 +40,9 @@ IMPL = {
     "SNK-5": ("operators/load.py:materialize('append') / VersionedTable.append", "test_operators::test_materialize_strategies_and_idempotence"),
     "SNK-6": ("operators/load.py:insert_new, new_rows, materialize('insert_new')", "test_operators, test_properties"),
     "SNK-7": ("operators/load.py:upsert, materialize('merge') (partition-scoped)", "test_operators, test_properties"),
-    "SNK-8": ("operators/load.py:high_water_rows, materialize(high_water=, lookback=); plans/warehouse.py:load_fct", "test_operators::test_high_water*, test_pipelines"),
+    "SNK-8": ("operators/load.py:high_water_rows, materialize(high_water=, lookback=); plans/warehouse.py:load_fct", "test_operators::test_high_water*, test_persisted_flows"),
     "SNK-9": ("operators/load.py:add_new_columns, materialize('merge') widening", "test_operators::test_materialize_strategies_and_idempotence"),
-    "SNK-10": ("operators/load.py:replace_interval, materialize('time_interval') (partition-scoped); plans/interval.py:run_window", "test_operators, test_properties, test_pipelines"),
+    "SNK-10": ("operators/load.py:replace_interval, materialize('time_interval') (partition-scoped); plans/interval.py:run_window", "test_operators, test_properties, test_persisted_flows"),
     "SNK-11": ("operators/load.py:delete_insert, materialize('delete_insert')", "test_operators, test_properties"),
     "SNK-12": ("operators/load.py:write_partitioned, VersionedTable(partition_by=)", "test_sources_layout::test_partitioned_clustered_write_prunes"),
     "SNK-13": ("operators/load.py:write_partitioned(cluster_by=), pruned_range", "test_sources_layout::test_partitioned_clustered_write_prunes"),
