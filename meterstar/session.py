@@ -35,6 +35,8 @@ def scale_settings(input_bytes: int, executor_cores: int, partition_mb: int = 25
         "spark.sql.files.maxPartitionBytes": str(part),
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(part),
+        # coalesce towards the advisory size (the default favours parallelism and leaves 1 MB parts)
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * part),
     }
 
