@@ -198,3 +198,24 @@ def test_failed_load_leaves_previous_version(spark, tmp_dir):
         load.materialize(spark, bad, "merge", tbl, key=["k"])
     assert tbl.current()["version"] == 0
     assert rows(tbl.read(), "k", "v") == [(1, "a"), (2, "b")]
+
+
+def test_small_source_merge_does_not_shuffle_target(spark):
+    from pyspark.sql import functions as F2
+    target = spark.range(200000).select(F2.col("id").cast("int").alias("k"), F2.lit("t").alias("v"))
+    source = spark.createDataFrame([(5, "s"), (7, "s"), (None, "n")], T)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = load.delete_insert(target, source, ["k"])
+        p = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+        # the only hash shuffle is the distinct of the three source keys
+        assert p.count("Exchange hashpartitioning") == 1
+        assert out.count() == 200000 - 2 + 3
+        new = load.new_rows(target, source, ["k"])
+        assert "SortMergeJoin" not in new._jdf.queryExecution().executedPlan().toString()
+        assert [tuple(r) for r in new.collect()] == [(None, "n")]   # keys 5, 7 exist; NULL never matches
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
