@@ -75,6 +75,7 @@ def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequ
     A key repeated in the source is ambiguous for MERGE; ``order`` picks the surviving source row
     (first under the order). Without ``order`` every source row is kept, i.e. ``delete_insert``.
     """
+    small = _small(source)       # checked on the raw delivery: dedup below only removes rows
     if order:
         # only keyed rows are reduced: a NULL key never matches, so every such row is inserted
         has_key = None
@@ -82,16 +83,16 @@ def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequ
             c = F.col(k).isNotNull()
             has_key = c if has_key is None else has_key & c
         source = keep_first(source.where(has_key), key, order).unionByName(source.where(~has_key))
-    return delete_insert(target, source, key)
+    return delete_insert(target, source, key, small=small)
 
 
-def delete_insert(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
+def delete_insert(target: DataFrame, source: DataFrame, key: Sequence[str], small: bool | None = None) -> DataFrame:
     """SNK-11: delete target rows whose key occurs in the source, insert *all* source rows.
 
     With a small source its distinct keys are broadcast: the target is filtered where it lies, no
     shuffle of the (large) target and no skewed task for a hot target key.
     """
-    if _small(source):
+    if _small(source) if small is None else small:
         kept = target.join(F.broadcast(source.select(*key).distinct()), list(key), "left_anti")
     else:
         kept = _anti(target, _target_keys(source, key), key)
