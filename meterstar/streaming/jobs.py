@@ -51,6 +51,19 @@ def read_topic_batch(spark: SparkSession, topic: str, bootstrap: str | None = No
     return spark.read.schema(MESSAGE_SCHEMA).json(path)
 
 
+def publish(messages: DataFrame, topic: str, bootstrap: str | None = None, path: str | None = None) -> None:
+    """SNK-18: publish ``value`` (and optional ``key``) messages -- to Kafka when bootstrap servers
+    are given, else as JSON-lines files in ``path`` (the folder ``read_topic`` consumes). Each
+    task writes its own partition of the messages; nothing passes through the driver."""
+    if bootstrap:
+        (messages.write.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+         .option("topic", topic).save())
+        return
+    if not path:
+        raise ValueError("either bootstrap servers or a message folder is needed")
+    messages.write.mode("append").json(path)
+
+
 def upsert_sink(table: load.VersionedTable, key: Sequence[str],
                 derive: dict | None = None, compact_every: int = 100) -> Callable[[DataFrame, int], None]:
     """SNK-16: foreachBatch writer merging each micro-batch into a keyed table.

@@ -89,3 +89,7 @@ def test_no_unbounded_single_partition_window(spark, name):
         if "Exchange SinglePartition" in ln:
             above = " ".join(lines[max(0, i - 3):i])
             assert "Window [" not in above or name in SINGLE_PARTITION_WINDOW_OK, name
+
+
+def test_entry_schema_is_stable(spark):
+    assert E.entry(spark).schema == E.entry(spark).schema

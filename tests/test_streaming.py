@@ -161,3 +161,11 @@ def test_consumer_count_with_record_cap(spark):
     full = W.count_with_predicate(ev, F.col("trip_distance") > 5, "over").first()
     capped = W.count_with_predicate(ev, F.col("trip_distance") > 5, "over", max_records=100).first()
     assert full.record_count == ev.count() and capped.record_count == 100 and capped.over <= 100
+
+
+def test_publish_then_consume(spark, tmp_dir):
+    topic = os.path.join(tmp_dir, "published")
+    S.publish(J.trip_topic(spark, SF_SMALL), "green-trips", path=topic)
+    got = W.parse_trip_events(S.read_topic_batch(spark, "green-trips", path=topic))
+    cols = ["PULocationID", "event_time", "tip_amount"]
+    assert as_set(got, cols) == as_set(J.decoded(spark, SF_SMALL), cols)

@@ -50,7 +50,7 @@ IMPL = {
     "SNK-15": ("streaming/jobs.py:run_bounded/run_unbounded (file sink); sources/jdbc.py:append_sink", "test_streaming::test_pass_through_file_sink"),
     "SNK-16": ("streaming/jobs.py:upsert_sink (derive partition, compaction)", "test_streaming"),
     "SNK-17": ("batch window results written by materialize / parquet", "test_streaming"),
-    "SNK-18": ("streaming/windows.py:to_messages", "test_streaming"),
+    "SNK-18": ("streaming/windows.py:to_messages; streaming/jobs.py:publish", "test_streaming::test_publish_then_consume"),
     "SNK-19": ("sources/catalog.py:view (createOrReplaceTempView)", "test_sources_layout"),
     "SNK-20": ("sources/catalog.py:preview (limit before toPandas)", "test_sources_layout::test_preview_is_bounded"),
     "SNK-21": ("operators/load.py:materialize", "test_operators"),
