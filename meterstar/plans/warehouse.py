@@ -2,9 +2,10 @@
 
 Spark plan shape of the fact build, per stage:
   scan lineitem/orders/supplier/customer (pruned columns) -> fact-to-fact join on the order key
-  -> rename/cast (one projection) -> union of the two feeds -> surrogate key + payment lookup
-  (broadcast, 7 rows, size checked) -> ROW_NUMBER()=1 per trip key (WindowGroupLimit, partial
-  before the shuffle) -> two zone lookups (broadcast, size checked) -> marts (partial aggregation).
+  -> rename/cast (one projection) -> union of the two feeds -> ROW_NUMBER()=1 per trip key
+  (WindowGroupLimit, partial before the shuffle) -> surrogate key + payment lookup on the survivors
+  (broadcast, 7 rows, size checked) -> two zone lookups (broadcast, size checked) -> marts
+  (partial aggregation).
 """
 
 from __future__ import annotations
@@ -83,13 +84,16 @@ def trips_unioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def int_trips(spark: SparkSession, sf_dir: str, unioned: DataFrame | None = None) -> DataFrame:
+    """Deduplicated, enriched trips. The survivor depends only on the dedup key and order, so the
+    surrogate key (a function of the dedup key) and the payment lookup run after the dedup, on the
+    surviving rows only."""
     u = unioned if unioned is not None else trips_unioned(spark, sf_dir)
-    u = u.withColumn("trip_id", X.surrogate_key(DEDUP_KEY)).withColumn(
-        "payment_type", F.coalesce(F.col("payment_type"), F.lit(0)))
+    u = u.withColumn("payment_type", F.coalesce(F.col("payment_type"), F.lit(0)))
+    u = dedup.keep_first(u, DEDUP_KEY, DEDUP_ORDER)
+    u = u.withColumn("trip_id", X.surrogate_key(DEDUP_KEY))
     u = star.enrich(u, D.payment_types(spark), "payment_type", "payment_type",
                     {"description": "payment_type_description"}, how="left")
     u = u.withColumn("payment_type_description", F.coalesce("payment_type_description", F.lit("Unknown")))
-    u = dedup.keep_first(u, DEDUP_KEY, DEDUP_ORDER)
     return u.select("trip_id", *[c for c in UNIONED_COLUMNS if c != "payment_type"],
                     "payment_type", "payment_type_description")
 
