@@ -93,3 +93,18 @@ def test_no_unbounded_single_partition_window(spark, name):
 
 def test_entry_schema_is_stable(spark):
     assert E.entry(spark).schema == E.entry(spark).schema
+
+
+def test_scale_settings_apply_and_run(spark):
+    from meterstar.session import scale_settings
+    old = {k: spark.conf.get(k, None) for k in scale_settings(1, 1)}
+    try:
+        for k, v in scale_settings(10 * 1024 ** 3, 16).items():
+            spark.conf.set(k, v)
+        assert E.queries()["m4_monthly_zone_revenue"](spark, SF_SMALL).count() > 0
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
