@@ -30,6 +30,11 @@ FORMATS = {
 ANY = "|".join(f"(?:{p})" for p in FORMATS.values())
 
 
+def _let(value: Column, f) -> Column:
+    """``f(value)`` with ``value`` worked out once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def _is(kind: str, value: Column) -> Column:
     return value.rlike(f"^(?:{FORMATS[kind]})$")
 
@@ -56,19 +61,22 @@ def permuted_pair(a: Column, b: Column, size_a: int, size_b: int, key: str, kind
 
 def permuted_symbols(values: Column, sizes: Column, key: str, kind: str) -> Column:
     """Keyed permutation of arrays of symbol numbers: symbol j stays below sizes[j]."""
-    values, sizes = values.cast("array<bigint>"), sizes.cast("array<bigint>")
+    return _let(F.struct(values.cast("array<bigint>").alias("v"), sizes.cast("array<bigint>").alias("s")),
+                lambda x: _permuted_symbols(x["v"], x["s"], key, kind))
+
+
+def _permuted_symbols(values: Column, sizes: Column, key: str, kind: str) -> Column:
     half = F.floor(F.size(values) / 2).cast("int")
     rest = F.size(values) - half
     start = F.struct(F.slice(values, F.lit(1), half).alias("l"), F.slice(values, half + 1, rest).alias("r"))
     def shifted(xs, offset, other, i):
-        digest = _prf(key, kind, i, F.array_join(other.cast("array<string>"), ","))
-        return F.transform(xs, lambda x, j: (x + _hex(digest, 1 + 3 * (j % 42), 3) + F.floor(j / 42)) % F.get(sizes, offset + j))
+        return _let(_prf(key, kind, i, F.array_join(other.cast("array<string>"), ",")), lambda digest: F.transform(
+            xs, lambda x, j: (x + _hex(digest, 1 + 3 * (j % 42), 3) + F.floor(j / 42)) % F.get(sizes, offset + j)))
     def turn(s, i):
         odd = i % 2 == 1
         return F.struct(F.when(odd, s["l"]).otherwise(shifted(s["l"], F.lit(0), s["r"], i)).alias("l"),
                         F.when(odd, shifted(s["r"], half, s["l"], i)).otherwise(s["r"]).alias("r"))
-    done = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, turn)
-    return F.concat(done["l"], done["r"])
+    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, turn, lambda done: F.concat(done["l"], done["r"]))
 
 
 def _chars(s: Column) -> Column:
@@ -81,9 +89,10 @@ def _digits(s: Column) -> Column:
 
 def _put_digits(s: Column, digits: Column) -> Column:
     """``s`` with its digits replaced in order; other characters stay."""
-    chars = _chars(s)
-    before = lambda j: F.size(F.filter(F.slice(chars, F.lit(1), j), lambda c: c.rlike("[0-9]")))
-    return F.array_join(F.transform(chars, lambda c, j: F.when(c.rlike("[0-9]"), F.get(digits, before(j)).cast("string")).otherwise(c)), "")
+    def put(x):
+        before = lambda j: F.size(F.filter(F.slice(x["c"], F.lit(1), j), lambda c: c.rlike("[0-9]")))
+        return F.array_join(F.transform(x["c"], lambda c, j: F.when(c.rlike("[0-9]"), F.get(x["d"], before(j)).cast("string")).otherwise(c)), "")
+    return _let(F.struct(_chars(s).alias("c"), digits.alias("d")), put)
 
 
 def _tens(xs: Column) -> Column:
@@ -97,12 +106,12 @@ def _luhn_sum(payload: Column) -> Column:
 
 
 def _card(value: Column, key: str) -> Column:
-    digits = _digits(value)
-    payload = F.slice(digits, F.lit(1), F.size(digits) - 1)
-    valid = (_luhn_sum(payload) + F.element_at(digits, -1)) % 10 == 0
-    new = permuted_symbols(payload, _tens(payload), key, "card")
-    check = (10 - _luhn_sum(new) % 10) % 10
-    return F.when(valid & (F.array_max(digits) > 0), _put_digits(value, F.concat(new, F.array(check))))
+    def swapped(digits):
+        payload = F.slice(digits, F.lit(1), F.size(digits) - 1)
+        valid = ((_luhn_sum(payload) + F.element_at(digits, -1)) % 10 == 0) & (F.array_max(digits) > 0)
+        new = _let(permuted_symbols(payload, _tens(payload), key, "card"), lambda p: F.concat(p, F.array((10 - _luhn_sum(p) % 10) % 10)))
+        return F.when(valid, _put_digits(value, new))
+    return _let(_digits(value), swapped)
 
 
 def _mod97(s: Column) -> Column:
@@ -124,49 +133,51 @@ def _coded(s: Column) -> tuple[Column, Column]:
 def _by_class(s: Column, key: str, kind: str) -> Column:
     """Letters become letters of the same case, digits digits; other characters stay."""
     number, sizes = _coded(s)
-    new = permuted_symbols(number, sizes, key, kind)
-    return F.array_join(F.transform(_chars(s), lambda c, j: F.when(c.rlike("[0-9]"), F.get(new, j).cast("string"))
-                        .when(c.rlike("[a-z]"), F.char(F.get(new, j) + 97)).when(c.rlike("[A-Z]"), F.char(F.get(new, j) + 65)).otherwise(c)), "")
+    return _let(F.struct(_chars(s).alias("c"), permuted_symbols(number, sizes, key, kind).alias("n")), lambda x: F.array_join(F.transform(
+        x["c"], lambda c, j: F.when(c.rlike("[0-9]"), F.get(x["n"], j).cast("string")).when(c.rlike("[a-z]"), F.char(F.get(x["n"], j) + 97))
+        .when(c.rlike("[A-Z]"), F.char(F.get(x["n"], j) + 65)).otherwise(c)), ""))
 
 
 def _iban(value: Column, key: str) -> Column:
     head, body = F.substring(value, 1, 2), F.substr(value, F.lit(5))
     valid = _mod97(F.concat(body, F.substring(value, 1, 4))) == 1
-    new = _by_class(body, key, "iban")
-    return F.when(valid, F.concat(head, F.lpad((98 - _mod97(F.concat(new, head, F.lit("00")))).cast("string"), 2, "0"), new))
+    return F.when(valid, _let(_by_class(body, key, "iban"), lambda new: F.concat(
+        head, F.lpad((98 - _mod97(F.concat(new, head, F.lit("00")))).cast("string"), 2, "0"), new)))
 
 
 def _phone(value: Column, key: str) -> Column:
     code = F.regexp_extract(value, r"^(\+[0-9]{1,3}(?=[ .(-]))?", 0)
     body = F.substr(value, F.length(code) + 1)
-    digits = _digits(body)
-    return F.concat(code, _put_digits(body, permuted_symbols(digits, _tens(digits), key, "phone")))
+    return F.concat(code, _let(_digits(body), lambda d: _put_digits(body, permuted_symbols(d, _tens(d), key, "phone"))))
 
 
 def _ssn(value: Column, key: str) -> Column:
     part = lambda i, n: F.substring(value, i, n).cast("bigint")
     area = part(1, 3)
     a = (F.when(area > 666, area - 2).otherwise(area - 1)) * 99 + part(5, 2) - 1
-    p = permuted_pair(a, part(8, 4) - 1, SSN_A, SSN_B, key, "ssn")
-    area = F.floor(p["a"] / 99)
-    area = F.when(area >= 665, area + 2).otherwise(area + 1)
-    return F.concat_ws("-", F.lpad(area.cast("string"), 3, "0"), F.lpad((p["a"] % 99 + 1).cast("string"), 2, "0"),
-                       F.lpad((p["b"] + 1).cast("string"), 4, "0"))
+    def shown(p):
+        area = F.floor(p["a"] / 99)
+        area = F.when(area >= 665, area + 2).otherwise(area + 1)
+        return F.concat_ws("-", F.lpad(area.cast("string"), 3, "0"), F.lpad((p["a"] % 99 + 1).cast("string"), 2, "0"),
+                           F.lpad((p["b"] + 1).cast("string"), 4, "0"))
+    return _let(permuted_pair(a, part(8, 4) - 1, SSN_A, SSN_B, key, "ssn"), shown)
 
 
 def _date(value: Column, key: str) -> Column:
     iso = value.contains("-")
     day = F.when(iso, F.try_to_date(value, "yyyy-MM-dd")).otherwise(F.try_to_date(value, "dd/MM/yyyy"))
-    n = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
-    p = permuted_pair(F.floor(n / DAYS_B), n % DAYS_B, DAYS_A, DAYS_B, key, "date")
-    new = F.date_add(F.lit(FIRST_DAY).cast("date"), (p["a"] * DAYS_B + p["b"]).cast("int"))
-    return F.when(day.isNotNull(), F.when(iso, F.date_format(new, "yyyy-MM-dd")).otherwise(F.date_format(new, "dd/MM/yyyy")))
+    first = F.lit(FIRST_DAY).cast("date")
+    def moved(n):
+        new = _let(permuted_pair(F.floor(n / DAYS_B), n % DAYS_B, DAYS_A, DAYS_B, key, "date"),
+                   lambda p: F.date_add(first, (p["a"] * DAYS_B + p["b"]).cast("int")))
+        return _let(new, lambda d: F.when(iso, F.date_format(d, "yyyy-MM-dd")).otherwise(F.date_format(d, "dd/MM/yyyy")))
+    return F.when(day.isNotNull(), _let(F.datediff(day, first), moved))
 
 
 def _ip(value: Column, key: str) -> Column:
     part = lambda i: F.split_part(value, F.lit("."), F.lit(i)).cast("bigint")
     p = permuted_pair(part(1) * 256 + part(2), part(3) * 256 + part(4), 65536, 65536, key, "ip")
-    return F.concat_ws(".", *[x.cast("string") for x in (F.floor(p["a"] / 256), p["a"] % 256, F.floor(p["b"] / 256), p["b"] % 256)])
+    return _let(p, lambda p: F.concat_ws(".", *[x.cast("string") for x in (F.floor(p["a"] / 256), p["a"] % 256, F.floor(p["b"] / 256), p["b"] % 256)]))
 
 
 def _email(value: Column, key: str) -> Column:
@@ -175,11 +186,9 @@ def _email(value: Column, key: str) -> Column:
 
 
 def _secret(value: Column, key: str) -> Column:
-    chars = _chars(F.lower(value))
-    number = F.transform(chars, lambda c: F.conv(c, 16, 10).cast("bigint"))
-    new = F.array_join(F.transform(permuted_symbols(number, F.transform(chars, lambda _: F.lit(16)), key, "secret"),
-                                   lambda v: F.lower(F.hex(v))), "")
-    return F.when(value == F.lower(value), new).otherwise(F.upper(new))
+    number = F.transform(_chars(value), lambda c: F.conv(c, 16, 10).cast("bigint"))
+    new = _let(number, lambda n: F.array_join(F.transform(permuted_symbols(n, F.transform(n, lambda _: F.lit(16)), key, "secret"), lambda v: F.hex(v)), ""))
+    return _let(new, lambda n: F.when(value == F.lower(value), F.lower(n)).otherwise(n))
 
 
 PERMUTE = {"email": _email, "iban": _iban, "phone": _phone, "ssn": _ssn, "date": _date, "ip": _ip, "card": _card, "secret": _secret}
