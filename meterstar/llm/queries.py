@@ -4,13 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterstar.llm import decontam, mixing, ngram_join, pii, quality, url_filter
+from meterstar.llm import ann, decontam, mixing, ngram_join, paragraph_dedup, pii, quality, token_counts, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels"), "toxic"))
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
 
@@ -28,6 +37,14 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counted(table(spark, sf_dir, "documents"))
+
+
 def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymise(docs, count_col="n_replaced")
@@ -37,7 +54,9 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op3_ngram_join, op4_quality, op5_decontaminate, op6_mix_sources, op9_pseudonyms, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_substring_dedup, op3_ngram_join, op4_quality, op5_decontaminate,
+    op6_mix_sources, op7_nearest, op8_token_counts, op9_pseudonyms, op10_url_filter)}
 
 ORACLE: dict[str, str] = {}
 
