@@ -16,7 +16,8 @@ from meterstar.llm.common import components, drop_staged, shingle_hashes, staged
 SHINGLE = 5
 NUM, DEN = 80, 100     # two sets link when DEN * intersection >= NUM * union
 FINE_BITS = 18         # groups whose totals over the whole table order the coordinates
-COARSE = 64            # groups of the dense count vectors that bound overlaps
+COARSE = 256           # groups of the dense count vectors that bound overlaps
+TILE = 128             # points of a leaf tile, about
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -45,18 +46,19 @@ def _group_totals(texts: DataFrame) -> np.ndarray:
     return totals
 
 
+def count_vector(s: np.ndarray) -> np.ndarray:
+    """How many members of a set fall into each coarse group."""
+    return np.bincount((s & np.uint64(COARSE - 1)).astype(np.int64), minlength=COARSE).astype(np.int32)
+
+
 def _points(texts: DataFrame, totals: np.ndarray) -> DataFrame:
-    """One row per text: set size ``n``, ``pid`` of the set, dense ``vector`` and rarest ``coords``."""
+    """One row per text: set size ``n``, ``pid`` of the set and its rarest coordinates ``coords``."""
     shared = texts.sparkSession.sparkContext.broadcast(totals)
 
-    def lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
-        ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
-        return pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, kind.to_pandas_dtype()), *parts]), kind))
-
     def point(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = shared.value
         for batch in batches:
-            sizes, pids, vectors, coords = [], [], [], []
+            sizes, pids, coords = [], [], []
             for t in batch.column("text").to_pylist():
                 s = shingle_set(t)
                 n = len(s)
@@ -66,28 +68,26 @@ def _points(texts: DataFrame, totals: np.ndarray) -> DataFrame:
                 head = s[np.lexsort((s, order[_fine(s)]))[: n - least + 1]] if n * (DEN - NUM) >= NUM else s[:0]
                 sizes.append(n)
                 pids.append(xxhash.xxh3_64_intdigest(s.tobytes()))
-                vectors.append(np.bincount((s & np.uint64(COARSE - 1)).astype(np.int64), minlength=COARSE).astype(np.int32))
                 coords.append(head.view(np.int64))
+            ends = pa.array(np.cumsum([0, *map(len, coords)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()),
-                 pa.array(np.array(pids, np.uint64).view(np.int64)), lists(vectors, pa.int32()), lists(coords, pa.int64())],
-                ["doc_id", "text_key", "n", "pid", "vector", "coords"])
+                 pa.array(np.array(pids, np.uint64).view(np.int64)),
+                 pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int64), *coords])))],
+                ["doc_id", "text_key", "n", "pid", "coords"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(point, f"doc_id {kind}, text_key long, n long, pid long, vector array<int>, coords array<long>")
+    return texts.mapInArrow(point, f"doc_id {kind}, text_key long, n long, pid long, coords array<long>")
 
 
-def _possible(size_a: str, size_b: str, v_a: str, v_b: str) -> str:
-    """SQL: sizes up to these and summed coordinate minima still allow a link."""
-    return (f"{DEN} * least({size_a}, {size_b}) >= {NUM} * greatest({size_a}, {size_b}) AND {NUM + DEN} * "
-            f"aggregate(zip_with({v_a}, {v_b}, (x, y) -> least(x, y)), 0L, (s, x) -> s + x) >= {NUM} * ({size_a} + {size_b})")
-
+def _with_vectors(found: DataFrame) -> DataFrame:
+    """(pid, text, vector) of the points that share a coordinate with others."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = [count_vector(shingle_set(t)).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("pid"), batch.column("text"), pa.array(vectors, pa.binary())], ["pid", "text", "vector"])
 
-def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
-    """Pairs (a, b) of points that sizes and vectors do not rule out."""
-    for x in "ab":
-        pairs = pairs.join(points.select(F.col("pid").alias(x), F.col("n").alias(f"n_{x}"), F.col("vector").alias(f"v_{x}")), x)
-    return pairs.where(_possible("n_a", "n_b", "v_a", "v_b")).select("a", "b")
+    return found.select("pid", "text").mapInArrow(count, "pid long, text string, vector binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -110,6 +110,52 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return staged(both.select("a", "b", "text_a", "text_b").mapInPandas(check, "a long, b long"), "links")
 
 
+_TILE = "hub long, tile long, n_lo long, n_hi long, node_lo long, node_hi long, box array<int>, points array<struct<pid:long,n:long,node:long,vector:binary>>"
+
+
+def _matrix(points: list[dict]) -> np.ndarray:
+    return np.frombuffer(b"".join(p["vector"] for p in points), np.int32).reshape(-1, COARSE)
+
+
+def _boxed(tiles: DataFrame) -> DataFrame:
+    """Tiles with the box around their points: largest count per coordinate, range of sizes and nodes."""
+    def box(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for points in batch.column("points").to_pylist():
+                n, node = [p["n"] for p in points], [p["node"] for p in points]
+                rows.append((min(n), max(n), min(node), max(node), _matrix(points).max(axis=0)))
+            lo, hi, first, last, most = zip(*rows) if rows else ((),) * 5
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("hub"), batch.column("tile"), *[pa.array(x, pa.int64()) for x in (lo, hi, first, last)],
+                 pa.array(list(most), pa.list_(pa.int32())), batch.column("points")],
+                ["hub", "tile", "n_lo", "n_hi", "node_lo", "node_hi", "box", "points"])
+
+    return tiles.mapInArrow(box, _TILE)
+
+
+def _possible_pairs(tile_pairs: DataFrame) -> DataFrame:
+    """Pairs of points of two tiles (or of one with itself) that lie in different nodes and that sizes and
+    summed coordinate minima do not rule out. Two tiles, a few hundred points, meet in memory at a time."""
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a_out, b_out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for left, right in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
+                (ids_a, n_a, node_a), (ids_b, n_b, node_b) = (
+                    [np.array([p[c] for p in side], np.int64) for c in ("pid", "n", "node")] for side in (left, right))
+                v_a, v_b = _matrix(left), _matrix(right)
+                for i in range(len(ids_a)):
+                    fits = np.flatnonzero((node_b != node_a[i]) & (DEN * np.minimum(n_b, n_a[i]) >= NUM * np.maximum(n_b, n_a[i])))
+                    if len(fits):
+                        common = np.minimum(v_b[fits], v_a[i]).sum(axis=1, dtype=np.int64)
+                        fits = fits[(NUM + DEN) * common >= NUM * (n_b[fits] + n_a[i])]
+                        a_out.append(np.minimum(ids_b[fits], ids_a[i]))
+                        b_out.append(np.maximum(ids_b[fits], ids_a[i]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a_out)), pa.array(np.concatenate(b_out))], ["a", "b"])
+
+    return tile_pairs.mapInArrow(pairs, "a long, b long").distinct()
+
+
 def _members(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows (doc_id, text_key, n_shingles, root) of ``docs``, see ``ngram_components``."""
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_key"))
@@ -117,49 +163,52 @@ def _members(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     some = every.where("n > 0")
     # equal sets are equal rows here: min and max of a list see one member
     listed = some.select(F.explode("coords").alias("h"), "pid")
-    shared = staged(listed.groupBy("h").agg(F.min("pid").alias("hub"), F.max("pid").alias("last")).where("hub <> last").select("h", "hub"), "shared")
+    shared = staged(listed.groupBy("h").agg(F.min("pid").alias("lo"), F.max("pid").alias("hi")).where("lo <> hi").select("h"), "shared")
     lists = staged(listed.join(shared, "h").distinct(), "lists")
 
-    # the points of these lists, each once, and one text of each
-    met = lists.select("pid").distinct()
-    points = staged(some.join(met, "pid").groupBy("pid").agg(
-        F.min_by(F.struct("n", "vector", F.col("doc_id").alias("text_id"), "text_key"), "text_key").alias("x")).select("pid", "x.*"), "met")
-    sets = staged(texts.join(points.select("pid", "text_id", "text_key"),
-                             texts["doc_id"].eqNullSafe(points["text_id"]) & (texts["text_key"] == points["text_key"]))
-                  .groupBy("pid").agg(F.first("text").alias("text")), "sets")
-
-    # nodes: each point with the hub that it meets most often
-    to_hub = (lists.where("pid <> hub").groupBy("pid", "hub").agg(F.count("*").alias("c"))
-              .groupBy("pid").agg(F.max_by("hub", F.struct("c", -F.col("hub"))).alias("hub"))
+    # the points of these lists, each once; one text of each, and the share of their coordinates that others share
+    degree = lists.groupBy("pid").agg(F.count("*").alias("degree"))
+    points = staged(some.join(degree, "pid").groupBy("pid").agg(
+        F.first("n").alias("n"), F.first(F.col("degree") / F.size("coords")).alias("common"),
+        F.min(F.struct("doc_id", "text_key")).alias("x")).select("pid", "n", "common", F.col("x.doc_id").alias("text_id"), "x.text_key"), "met")
+    found = texts.join(points.select("pid", "text_id", "text_key"),
+                       texts["doc_id"].eqNullSafe(points["text_id"]) & (texts["text_key"] == points["text_key"]))
+    sets = staged(_with_vectors(found.groupBy("pid").agg(F.first("text").alias("text"))), "sets")
+
+    # branches: each list's hub, and each point with the hubs of its lists
+    hubs = (lists.join(points.select("pid", "common"), "pid").groupBy("h")
+            .agg(F.max(F.struct("common", F.col("pid").alias("hub"))).alias("x")).select("h", "x.hub"))
+    branches = staged(lists.join(hubs, "h").groupBy("hub", "pid").agg(F.count("*").alias("c")), "branches")
+    to_hub = (branches.where("pid <> hub").groupBy("pid").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub"))
               .select(F.col("pid").alias("a"), F.col("hub").alias("b")))
-    near = _verified(_bounded(to_hub, points), sets)
+    near = _verified(to_hub, sets)
     nodes = staged(components(near), "nodes")
 
-    # lists that hold more than one node
-    placed = lists.select("h", "pid").join(nodes.withColumnRenamed("node", "pid"), "pid", "left").select(
-        "h", "pid", F.coalesce("root", "pid").alias("node"))
-    mixed = placed.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("h")
-    placed = staged(placed.join(mixed, "h"), "mixed")
-    box = (placed.select("node", "pid").distinct().join(points.select("pid", "n", "vector"), "pid").groupBy("node")
-           .agg(F.min("n").alias("n_lo"), F.max("n").alias("n_hi"), *[F.max(F.get("vector", F.lit(i))).alias(f"v{i}") for i in range(COARSE)]))
-    box = staged(box.select("node", "n_lo", "n_hi", F.array(*[f"v{i}" for i in range(COARSE)]).alias("v")), "boxes")
-    held = placed.select("h", "node").distinct()
-    over = held.select("h", F.col("node").alias("p")).join(held.select("h", F.col("node").alias("q")), "h").where("p < q").select("p", "q").distinct()
-    for x in "pq":
-        over = over.join(box.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n_lo", "n_hi", "v")]), x)
-    # the sizes of a pair lie within the boxes: least overlap from the smallest, most from the largest counts
-    over = staged(over.where(
-        f"{DEN} * n_hi_p >= {NUM} * n_lo_q AND {DEN} * n_hi_q >= {NUM} * n_lo_p AND {NUM + DEN} * "
-        f"aggregate(zip_with(v_p, v_q, (x, y) -> least(x, y)), 0L, (s, x) -> s + x) >= {NUM} * (n_lo_p + n_lo_q)").select("p", "q"), "node-pairs")
-    left = placed.select("h", F.col("node").alias("p"), F.col("pid").alias("a"))
-    right = placed.select("h", F.col("node").alias("q"), F.col("pid").alias("b"))
-    cross = left.join(over, "p").join(right, ["h", "q"]).select("a", "b").distinct()
-    far = _verified(_bounded(cross, points), sets)
+    # tiles of the branches that hold more than one node
+    placed = branches.join(nodes.withColumnRenamed("node", "pid"), "pid", "left").select("hub", "pid", F.coalesce("root", "pid").alias("node"))
+    mixed = (placed.groupBy("hub").agg(F.count("*").alias("size"), F.min("node").alias("lo"), F.max("node").alias("hi"),
+                                       F.max(F.when(F.col("pid") == F.col("hub"), F.col("node"))).alias("main")).where("lo <> hi"))
+    held = placed.join(mixed.select("hub", "size", "main"), "hub").join(points.select("pid", "n"), "pid")
+    bucket = F.pmod(F.xxhash64("pid"), F.ceil(F.col("size") / TILE))
+    band = F.floor(F.log("n") / F.log(F.lit(DEN / NUM)))
+    tile = ((F.col("node") == F.col("main")).cast("long") * 1024 + band) * (1 << 40) + bucket
+    leaf = held.select("hub", "pid", "n", "node", tile.alias("tile")).join(sets.select("pid", "vector"), "pid")
+    tiles = staged(_boxed(leaf.groupBy("hub", "tile").agg(F.collect_list(F.struct("pid", "n", "node", "vector")).alias("points"))), "tiles")
+    boxes = tiles.drop("points")
+    over = boxes.join(boxes.select("hub", *[F.col(c).alias(f"{c}_q") for c in boxes.columns if c != "hub"]), "hub").where(
+        f"tile <= tile_q AND NOT (node_lo = node_hi AND node_lo_q = node_hi_q AND node_lo = node_lo_q) "
+        f"AND {DEN} * n_hi >= {NUM} * n_lo_q AND {DEN} * n_hi_q >= {NUM} * n_lo AND {NUM + DEN} * "
+        f"aggregate(zip_with(box, box_q, (x, y) -> least(x, y)), 0L, (s, x) -> s + x) >= {NUM} * (n_lo + n_lo_q)").select("hub", "tile", "tile_q")
+    over = staged(over, "tile-pairs")
+    both = (over.join(tiles.select("hub", "tile", F.col("points").alias("left")), ["hub", "tile"])
+            .join(tiles.select("hub", F.col("tile").alias("tile_q"), F.col("points").alias("right")), ["hub", "tile_q"]))
+    survivors = staged(_possible_pairs(both.select("left", "right")), "survivors")
+    far = _verified(survivors, sets)
 
     roots = components(near.union(far)).withColumnRenamed("node", "pid")
     out = staged(every.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "pid").join(roots, "pid", "left").select(
         "doc_id", "text_key", "n_shingles", F.coalesce("root", "pid").alias("root")), "members")
-    for t in (every, shared, lists, points, sets, nodes, placed, box, over, near, far):
+    for t in (every, shared, lists, points, sets, branches, nodes, tiles, over, survivors, near, far):
         drop_staged(t)
     return out
 
@@ -175,12 +224,14 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
        the larger one, so the coordinate minima over the rest of a point cannot sum up to the
        threshold and the two meet under one of the first n - ceil(NUM/DEN * n) + 1 coordinates of
        both. Passages that many documents share are common coordinates, thus last, and list
-       almost nobody.
-    2. nodes: near copies grouped under a verified hub, with the box around them (largest count per
-       coordinate, smallest and largest size). Two nodes under one coordinate go on only if the
+       almost nobody. Each list names a hub, its member with the least text of its own; points of all
+       lists with the same hub form one branch, so near copies meet in one branch, not in each list.
+    2. tiles: a branch's points in leaf tiles of about TILE, with the box around them (largest count
+       per coordinate, smallest and largest size). Points that a verified link has joined to the hub's
+       node lie in tiles of their own. Two tiles go on only if they hold different nodes and the
        summed minima of their boxes allow a link.
-    3. points: pairs from two such nodes under a shared coordinate, pruned by sizes and the summed
-       minima of their own vectors, then verified on the exact sets.
+    3. points: pairs from two such tiles, pruned by sizes and the summed minima of their own vectors
+       inside a task, so only what survives becomes a row; survivors are verified on the exact sets.
 
     Documents with equal sets are one point, and members of one node are linked already, so copies
     are never expanded into pairs; every link between different nodes is found.
