@@ -1,30 +1,21 @@
-"""Load strategies (SNK-5..11, SNK-21/22) as DataFrame transformations plus a versioned writer.
+"""Load strategies (SNK-5..11, SNK-21/22) as DataFrame transformations, and Parquet table folders.
 
-Each strategy is first a *pure* function ``(target, source) -> new table contents`` built from
-joins and unions, so it can be planned, explained and checked against SQL. ``materialize`` then
-persists the result into a versioned table folder:
-
-* a table is a list of Parquet segments; a commit (one tiny JSON record) names the segments of the
-  new version. Appending adds a segment; rewriting strategies write one new segment holding the
-  whole table, or -- on a partitioned table -- only the partitions the load touches.
-* nothing is ever overwritten in place: a strategy that reads the target and rewrites it writes a
-  new segment first and commits afterwards, so a failed job leaves the previous version intact and
-  a lost executor only re-runs tasks of the new segment.
-
-Spark has no MERGE for plain Parquet tables, which is why this layer exists at all.
+Each strategy is a *pure* function ``(target, source) -> new table contents`` built from joins and
+unions, so it can be planned, explained and checked against SQL. ``materialize`` writes the result
+into a plain Parquet folder with Spark's own writers: append, overwrite, and dynamic partition
+overwrite, which replaces only the partitions that a load touches.
 """
 
 from __future__ import annotations
 
-import json
-import time
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterstar.operators.dedup import keep_first
+from meterstar.session import delete_path, drop_materialized, materialized
 
 # --- strategy semantics ---------------------------------------------------------------------------
 
@@ -43,24 +34,12 @@ def _anti(left: DataFrame, right_keys: DataFrame, key: Sequence[str]) -> DataFra
     return left.join(right_keys, cond, "left_anti")
 
 
-def _small(source: DataFrame) -> bool:
-    # a delivery proven small (row check on the source; stops after bound+1 rows): its distinct keys
-    # can be broadcast and the target is scanned in place instead of shuffled
-    from meterstar.operators.star import fits_broadcast
-    return fits_broadcast(source)
-
-
 def new_rows(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
     """Source rows whose key is absent from the target (the rows an insert-only MERGE adds).
 
-    Repeated keys *inside* the source are all kept, as the warehouse MERGE does. A small source is
-    matched without shuffling the target: its distinct keys are broadcast into a semi join over the
-    target scan, and the few keys found are broadcast into the final anti join.
+    Repeated keys *inside* the source are all kept, as the warehouse MERGE does. The target is reduced
+    to its distinct keys on the map side; AQE picks the join from measured sizes.
     """
-    if _small(source):
-        src_keys = F.broadcast(source.select(*key).distinct())
-        present = target.select(*key).join(src_keys, list(key), "left_semi").distinct()
-        return source.join(F.broadcast(present), list(key), "left_anti")
     return _anti(source, _target_keys(target, key), key)
 
 
@@ -75,7 +54,6 @@ def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequ
     A key repeated in the source is ambiguous for MERGE; ``order`` picks the surviving source row
     (first under the order). Without ``order`` every source row is kept, i.e. ``delete_insert``.
     """
-    small = _small(source)       # checked on the raw delivery: dedup below only removes rows
     if order:
         # only keyed rows are reduced: a NULL key never matches, so every such row is inserted
         has_key = None
@@ -83,24 +61,23 @@ def upsert(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequ
             c = F.col(k).isNotNull()
             has_key = c if has_key is None else has_key & c
         source = keep_first(source.where(has_key), key, order).unionByName(source.where(~has_key))
-    return delete_insert(target, source, key, small=small)
+    return delete_insert(target, source, key)
 
 
-def delete_insert(target: DataFrame, source: DataFrame, key: Sequence[str], small: bool | None = None) -> DataFrame:
-    """SNK-11: delete target rows whose key occurs in the source, insert *all* source rows.
-
-    With a small source its distinct keys are broadcast: the target is filtered where it lies, no
-    shuffle of the (large) target and no skewed task for a hot target key.
-    """
-    if _small(source) if small is None else small:
-        kept = target.join(F.broadcast(source.select(*key).distinct()), list(key), "left_anti")
-    else:
-        kept = _anti(target, _target_keys(source, key), key)
+def delete_insert(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
+    """SNK-11: delete target rows whose key occurs in the source, insert *all* source rows."""
+    kept = _anti(target, _target_keys(source, key), key)
     return kept.unionByName(source, allowMissingColumns=True)
 
 
 def in_window(c: str, start, end) -> Column:
-    return (F.col(c) >= F.lit(start).cast("timestamp_ntz")) & (F.col(c) < F.lit(end).cast("timestamp_ntz"))
+    """``start <= c < end``; None leaves that side open (an open window still needs a value)."""
+    out = F.col(c).isNotNull()
+    if start is not None:
+        out = out & (F.col(c) >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        out = out & (F.col(c) < F.lit(end).cast("timestamp_ntz"))
+    return out
 
 
 def replace_interval(target: DataFrame, source: DataFrame, column: str, start, end) -> DataFrame:
@@ -131,155 +108,106 @@ def add_new_columns(target: DataFrame, source: DataFrame) -> DataFrame:
     return target.unionByName(source, allowMissingColumns=True)
 
 
-# --- versioned table folder ------------------------------------------------------------------------
+# --- table folders ---------------------------------------------------------------------------------
 
+PART = "_part"
 
-class VersionedTable:
-    """Parquet segments + a commit log under ``root`` (a shared folder on a cluster).
 
-    ``root/_commits/v=N/`` holds one JSON line per version: the segments that make up the table.
-    The current version is the highest committed one; a segment is written completely before the
-    commit that names it, so readers never see a half-written table.
+class TableFolder:
+    """A Parquet table in a folder, written with Spark's own save modes. One writer at a time.
 
-    Partitioned tables (one partition column, e.g. the pickup day) rewrite only what a load
-    touches: a segment entry may list partition values that a later segment supersedes
-    (``exclude``); reads drop them with a partition filter, so superseded folders are pruned, not
-    scanned. A merge into one day of a ten-year table reads and writes that day only.
+    ``partition_by`` names a column whose text form is the partition folder (``_part=<text>``; NULL
+    and '' share Spark's default folder). The column itself stays in the files, so its type and
+    value come back as they were. ``read`` hides the folder column.
+
+    A failed write raises and changes nothing that was committed: appends and dynamic overwrites are
+    committed by Spark at the end of the job, and a whole replacement is first staged in the shared
+    folder. No error is ever read as "no table": a table exists when its folder does.
     """
 
-    _SCHEMA = "version long, segments array<struct<path:string,exclude:array<string>>>, ts double"
-
-    def __init__(self, spark: SparkSession, root: str, partition_by: Sequence[str] = (),
-                 cluster_by: Sequence[str] = (), granularity: str = "day"):
-        if len(partition_by) > 1:
-            raise ValueError("one partition column is supported")
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.partition_by = list(partition_by)
-        self.cluster_by = list(cluster_by)
-        self.granularity = granularity
-        self._seen: list[dict] = []      # commits already read by this instance
-
-    @property
-    def part(self) -> str | None:
-        return self.partition_by[0] if self.partition_by else None
-
-    # commit log: written and read by Spark itself so it works on any Hadoop file system.
-    # Commit folders are ``v=<version>``: a reader that has seen version N reads only v > N (partition
-    # pruning), so a long-running stream does not re-read its whole history on every micro-batch.
-    # Two writers racing for the same version collide on the folder (write mode "error"): the
-    # second commit fails instead of silently overwriting the first.
-    def _commits(self) -> list[dict]:
-        path = f"{self.root}/_commits"
-        try:
-            df = self.spark.read.schema(self._SCHEMA).json(path)
-        except Exception:  # noqa: BLE001 - no commit yet
-            return self._seen
-        if self._seen:
-            df = df.where(F.col("v") > F.lit(self._seen[-1]["version"]))
-        new = [{"version": r.version,
-                "segments": [{"path": s.path, "exclude": list(s.exclude or [])} for s in r.segments]}
-               for r in df.select("version", "segments").collect()]
-        self._seen = sorted(self._seen + new, key=lambda c: c["version"])[-1:]
-        return self._seen
-
-    def current(self) -> dict | None:
-        commits = self._commits()
-        return commits[-1] if commits else None
+    def __init__(self, spark: SparkSession, path: str, partition_by: str | None = None):
+        self.spark, self.path, self.partition_by = spark, path.rstrip("/"), partition_by
+
+    def exists(self) -> bool:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+
+    def _scan(self) -> DataFrame:
+        # files of different loads may have different columns; folder values stay text ('01' is not 1)
+        found = self.spark.read.option("mergeSchema", True).parquet(self.path)
+        if not self.partition_by:
+            return found
+        fields = [f for f in found.schema.fields if f.name != PART] + [T.StructField(PART, T.StringType())]
+        return self.spark.read.schema(T.StructType(fields)).parquet(self.path)
 
     def read(self) -> DataFrame | None:
-        cur = self.current()
-        if cur is None or not cur["segments"]:
+        """The table, or None before its first load."""
+        return self._scan().drop(PART) if self.exists() else None
+
+    def folder_of(self, column: Column) -> Column:
+        text = column.cast("string")
+        return F.when(text != "", text)
+
+    def _placed(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(PART, self.folder_of(F.col(self.partition_by))) if self.partition_by else df
+
+    def _write(self, df: DataFrame, mode: str, dynamic: bool = False) -> None:
+        if not self.partition_by:
+            df.write.mode(mode).parquet(self.path)
+            return
+        # rows of one folder may spread over tasks (hash of the row), so a hot folder is no hot task
+        salt = F.xxhash64(*[F.col(c) for c in df.columns])
+        placed = self._placed(df).repartitionByRange(F.col(PART), salt).sortWithinPartitions(PART)
+        w = placed.write.mode(mode).partitionBy(PART)
+        w.option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(self.path)
+
+    def append(self, df: DataFrame) -> None:
+        self._write(df, "append")
+
+    def replace(self, df: DataFrame) -> None:
+        """New contents for the whole table; ``df`` may read the table itself."""
+        done = materialized(df, "replace")
+        self._write(done, "overwrite")
+        drop_materialized(done)
+
+    def touched(self, parts: DataFrame) -> DataFrame:
+        """Rows of the table in the folders that ``parts`` (one column PART) names, NULL included."""
+        if not self.exists():
             return None
-        parts = []
-        if not self.part:
-            # one scan over all segments (schemas merged when they differ)
-            paths = [f"{self.root}/{s['path']}" for s in cur["segments"]]
-            parts.append(self.spark.read.option("mergeSchema", len(paths) > 1).parquet(*paths))
-        else:
-            # each segment is its own partitioned dataset (one root per read); superseded
-            # partitions are dropped with a partition filter, so their folders are not scanned
-            for s in cur["segments"]:
-                df = self.spark.read.parquet(f"{self.root}/{s['path']}")
-                if s["exclude"]:
-                    df = df.where(~F.col(self.part).cast("string").isin(*s["exclude"]))
-                parts.append(df)
-        out = parts[0]
-        for d in parts[1:]:
-            out = out.unionByName(d, allowMissingColumns=True)
-        return out
-
-    def _write_segment(self, df: DataFrame) -> str:
-        seg = f"seg-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
-        path = f"{self.root}/{seg}"
-        if self.part:
-            # range split on (partition, cluster columns, row hash): hot partitions spread over
-            # tasks, each task writes few folders, row groups sorted on the cluster columns
-            salt = F.xxhash64(*[F.col(c) for c in df.columns])
-            keys = [F.col(self.part), *[F.col(c) for c in self.cluster_by], salt]
-            (df.repartitionByRange(*keys).sortWithinPartitions(self.part, *self.cluster_by)
-             .write.mode("error").partitionBy(self.part).parquet(path))
-        else:
-            df.write.mode("error").parquet(path)
-        return seg
-
-    def _commit(self, segments: list[dict]) -> int:
-        cur = self.current()
-        version = 0 if cur is None else cur["version"] + 1
-        rec = json.dumps({"version": version, "segments": segments, "ts": time.time()})
-        (self.spark.createDataFrame([(rec,)], "value string").coalesce(1)
-         .write.mode("error").text(f"{self.root}/_commits/v={version}"))
-        return version
-
-    def replace(self, df: DataFrame) -> int:
-        return self._commit([{"path": self._write_segment(df), "exclude": []}])
-
-    def append(self, df: DataFrame) -> int:
-        cur = self.current()
-        return self._commit((cur["segments"] if cur else []) + [{"path": self._write_segment(df), "exclude": []}])
-
-    def replace_partitions(self, df: DataFrame, touched: Sequence[str]) -> int:
-        """New contents for the ``touched`` partition values; every other partition is kept."""
-        cur = self.current()
-        if not touched and cur is not None:
-            return cur["version"]
-        kept = [{"path": s["path"], "exclude": sorted(set(s["exclude"]) | set(touched))}
-                for s in (cur["segments"] if cur else [])]
-        return self._commit(kept + [{"path": self._write_segment(df), "exclude": []}])
-
-    def compact(self) -> int:
-        """Rewrite the current contents as one segment (after many appends / partition rewrites).
-        A new version like any other: readers of older versions are unaffected."""
-        cur = self.current()
-        if cur is None or (len(cur["segments"]) <= 1 and not any(s["exclude"] for s in cur["segments"])):
-            return -1 if cur is None else cur["version"]
-        return self.replace(self.read())
-
-    def partition_values(self, df: DataFrame) -> list[str]:
-        """Distinct partition values of ``df`` (one row per partition, e.g. per day: bounded)."""
-        return sorted(r[0] for r in df.select(F.col(self.part).cast("string")).distinct().collect())
-
-    def window_partitions(self, start, end) -> Column:
-        """Partition predicate covering [start, end) of the column the partition is derived from."""
-        lo = F.lit(start).cast("timestamp_ntz").cast("date")
-        lo = lo if self.granularity == "day" else F.trunc(lo, self.granularity)
-        return (F.col(self.part) >= lo) & (F.col(self.part) <= F.lit(end).cast("timestamp_ntz").cast("date"))
+        rows, some = self._scan(), parts.where(F.col(PART).isNotNull()).distinct()
+        null_part = parts.where(F.col(PART).isNull()).limit(1).select(F.lit(1).alias("_one"))
+        null_rows = rows.where(F.col(PART).isNull()).withColumn("_one", F.lit(1)).join(null_part, "_one", "left_semi").drop("_one")
+        return rows.join(some, PART, "left_semi").unionByName(null_rows).drop(PART)
+
+    def replace_folders(self, df: DataFrame, parts: DataFrame) -> None:
+        """New contents for the folders in ``parts``; all other folders stay as they are."""
+        done = materialized(df, "folders")
+        self._write(done, "overwrite", dynamic=True)
+        # dynamic overwrite cannot empty a folder: those of ``parts`` without rows now are deleted.
+        # At most the folders that one load touches, so their names fit the driver.
+        now = self._placed(done).select(PART).distinct()
+        gone = parts.distinct().join(now, parts[PART].eqNullSafe(now[PART]), "left_anti")
+        names = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        for r in gone.collect():
+            delete_path(self.spark, f"{self.path}/{names.getPartitionPathString(PART, r[PART])}")
+        drop_materialized(done)
 
 
 STRATEGIES = ("view", "table", "append", "insert_new", "merge", "delete_insert", "time_interval")
 
 
-def materialize(spark: SparkSession, df: DataFrame, strategy: str, table: VersionedTable | None = None,
+def materialize(spark: SparkSession, df: DataFrame, strategy: str, table: TableFolder | None = None,
                 name: str | None = None, key: Sequence[str] = (), order: Sequence | None = None,
                 incremental_key: str | None = None, window: tuple | None = None,
                 high_water: str | None = None, lookback: str | None = None, full_refresh: bool = False):
     """SNK-21/22: one entry point over the strategies.
 
-    ``view`` registers a temp view (lazy); the others persist into ``table`` and return the new
-    version number. ``full_refresh`` rebuilds the table from ``df`` whatever the strategy.
-    ``high_water`` (a column) keeps only rows newer than the table's maximum first (SNK-8).
-    On a partitioned table, merge / delete_insert / time_interval read and rewrite only the
-    partitions the load touches.
+    ``view`` registers a temp view (lazy); the others write into ``table``. ``full_refresh`` rebuilds
+    the table from ``df`` whatever the strategy. ``high_water`` (a column) keeps only rows newer than
+    the table's maximum first (SNK-8). ``time_interval`` takes only rows inside its window, on the
+    first run as on every other. The delivery is staged once, so its plan runs once however many joins
+    read it. On a partitioned table, merge / delete_insert / time_interval read and rewrite only the
+    folders that the load touches.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; one of {STRATEGIES}")
@@ -288,51 +216,68 @@ def materialize(spark: SparkSession, df: DataFrame, strategy: str, table: Versio
         return df
     if table is None:
         raise ValueError("a table folder is needed for persisted strategies")
+    if strategy == "time_interval":
+        if not incremental_key or not window:
+            raise ValueError("time_interval needs incremental_key and window=(start, end)")
+        df = df.where(in_window(incremental_key, *window))
     target = None if full_refresh else table.read()
     if target is None or strategy == "table":
-        return table.replace(df)
+        table.replace(df)
+        return None
     if high_water:
         df = high_water_rows(df, target, high_water, lookback)
     if strategy == "append":
-        return table.append(df)
+        table.append(df)
+        return None
+    df = materialized(df, "delivery")
     if strategy == "insert_new":
-        return table.append(new_rows(target, df, key).select(*target.columns))
-    if strategy == "merge":
-        # on_schema_change = append_new_columns: widen the target, never drop a column
-        target = add_new_columns(target, df.limit(0))
-    part = table.part
-    if strategy in ("merge", "delete_insert"):
-        if part:
-            # partitions of the new rows, plus partitions where a source key currently lives (a key
-            # may move between partitions; its old row must go too)
-            src_keys = df.select(*key).distinct()
-            hit = target.select(*key, part).join(src_keys, list(key), "left_semi").select(part)
-            touched = table.partition_values(df.select(part).unionByName(hit))
-            target = target.where(F.col(part).cast("string").isin(*touched))
-        result = upsert(target, df, key, order) if strategy == "merge" else delete_insert(target, df, key)
-        return table.replace_partitions(result, touched) if part else table.replace(result)
-    if strategy == "time_interval":
-        if not incremental_key or not window:
-            raise ValueError("time_interval needs incremental_key and window=(start, end)")
-        if part:
-            scope = table.window_partitions(*window)
-            in_src = df.where(in_window(incremental_key, *window)).select(part)
-            touched = table.partition_values(target.where(scope).select(part).unionByName(in_src))
-            target = target.where(F.col(part).cast("string").isin(*touched))
-            return table.replace_partitions(replace_interval(target, df, incremental_key, *window), touched)
-        return table.replace(replace_interval(target, df, incremental_key, *window))
-    raise AssertionError(strategy)
-
+        added = materialized(new_rows(target, df, key).select(*target.columns), "added")  # reads the table it extends
+        table.append(added)
+        drop_materialized(added)
+    else:
+        parts = None
+        if table.partition_by:
+            folder = table.folder_of(F.col(table.partition_by)).alias(PART)
+            parts = df.select(folder)
+            if strategy == "time_interval":
+                hit = target.where(in_window(incremental_key, *window))
+            else:
+                # a key may move between folders: its old row must go too
+                hit = target.join(df.select(*key).distinct(), list(key), "left_semi")
+            parts = materialized(parts.unionByName(hit.select(folder)).distinct(), "parts")
+            target = table.touched(parts)
+        if strategy == "merge":
+            # on_schema_change = append_new_columns: widen the target, never drop a column
+            result = upsert(add_new_columns(target, df.limit(0)), df, key, order)
+        elif strategy == "delete_insert":
+            result = delete_insert(target, df, key)
+        else:
+            result = replace_interval(target, df, incremental_key, *window)
+        if parts is None:
+            table.replace(result)
+        else:
+            table.replace_folders(result, parts)
+            drop_materialized(parts)
+    drop_materialized(df)
+    return None
 
 
 # --- physical layouts ------------------------------------------------------------------------------
 
 
 def write_files(df: DataFrame, path: str, n: int, mode: str = "error") -> None:
-    """SNK-1: rewrite as ``n`` Parquet parts (round-robin repartition, no key skew possible)."""
+    """SNK-1: rewrite as ``n`` Parquet parts (round-robin repartition, no key skew possible).
+
+    ``n`` is the number of writing tasks, so it must follow the size of the data; ``parts_for`` gives it.
+    """
     df.repartition(n).write.mode(mode).parquet(path)
 
 
+def parts_for(input_bytes: int, part_mb: int = 256, least: int = 4) -> int:
+    """Number of parts of about ``part_mb`` each, ``least`` at small sizes."""
+    return max(least, -(-input_bytes // (part_mb << 20)))
+
+
 def write_partitioned(df: DataFrame, path: str, ts_col: str, date_col: str = "pickup_date",
                       cluster_by: Sequence[str] = (), files_per_write: int | None = None,
                       mode: str = "error", granularity: str = "day") -> None:

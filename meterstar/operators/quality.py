@@ -1,8 +1,8 @@
 """Declarative data-quality checks (DQ-1..14).
 
 A check run returns one row per check: ``check, column, failing_rows, passed``.
-Row-level checks (not_null, accepted_values, expression_is_true, non_negative, positive) on one
-table are folded into a *single* aggregation (one scan, partial aggregation per task); keyed checks
+Row-level checks (not_null, accepted_values, expression_is_true, non_negative, positive, row_count) on
+one table are folded into a *single* aggregation (one scan, partial aggregation per task); keyed checks
 (unique, unique combination, relationships) are grouped aggregations / anti joins. The report is
 tiny (one row per check), so ``enforce`` may collect it.
 
@@ -54,7 +54,7 @@ def scalar(sql_expr_df: DataFrame, expected, name): return Check("scalar", "*",
                                                                 name=name)
 
 
-ROW_LEVEL = {"not_null", "accepted_values", "expression_is_true", "non_negative", "positive"}
+ROW_LEVEL = {"not_null", "accepted_values", "expression_is_true", "non_negative", "positive", "row_count"}
 
 
 def _failing(check: Check) -> Column:
@@ -91,7 +91,8 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     parts: list[DataFrame] = []
     row_level = [c for c in checks if c.kind in ROW_LEVEL]
     if row_level:
-        agg = df.agg(*[F.count_if(_failing(c)).alias(f"f{i}") for i, c in enumerate(row_level)])
+        agg = df.agg(*[(F.abs(F.count(F.lit(1)) - F.lit(c.expected)) if c.kind == "row_count"
+                        else F.count_if(_failing(c))).alias(f"f{i}") for i, c in enumerate(row_level)])
         parts.append(agg.select(F.inline(F.array(*[_row(c.label, c.column, F.col(f"f{i}"))
                                                    for i, c in enumerate(row_level)]))))
     for c in checks:
@@ -104,8 +105,6 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             failing = dup.agg(F.count(F.lit(1)).alias("f"))
         elif c.kind == "relationships":
             failing = orphans(df, c.parent, c.column, c.parent_key).agg(F.count(F.lit(1)).alias("f"))
-        elif c.kind == "row_count":
-            failing = df.agg(F.abs(F.count(F.lit(1)) - F.lit(c.expected)).alias("f"))
         elif c.kind == "scalar":
             v = c.parent.select(F.col(c.parent.columns[0]).alias("v"))
             failing = v.agg(F.when(F.first("v") == F.lit(c.expected), 0).otherwise(1).alias("f"))
@@ -133,8 +132,10 @@ def freshness(df: DataFrame, loaded_at: str, run_at: str, warn_after_hours: floa
         .when(F.col("age_hours") > warn_after_hours, "warn").otherwise("pass"))
 
 
-def contract_violations(df: DataFrame, expected: T.StructType) -> list[str]:
+def contract_violations(df: DataFrame, expected: T.StructType | str) -> list[str]:
     """DQ-12: names and types must match the contract (column order free). Metadata only."""
+    if isinstance(expected, str):
+        expected = T.StructType.fromDDL(expected)
     have = {f.name: f.dataType for f in df.schema.fields}
     want = {f.name: f.dataType for f in expected.fields}
     problems = [f"missing column {n}" for n in want if n not in have]

@@ -1,10 +1,8 @@
 """Dimension enrichment (JN-1..4, JN-7): lookup joins, role-playing dimensions, orphan checks.
 
-Broadcast policy: a dimension is broadcast only after its row count is *proven* below a bound
-(one cheap ``limit(bound+1).count()`` on the dimension, remembered per DataFrame). Above the bound
-the join is left to the planner (sort-merge or shuffle-hash, AQE may still demote it to a
-broadcast at run time from measured sizes). A zone or payment lookup has a few hundred rows at
-any scale; customer and supplier grow with the data and never take this path.
+No join is forced to broadcast and nothing is counted while a plan is built. Spark broadcasts a side
+whose file size is under ``spark.sql.autoBroadcastJoinThreshold`` (zones and payment codes are at any
+scale) and AQE turns a join into a broadcast, or splits a skewed one, from measured shuffle sizes.
 """
 
 from __future__ import annotations
@@ -14,44 +12,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows a dimension may hold to be broadcast. 1e6 rows of a few narrow columns is a few tens of MB.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-_checked: dict[tuple, bool] = {}
-
-
-def _plan_key(dim: DataFrame) -> tuple:
-    # same logical plan over the same files -> same answer; files are part of the key so a table
-    # that receives new data is checked again
-    try:
-        files = tuple(sorted(dim.inputFiles()))
-    except Exception:  # noqa: BLE001 - sources without a file listing
-        files = ()
-    return dim.semanticHash(), tuple(dim.columns), files
-
-
-def broadcast_bound(dim: DataFrame) -> int:
-    """Row bound for broadcasting: session setting ``meterstar.broadcastMaxRows`` or the default."""
-    return int(dim.sparkSession.conf.get("meterstar.broadcastMaxRows", str(DEFAULT_BROADCAST_ROWS)))
-
-
-def fits_broadcast(dim: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (checked with a bounded count, remembered
-    per logical plan and input files so repeated queries do not re-run the check)."""
-    max_rows = max_rows or broadcast_bound(dim)
-    key = (_plan_key(dim), max_rows)
-    if key not in _checked:
-        _checked[key] = dim.limit(max_rows + 1).count() <= max_rows
-    return _checked[key]
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``F.broadcast(dim)`` when its size is proven small, else ``dim`` unchanged."""
-    return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
-
 
 def enrich(fact: DataFrame, dim: DataFrame, fact_key: str | Column, dim_key: str,
-           columns: Mapping[str, str], how: str = "left", max_rows: int | None = None) -> DataFrame:
+           columns: Mapping[str, str], how: str = "left") -> DataFrame:
     """Attach ``columns`` (dim column -> new name) of ``dim`` to ``fact`` by key.
 
     ``fact_key`` may be an expression (JN-2 joins on ``coalesce(payment_type, 0)``).
@@ -59,20 +22,19 @@ def enrich(fact: DataFrame, dim: DataFrame, fact_key: str | Column, dim_key: str
     """
     tmp_key = f"__dimkey_{dim_key}"
     d = dim.select(F.col(dim_key).alias(tmp_key), *[F.col(src).alias(dst) for src, dst in columns.items()])
-    d = bounded_broadcast(d, max_rows)
     fk = F.col(fact_key) if isinstance(fact_key, str) else fact_key
     return fact.join(d, fk == d[tmp_key], how).drop(tmp_key)
 
 
 def role_playing(fact: DataFrame, dim: DataFrame, dim_key: str, roles: Mapping[str, str],
-                 columns: Sequence[str], how: str = "left", max_rows: int | None = None) -> DataFrame:
+                 columns: Sequence[str], how: str = "left") -> DataFrame:
     """JN-3: join the same dimension once per role.
 
     ``roles`` maps a role prefix to the fact key, e.g. ``{"pickup": "pickup_location_id",
     "dropoff": "dropoff_location_id"}``; each dimension column ``c`` arrives as ``{role}_{c}``.
     """
     for role, fk in roles.items():
-        fact = enrich(fact, dim, fk, dim_key, {c: f"{role}_{c}" for c in columns}, how, max_rows)
+        fact = enrich(fact, dim, fk, dim_key, {c: f"{role}_{c}" for c in columns}, how)
     return fact
 
 
@@ -80,11 +42,8 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     """JN-7: child rows whose non-NULL key is absent from the parent (left anti join).
 
     The parent side is reduced to its distinct keys first (partial aggregation, so a hot key
-    is collapsed map-side before any shuffle); a parent proven small (a dimension) is broadcast,
-    so the child is checked where it lies, without a shuffle.
+    is collapsed map-side before any shuffle).
     """
     keys = parent.select(F.col(parent_key).alias("__pk")).distinct()
-    if fits_broadcast(parent):
-        keys = F.broadcast(keys)
     return (child.where(F.col(child_key).isNotNull())
             .join(keys, F.col(child_key) == F.col("__pk"), "left_anti"))

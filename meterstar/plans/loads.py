@@ -2,7 +2,8 @@
 merge variants (SNK-6..11) evaluated as whole-table results over the trip binding.
 
 Each query returns the *table contents after the load*, so the semantics are checked against SQL;
-``operators.load.materialize`` persists the same DataFrames into versioned folders.
+``operators.load.materialize`` writes the same results into Parquet folders; the ``persisted_*`` queries
+load a table that way and read it back.
 """
 
 from __future__ import annotations
@@ -13,13 +14,14 @@ from pyspark.sql import functions as F
 from meterstar.functions import expr as X
 from meterstar.operators import load as L
 from meterstar.plans.registry import query
-from meterstar.session import materialized
+from meterstar.session import scratch_path
 from meterstar.sources import driver_tables as D
 
-# Scenario: the table holds everything picked up before LOADED_UNTIL; the next delivery re-sends
-# the last month already loaded and adds one new month.
+# Scenario: the table holds everything picked up before LOADED_UNTIL; the next delivery re-sends the last
+# month already loaded and brings everything after it (and rows without a pickup time), so that target and
+# delivery together are the whole feed.
 LOADED_UNTIL = "1997-01-01"
-DELIVERY = ("1996-12-01", "1997-02-01")
+DELIVERED_FROM = "1996-12-01"
 YEAR_PREFIX = "1996-"
 ONE_FILE = "yellow_tripdata_1997-01.csv"
 
@@ -38,17 +40,13 @@ def hashed_stage(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
 
 
 def merged_feed(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
-    """The table after merging the next delivery into everything loaded so far.
-
-    The hashed stage is a table (as in the reference load): it is written once into the shared
-    folder, and both sides of the merge scan it with their pickup predicate pushed down, instead of
-    re-running the four-table binding per side.
-    """
+    """The table after merging the next delivery into everything loaded so far. Both sides push their
+    pickup predicate into the binding; the target is read for its key columns only to find new rows."""
     prefix = "lpep" if service == "Green" else "tpep"
-    ts = f"{prefix}_pickup_datetime"
-    stage = materialized(hashed_stage(spark, sf_dir, service), f"{service.lower()}_stage")
-    target = stage.where(F.col(ts) < F.lit(LOADED_UNTIL).cast("timestamp_ntz"))
-    source = stage.where(L.in_window(ts, *DELIVERY))
+    ts = F.col(f"{prefix}_pickup_datetime")
+    stage = hashed_stage(spark, sf_dir, service)
+    target = stage.where(ts < F.lit(LOADED_UNTIL).cast("timestamp_ntz"))
+    source = stage.where((ts >= F.lit(DELIVERED_FROM).cast("timestamp_ntz")) | ts.isNull())
     return L.insert_new(target, source, ["unique_row_id"])
 
 
@@ -62,8 +60,8 @@ def _stage_sql(service: str) -> str:
          '{s}_tripdata_' || strftime({prefix}_pickup_datetime, '%Y-%m') || '.csv' AS filename, *
   FROM {s}_raw),
 {s}_target AS (SELECT * FROM {s}_stage WHERE {prefix}_pickup_datetime < TIMESTAMP '{LOADED_UNTIL}'),
-{s}_source AS (SELECT * FROM {s}_stage WHERE {prefix}_pickup_datetime >= TIMESTAMP '{DELIVERY[0]}'
-                                        AND {prefix}_pickup_datetime < TIMESTAMP '{DELIVERY[1]}'),
+{s}_source AS (SELECT * FROM {s}_stage WHERE {prefix}_pickup_datetime >= TIMESTAMP '{DELIVERED_FROM}'
+                                        OR {prefix}_pickup_datetime IS NULL),
 {s}_merged AS (
   SELECT * FROM {s}_target
   UNION ALL
@@ -115,8 +113,7 @@ SOURCE_ORDER = ["pickup_datetime", "l_partkey", "l_suppkey", "fare_amount", "pay
 
 
 def _narrow(spark, sf_dir):
-    # the target is a persisted table: written once, then both sides of the merge scan it
-    return materialized(D.trips(spark, sf_dir, NARROW), "narrow_trips")
+    return D.trips(spark, sf_dir, NARROW)
 
 
 def _target(t):
@@ -167,8 +164,7 @@ def snk_delete_insert(spark, sf_dir):
 
 
 @query("snk_replace_interval", covers="SNK-10 FLT-2", sql=_NARROW_SQL + f"""
-SELECT * FROM narrow WHERE NOT (pickup_datetime >= TIMESTAMP '{INTERVAL[0]}' AND pickup_datetime < TIMESTAMP '{INTERVAL[1]}')
-   OR pickup_datetime IS NULL
+SELECT * FROM narrow WHERE (pickup_datetime >= TIMESTAMP '{INTERVAL[0]}' AND pickup_datetime < TIMESTAMP '{INTERVAL[1]}') IS NOT TRUE
 UNION ALL
 SELECT * FROM changes WHERE pickup_datetime >= TIMESTAMP '{INTERVAL[0]}' AND pickup_datetime < TIMESTAMP '{INTERVAL[1]}'
   AND payment_type <> 3""")
@@ -200,3 +196,65 @@ def snk_append_new_columns(spark, sf_dir):
     old = t.where(F.col("pickup_datetime") < cut).drop("tip_amount")
     new = t.where(F.col("pickup_datetime") >= cut)
     return L.add_new_columns(old, new)
+
+
+# --- the same loads through a table folder, read back ------------------------------------------------
+
+def _folder(spark, partition_by=None) -> L.TableFolder:
+    import uuid
+    return L.TableFolder(spark, scratch_path(spark, "tables", f"load-{uuid.uuid4().hex[:12]}"), partition_by)
+
+
+def _dated(t: DataFrame) -> DataFrame:
+    return t.withColumn("pickup_date", F.to_date("pickup_datetime"))
+
+
+def _persisted(spark, sf_dir, strategy, changes=None, first=None, partition_by="pickup_date", **options) -> DataFrame:
+    """Load the target, then the changes with ``strategy``, into a folder partitioned by day; read it."""
+    t = _narrow(spark, sf_dir)
+    table = _folder(spark, partition_by)
+    L.materialize(spark, _dated(_target(t) if first is None else first(t)), "table", table)
+    L.materialize(spark, _dated((changes or _changes)(t)), strategy, table, **options)
+    return table.read().select(*NARROW)
+
+
+@query("persisted_insert_new", covers="SNK-4 SNK-6 SNK-12 SNK-21 SNK-22", sql=_NARROW_SQL + """
+SELECT * FROM target UNION ALL
+SELECT c.* FROM changes c WHERE NOT EXISTS (
+  SELECT 1 FROM target t WHERE t.l_orderkey = c.l_orderkey AND t.l_linenumber = c.l_linenumber)""")
+def persisted_insert_new(spark, sf_dir):
+    return _persisted(spark, sf_dir, "insert_new", key=KEY)
+
+
+@query("persisted_merge", covers="SNK-4 SNK-7 SNK-21 SNK-22", sql=_NARROW_SQL + f""",
+src AS (SELECT l_orderkey, l_linenumber, min(({', '.join(SOURCE_ORDER)})) AS f
+        FROM changes GROUP BY l_orderkey, l_linenumber)
+SELECT * FROM target t WHERE NOT EXISTS (
+  SELECT 1 FROM src s WHERE t.l_orderkey = s.l_orderkey AND t.l_linenumber = s.l_linenumber)
+UNION ALL
+SELECT l_orderkey, l_linenumber, f[2], f[3], f[1], f[4], f[5] FROM src""")
+def persisted_merge(spark, sf_dir):
+    return _persisted(spark, sf_dir, "merge", key=KEY, order=SOURCE_ORDER)
+
+
+@query("persisted_delete_insert", covers="SNK-4 SNK-11 SNK-21 SNK-22", sql=_NARROW_SQL + """
+SELECT * FROM target t WHERE NOT EXISTS (
+  SELECT 1 FROM changes s WHERE t.l_orderkey = s.l_orderkey AND t.l_linenumber = s.l_linenumber)
+UNION ALL SELECT * FROM changes""")
+def persisted_delete_insert(spark, sf_dir):
+    return _persisted(spark, sf_dir, "delete_insert", key=KEY)
+
+
+@query("persisted_interval", covers="SNK-10 SNK-21 SNK-22", sql=_NARROW_SQL + f"""
+SELECT * FROM narrow WHERE (pickup_datetime >= TIMESTAMP '{INTERVAL[0]}' AND pickup_datetime < TIMESTAMP '{INTERVAL[1]}') IS NOT TRUE
+UNION ALL
+SELECT * FROM changes WHERE pickup_datetime >= TIMESTAMP '{INTERVAL[0]}' AND pickup_datetime < TIMESTAMP '{INTERVAL[1]}'
+  AND payment_type <> 3""")
+def persisted_interval(spark, sf_dir):
+    return _persisted(spark, sf_dir, "time_interval", first=lambda t: t, changes=lambda t: _changes(t).where("payment_type <> 3"),
+                      incremental_key="pickup_datetime", window=INTERVAL)
+
+
+@query("persisted_append", covers="SNK-5 SNK-22", sql=_NARROW_SQL + "SELECT * FROM target UNION ALL SELECT * FROM changes")
+def persisted_append(spark, sf_dir):
+    return _persisted(spark, sf_dir, "append", partition_by=None)

@@ -1,11 +1,10 @@
 """Warehouse model build (Q-M4-*): staging -> union -> dedup/enrich -> star schema -> marts.
 
 Spark plan shape of the fact build, per stage:
-  scan lineitem/orders/supplier/customer (pruned columns) -> fact-to-fact join on the order key
-  -> rename/cast (one projection) -> union of the two feeds -> ROW_NUMBER()=1 per trip key
+  scan lineitem/orders/supplier/customer (pruned columns) -> fact-to-fact join on the order key, once
+  for both feeds -> rename/cast by feed (one projection) -> ROW_NUMBER()=1 per trip key
   (WindowGroupLimit, partial before the shuffle) -> surrogate key + payment lookup on the survivors
-  (broadcast, 7 rows, size checked) -> two zone lookups (broadcast, size checked) -> marts
-  (partial aggregation).
+  -> two zone lookups (lookups are small files, which Spark broadcasts) -> marts (partial aggregation).
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 
 from meterstar.functions import expr as X
 from meterstar.operators import dedup, star
-from meterstar.operators.staging import FHV_FIELDS, UNIONED_COLUMNS, fill, standardize, taxi_fields, union_feeds
+from meterstar.operators.staging import FHV_FIELDS, UNIONED_COLUMNS, standardize, taxi_fields
 from meterstar.plans.registry import query
 from meterstar.sources import driver_tables as D
 
@@ -25,6 +24,7 @@ DEDUP_KEY = ["vendor_id", "pickup_datetime", "pickup_location_id", "service_type
 DEDUP_ORDER = ["dropoff_datetime", "dropoff_location_id", "rate_code_id", "store_and_fwd_flag",
                "passenger_count", "trip_distance", "trip_type", "fare_amount", "extra", "mta_tax",
                "tip_amount", "tolls_amount", "ehail_fee", "improvement_surcharge", "total_amount", "payment_type"]
+# Measures, mart sums and columns of the fact and mart tables (their contract).
 MONEY_MEASURES = ["fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "ehail_fee",
                   "improvement_surcharge", "total_amount"]
 MART_SUMS = {
@@ -77,10 +77,24 @@ def stg_fhv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trips_unioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    green = stg_green(spark, sf_dir).withColumn("service_type", F.lit("Green"))
-    yellow = fill(stg_yellow(spark, sf_dir), trip_type=(1, "int"), ehail_fee=(0, X.MONEY))
-    yellow = yellow.withColumn("service_type", F.lit("Yellow"))
-    return union_feeds([green, yellow], UNIONED_COLUMNS)
+    """Both feeds under one another, from one binding of the trips.
+
+    The feeds differ by projection only (names, safe or strict casts, the two columns that yellow does
+    not have), so the tables are joined once, each row is tagged with its feed, and the feed picks the
+    projection. Equal to the union of ``stg_green`` and ``stg_yellow``, at half the joins.
+    """
+    green = F.col("service_type") == "Green"
+    raw = D.raw_taxi_feeds(spark, sf_dir)
+    safe = {f.target: f for f in taxi_fields("lpep", green=True)}
+    strict = {f.target: f for f in taxi_fields("lpep", green=False)}
+    filler = {"trip_type": F.lit(1).cast("int"), "ehail_fee": F.lit(0).cast(X.MONEY)}
+    cols = []
+    for name in UNIONED_COLUMNS[:-1]:
+        g, y = safe[name], strict.get(name)
+        ours = X.safe_cast(g.source, g.type) if g.safe else F.col(g.source).cast(g.type)
+        theirs = filler[name] if y is None else F.col(y.source).cast(y.type)
+        cols.append((ours if y is not None and not g.safe else F.when(green, ours).otherwise(theirs)).alias(name))
+    return raw.where(F.col("VendorID").isNotNull()).select(*cols, "service_type")
 
 
 def int_trips(spark: SparkSession, sf_dir: str, unioned: DataFrame | None = None) -> DataFrame:
@@ -208,25 +222,26 @@ unioned AS (
   FROM stg_yellow
 )"""
 
-_NULL_MARK = X.SURROGATE_NULL
+# Written out for the oracle on its own: key mark, tie-break columns after the drop-off time, mart sums.
+_TIE_SQL = """dropoff_datetime dropoff_location_id rate_code_id store_and_fwd_flag passenger_count trip_distance
+trip_type fare_amount extra mta_tax tip_amount tolls_amount ehail_fee improvement_surcharge total_amount paid"""
+_TIES = _TIE_SQL.split()
+# The survivor of a key is the smallest row of (is there a value, value) pairs: NULLs come first.
 _INT_SQL = f"""
+best AS (
+  SELECT vendor_id, pickup_datetime, pickup_location_id, service_type,
+         min(ROW({", ".join(f"{c} IS NOT NULL, {c}" for c in _TIES)})) AS b
+  FROM (SELECT *, coalesce(payment_type, 0) AS paid FROM unioned)
+  GROUP BY ALL),
 int_trips AS (
-  SELECT
-    md5(concat_ws('-', coalesce(CAST(u.vendor_id AS VARCHAR), '{_NULL_MARK}'),
-                       coalesce(CAST(u.pickup_datetime AS VARCHAR), '{_NULL_MARK}'),
-                       coalesce(CAST(u.pickup_location_id AS VARCHAR), '{_NULL_MARK}'),
-                       coalesce(u.service_type, '{_NULL_MARK}'))) AS trip_id,
-    u.vendor_id, u.rate_code_id, u.pickup_location_id, u.dropoff_location_id, u.pickup_datetime,
-    u.dropoff_datetime, u.store_and_fwd_flag, u.passenger_count, u.trip_distance, u.trip_type, u.fare_amount,
-    u.extra, u.mta_tax, u.tip_amount, u.tolls_amount, u.ehail_fee, u.improvement_surcharge, u.total_amount,
-    u.service_type,
-    coalesce(u.payment_type, 0) AS payment_type,
-    coalesce(pt.description, 'Unknown') AS payment_type_description
-  FROM unioned u LEFT JOIN payment_types pt ON coalesce(u.payment_type, 0) = pt.payment_type
-  QUALIFY row_number() OVER (
-    PARTITION BY u.vendor_id, u.pickup_datetime, u.pickup_location_id, u.service_type
-    ORDER BY {", ".join(f"u.{c} ASC NULLS FIRST" for c in DEDUP_ORDER[:-1])},
-             coalesce(u.payment_type, 0) ASC NULLS FIRST) = 1
+  SELECT md5(coalesce(vendor_id::VARCHAR, '_dbt_utils_surrogate_key_null_') || '-' ||
+             coalesce(pickup_datetime::VARCHAR, '_dbt_utils_surrogate_key_null_') || '-' ||
+             coalesce(pickup_location_id::VARCHAR, '_dbt_utils_surrogate_key_null_') || '-' ||
+             coalesce(service_type, '_dbt_utils_surrogate_key_null_')) AS trip_id,
+         vendor_id, pickup_datetime, pickup_location_id, service_type,
+         {", ".join(f"b[{2 * i + 2}] AS {c if c != 'paid' else 'payment_type'}" for i, c in enumerate(_TIES))},
+         coalesce(description, 'Unknown') AS payment_type_description
+  FROM best LEFT JOIN payment_types pt ON b[{2 * len(_TIES)}] = pt.payment_type
 )"""
 
 _FCT_SQL = """
@@ -244,13 +259,21 @@ fct AS (
   LEFT JOIN zones dz ON t.dropoff_location_id = dz.location_id
 )"""
 
-_MART_SQL = "mart AS (SELECT coalesce(pickup_zone, 'Unknown Zone') AS pickup_zone, " \
-    "CAST(date_trunc('month', pickup_datetime) AS DATE) AS revenue_month, service_type, " + \
-    ", ".join(f"CAST(sum({src}) AS DECIMAL(38,3)) AS {dst}" for dst, src in MART_SUMS.items()) + \
-    ", count(trip_id) AS total_monthly_trips, " \
-    "CAST(sum(passenger_count) AS DOUBLE) / count(passenger_count) AS avg_monthly_passenger_count, " \
-    "CAST(sum(trip_distance) AS DOUBLE) / count(trip_distance) AS avg_monthly_trip_distance " \
-    "FROM fct GROUP BY 1, 2, 3)"
+_MART_SQL = """mart AS (
+  SELECT coalesce(pickup_zone, 'Unknown Zone') AS pickup_zone, CAST(date_trunc('month', pickup_datetime) AS DATE) AS revenue_month,
+         service_type,
+         CAST(sum(fare_amount) AS DECIMAL(38,3)) AS revenue_monthly_fare,
+         CAST(sum(extra) AS DECIMAL(38,3)) AS revenue_monthly_extra,
+         CAST(sum(mta_tax) AS DECIMAL(38,3)) AS revenue_monthly_mta_tax,
+         CAST(sum(tip_amount) AS DECIMAL(38,3)) AS revenue_monthly_tip_amount,
+         CAST(sum(tolls_amount) AS DECIMAL(38,3)) AS revenue_monthly_tolls_amount,
+         CAST(sum(ehail_fee) AS DECIMAL(38,3)) AS revenue_monthly_ehail_fee,
+         CAST(sum(improvement_surcharge) AS DECIMAL(38,3)) AS revenue_monthly_improvement_surcharge,
+         CAST(sum(total_amount) AS DECIMAL(38,3)) AS revenue_monthly_total_amount,
+         count(trip_id) AS total_monthly_trips,
+         CAST(sum(passenger_count) AS DOUBLE) / count(passenger_count) AS avg_monthly_passenger_count,
+         CAST(sum(trip_distance) AS DOUBLE) / count(trip_distance) AS avg_monthly_trip_distance
+  FROM fct GROUP BY 1, 2, 3)"""
 
 STG_GREEN_SQL = D.with_sql(D.TRIPS_SQL, _raw_sql("Green", "lpep"), _stg_sql("Green", "lpep"))
 UNION_SQL = D.with_sql(D.TRIPS_SQL, _raw_sql("Green", "lpep"), _stg_sql("Green", "lpep"),
@@ -354,18 +377,34 @@ def q_fhv_rows_with_base(spark, sf_dir):
 # --- persisted, incremental fact load (SNK-7/8/9 as the fact model uses them) ----------------------
 
 def load_fct(spark: SparkSession, sf_dir: str, table, until: str | None = None, full_refresh: bool = False,
-             lookback: str | None = None) -> int:
-    """Build or extend the persisted fact table.
-
-    First run (or ``full_refresh``): the whole fact table. Later runs: only trips picked up after the
-    table's latest pickup (strict ``>``, optionally widened by ``lookback``), merged on ``trip_id``;
-    new columns are appended, none dropped. ``until`` limits the source to pickups before a time
-    (the data available at that run). Returns the committed version.
+             lookback: str | None = None) -> None:
+    """Build or extend the persisted fact table (a ``TableFolder``, best partitioned by a pickup day).
+
+    The contract (DQ-12) and the row-level model tests (DQ-14) are enforced before anything is
+    written: a violation raises and the table stays as it was. First run (or ``full_refresh``): the
+    whole fact table. Later runs: only trips picked up after the table's latest pickup (strict ``>``,
+    optionally widened by ``lookback``), merged on ``trip_id``; new columns are appended, none dropped.
+    ``until`` limits the source to pickups before a time (the data available at that run).
     """
-    from meterstar.operators.load import materialize
+    from meterstar.operators import quality as Q
+    from meterstar.operators.load import high_water_rows, materialize
+    from meterstar.session import drop_materialized, materialized
 
     fct = fct_trips(spark, sf_dir)
     if until:
         fct = fct.where(F.col("pickup_datetime") < F.lit(until).cast("timestamp_ntz"))
-    return materialize(spark, fct, "merge", table, key=["trip_id"], high_water="pickup_datetime",
-                       lookback=lookback, full_refresh=full_refresh)
+    target = None if full_refresh else table.read()
+    if target is not None:
+        fct = high_water_rows(fct, target, "pickup_datetime", lookback)
+    problems = Q.contract_violations(fct, FCT_CONTRACT)
+    if problems:
+        raise Q.QualityError("; ".join(problems))
+    fct = materialized(fct, "fct_delivery")
+    Q.enforce(Q.run_checks(fct, [Q.not_null("trip_id"), Q.unique("trip_id"), Q.not_null("vendor_id"),
+                                 Q.accepted_values("service_type", ["Green", "Yellow"]), Q.non_negative("trip_distance")]))
+    if table.partition_by == "pickup_date":
+        placed = fct.withColumn("pickup_date", F.to_date("pickup_datetime"))
+    else:
+        placed = fct
+    materialize(spark, placed, "merge", table, key=["trip_id"], full_refresh=full_refresh)
+    drop_materialized(fct)

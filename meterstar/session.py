@@ -78,22 +78,20 @@ def _context(spark: SparkSession):
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and staged table versions.
+    """Shared folder for lineage cuts and staged tables, read from ``spark.checkpoint.dir``.
 
-    Read from ``spark.checkpoint.dir`` (the cluster names a shared folder there). Only when it is
-    unset -- local runs and tests -- a fresh scratch folder is created and registered.
+    Only a plain ``local`` session that names none (tests, a laptop) gets a scratch folder of its
+    own. Everywhere else an unset folder is refused: a machine-local one does not survive a lost
+    executor.
     """
     sc = _context(spark)
-    root = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc is not None else None)
     if not root:
-        master = sc.master if sc is not None else spark.conf.get("spark.master", "local")
-        if not str(master).startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder: a machine-local scratch "
-                               "folder does not survive a lost executor")
-        # local runs and tests only
+        master = str(sc.master if sc is not None else spark.conf.get("spark.master", ""))
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="meterstar-ckpt-")
-    if sc is not None and not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
+        spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
@@ -114,4 +112,16 @@ def materialized(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it lies (no error when it is gone already)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop_materialized(df) -> None:
+    """Delete the staged copy that ``materialized`` made, once nothing reads it any more."""
+    for f in df.inputFiles()[:1]:
+        delete_path(df.sparkSession, os.path.dirname(f))

@@ -24,13 +24,12 @@ Trip binding (one trip per ``lineitem`` row)::
     zone / borough       n_name / r_name of the location's nation and region
 
 Only the joins the requested columns need are planned: a count over pickup time and distance
-never touches supplier or customer. Inner joins cannot be dropped by the optimizer, so this
-selection is what keeps a 100 TB fact scan from shuffling through dimensions it does not use.
+never touches supplier or customer. All joins are left joins on unique keys, so a join that is left
+out changes no row: a trip whose order, supplier or customer is missing has NULLs there.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,37 +60,9 @@ PAYMENT_NAMES = [
 ]
 
 
-# Fact-sized tables: their scans feed joins and aggregations with most of the work.
-FACT_TABLES = {"lineitem", "orders", "events"}
-
-# Schemas already read from the footers: later reads pass them and skip Spark's footer-reading job.
-_SCHEMAS: dict[str, object] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a driver table.
-
-    A fact table whose scan yields fewer splits than the cluster's default parallelism (one small
-    file with one row group gives a single task) is spread over the cores with a round-robin
-    repartition; filters and column pruning still reach the scan below it. With many files -- any
-    real data size -- the scan already has enough splits and nothing is added. Session setting
-    ``meterstar.spreadSmallScans=false`` turns this off.
-    """
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    known = _SCHEMAS.get(path)
-    df = (spark.read.schema(known) if known is not None else spark.read).parquet(path)
-    if known is None:
-        _SCHEMAS[path] = df.schema
-    spread = str(spark.conf.get("meterstar.spreadSmallScans", "true")).lower() == "true"
-    if name in FACT_TABLES and spread:
-        try:
-            par = spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the scan as it is
-            return df
-        if splits < par:
-            df = df.repartition(par)
-    return df
+    """Read a driver table. Scan splits follow ``spark.sql.files.maxPartitionBytes``."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # --- trip columns: expression and the source tables it needs ------------------------------------
@@ -138,53 +109,51 @@ TRIP_COLUMNS = [
 
 
 def trips(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None,
-          where: Column | None = None, order_where: Column | None = None) -> DataFrame:
+          where: Column | None = None) -> DataFrame:
     """Trips with the requested columns, joining only the tables they need.
 
-    ``order_where`` is a predicate on ``orders`` columns (e.g. an ``o_orderdate`` range) applied
-    before the lineitem join so it is pushed into the orders scan *and* shrinks the join input;
-    ``where`` is applied on the result.
+    A trip is a lineitem row: every join is a left join on the other table's unique key, so leaving
+    out a join whose columns are not asked for gives exactly the same trips. ``where`` is applied on
+    the result; Spark pushes a predicate on order columns into the orders scan (a predicate that no
+    NULL satisfies also turns the left join into an inner one).
 
     Join plan: lineitem x orders is the fact-to-fact join (both sides shuffle on the order key, or
-    AQE turns it into a broadcast when the filtered orders side is small at run time). orders x
-    customer runs before it on the smaller orders side; supplier joins by supplier key. None is
-    forced to broadcast: supplier and customer grow with the scale factor.
+    AQE broadcasts the filtered orders side when it measures it small). orders x customer runs
+    before it on the smaller orders side; supplier joins by supplier key.
     """
     spec = _trip_columns()
     columns = list(TRIP_COLUMNS if columns is None else columns)
     need: set[str] = set()
     for c in columns:
         need |= spec[c][1]
-    lineitem = table(spark, sf_dir, "lineitem")
-    df = lineitem
+    df = table(spark, sf_dir, "lineitem")
     if "o" in need:
-        from meterstar.operators.star import fits_broadcast
-
         orders = table(spark, sf_dir, "orders")
-        if order_where is not None:
-            orders = orders.where(order_where)
-        # The order side is broadcast only while its row count is proven under the bound. The check
-        # runs on the orders scan (it stops after bound+1 rows); joining customer on its key cannot
-        # add rows. At scale the check fails and both sides are shuffled.
-        small = fits_broadcast(orders)
         if "c" in need:
             cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-            orders = orders.join(cust, orders.o_custkey == cust.c_custkey, "inner")
-        df = df.join(F.broadcast(orders) if small else orders, df.l_orderkey == orders.o_orderkey, "inner")
+            orders = orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
+        df = df.join(orders, df.l_orderkey == orders.o_orderkey, "left")
     if "s" in need:
         sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-        df = df.join(sup, df.l_suppkey == sup.s_suppkey, "inner")
+        df = df.join(sup, df.l_suppkey == sup.s_suppkey, "left")
     df = df.select(*[spec[c][0].alias(c) for c in columns])
     return df.where(where) if where is not None else df
 
 
-def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zone lookup: location_id, borough, zone, service_zone (nation x region, region broadcast
-    after its size check)."""
-    from meterstar.operators.star import bounded_broadcast
+def trips_per_pickup_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pickup_location_id, trips``: counted per supplier key first (partial on the map side), so the
+    supplier join sees one row per supplier instead of the whole fact table."""
+    per_key = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    return (per_key.join(sup, per_key.l_suppkey == sup.s_suppkey, "left")
+            .groupBy(F.col("s_nationkey").cast("int").alias("pickup_location_id"))
+            .agg(F.sum("n").cast("bigint").alias("trips")))
+
 
+def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone lookup: location_id, borough, zone, service_zone (nation x region)."""
     n = table(spark, sf_dir, "nation")
-    r = bounded_broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
+    r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     return (n.join(r, n.n_regionkey == r.r_regionkey, "inner")
             .select(F.col("n_nationkey").cast("int").alias("location_id"),
                     F.col("r_name").alias("borough"),
@@ -202,11 +171,7 @@ def payment_names(spark: SparkSession) -> DataFrame:
 
 # --- raw feeds (landing shape) -------------------------------------------------------------------
 
-def raw_taxi_feed(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
-    """Landing shape of the green (``lpep_*``) or yellow (``tpep_*``) feed: raw names, raw types
-    (ids as text, measures as numbers), plus the month file the row would have arrived in."""
-    prefix = "lpep" if service == "Green" else "tpep"
-    t = trips(spark, sf_dir, TRIP_COLUMNS, where=F.col("service_type") == service)
+def _raw_columns(prefix: str, green: bool) -> list[Column]:
     cols = [
         F.col("vendor_id").cast("string").alias("VendorID"),
         F.col("pickup_datetime").alias(f"{prefix}_pickup_datetime"),
@@ -220,13 +185,26 @@ def raw_taxi_feed(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
         F.col("fare_amount"), F.col("extra"), F.col("mta_tax"), F.col("tip_amount"),
         F.col("tolls_amount"),
     ]
-    if service == "Green":
+    if green:
         cols.append(F.lit(0).cast(MONEY).alias("ehail_fee"))
     cols += [F.col("improvement_surcharge"), F.col("total_amount"),
              F.col("payment_type").cast("int").alias("payment_type")]
-    if service == "Green":
+    if green:
         cols.append(F.col("trip_type").cast("string").alias("trip_type"))
-    return t.select(*cols)
+    return cols
+
+
+def raw_taxi_feed(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
+    """Landing shape of the green (``lpep_*``) or yellow (``tpep_*``) feed: raw names, raw types
+    (ids as text, measures as numbers)."""
+    prefix = "lpep" if service == "Green" else "tpep"
+    t = trips(spark, sf_dir, TRIP_COLUMNS, where=F.col("service_type") == service)
+    return t.select(*_raw_columns(prefix, service == "Green"))
+
+
+def raw_taxi_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both feeds from one binding, in the wider (green) landing shape, tagged with ``service_type``."""
+    return trips(spark, sf_dir, TRIP_COLUMNS).select(*_raw_columns("lpep", True), "service_type")
 
 
 def raw_fhv_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,7 +213,7 @@ def raw_fhv_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     base = F.concat(F.lit("B"), F.lpad((F.col("o_custkey") % 1000).cast("string"), 5, "0"))
-    return (o.join(c, o.o_custkey == c.c_custkey, "inner")
+    return (o.join(c, o.o_custkey == c.c_custkey, "left")
             .select(F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("string")).otherwise(base)
                     .alias("dispatching_base_num"),
                     F.col("o_orderdate").alias("pickup_datetime"),
@@ -277,9 +255,9 @@ trips AS (
     CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS payment_type,
     l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey
   FROM lineitem l
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN supplier s ON l.l_suppkey = s.s_suppkey
-  JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 )"""
 
 ZONES_SQL = """
@@ -307,7 +285,7 @@ fhv_raw AS (
     CASE WHEN o.o_orderstatus = 'F' THEN '1' END AS SR_FLAG,
     CASE WHEN o.o_orderstatus = 'O' THEN 'B' || lpad(CAST(o.o_custkey % 1000 AS VARCHAR), 5, '0')
          ELSE CAST(o.o_custkey % 100 AS VARCHAR) END AS Affiliated_base_number
-  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 )"""
 
 

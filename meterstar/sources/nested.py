@@ -18,25 +18,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterstar.operators import load
+from meterstar.session import drop_materialized, materialized
 
 
 def read_paged_records(spark: SparkSession, path: str, record_schema: T.StructType,
-                       page_pattern: str = r"page[_-]?(\d+)", base_page: int = 1) -> DataFrame:
-    """All records of pages ``base_page, base_page+1, ...`` up to (not including) the first empty page."""
+                       page_pattern: str = r"page[_-]?(\d+)", base_page: int = 1, mode: str = "FAILFAST") -> DataFrame:
+    """All records of pages ``base_page, base_page+1, ...`` up to (not including) the first empty page.
+
+    Only an empty array (or an empty file) ends the feed. A page that is no array of such records
+    fails the read; ``mode="PERMISSIVE"`` skips it and goes on with the pages after it.
+    """
     raw = (spark.read.option("wholetext", True).text(path)
-           .select(F.regexp_extract(F.col("_metadata.file_name"), page_pattern, 1).cast("int").alias("page"),
-                   F.from_json("value", T.ArrayType(record_schema)).alias("records")))
+           .select(F.regexp_extract(F.col("_metadata.file_name"), page_pattern, 1).cast("int").alias("page"), "value",
+                   F.from_json("value", T.ArrayType(record_schema), {"mode": mode}).alias("records")))
     raw = raw.where(F.col("page") >= base_page)
-    first_empty = raw.where(F.coalesce(F.size("records"), F.lit(0)) <= 0).agg(F.min("page").alias("p"))
-    stop = first_empty.select(F.col("p")).scalar()
+    empty = (F.size("records") == 0) | (F.trim("value") == "")
+    stop = raw.where(empty).agg(F.min("page").alias("p")).scalar()
     kept = raw.where(stop.isNull() | (F.col("page") < stop))
     return kept.select("page", F.inline("records"))
 
 
 def explode_keyed_document(docs: DataFrame, entry_schema: T.DataType, value_col: str = "value",
-                           key_name: str = "doc_key") -> DataFrame:
-    """SRC-16: ``{key: entry, ...}`` JSON text -> one row per entry with its key."""
-    m = F.from_json(F.col(value_col), T.MapType(T.StringType(), entry_schema))
+                           key_name: str = "doc_key", mode: str = "FAILFAST") -> DataFrame:
+    """SRC-16: ``{key: entry, ...}`` JSON text -> one row per entry with its key.
+
+    A document that does not parse fails the read; ``mode="PERMISSIVE"`` drops it.
+    """
+    m = F.from_json(F.col(value_col), T.MapType(T.StringType(), entry_schema), {"mode": mode})
     return docs.select(F.explode(m).alias(key_name, "entry")).select(key_name, "entry.*")
 
 
@@ -49,10 +57,17 @@ def child_table(parent: DataFrame, list_col: str, parent_key: str | Sequence[str
 
 
 def replace_with_children(spark: SparkSession, root: str, name: str, parent: DataFrame,
-                          children: dict[str, DataFrame]) -> dict[str, int]:
-    """SNK-14: replace-load a parent and its child tables (``name__child``) together; every table
-    of the resource gets a fresh version, so no child keeps rows of an earlier load."""
-    versions = {name: load.VersionedTable(spark, f"{root}/{name}").replace(parent)}
-    for child, df in children.items():
-        versions[f"{name}__{child}"] = load.VersionedTable(spark, f"{root}/{name}__{child}").replace(df)
-    return versions
+                          children: dict[str, DataFrame]) -> dict[str, load.TableFolder]:
+    """SNK-14: replace-load a parent and its child tables (``name__child``), so no child keeps rows of
+    an earlier load.
+
+    All tables are computed and staged before the first one is replaced: an error in any of them leaves
+    all as they were. The swaps themselves follow one another; a load that breaks off there is repeated.
+    """
+    contents = {name: parent, **{f"{name}__{child}": df for child, df in children.items()}}
+    ready = {n: materialized(df, n) for n, df in contents.items()}
+    tables = {n: load.TableFolder(spark, f"{root}/{n}") for n in contents}
+    for n, df in ready.items():
+        tables[n].replace(df)
+        drop_materialized(df)
+    return tables

@@ -3,7 +3,7 @@
 Sources: Kafka when the connector is on the class path (``format="kafka"``), or a folder of JSON
 message files (the same ``value`` column) -- the code path after the source is identical.
 Sinks: the built-in Parquet file sink for append (exactly once through its own log), and
-``foreachBatch`` into a ``VersionedTable`` for keyed upserts / complete results. A replayed micro-batch
+``foreachBatch`` into a ``TableFolder`` for keyed upserts / complete results. A replayed micro-batch
 rewrites the same keys with the same values, so the keyed sinks are idempotent.
 """
 
@@ -64,26 +64,25 @@ def publish(messages: DataFrame, topic: str, bootstrap: str | None = None, path:
     messages.write.mode("append").json(path)
 
 
-def upsert_sink(table: load.VersionedTable, key: Sequence[str],
-                derive: dict | None = None, compact_every: int = 100) -> Callable[[DataFrame, int], None]:
+def upsert_sink(table: load.TableFolder, key: Sequence[str], derive: dict | None = None) -> Callable[[DataFrame, int], None]:
     """SNK-16: foreachBatch writer merging each micro-batch into a keyed table.
 
     ``derive`` adds columns before the merge, typically the table's partition column (e.g.
     ``{"window_day": F.to_date("window_start")}``): a micro-batch then rewrites only the days it
-    touches instead of the whole result table. Every ``compact_every`` batches the table's segments
-    are compacted into one, so reads do not grow with the number of micro-batches.
+    touches. The merge stages the micro-batch once, so its plan runs once.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         for name, col in (derive or {}).items():
             batch = batch.withColumn(name, col)
         load.materialize(batch.sparkSession, batch, "merge", table, key=key)
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            table.compact()
     return write
 
 
-def replace_sink(table: load.VersionedTable) -> Callable[[DataFrame, int], None]:
-    """Complete-mode writer: each micro-batch carries the whole result, which replaces the table."""
+def replace_sink(table: load.TableFolder) -> Callable[[DataFrame, int], None]:
+    """Complete-mode writer: each micro-batch carries the whole result, which replaces the table.
+
+    Only for results that stay small (a handful of groups); growing results use ``append`` or ``update``.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         table.replace(batch)
     return write

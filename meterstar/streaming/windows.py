@@ -174,12 +174,6 @@ def longest_session(sessions: DataFrame, key: str = "pulocationid") -> DataFrame
     return top.select(F.lit(1).alias("id"), key, "num_trips", "window_start", "window_end")
 
 
-def count_with_predicate(events: DataFrame, predicate: Column, alias: str, max_records: int | None = None) -> DataFrame:
-    """AG-12 / SRC-14: total records and records satisfying ``predicate`` in one pass.
-
-    ``max_records`` stops after that many records, like a consumer that breaks at a count (the
-    limit is the feature here); by default every record is read.
-    """
-    if max_records is not None:
-        events = events.limit(max_records)
+def count_with_predicate(events: DataFrame, predicate: Column, alias: str) -> DataFrame:
+    """AG-12 / SRC-14: total records and records satisfying ``predicate`` in one pass."""
     return events.agg(F.count(F.lit(1)).alias("record_count"), F.count_if(predicate).alias(alias))

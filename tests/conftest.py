@@ -15,7 +15,9 @@ def spark():
     from meterstar.session import get_session
 
     s = get_session("local[4]", app="meterstar-tests", shuffle_partitions=8,
-                    extra={"spark.ui.showConsoleProgress": "false"})
+                    extra={"spark.ui.showConsoleProgress": "false",
+                           # the library's scratch folder is named by whoever starts the session
+                           "spark.checkpoint.dir": tempfile.mkdtemp(prefix="meterstar-shared-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

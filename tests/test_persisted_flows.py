@@ -1,9 +1,12 @@
 """End-to-end persisted loads: incremental fact build and interval re-runs equal a fresh build."""
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from meterstar.operators import load
+from meterstar.operators.quality import QualityError
 from meterstar.plans import interval, warehouse
 from tests.conftest import SF_SMALL
 
@@ -13,10 +16,10 @@ def as_set(df, cols):
 
 
 def test_incremental_fact_load_equals_full_build(spark, tmp_dir):
-    table = load.VersionedTable(spark, os.path.join(tmp_dir, "fct"))
-    assert warehouse.load_fct(spark, SF_SMALL, table, until="1998-01-01") == 0
+    table = load.TableFolder(spark, os.path.join(tmp_dir, "fct"), partition_by="pickup_date")
+    warehouse.load_fct(spark, SF_SMALL, table, until="1998-01-01")
     first = table.read().count()
-    assert warehouse.load_fct(spark, SF_SMALL, table) == 1           # only newer pickups, merged
+    warehouse.load_fct(spark, SF_SMALL, table)           # only newer pickups, merged
     full = warehouse.fct_trips(spark, SF_SMALL)
     cols = warehouse.FCT_COLUMNS
     assert 0 < first < full.count()
@@ -25,10 +28,22 @@ def test_incremental_fact_load_equals_full_build(spark, tmp_dir):
     assert as_set(table.read(), cols) == as_set(full, cols)
 
 
+def test_fact_load_enforces_contract_and_tests_before_writing(spark, tmp_dir, monkeypatch):
+    table = load.TableFolder(spark, os.path.join(tmp_dir, "fct"))
+    real = warehouse.fct_trips
+    for change in (lambda f: f.withColumn("fare_amount", F.col("fare_amount").cast("double")),
+                   lambda f: f.withColumn("service_type", F.lit("Blue")), lambda f: f.union(f)):
+        monkeypatch.setattr(warehouse, "fct_trips", lambda *a, change=change: change(real(*a)))
+        with pytest.raises(QualityError):
+            warehouse.load_fct(spark, SF_SMALL, table)
+        assert not table.exists()
+
+
 def test_interval_reruns_equal_full_run(spark, tmp_dir):
-    stg_t = load.VersionedTable(spark, os.path.join(tmp_dir, "stg"), partition_by=["pickup_date"])
-    rep_t = load.VersionedTable(spark, os.path.join(tmp_dir, "rep"), partition_by=["report_date"])
-    interval.run_window(spark, SF_SMALL, interval.FULL_RUN, stg_t, rep_t)
+    stg_t = load.TableFolder(spark, os.path.join(tmp_dir, "stg"), partition_by="pickup_date")
+    rep_t = load.TableFolder(spark, os.path.join(tmp_dir, "rep"), partition_by="report_date")
+    interval.run_window(spark, SF_SMALL, (None, None), stg_t, rep_t)
+    april = set(os.listdir(os.path.join(tmp_dir, "stg", "_part=1997-04-05")))
     interval.run_window(spark, SF_SMALL, ("1997-03-01", "1997-04-01"), stg_t, rep_t)   # re-run a month
     interval.run_window(spark, SF_SMALL, ("1997-03-10", "1997-03-20"), stg_t, rep_t)   # and a part of it
     full_stg = interval.staging_trips(spark, SF_SMALL)
@@ -37,6 +52,5 @@ def test_interval_reruns_equal_full_run(spark, tmp_dir):
     rcols = ["trip_date", "taxi_type", "payment_type", "trip_count", "total_fare", "avg_fare"]
     assert as_set(stg_t.read(), scols) == as_set(full_stg, scols)
     assert as_set(rep_t.read(), rcols) == as_set(full_rep, rcols)
-    # the month re-run superseded only March's day folders in the first segment
-    excluded = stg_t.current()["segments"][0]["exclude"]
-    assert excluded and all(d.startswith("1997-03") for d in excluded)
+    # the month re-run left April's folders alone
+    assert set(os.listdir(os.path.join(tmp_dir, "stg", "_part=1997-04-05"))) == april

@@ -78,12 +78,35 @@ def test_paged_records_stop_at_first_empty_page(spark, tmp_dir):
     assert sorted(r.trip_id for r in got.collect()) == [1, 2, 3]
 
 
+def test_malformed_page_or_document_fails_the_read(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "bad")
+    os.makedirs(d)
+    for p, text in {1: '[{"trip_id": 1}]', 2: "[{oops", 3: '[{"trip_id": 3}]', 4: "[]", 5: '[{"trip_id": 5}]'}.items():
+        with open(os.path.join(d, f"page_{p}.json"), "w") as f:
+            f.write(text)
+    schema = T.StructType([T.StructField("trip_id", T.LongType())])
+    with pytest.raises(Exception):
+        N.read_paged_records(spark, d, schema).collect()
+    skipped = N.read_paged_records(spark, d, schema, mode="PERMISSIVE")
+    assert sorted(r.trip_id for r in skipped.collect()) == [1, 3]
+    docs = spark.createDataFrame([('{"a": {"trip_id": 1}}',), ("{oops",)], "value string")
+    with pytest.raises(Exception):
+        N.explode_keyed_document(docs, schema).collect()
+    assert N.explode_keyed_document(docs, schema, mode="PERMISSIVE").count() == 1
+
+
 def test_replace_with_children(spark, tmp_dir):
     parent = spark.createDataFrame([("k1",)], "doc_key string")
     child = spark.createDataFrame([("k1", 0, "A")], "doc_key string, _list_idx int, name string")
-    v = N.replace_with_children(spark, tmp_dir, "books", parent, {"authors": child})
-    v2 = N.replace_with_children(spark, tmp_dir, "books", parent, {"authors": child.limit(0)})
-    assert v == {"books": 0, "books__authors": 0} and v2 == {"books": 1, "books__authors": 1}
+    t = N.replace_with_children(spark, tmp_dir, "books", parent, {"authors": child})
+    assert {n: x.read().count() for n, x in t.items()} == {"books": 1, "books__authors": 1}
+    # an error in one table leaves all of them as they were
+    bad = child.withColumn("name", F.raise_error(F.lit("simulated")).cast("string"))
+    with pytest.raises(Exception):
+        N.replace_with_children(spark, tmp_dir, "books", parent.limit(0), {"authors": bad})
+    assert {n: x.read().count() for n, x in t.items()} == {"books": 1, "books__authors": 1}
+    t = N.replace_with_children(spark, tmp_dir, "books", parent, {"authors": child.limit(0)})
+    assert {n: x.read().count() for n, x in t.items()} == {"books": 1, "books__authors": 0}
 
 
 def test_fact_table_meets_contract_and_checks_enforce(spark):
