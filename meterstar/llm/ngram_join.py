@@ -90,6 +90,21 @@ def _with_vectors(found: DataFrame) -> DataFrame:
     return found.select("pid", "text").mapInArrow(count, "pid long, text string, vector binary")
 
 
+def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) that sizes and summed coordinate minima do not rule out; vectors travel, texts do not."""
+    for x in "ab":
+        pairs = pairs.join(sets.select(F.col("pid").alias(x), F.col("vector").alias(f"v_{x}")), x)
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int32).reshape(-1, COARSE) for c in ("v_a", "v_b"))
+            n_a, n_b, common = (v.sum(axis=1, dtype=np.int64) for v in (a, b, np.minimum(a, b)))
+            keep = (DEN * np.minimum(n_a, n_b) >= NUM * np.maximum(n_a, n_b)) & ((NUM + DEN) * common >= NUM * (n_a + n_b))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
+
+    return staged(pairs.select("a", "b", "v_a", "v_b").mapInArrow(bound, "a long, b long"), "bounded")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) that do link, by their exact sets."""
     both = (pairs.join(sets.select(F.col("pid").alias("a"), F.col("text").alias("text_a")), "a")
@@ -181,7 +196,8 @@ def _members(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     branches = staged(lists.join(hubs, "h").groupBy("hub", "pid").agg(F.count("*").alias("c")), "branches")
     to_hub = (branches.where("pid <> hub").groupBy("pid").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub"))
               .select(F.col("pid").alias("a"), F.col("hub").alias("b")))
-    near = _verified(to_hub, sets)
+    close = _bounded(to_hub, sets)
+    near = _verified(close, sets)
     nodes = staged(components(near), "nodes")
 
     # tiles of the branches that hold more than one node
@@ -208,7 +224,7 @@ def _members(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     roots = components(near.union(far)).withColumnRenamed("node", "pid")
     out = staged(every.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "pid").join(roots, "pid", "left").select(
         "doc_id", "text_key", "n_shingles", F.coalesce("root", "pid").alias("root")), "members")
-    for t in (every, shared, lists, points, sets, branches, nodes, tiles, over, survivors, near, far):
+    for t in (every, shared, lists, points, sets, branches, close, nodes, tiles, over, survivors, near, far):
         drop_staged(t)
     return out
 
