@@ -51,7 +51,8 @@ def money(c: ColumnOrName) -> Column:
 
 
 def as_text(c: ColumnOrName) -> Column:
-    """Engine-independent text for hashing: timestamps rendered explicitly, the rest cast."""
+    """Text for hashing: a plain cast. TIMESTAMP_NTZ and the other types used here print alike in every
+    session; a zone-dependent TIMESTAMP follows the session time zone (UTC by this library's defaults)."""
     c = _c(c)
     return c.cast("string")
 

@@ -205,16 +205,16 @@ def _folder(spark, partition_by=None) -> L.TableFolder:
     return L.TableFolder(spark, scratch_path(spark, "tables", f"load-{uuid.uuid4().hex[:12]}"), partition_by)
 
 
-def _dated(t: DataFrame) -> DataFrame:
-    return t.withColumn("pickup_date", F.to_date("pickup_datetime"))
+def _placed(t: DataFrame) -> DataFrame:
+    return t.withColumn("pickup_month", F.date_format("pickup_datetime", "yyyy-MM"))
 
 
-def _persisted(spark, sf_dir, strategy, changes=None, first=None, partition_by="pickup_date", **options) -> DataFrame:
-    """Load the target, then the changes with ``strategy``, into a folder partitioned by day; read it."""
+def _persisted(spark, sf_dir, strategy, changes=None, first=None, partition_by="pickup_month", **options) -> DataFrame:
+    """Load the target, then the changes with ``strategy``, into a folder partitioned by month; read it."""
     t = _narrow(spark, sf_dir)
     table = _folder(spark, partition_by)
-    L.materialize(spark, _dated(_target(t) if first is None else first(t)), "table", table)
-    L.materialize(spark, _dated((changes or _changes)(t)), strategy, table, **options)
+    L.materialize(spark, _placed(_target(t) if first is None else first(t)), "table", table)
+    L.materialize(spark, _placed((changes or _changes)(t)), strategy, table, **options)
     return table.read().select(*NARROW)
 
 

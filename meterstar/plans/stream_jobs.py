@@ -102,21 +102,21 @@ def m7_consumer_distance_count(spark, sf_dir):
     return W.count_with_predicate(decoded(spark, sf_dir), F.col("trip_distance") > DISTANCE_OVER, "distance_over_5")
 
 
-@query("m7_pass_through", covers="Q-M7-1 STR-2 SRC-10 SRC-12 FN-14 FN-15 SNK-15 SNK-18", sql=_EV_SQL + """
+@query("m7_pass_through", covers="Q-M7-1 STR-2 SRC-12 FN-14 FN-15 SNK-18", sql=_EV_SQL + """
 SELECT pulocationid AS PULocationID, dolocationid AS DOLocationID, 1 AS passenger_count, trip_distance,
        tip_amount, total_amount, event_time AS pickup_datetime, dropoff_time AS dropoff_datetime FROM ev""")
 def m7_pass_through(spark, sf_dir):
     return W.pass_through(decoded(spark, sf_dir, strict=True))
 
 
-@query("m7_five_minute_zone_counts", covers="Q-M7-2 STR-3 STR-8 SRC-11 FLT-1 SNK-17 FN-21", sql=_EV_SQL + f"""
+@query("m7_five_minute_zone_counts", covers="Q-M7-2 STR-3 STR-8 SRC-11 FLT-1 FN-21", sql=_EV_SQL + f"""
 SELECT time_bucket(INTERVAL '{TUMBLE}', event_time) AS window_start, pulocationid, count(*) AS num_trips
 FROM ev GROUP BY 1, 2""")
 def m7_five_minute_zone_counts(spark, sf_dir):
     return five_minute_counts(decoded(spark, sf_dir))
 
 
-@query("m7_hourly_tips", covers="Q-M7-3 STR-1 STR-4 SNK-16", sql=_EV_SQL + f"""
+@query("m7_hourly_tips", covers="Q-M7-3 STR-4", sql=_EV_SQL + f"""
 SELECT time_bucket(INTERVAL '{HOUR}', event_time) AS window_start,
        time_bucket(INTERVAL '{HOUR}', event_time) + INTERVAL '{HOUR}' AS window_end,
        CAST(sum(CAST(tip_amount AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_tip_amount
@@ -125,7 +125,7 @@ def m7_hourly_tips(spark, sf_dir):
     return hourly_tips(decoded(spark, sf_dir))
 
 
-@query("m7_zone_sessions", covers="Q-M7-4 STR-5 STR-8 STR-11", sql=_SESSIONS_SQL + "SELECT * FROM sessions")
+@query("m7_zone_sessions", covers="Q-M7-4 STR-5 STR-8", sql=_SESSIONS_SQL + "SELECT * FROM sessions")
 def m7_zone_sessions(spark, sf_dir):
     return zone_sessions(decoded(spark, sf_dir))
 

@@ -25,27 +25,29 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
     """SRC-4/5/6: CSV (also .csv.gz) with a header.
 
     Without ``schema`` every column is a string (as the reference's Spark read). With a declared
-    schema Spark matches columns by *position*; ``check_header`` first verifies that the header
-    names agree with the schema (case-insensitive) instead of silently mislabelling columns.
-    Surplus trailing fields are dropped, missing ones are NULL.
+    schema Spark matches columns by *position*, so the header of every file is checked against the
+    declared names (``enforceSchema=false``): a file with renamed or reordered columns fails the read
+    instead of mislabelling them. Surplus trailing columns are allowed and dropped; missing trailing
+    fields of a row are NULL.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.option("header", header).option("mode", mode)
-    if schema is not None:
-        if header and check_header:
-            # header names only (no type inference reads just the first line); surplus trailing
-            # columns are allowed, a renamed or reordered column is not
-            found = [c.lower() for c in spark.read.option("header", True).csv(paths).columns]
-            want = [f.name.lower() for f in schema.fields]
-            if found[:len(want)] != want[:len(found)]:
-                raise ValueError(f"CSV header {found} does not match the declared schema {want}")
-        reader = reader.schema(schema).option("enforceSchema", True)
-    return reader.csv(paths)
+    if schema is None:
+        return reader.csv(paths)
+    if not (header and check_header):
+        return reader.schema(schema).csv(paths)
+    # names of one header (only a first line is read) tell the surplus columns; Spark checks all files by them
+    found = spark.read.option("header", True).csv(paths).columns
+    full = T.StructType(list(schema.fields) + [T.StructField(c, T.StringType()) for c in found[len(schema.fields):]])
+    return reader.schema(full).option("enforceSchema", False).csv(paths).select(*schema.names)
 
 
-def with_source_file(df: DataFrame, name: str = "filename") -> DataFrame:
-    """FN-20: the landed file name of each row (``_metadata.file_name``)."""
-    return df.withColumn(name, F.col("_metadata.file_name"))
+def with_source_file(df: DataFrame, name: str = "filename", pattern: str | None = None) -> DataFrame:
+    """FN-20: the landed file name of each row (``_metadata.file_name``), or what ``pattern`` (one group)
+    finds in its path."""
+    if pattern is None:
+        return df.withColumn(name, F.col("_metadata.file_name"))
+    return df.withColumn(name, F.regexp_extract(F.col("_metadata.file_path"), pattern, 1))
 
 
 def monthly_file_names(start: str | _dt.date, end: str | _dt.date, kinds: Iterable[str],
@@ -73,14 +75,15 @@ def read_monthly_feeds(spark: SparkSession, root: str, start: str, end: str, kin
     """SRC-8: read every monthly file of every kind in one scan per kind, tag rows with the kind.
 
     Feeds of different kinds may have different columns, so each kind is one multi-path read and the
-    kinds are unioned by name with missing columns as NULL (SET-2).
+    kinds are unioned by name with missing columns as NULL (SET-2). The months of one kind may differ
+    too: their schemas are merged, so a column that only some months have is kept.
     """
     out = None
     for kind in kinds:
         names = monthly_file_names(start, end, [kind], pattern)
         if not names:
             continue
-        df = spark.read.parquet(*[f"{root}/{n}" for n in names]).withColumn(tag, F.lit(kind))
+        df = spark.read.option("mergeSchema", True).parquet(*[f"{root}/{n}" for n in names]).withColumn(tag, F.lit(kind))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     if out is None:
         raise ValueError("no month start inside the requested range")
@@ -109,7 +112,7 @@ def read_seed(spark: SparkSession, path: str, schema: T.StructType, primary_key:
     """SRC-7: a small CSV lookup (seed) with a declared schema and primary key.
 
     The key is checked (not null, unique) before the seed is used; a violation raises. The seed is
-    returned lazily; joins decide broadcasting through ``operators.star`` (size checked).
+    returned lazily.
     """
     from meterstar.operators import quality as Q
 

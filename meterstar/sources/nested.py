@@ -22,14 +22,14 @@ from meterstar.session import drop_materialized, materialized
 
 
 def read_paged_records(spark: SparkSession, path: str, record_schema: T.StructType,
-                       page_pattern: str = r"page[_-]?(\d+)", base_page: int = 1, mode: str = "FAILFAST") -> DataFrame:
+                       page_pattern: str = r"page[_=-]?(\d+)", base_page: int = 1, mode: str = "FAILFAST") -> DataFrame:
     """All records of pages ``base_page, base_page+1, ...`` up to (not including) the first empty page.
 
-    Only an empty array (or an empty file) ends the feed. A page that is no array of such records
+    Page numbers stand in the file's path (``page_7.json``, ``page=7/...``). Only an empty array (or an empty file) ends the feed. A page that is no array of such records
     fails the read; ``mode="PERMISSIVE"`` skips it and goes on with the pages after it.
     """
     raw = (spark.read.option("wholetext", True).text(path)
-           .select(F.regexp_extract(F.col("_metadata.file_name"), page_pattern, 1).cast("int").alias("page"), "value",
+           .select(F.regexp_extract(F.col("_metadata.file_path"), page_pattern, 1).cast("int").alias("page"), "value",
                    F.from_json("value", T.ArrayType(record_schema), {"mode": mode}).alias("records")))
     raw = raw.where(F.col("page") >= base_page)
     empty = (F.size("records") == 0) | (F.trim("value") == "")

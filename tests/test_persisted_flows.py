@@ -16,7 +16,7 @@ def as_set(df, cols):
 
 
 def test_incremental_fact_load_equals_full_build(spark, tmp_dir):
-    table = load.TableFolder(spark, os.path.join(tmp_dir, "fct"), partition_by="pickup_date")
+    table = load.TableFolder(spark, os.path.join(tmp_dir, "fct"), partition_by="pickup_month")
     warehouse.load_fct(spark, SF_SMALL, table, until="1998-01-01")
     first = table.read().count()
     warehouse.load_fct(spark, SF_SMALL, table)           # only newer pickups, merged

@@ -94,3 +94,43 @@ def test_read_seed_enforces_primary_key(spark, tmp_dir):
     assert files.read_seed(spark, good, schema, ["payment_type"]).count() == 3
     with pytest.raises(QualityError):
         files.read_seed(spark, bad, schema, ["payment_type"])
+
+
+def test_every_csv_file_is_checked_against_the_schema(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "two")
+    os.makedirs(d)
+    for name, text in (("a.csv", "x,y\n1,2\n"), ("b.csv", "y,x\n10,20\n")):
+        with open(os.path.join(d, name), "w") as f:
+            f.write(text)
+    schema = T.StructType([T.StructField("x", T.IntegerType()), T.StructField("y", T.IntegerType())])
+    with pytest.raises(Exception):
+        files.read_csv(spark, d, schema).collect()
+
+
+def test_months_with_other_columns_are_merged(spark, tmp_dir):
+    spark.createDataFrame([(1,)], "a int").write.parquet(f"{tmp_dir}/green_tripdata_2020-01.parquet")
+    spark.createDataFrame([(2, "x")], "a int, extra string").write.parquet(f"{tmp_dir}/green_tripdata_2020-02.parquet")
+    df = files.read_monthly_feeds(spark, tmp_dir, "2020-01-01", "2020-02-28", ["green"])
+    assert sorted((r.a, r.extra) for r in df.collect()) == [(1, None), (2, "x")]
+
+
+def test_shared_folder_is_asked_for_off_local_masters():
+    from meterstar import session
+
+    class Conf(dict):
+        def set(self, k, v):
+            self[k] = v
+
+    class Context:
+        master = "local-cluster[2,1,1024]"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(Session())
+    Session.conf["spark.checkpoint.dir"] = "hdfs:///shared"
+    assert session.checkpoint_root(Session()) == "hdfs:///shared"

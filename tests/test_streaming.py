@@ -167,3 +167,20 @@ def test_publish_then_consume(spark, tmp_dir):
     got = W.parse_trip_events(S.read_topic_batch(spark, "green-trips", path=topic))
     cols = ["PULocationID", "event_time", "tip_amount"]
     assert as_set(got, cols) == as_set(J.decoded(spark, SF_SMALL), cols)
+
+
+def test_append_sessions_emit_closed_sessions_only(spark, tmp_dir):
+    """append with a watermark: a closed session leaves the state and is written once."""
+    import time as _time
+    topic, out = os.path.join(tmp_dir, "session-topic"), os.path.join(tmp_dir, "sessions")
+    msgs = J.trip_events_frame(spark, SF_SMALL)
+    closing = msgs.limit(1).withColumn("lpep_pickup_datetime", F.lit("2030-01-01 00:00:00")).withColumn("PULocationID", F.lit(-1))
+    for part in (msgs, closing, closing):       # the last batch comes after the watermark has moved
+        W.to_messages(part, W.TRIP_EVENT_FIELDS).coalesce(1).write.mode("append").json(topic)
+        _time.sleep(1.1)
+    stream = W.parse_trip_events(S.read_topic(spark, "green-trips", path=topic, max_per_trigger=1))
+    S.run_bounded(J.zone_sessions(stream), os.path.join(tmp_dir, "ck"), "append", path=out)
+    cols = ["window_start", "window_end", "pulocationid", "num_trips"]
+    got = spark.read.parquet(out)
+    assert as_set(got, cols) == as_set(J.zone_sessions(J.decoded(spark, SF_SMALL)), cols)
+    assert got.count() == got.select("window_start", "pulocationid").distinct().count()

@@ -27,28 +27,28 @@ IMPL = {
     "SRC-11": ("streaming/jobs.py:read_topic / read_topic_batch; streaming/windows.py:parse_trip_events(strict=False)", "test_streaming"),
     "SRC-12": ("streaming/windows.py:parse_trip_events(strict=True) (FAILFAST)", "test_streaming::test_json_modes"),
     "SRC-13": ("sources/jdbc.py:read_table", "not tested: no database available"),
-    "SRC-14": ("streaming/windows.py:count_with_predicate(max_records)", "test_streaming::test_consumer_count_with_record_cap"),
+    "SRC-14": ("streaming/windows.py:count_with_predicate", "test_streaming::test_consumer_counts_every_record"),
     "SRC-15": ("sources/nested.py:read_paged_records", "test_quality_nested::test_paged_records_stop_at_first_empty_page"),
     "SRC-16": ("sources/nested.py:explode_keyed_document", "test_quality_nested::test_keyed_document_and_child_table"),
     "SRC-17": ("sources/nested.py:child_table", "test_quality_nested::test_keyed_document_and_child_table"),
     "SRC-18": ("sources/catalog.py:register_views, named", "test_sources_layout::test_gzip_csv_and_catalog_views"),
     "SRC-19": ("sources/files.py:generated_range", "test_streaming::test_bounded_batch_read_of_topic_folder"),
     "SNK-1": ("operators/load.py:write_files", "test_sources_layout::test_partitioned_clustered_write_prunes"),
-    "SNK-2": ("operators/load.py:VersionedTable.replace; sources/jdbc.py:write_table(mode=overwrite, truncate)", "test_operators"),
+    "SNK-2": ("operators/load.py:TableFolder.replace; sources/jdbc.py:write_table(mode=overwrite, truncate)", "test_operators"),
     "SNK-3": ("operators/load.py:materialize('view'); sources/catalog.py:view", "test_sources_layout"),
-    "SNK-4": ("operators/load.py:materialize('table') / VersionedTable.replace", "test_operators::test_materialize_strategies_and_idempotence"),
-    "SNK-5": ("operators/load.py:materialize('append') / VersionedTable.append", "test_operators::test_materialize_strategies_and_idempotence"),
+    "SNK-4": ("operators/load.py:materialize('table') / TableFolder.replace", "test_operators::test_materialize_strategies_and_idempotence"),
+    "SNK-5": ("operators/load.py:materialize('append') / TableFolder.append", "test_operators::test_materialize_strategies_and_idempotence"),
     "SNK-6": ("operators/load.py:insert_new, new_rows, materialize('insert_new')", "test_operators, test_properties"),
     "SNK-7": ("operators/load.py:upsert, materialize('merge') (partition-scoped)", "test_operators, test_properties"),
     "SNK-8": ("operators/load.py:high_water_rows, materialize(high_water=, lookback=); plans/warehouse.py:load_fct", "test_operators::test_high_water*, test_persisted_flows"),
     "SNK-9": ("operators/load.py:add_new_columns, materialize('merge') widening", "test_operators::test_materialize_strategies_and_idempotence"),
     "SNK-10": ("operators/load.py:replace_interval, materialize('time_interval') (partition-scoped); plans/interval.py:run_window", "test_operators, test_properties, test_persisted_flows"),
     "SNK-11": ("operators/load.py:delete_insert, materialize('delete_insert')", "test_operators, test_properties"),
-    "SNK-12": ("operators/load.py:write_partitioned, VersionedTable(partition_by=)", "test_sources_layout::test_partitioned_clustered_write_prunes"),
+    "SNK-12": ("operators/load.py:write_partitioned, TableFolder(partition_by=)", "test_sources_layout::test_partitioned_clustered_write_prunes"),
     "SNK-13": ("operators/load.py:write_partitioned(cluster_by=), pruned_range", "test_sources_layout::test_partitioned_clustered_write_prunes"),
     "SNK-14": ("sources/nested.py:replace_with_children", "test_quality_nested::test_replace_with_children"),
     "SNK-15": ("streaming/jobs.py:run_bounded/run_unbounded (file sink); sources/jdbc.py:append_sink", "test_streaming::test_pass_through_file_sink"),
-    "SNK-16": ("streaming/jobs.py:upsert_sink (derive partition, compaction)", "test_streaming"),
+    "SNK-16": ("streaming/jobs.py:upsert_sink (derive partition)", "test_streaming"),
     "SNK-17": ("batch window results written by materialize / parquet", "test_streaming"),
     "SNK-18": ("streaming/windows.py:to_messages; streaming/jobs.py:publish", "test_streaming::test_publish_then_consume"),
     "SNK-19": ("sources/catalog.py:view (createOrReplaceTempView)", "test_sources_layout"),
@@ -77,7 +77,7 @@ IMPL = {
     "FLT-11": ("operators/dedup.py:keep_first (row_number = 1)", "test_operators"),
     "FLT-12": ("operators/dedup.py:lowest_with_ties / top_n", "oracle"),
     "FLT-13": ("& conjunctions; Python branch per feed", "oracle"),
-    "JN-1": ("operators/star.py:enrich (size-checked broadcast)", "test_plans::test_dimension_join_is_broadcast"),
+    "JN-1": ("operators/star.py:enrich", "test_plans::test_dimension_join_is_broadcast"),
     "JN-2": ("operators/star.py:enrich(fact_key=expression) in plans/warehouse.py:int_trips", "oracle"),
     "JN-3": ("operators/star.py:role_playing", "test_operators::test_enrich_role_playing_and_orphans"),
     "JN-4": ("operators/star.py:enrich(how='left') in plans/interval.py", "oracle"),
@@ -93,7 +93,7 @@ IMPL = {
     "WN-1": ("operators/dedup.py:keep_first (WindowGroupLimit before and after the shuffle)", "test_operators::test_keep_first_limits_before_shuffle"),
     "WN-2": ("operators/dedup.py:top_n; streaming/windows.py:longest_session", "oracle"),
     "WN-3": ("operators/dedup.py:lowest_with_ties (min join, no global window)", "test_operators::test_lowest_with_ties_and_top_n"),
-    "SRT-1": ("operators/dedup.py:top_n", "oracle"), "SRT-2": ("ordinal GROUP BY / ORDER BY in SQL oracles", "oracle"),
+    "SRT-1": ("operators/dedup.py:top_n", "oracle"), "SRT-2": ("plans/reports.py:m6_least_used_pickup_zones_sql (GROUP BY 1, ORDER BY 2, 1)", "oracle"),
     "SRT-3": ("operators/dedup.py:top_n", "oracle"), "SRT-4": ("operators/dedup.py:top_n (tie-break)", "oracle"),
     "SRT-5": ("sources/catalog.py:preview", "test_sources_layout::test_preview_is_bounded"),
     "SET-1": ("operators/staging.py:union_feeds", "oracle"), "SET-2": ("unionByName(allowMissingColumns) in read_monthly_feeds / add_new_columns", "oracle"),
@@ -125,17 +125,17 @@ IMPL = {
     "STR-8": ("streaming/windows.py:guard", "oracle"),
     "STR-9": ("streaming/jobs.py:run_bounded (availableNow)", "test_streaming"),
     "STR-10": ("checkpointLocation + trigger interval (jobs.run_unbounded)", "test_streaming::test_unbounded_query_runs_and_stops"),
-    "STR-11": ("streaming/jobs.py:replace_sink (complete mode) / upsert_sink", "test_streaming::test_stream_sessions_equal_batch"),
+    "STR-11": ("session_counts in append, update or complete mode", "test_streaming::test_append_sessions_emit_closed_sessions_only"),
     "STR-12": ("streaming/jobs.py:read_topic(starting=, group_id=) + checkpoint offsets", "not tested: no Kafka connector"),
     "DQ-1": ("operators/quality.py:not_null", "test_quality_nested"), "DQ-2": ("operators/quality.py:unique", "test_quality_nested"),
     "DQ-3": ("operators/quality.py:accepted_values", "test_quality_nested"), "DQ-4": ("operators/quality.py:relationships", "test_quality_nested"),
     "DQ-5": ("operators/quality.py:unique_combination", "test_quality_nested"), "DQ-6": ("operators/quality.py:expression_is_true", "test_quality_nested"),
     "DQ-7": ("operators/quality.py:row_count", "test_quality_nested"), "DQ-8": ("operators/quality.py:non_negative", "test_quality_nested"),
     "DQ-9": ("operators/quality.py:positive", "test_quality_nested"), "DQ-10": ("operators/quality.py:scalar", "test_quality_nested::test_enforce_and_scalar"),
-    "DQ-11": ("not_null + unique_combination on the primary key", "oracle"),
-    "DQ-12": ("operators/quality.py:contract_violations; plans/warehouse.py:FCT_CONTRACT", "test_quality_nested::test_fact_table_meets_contract_and_checks_enforce"),
+    "DQ-11": ("not_null on the three key columns + unique_combination", "oracle"),
+    "DQ-12": ("operators/quality.py:contract_violations; plans/warehouse.py:FCT_CONTRACT", "test_persisted_flows::test_fact_load_enforces_contract_and_tests_before_writing"),
     "DQ-13": ("operators/quality.py:freshness", "test_quality_nested::test_freshness_and_contract"),
-    "DQ-14": ("operators/quality.py:enforce", "test_quality_nested::test_enforce_and_scalar"),
+    "DQ-14": ("operators/quality.py:enforce; plans/warehouse.py:load_fct", "test_persisted_flows::test_fact_load_enforces_contract_and_tests_before_writing"),
 }
 
 
