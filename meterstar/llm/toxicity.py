@@ -33,6 +33,9 @@ def expressions(text: str | None) -> list[bytes]:
     return [w[:DEPTH] for w in raw.split()]
 
 
+END = b"\x01"           # ends a word; no word holds it
+
+
 @dataclass
 class Ratios:
     """log(toxic / ordinary) likelihood of word starts, and of leaving the known starts there."""
@@ -40,12 +43,12 @@ class Ratios:
     reach: dict[bytes, tuple[float, float]]
 
     def of(self, word: bytes) -> float:
-        word += b"\0"
-        for n in range(len(word), 0, -1):
+        word += END
+        for n in range(len(word), -1, -1):
             got = self.reach.get(word[:n])
             if got is not None:
                 return got[0] if n == len(word) else got[0] + got[1]
-        return self.reach[b""][1] if b"" in self.reach else 0.0
+        return 0.0
 
 
 def kneser_ney(words: list[bytes], toxic: np.ndarray, ordinary: np.ndarray) -> Ratios:
@@ -55,35 +58,38 @@ def kneser_ney(words: list[bytes], toxic: np.ndarray, ordinary: np.ndarray) -> R
     mass goes to the shared model: the same start in both classes, each word type counted once (the
     continuation count of Kneser-Ney), which in turn backs off to an even spread. A start that a class
     never had takes the shared model as it is, so rare words differ only where the classes do.
+
+    Works through the starts by length; starts seen fewer than LEAST times in both classes together end
+    the known part there.
     """
-    counts: dict[bytes, list] = {b"": [0, 0, 0]}
-    children: dict[bytes, list[bytes]] = {}
-    for w, t, o in zip(words, toxic.tolist(), ordinary.tolist()):
-        w += b"\0"
-        for n in range(len(w) + 1):
-            c = counts.get(w[:n])
-            if c is None:
-                c = counts[w[:n]] = [0, 0, 0]
-                children.setdefault(w[:n - 1], []).append(w[:n])
-            c[0] += t
-            c[1] += o
-            c[2] += 1
     reach: dict[bytes, tuple[float, float]] = {}
-    stack = [(b"", 0.0)]
-    while stack:
-        start, ratio = stack.pop()
-        t, o, kinds = counts[start]
-        below = children.get(start, [])
-        kinds_seen = [sum(1 for c in below if counts[c][i]) for i in (0, 1)]
-        spare = [DISCOUNT * kinds_seen[i] / n if n else 1.0 for i, n in enumerate((t, o))]
-        reach[start] = (ratio, float(np.log(spare[0] / spare[1])) if below else 0.0)
-        for c in below:
-            ct, co, ck = counts[c]
-            if ct + co < LEAST:
-                continue
-            shared = (max(ck - DISCOUNT, 0) + DISCOUNT * len(below) / LETTERS) / kinds
-            p = [(max(n - DISCOUNT, 0) / total if total else 0.0) + spare[i] * shared for i, (n, total) in enumerate(((ct, t), (co, o)))]
-            stack.append((c, ratio + float(np.log(p[0] / p[1]))))
+    if not len(words):
+        return Ratios(reach)
+    whole = np.array([w + END for w in words], dtype=f"S{DEPTH + 1}")
+    length = np.char.str_len(whole)
+    names = np.array([b""], dtype="S1")
+    count = np.array([[toxic.sum()], [ordinary.sum()]], np.float64)
+    kinds, ratio, kept = np.array([float(len(words))]), np.zeros(1), np.ones(1, bool)
+    for n in range(1, DEPTH + 3):
+        rows = np.flatnonzero(length >= n)
+        below, at = np.unique(whole[rows].astype(f"S{n}"), return_inverse=True)
+        now = np.array([np.bincount(at, c[rows], len(below)) for c in (toxic, ordinary)])
+        types = np.bincount(at, minlength=len(below)).astype(np.float64)
+        up = np.searchsorted(names, below.astype(f"S{n - 1}")) if n > 1 else np.zeros(len(below), np.int64)
+        children = np.bincount(up, minlength=len(names))
+        # discounted mass of each start in each class; all of it where the class never had the start
+        seen = np.array([np.bincount(up, c > 0, len(names)) for c in now])
+        spare = np.where(count > 0, DISCOUNT * seen / np.maximum(count, 1), 1.0)
+        leave = np.where(children > 0, np.log(np.where(children > 0, spare[0], 1) / np.where(children > 0, spare[1], 1)), 0.0)
+        for i in np.flatnonzero(kept):
+            reach[bytes(names[i])] = (float(ratio[i]), float(leave[i]))
+        if not len(below):
+            break
+        shared = (np.maximum(types - DISCOUNT, 0) + DISCOUNT * children[up] / LETTERS) / kinds[up]
+        p = np.maximum(now - DISCOUNT, 0) / np.maximum(count[:, up], 1) + spare[:, up] * shared
+        ratio = ratio[up] + np.log(p[0] / p[1])
+        kept = kept[up] & (now.sum(axis=0) >= LEAST)
+        names, count, kinds = below, now, types
     return Ratios(reach)
 
 
