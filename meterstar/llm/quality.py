@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from meterstar.llm.common import text_fold
 
-PER_CLASS = 1500       # labelled texts of each class that the classifier is fitted on, at most
+PER_CLASS = 1000       # labelled texts of each class that the classifier is fitted on, at most
 RANK = 64              # latent dimensions
 NEIGHBOURS = 15
 SHARPNESS = 4          # similarities vote with this power
