@@ -71,7 +71,9 @@ def landing_monthly_feeds(spark, sf_dir) -> DataFrame:
 
 
 def read_landed_months(spark: SparkSession, root: str, first: str, last: str) -> DataFrame:
-    return files.read_monthly_feeds(spark, root, first, last, ["green", "yellow"], pattern=MONTH_FILE).select(*FEED, "taxi_type")
+    # a feed without trips in a month has no file for it
+    return files.read_monthly_feeds(spark, root, first, last, ["green", "yellow"], pattern=MONTH_FILE,
+                                    ignore_missing=True).select(*FEED, "taxi_type")
 
 
 @query("landing_rows_per_file", covers="SRC-2 FN-20", sql=D.with_sql(D.TRIPS_SQL) + """

@@ -145,7 +145,7 @@ def snk_insert_new(spark, sf_dir):
 
 @query("snk_upsert", covers="SNK-7 JN-8", sql=_NARROW_SQL + f""",
 src AS (SELECT * FROM changes QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-        ORDER BY {', '.join(SOURCE_ORDER)}) = 1)
+        ORDER BY {', '.join(f"{c} NULLS FIRST" for c in SOURCE_ORDER)}) = 1)
 SELECT * FROM target t WHERE NOT EXISTS (
   SELECT 1 FROM src s WHERE t.l_orderkey = s.l_orderkey AND t.l_linenumber = s.l_linenumber)
 UNION ALL SELECT * FROM src""")
@@ -227,12 +227,12 @@ def persisted_insert_new(spark, sf_dir):
 
 
 @query("persisted_merge", covers="SNK-4 SNK-7 SNK-21 SNK-22", sql=_NARROW_SQL + f""",
-src AS (SELECT l_orderkey, l_linenumber, min(({', '.join(SOURCE_ORDER)})) AS f
+src AS (SELECT l_orderkey, l_linenumber, min(ROW({', '.join(f"{c} IS NOT NULL, {c}" for c in SOURCE_ORDER)})) AS f
         FROM changes GROUP BY l_orderkey, l_linenumber)
 SELECT * FROM target t WHERE NOT EXISTS (
   SELECT 1 FROM src s WHERE t.l_orderkey = s.l_orderkey AND t.l_linenumber = s.l_linenumber)
 UNION ALL
-SELECT l_orderkey, l_linenumber, f[2], f[3], f[1], f[4], f[5] FROM src""")
+SELECT l_orderkey, l_linenumber, f[4], f[6], f[2], f[8], f[10] FROM src""")
 def persisted_merge(spark, sf_dir):
     return _persisted(spark, sf_dir, "merge", key=KEY, order=SOURCE_ORDER)
 

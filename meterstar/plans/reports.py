@@ -47,7 +47,7 @@ def m1_longest_trip_day(spark, sf_dir):
     t = D.trips(spark, sf_dir, ["pickup_datetime", "trip_distance"]).where(F.col("trip_distance") < 100)
     daily = t.groupBy(F.to_date("pickup_datetime").alias("trip_date")).agg(
         F.max("trip_distance").alias("max_distance"))
-    return dedup.top_n(daily, [F.col("max_distance").desc(), F.col("trip_date").asc()], 1)
+    return dedup.top_n(daily, [F.col("max_distance").desc(), F.col("trip_date").asc_nulls_last()], 1)
 
 
 # Q-M1-5: pickup zone with the largest total amount on one day.
@@ -61,7 +61,7 @@ def m1_top_revenue_zone_on_day(spark, sf_dir):
         X.on_day("pickup_datetime", REVENUE_DAY))
     t = star.enrich(t, D.zones(spark, sf_dir), "pickup_location_id", "location_id", {"zone": "zone"}, how="inner")
     g = t.groupBy("zone").agg(F.round(F.sum("total_amount"), 3).cast("decimal(38,3)").alias("total_amount_sum"))
-    return dedup.top_n(g, [F.col("total_amount_sum").desc(), F.col("zone").asc()], 1)
+    return dedup.top_n(g, [F.col("total_amount_sum").desc(), F.col("zone").asc_nulls_last()], 1)
 
 
 # Q-M1-6: for pickups in one zone (scalar subquery on the zone name) during a month,
@@ -80,7 +80,7 @@ def m1_largest_tip_dropoff_zone(spark, sf_dir):
     t = t.where(X.day_range("pickup_datetime", MONTH_START, MONTH_LAST_DAY) & (F.col("pickup_location_id") == from_zone))
     t = star.enrich(t, zones, "dropoff_location_id", "location_id", {"zone": "drop_off_zone"}, how="inner")
     g = t.groupBy("drop_off_zone").agg(F.round(F.max("tip_amount"), 3).alias("tip_amount"))
-    return dedup.top_n(g, [F.col("tip_amount").desc(), F.col("drop_off_zone").asc()], 1)
+    return dedup.top_n(g, [F.col("tip_amount").desc(), F.col("drop_off_zone").asc_nulls_last()], 1)
 
 
 # Q-M3-1 / Q-M3-9: row count of the whole table.
@@ -140,7 +140,7 @@ FROM trips ORDER BY diff_hours DESC, pickup_datetime ASC LIMIT 1""")
 def m6_longest_trip_hours(spark, sf_dir):
     t = D.trips(spark, sf_dir, ["pickup_datetime", "dropoff_datetime"])
     t = t.withColumn("diff_hours", X.hours_between("pickup_datetime", "dropoff_datetime"))
-    return dedup.top_n(t, [F.col("diff_hours").desc(), F.col("pickup_datetime").asc()], 1)
+    return dedup.top_n(t, [F.col("diff_hours").desc(), F.col("pickup_datetime").asc_nulls_last()], 1)
 
 
 # Q-M6-6: least-used pickup zones, ties kept (DENSE_RANK ascending = 1).
@@ -220,7 +220,7 @@ def m6_rewrite_four_parts(spark, sf_dir):
     t = D.trips(spark, sf_dir, ["vendor_id", "pickup_datetime", "dropoff_datetime", "pickup_location_id",
                                 "total_amount"])
     path = scratch_path(spark, "tables", f"trips_4parts-{uuid.uuid4().hex[:12]}")
-    size = D.table(spark, sf_dir, "lineitem")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue()
+    size = int(str(D.table(spark, sf_dir, "lineitem")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     load.write_files(t, path, load.parts_for(size, least=REWRITE_PARTS))
     return spark.read.schema(t.schema).parquet(path)
 

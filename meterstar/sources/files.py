@@ -71,16 +71,20 @@ def monthly_file_names(start: str | _dt.date, end: str | _dt.date, kinds: Iterab
 
 
 def read_monthly_feeds(spark: SparkSession, root: str, start: str, end: str, kinds: Sequence[str],
-                       pattern: str = "{kind}_tripdata_{month}.parquet", tag: str = "taxi_type") -> DataFrame:
+                       pattern: str = "{kind}_tripdata_{month}.parquet", tag: str = "taxi_type",
+                       ignore_missing: bool = False) -> DataFrame:
     """SRC-8: read every monthly file of every kind in one scan per kind, tag rows with the kind.
 
     Feeds of different kinds may have different columns, so each kind is one multi-path read and the
     kinds are unioned by name with missing columns as NULL (SET-2). The months of one kind may differ
-    too: their schemas are merged, so a column that only some months have is kept.
+    too: their schemas are merged, so a column that only some months have is kept. A month that has
+    not landed fails the read unless ``ignore_missing``.
     """
     out = None
     for kind in kinds:
         names = monthly_file_names(start, end, [kind], pattern)
+        if ignore_missing:
+            names = [n for n in names if path_exists(spark, f"{root}/{n}")]
         if not names:
             continue
         df = spark.read.option("mergeSchema", True).parquet(*[f"{root}/{n}" for n in names]).withColumn(tag, F.lit(kind))
@@ -90,6 +94,11 @@ def read_monthly_feeds(spark: SparkSession, root: str, start: str, end: str, kin
     return out
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def generated_range(spark: SparkSession, n: int) -> DataFrame:
     """SRC-19."""
     return spark.range(n)
