@@ -67,9 +67,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
         found = seeds.join(F.broadcast(block), "seed").select("text_key", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
         hits = found if hits is None else hits.unionByName(found)
     hits = staged(hits.distinct(), "seed-hits")
-    both = hits.join(items, hits["item_id"].eqNullSafe(items["item_id"])).drop(items["item_id"])
-    both = staged(both, "seed-hits")
-    c = d.join(both, "text_key")
+    # hits are three numbers each; the items' tokens join only what the documents have met
+    met = d.join(hits, "text_key")
+    c = met.join(items, met["item_id"].eqNullSafe(items["item_id"])).drop(items["item_id"])
     first = F.greatest(F.lit(0), -F.col("shift"))
     last = F.least(F.size("item"), F.size("tokens") - F.col("shift")) - 1
     equal = F.transform(F.sequence(first, last), lambda i: F.when(F.get("tokens", i + F.col("shift")) == F.get("item", i), 1).otherwise(0))
