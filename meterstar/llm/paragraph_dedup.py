@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterstar.llm.common import components, drop_staged, mixed, shingle_hashes, staged, word_hashes
+from meterstar.llm import ngram_join
+from meterstar.llm.common import components, drop_staged, mixed, shingle_hashes, staged, word_bytes, word_hashes
 
 SHINGLE = 5
 SIMILARITY = (80, 100)  # paragraphs link when 100 * intersection >= 80 * union of their shingles
@@ -116,12 +117,51 @@ def _shingled(places: DataFrame, texts: DataFrame) -> DataFrame:
     return cut_again.groupBy("key").agg(F.first("shingles").alias("shingles"))
 
 
+def _worded(places: DataFrame, texts: DataFrame) -> DataFrame:
+    """(key, text) of one paragraph per key: its words, cut again from its document."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, found = [], []
+            for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
+                words = word_bytes(text)
+                for w in wanted:
+                    keys.append(w["key"])
+                    found.append(b" ".join(words[w["begin"]: w["begin"] + w["words"]]).decode("utf-8", "replace"))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.string())], ["key", "text"])
+
+    wanted = places.groupBy("doc", "doc_key").agg(F.collect_list(F.struct("key", "begin", "words")).alias("wanted"))
+    found = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc"]) & (texts["text_key"] == wanted["doc_key"]))
+    return found.select("text", "wanted").mapInArrow(cut, "key long, text string").groupBy("key").agg(F.first("text").alias("text"))
+
+
+def _beside_hubs(pairs: DataFrame, links: DataFrame, places: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) among the classes that met at a hub to which not all of them link.
+
+    A hub says nothing about two classes that both miss it, nor about one that misses it and one that
+    does not. All classes of such a hub go through the exact join of ``ngram_join``, which lists them
+    under their rarest shingles, so a shingle that thousands share brings nobody together.
+    """
+    met = pairs.join(links.withColumn("linked", F.lit(1)), ["a", "b"], "left")
+    open_ = met.groupBy("b").agg(F.count("*").alias("n"), F.count("linked").alias("m")).where("n > 1 AND m < n").select("b")
+    left = staged(pairs.join(open_, "b").select(F.col("a").alias("key")).distinct(), "beside-hubs")
+    if left.isEmpty():
+        return links.limit(0)
+    words = staged(_worded(places.join(left, "key"), texts), "paragraph-words")
+    member = ngram_join._members(words, "key", "text")
+    first = member.groupBy("root").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("last")).where("b <> last").select("root", "b")
+    found = staged(member.join(first, "root").select(F.col("doc_id").alias("a"), "b").where("a <> b"), "links-beside-hubs")
+    for t in (left, words, member):
+        drop_staged(t)
+    return found
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Passages of whole texts that repeat, exactly or nearly, across the table: one row per passage.
 
     Paragraphs (see ``split_paragraphs``) with the same words are one class. MinHash bands bring
     near copies together: every class of a band is compared with the band's smallest class by exact
-    Jaccard over five-word shingles, at 0.8, never with all others. Classes and links form components; the
+    Jaccard over five-word shingles, at 0.8; where some classes do not link to it (a common shingle brought
+    them together), all classes that met there are joined exactly. Classes and links form components; the
     smallest place (doc_id, text hash, begin) of a component is kept, the others are removals. What a
     single document repeats within itself alone is no repeat across documents and is left alone.
     Neighbouring repeated paragraphs of a document are one passage if they have LEAST_RUN words together;
@@ -149,7 +189,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             .join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b"))
     common = F.size(F.array_intersect("x", "y"))
     links = staged(both.where(SIMILARITY[1] * common >= SIMILARITY[0] * (F.size("x") + F.size("y") - common)).select("a", "b"), "paragraph-links")
-    roots = staged(components(links).withColumnRenamed("node", "key"), "paragraph-roots")
+    beside = _beside_hubs(pairs, links, places, texts)
+    roots = staged(components(links.union(beside)).withColumnRenamed("node", "key"), "paragraph-roots")
 
     # components found in two documents or more; sums are partial, so one passage in a third of all rows is no hot task
     classes = every.groupBy("key").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
@@ -173,6 +214,6 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.array_sort(F.collect_set("keep.doc_id")).alias("kept_doc_ids"))
     out = staged(runs.where(F.col("n_words") >= LEAST_RUN).select(
         "doc_id", "begin_word", "n_words", "n_paragraphs", "removed_words", "kept_doc_ids"), "passages")
-    for t in (every, hubs, pairs, places, sets, links, roots, named, repeated):
+    for t in (every, hubs, pairs, places, sets, links, beside, roots, named, repeated):
         drop_staged(t)
     return out

@@ -60,3 +60,20 @@ def test_odd_rows(spark):
     # document 7 repeats document 4; the repeated rows of document 4 count once
     assert {r["doc_id"] for r in rows} == {4, 7} and len({(r["doc_id"], r["begin_word"]) for r in rows}) == len(rows)
     assert P.repeated_passages(no_docs(spark)).count() == 0
+
+
+def one_piece(seeds, n, before=""):
+    """The first text of ``n`` words after ``before`` that holds no cut."""
+    return next(t for t in (f"{before}{prose(s, n, 50_000)}" for s in seeds) if len(P.split_paragraphs(t + " x0")[1]) == 1)
+
+
+def test_near_copies_meet_beside_an_unrelated_hub(spark):
+    """Every paragraph begins with the same 14 words, so common shingles name most bands and hubs."""
+    head, docs = one_piece(range(100), 14) + " ", []
+    for i in range(60):
+        own = one_piece(range(1000 + 500 * i, 1500 + 500 * i), 5, head)
+        docs += [(2 * i + j, f"{own} {'xy'[j]}0") for j in (0, 1)]  # two near copies: the last word differs
+    docs = [d for d in docs if len(P.split_paragraphs(d[1])[1]) == 1]
+    both = [i for i in range(60) if {2 * i, 2 * i + 1} <= {d for d, _ in docs}]
+    got = {(r["doc_id"], *r["kept_doc_ids"]) for r in passages(spark, docs) if r["removed_words"]}
+    assert len(both) > 40 and got == {(2 * i + 1, 2 * i) for i in both}
