@@ -4,7 +4,8 @@
 2. near_duplicates: one document of each group of the n-gram Jaccard join stays.
 3. decontamination: texts that overlap a benchmark item go.
 4. pii: personal data becomes format-preserving pseudonyms.
-5. mixing: how many words a mix of the sources to target weights takes of each document.
+5. mixing: documents of which a mix of the sources to target weights takes no word go; the others say
+   how many words it takes of them (``mix_taken``: fewer than ``mix_size`` for a part, more for a repeat).
 
 All stages but the last return the columns of ``documents``. The sample SQL of the driver cannot say
 the stages (models, hashes, Feistel networks), so ORACLE_SQL is None and tests/llm compare each stage
@@ -41,7 +42,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs, keep=True)
+    return mixing.mix(docs, keep=True).where("mix_taken > 0")
 
 
 STAGES = [

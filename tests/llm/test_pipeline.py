@@ -1,6 +1,9 @@
+import hashlib
+
 import corpus_pipeline as C
 from meterstar.llm import decontam, pii, quality
-from tests.llm.cases import DOCS
+from tests.llm.cases import DOCS, prose
+from tests.llm.test_mixing import targets
 from tests.llm.test_ngram_join import brute
 
 SF = "/root/testdata/sf0.001"
@@ -40,3 +43,19 @@ def test_each_stage_takes_empty_documents(spark):
     none = spark.createDataFrame([], DOCS)
     for _, stage in C.STAGES:
         assert stage(spark, none, SF).count() == 0
+
+
+def test_mixing_leaves_out_what_the_mix_does_not_take(spark):
+    """Kept ids and words of each source against a walk over its documents in the order of their hash."""
+    docs = [(i, prose(i, i % 40), None, "abc"[i % 3], 1) for i in range(300)]
+    got = {r["doc_id"]: r["mix_taken"] for r in C.mixing_stage(spark, spark.createDataFrame(docs, DOCS), SF).collect()}
+    want = {}
+    sizes = {s: sum(len(d[1].split()) for d in docs if d[3] == s) for s in "abc"}
+    for s, target in targets(sizes).items():
+        rest, mine = round(target), sorted((hashlib.md5(str(d[0]).encode()).hexdigest()[:15], d[0], len(d[1].split())) for d in docs if d[3] == s)
+        for _ in range(2):
+            for _, i, n in mine:
+                want[i] = want.get(i, 0) + min(n, rest)
+                rest -= min(n, rest)
+    assert got == {i: n for i, n in want.items() if n}
+    assert any(d[0] not in got and d[1] for d in docs)
