@@ -12,26 +12,35 @@ from meterstar.llm.common import staged
 # Token offsets that a seed reads; the positions between them may hold any token.
 MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 4, 6, 8), (0, 2, 3, 5, 7, 8))
 SPAN = 9               # tokens from the first to the last offset of the longest mask
+LEAST_TOKENS = 2       # tokens of the shortest item: a single word is no text
 STRIDE = 2             # documents give a seed at every second token, benchmark items at every token
 WINDOW = 20            # tokens of an excerpt that counts as an overlap by itself
 LEAST_EQUAL = 0.8      # share of equal tokens in the item, or in one window of it
 BLOCK_SEEDS = 500_000  # seeds of the benchmark that one pass over the documents broadcasts (16 bytes each)
+# Letters of scripts that set no blanks between words.
+NO_SPACE = "[" + "".join(rf"\p{{Is{x}}}" for x in ("Han", "Hiragana", "Katakana", "Bopomofo", "Yi", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan", "Javanese",
+                                                  "Balinese", "Tai_Le", "New_Tai_Lue", "Tai_Tham", "Tai_Viet")) + "]"
 
 
 def token_hashes(text: Column) -> Column:
-    """Hashes of the lower-cased runs of letters and digits, so that marks around words do not matter."""
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    """Hashes of the lower-cased runs of letters and digits, so that marks around words do not matter.
+
+    Scripts that set no blanks between words give one token a character.
+    """
+    parted = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), NO_SPACE, " $0 ")
+    words = F.filter(F.split(parted, r"[^\p{L}\p{N}]+"), lambda w: w != "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _seeds(tokens: Column, stride: int) -> Column:
-    """Structs (seed, at) for every mask at every ``stride``-th token."""
-    def of(mask: tuple[int, ...], no: int) -> Column:
-        last = F.size(tokens) - mask[-1] - 1
-        at = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)), F.lit(stride))).otherwise(F.array().cast("array<int>"))
-        return F.transform(at, lambda i: F.struct(
-            F.xxhash64(F.lit(no), *[F.get(tokens, i + o) for o in mask]).alias("seed"), i.alias("at")))
-    return F.concat(*[of(m, no) for no, m in enumerate(MASKS)])
+def _seeds(rows: DataFrame, tokens: str, exact: list[int], stride: int) -> DataFrame:
+    """``rows`` once per seed, with ``seed`` and its place ``at``: every mask at every ``stride``-th token, and for
+    each length in ``exact`` every run of so many tokens."""
+    placed = rows.where(F.size(tokens) > 0).select("*", F.explode(F.sequence(F.lit(0), F.size(tokens) - 1)).alias("at"))
+    def of(mask: tuple[int, ...], no: int, step: int) -> Column:
+        fits = (F.col("at") + mask[-1] < F.size(tokens)) & (F.col("at") % step == 0)
+        return F.when(fits, F.xxhash64(F.lit(no), *[F.get(tokens, F.col("at") + o) for o in mask]))
+    seeds = [of(m, no, stride) for no, m in enumerate(MASKS)] + [of(tuple(range(n)), -n, 1) for n in exact]
+    return placed.select(*[c for c in rows.columns if c != tokens], "at", F.explode(F.array(*seeds)).alias("seed")).where("seed is not null")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -42,28 +51,34 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     only the seeds that read it. Document seeds meet item seeds in a hash join; a hit fixes an
     alignment (document position minus item position), which is then verified token by token: an
     item overlaps when LEAST_EQUAL of all its tokens are equal, or LEAST_EQUAL of some WINDOW
-    consecutive ones. Every run of SPAN + STRIDE - 1 equal tokens gives a hit.
+    consecutive ones. Every run of SPAN + STRIDE - 1 equal tokens gives a hit. Items under SPAN tokens
+    have a path of their own: the hash of the whole item meets those of all document runs of the same
+    length, and all tokens must be equal.
 
     Item seeds are broadcast in blocks of at most BLOCK_SEEDS: a benchmark of any size costs one pass
     over the documents per block, never a shuffle of document seeds.
 
     Columns: ``doc_id, item_id, text_key, doc_start, item_start, n_tokens, n_equal, similarity``. Null
-    or empty texts, and items under SPAN tokens (too short to identify a text), match nothing;
-    rows with equal texts get equal results; either table may be empty.
+    or empty texts, and items under LEAST_TOKENS tokens, match nothing; rows with equal texts get equal
+    results; either table may be empty.
     """
     items = benchmark.select(F.col(item_col).alias("item_id"), token_hashes(F.col(item_text_col)).alias("item"))
-    items = items.where(F.size("item") >= SPAN)
-    n_seeds = items.agg(F.coalesce(F.sum(F.size("item") * len(MASKS)), F.lit(0))).first()[0]
+    items = items.where(F.size("item") >= LEAST_TOKENS)
+    n_seeds, exact = items.agg(F.coalesce(F.sum(F.size("item") * len(MASKS)), F.lit(0)),
+                               F.array_sort(F.collect_set(F.when(F.size("item") < SPAN, F.size("item"))))).first()
     blocks = max(1, math.ceil(n_seeds / BLOCK_SEEDS))
     d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key"),
                     token_hashes(F.col(text_col)).alias("tokens"))
-    seeds = (d.select("text_key", F.explode(_seeds(F.col("tokens"), STRIDE)).alias("s"))
-             .select("text_key", F.col("s.seed").alias("seed"), F.col("s.at").alias("at")))
+    seeds = _seeds(d.select("text_key", "tokens"), "tokens", exact, STRIDE)
+    size = F.size("item")
     hits = None
     for b in range(blocks):
-        block = (items.where(F.pmod(F.xxhash64("item_id", "item"), F.lit(blocks)) == b)
-                 .select("item_id", F.explode(_seeds(F.col("item"), 1)).alias("s"))
-                 .select("item_id", F.col("s.seed").alias("seed"), F.col("s.at").alias("item_at")))
+        part = items.where(F.pmod(F.xxhash64("item_id", "item"), F.lit(blocks)) == b)
+        block = _seeds(part.where(size >= SPAN), "item", [], 1)
+        for n in exact:
+            block = block.unionByName(part.where(size == n).select(
+                "item_id", F.lit(0).alias("at"), F.xxhash64(F.lit(-n), *[F.get("item", F.lit(i)) for i in range(n)]).alias("seed")))
+        block = block.select("item_id", F.col("at").alias("item_at"), "seed")
         found = seeds.join(F.broadcast(block), "seed").select("text_key", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
         hits = found if hits is None else hits.unionByName(found)
     hits = staged(hits.distinct(), "seed-hits")
@@ -78,7 +93,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("equal") - WINDOW + 1))
     c = c.withColumns({"n_equal": total(F.col("equal")), "n_tokens": F.size("equal"),
                        "best": F.array_max(F.transform(starts, lambda s: total(F.slice("equal", s, WINDOW))))})
-    whole = F.col("n_equal") >= LEAST_EQUAL * F.col("m")
+    whole = F.col("n_equal") >= F.when(F.col("m") < SPAN, F.col("m")).otherwise(LEAST_EQUAL * F.col("m"))
     excerpt = (F.col("n_tokens") >= WINDOW) & (F.col("best") >= LEAST_EQUAL * WINDOW)
     c = c.where(whole | excerpt).select(
         "doc_id", "item_id", "text_key", (F.col("item_start") + F.col("shift")).alias("doc_start"), "item_start",

@@ -62,3 +62,13 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns and kept.count() == docs.count() - 3
     assert decontam.overlaps(no_docs(spark), items).count() == 0
     assert decontam.decontaminated(docs, items.limit(0)).count() == docs.count()
+
+
+def test_short_items_and_scripts_without_blanks(spark):
+    cjk = "\u6c34\u306e\u5316\u5b66\u5f0f\u306f\u4f55\u3067\u3059\u304b\u7b54\u3048\u306f\u5206\u5b50"
+    thai = "\u0e40\u0e21\u0e37\u0e2d\u0e07\u0e2b\u0e25\u0e27\u0e07"
+    items = ["Who wrote Hamlet?", prose(1, 8), cjk, thai, "lone"]
+    docs = [(0, prose(2, 31) + ": who wrote\nHAMLET " + prose(3, 30)), (1, prose(4, 30) + " " + items[1]), (2, f"abc{cjk[:3]}X{cjk[4:]}def"),
+            (3, f"{thai[::-1]} {thai}"), (4, "who wrote macbeth and hamlet lone " + " ".join(prose(1, 8).split()[:7])), (5, cjk[:8] + thai[:3])]
+    got = decontam.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), bench(spark, items)).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(0, 0), (1, 1), (2, 2), (3, 3)]
