@@ -1,3 +1,4 @@
+import itertools
 import random
 
 from meterstar.llm import decontam
@@ -72,3 +73,23 @@ def test_short_items_and_scripts_without_blanks(spark):
             (3, f"{thai[::-1]} {thai}"), (4, "who wrote macbeth and hamlet lone " + " ".join(prose(1, 8).split()[:7])), (5, cjk[:8] + thai[:3])]
     got = decontam.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), bench(spark, items)).collect()
     assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(0, 0), (1, 1), (2, 2), (3, 3)]
+
+
+def test_masks_meet_every_accepted_alignment():
+    for m in range(decontam.SPAN, 21):
+        places = [{at + o for o in mask} for mask in decontam.MASKS for at in range(m - mask[-1])]
+        for lost in itertools.combinations(range(m), m // 5):
+            assert any(p.isdisjoint(lost) for p in places), (m, lost)
+
+
+def test_substituted_short_items_are_found_at_odd_and_even_places(spark):
+    rng = random.Random(3)
+    items = [prose(3000 + m, m, 5000) for m in (9, 10, 12, 15)]
+    docs = []
+    for i in range(160):
+        w = items[i % 4].split()
+        for j in rng.sample(range(len(w)), len(w) // 5):
+            w[j] = f"sub{j}"
+        docs.append((i, " ".join([prose(i, 30 + i // 4 % 2, 5000), *w, prose(-i, 30, 5000)])))
+    got = decontam.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), bench(spark, items)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, i % 4) for i in range(160)}
