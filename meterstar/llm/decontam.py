@@ -17,8 +17,8 @@ LEAST_TOKENS = 2       # tokens of the shortest item: a single word is no text
 WINDOW = 20            # tokens of an excerpt that counts as an overlap by itself
 LEAST_EQUAL = 0.8      # share of equal tokens in the item, or in one window of it
 BLOCK_SEEDS = 500_000  # seeds of the benchmark that one pass over the documents broadcasts (16 bytes each)
-# Letters of scripts that set no blanks between words.
-NO_SPACE = "[" + "".join(rf"\p{{Is{x}}}" for x in ("Han", "Hiragana", "Katakana", "Bopomofo", "Yi", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan", "Javanese",
+# Letters of scripts that set no blanks between words; the lookahead spares others the search for their script.
+NO_SPACE = r"(?=[\x{0E00}-\x{1FFF}\x{2E80}-\x{3FFFF}])[" + "".join(rf"\p{{Is{x}}}" for x in ("Han", "Hiragana", "Katakana", "Bopomofo", "Yi", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan", "Javanese",
                                                   "Balinese", "Tai_Le", "New_Tai_Lue", "Tai_Tham", "Tai_Viet")) + "]"
 
 
@@ -27,7 +27,8 @@ def token_hashes(text: Column) -> Column:
 
     Scripts that set no blanks between words give one token a character.
     """
-    parted = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), NO_SPACE, " $0 ")
+    text = F.coalesce(text, F.lit(""))
+    parted = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.regexp_replace(F.lower(text), NO_SPACE, " $0 "))
     words = F.filter(F.split(parted, r"[^\p{L}\p{N}]+"), lambda w: w != "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
