@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,7 +19,7 @@ PER_CLASS = 1500        # labelled texts of each class that the models are fitte
 CLASS_BYTES = 20 << 20  # and their length together, at most
 DISCOUNT = 0.75
 LETTERS = 64            # continuations that the last backoff spreads over evenly
-DEPTH = 14              # bytes of a word that the models tell apart
+DEPTH = 14              # bytes of a word that the models tell apart; longer words are read in pieces of so many
 LEAST = 3               # occurrences of a word start in both classes together, from which it is kept
 WINDOW = 4              # neighbouring words over which log-likelihoods are averaged
 WORST = 3               # most telling words of a text, wherever they stand, that are averaged too
@@ -27,10 +29,58 @@ KNOWN = 300_000         # words whose ratio a worker remembers
 _BLANK = bytes(b if chr(b).isalnum() or b >= 128 else 32 for b in range(256))
 
 
+# Scripts that set no blanks between words: Thai, Lao, Tibetan, Myanmar, Khmer, kana, Bopomofo, Han, Yi.
+_NO_SPACE = re.compile("([\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\ua4cf\uf900-\ufaff"
+                       "\U00020000-\U0003ffff]+)")
+
+
+class _Marks(dict):
+    """What other characters become: blanks, marks and signs a blank, invisible format characters nothing."""
+
+    def __missing__(self, at: int) -> int | None:
+        kind = unicodedata.category(chr(at))
+        if at >= 128 and kind == "Cf" and at != 0x200B:
+            out = None
+        elif at < 128 and not chr(at).isalnum() or at == 0x200B or kind[0] in "ZPS" or kind == "Cc":
+            out = 32
+        else:
+            out = at
+        self[at] = out
+        return out
+
+
+_MARKS = _Marks()
+
+
+def _pieces(word: str, to_end: bool) -> list[bytes]:
+    """Runs of whole characters of at most DEPTH bytes, from each character on: until one reaches the end of the
+    word, or (``to_end``) from all characters."""
+    raw = word.encode("utf-8", "surrogatepass")
+    at = [i for i, b in enumerate(raw) if b & 0xC0 != 0x80]
+    out = []
+    for i in at:
+        end = min(i + DEPTH, len(raw))
+        while end < len(raw) and raw[end] & 0xC0 == 0x80:
+            end -= 1
+        out.append(raw[i:end])
+        if end == len(raw) and not to_end:
+            break
+    return out
+
+
 def expressions(text: str | None) -> list[bytes]:
-    """Lower-cased words of a whole text without marks, each with an end sign, at most DEPTH bytes of each."""
-    raw = (text or "").lower().encode("utf-8", "surrogatepass").translate(_BLANK)
-    return [w[:DEPTH] for w in raw.split()]
+    """Lower-cased words of a whole text without marks.
+
+    Every byte is read: a word of more than DEPTH bytes gives a sliding window of pieces, as does each run of
+    a script without blanks, where any character may begin a word.
+    """
+    low = (text or "").lower()
+    if low.isascii():
+        words = low.encode().translate(_BLANK).split()
+        if len(max(words, key=len, default=b"")) <= DEPTH:
+            return words
+        return [x for w in words for x in ([w] if len(w) <= DEPTH else _pieces(w.decode(), False))]
+    return [x for w in low.translate(_MARKS).split() for i, run in enumerate(_NO_SPACE.split(w)) if run for x in _pieces(run, i % 2 == 1)]
 
 
 END = b"\x01"           # ends a word; no word holds it

@@ -69,3 +69,20 @@ def test_shared_backoff_leaves_unknown_words_neutral():
     words = [b"idiot", b"table", b"chair", b"idle"]
     r = toxicity.kneser_ney(words, np.array([50, 2, 2, 1]), np.array([0, 60, 50, 9]))
     assert r.of(b"idiot") > 1 and r.of(b"table") < 0 and abs(r.of(b"zzz")) < abs(r.of(b"idiot"))
+
+
+def test_every_byte_of_long_runs_is_read():
+    bad, good = "\u6076\u4eba\u6eda", "\u4eca\u65e5\u5929\u6c14\u5f88\u597d\u6211\u4eec\u53bb\u516c\u56ed"
+    assert any(x.startswith(bad.encode()) for x in toxicity.expressions(good + bad))
+    for mark in ("\u00a0", "\u2014", "\u3000", "\u00ab"):
+        assert toxicity.expressions(f"perfectly{mark}Idiot") == [b"perfectly", b"idiot"]
+    word = "\u043f\u0440\u0435\u0432\u043e\u0441\u0445\u043e\u0434\u0438\u0442\u0435\u043b\u044c\u043d\u043e"
+    for w in (word, "a" * 13 + "\u00e9bcdefgh", "abcdefghijklmnopqrstuvwxyz"):
+        got = toxicity.expressions(w)
+        assert all(len(x) <= toxicity.DEPTH and x.decode() for x in got) and got[-1].decode()[-1] == w[-1]
+        assert b"".join([got[0], *[x.decode()[-1].encode() for x in got[1:]]]).decode()[-1] == w[-1] and {*w} == {c for x in got for c in x.decode()}
+    texts = [good] * 9 + [good + bad] * 9
+    words = sorted({x for t in texts for x in toxicity.expressions(t)})
+    n = [np.array([sum(toxicity.expressions(t).count(w) for t in part) for w in words]) for part in (texts[9:], texts[:9])]
+    known = toxicity.kneser_ney(words, *n)
+    assert toxicity.evidence(good + bad, known, {})[0] > toxicity.evidence(good, known, {})[0]
