@@ -196,11 +196,8 @@ PERMUTE = {"email": _email, "iban": _iban, "phone": _phone, "ssn": _ssn, "date":
 
 
 def pseudonym(value: Column, key: str) -> Column:
-    """The pseudonym of one found value; null where it does not validate (such values stay)."""
-    out = None
-    for kind, f in PERMUTE.items():
-        out = F.when(_is(kind, value), f(value, key)) if out is None else out.when(_is(kind, value), f(value, key))
-    return out
+    """The pseudonym of one found value: of the first format that it fits and validates in; null if there is none."""
+    return F.coalesce(*[F.when(_is(kind, value), f(value, key)) for kind, f in PERMUTE.items()])
 
 
 def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text", count_col: str | None = None) -> DataFrame:
