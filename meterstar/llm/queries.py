@@ -1,10 +1,12 @@
-"""The ten queries opN_<name>: each applies its operator to its whole table. ORACLE has SQL where SQL can say it."""
+"""The queries opN_<name>: each applies its operator to its whole table. ORACLE has SQL where SQL can say it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterstar.llm import ann, decontam, mixing, ngram_join, paragraph_dedup, pii, quality, token_counts, toxicity, url_filter
+from meterstar.llm import (
+    ann, content_sort, decontam, merkle, mixing, ngram_join, paragraph_dedup, pii, prefix_trie, quality, token_counts, toxicity,
+    url_filter)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,9 +56,22 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_rows(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_sort.equal_texts(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_substring_dedup, op3_ngram_join, op4_quality, op5_decontaminate,
-    op6_mix_sources, op7_nearest, op8_token_counts, op9_pseudonyms, op10_url_filter)}
+    op6_mix_sources, op7_nearest, op8_token_counts, op9_pseudonyms, op10_url_filter,
+    op11_merkle_manifest, op12_prefix_trie, op13_exact_dedup)}
 
 ORACLE: dict[str, str] = {}
 
@@ -147,3 +162,102 @@ SELECT page_id, t.host, path, rule,
        '/' || array_to_string(t.parts, '/') AS template, tree.p AS purity
 FROM t JOIN tree ON t.host = tree.host AND t.parts = tree.parts
 """
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of a decimal number's text, bit by bit (the polynomial is fixed)."""
+    return (f"xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), "
+            "lambda x: ascii(x)::BIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), "
+            "lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END)))")
+
+
+def _leaf(n_chars: str = "n_chars") -> str:
+    parts = (f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR), '-')"
+             for c in ("doc_id", "source", "lang", n_chars, "text"))
+    return f"sha256({' || '.join(parts)})"
+
+
+# Nodes level by level; a tree is a language, and the tree '' holds the subroots.
+_LEVELS = """
+  SELECT tree, 0 AS lv, place, n, node FROM {start}
+  UNION ALL
+  SELECT tree, lv + 1, place // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY place))
+  FROM {name} WHERE n > 1 GROUP BY tree, lv, place // 2, n"""
+
+ORACLE["op11_merkle_manifest"] = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce('x' || lang, '') AS tree, {_leaf()} AS node,
+         CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 AND n_chars IS NOT NULL THEN {_leaf("(n_chars + 1)")} END AS claim
+  FROM documents),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, node) - 1 AS place,
+         count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+nodes AS ({_LEVELS.format(start="ranked", name="nodes")}),
+subroots AS (SELECT tree AS name, node FROM nodes WHERE n = 1),
+tops AS (
+  SELECT '' AS tree, name, node, row_number() OVER (ORDER BY encode(name)) - 1 AS place, count(*) OVER () AS n FROM subroots),
+crown AS ({_LEVELS.format(start="tops", name="crown")}),
+root AS (SELECT node AS root FROM crown WHERE n = 1),
+walk AS (
+  SELECT doc_id, r.tree, r.place AS leaf_place, r.node AS leaf, r.n, 0 AS lv, r.place, '' AS proof, coalesce(r.claim, r.node) AS cur
+  FROM ranked r
+  UNION ALL
+  SELECT w.doc_id, w.tree, w.leaf_place, w.leaf, (w.n + 1) // 2, w.lv + 1, w.place // 2, w.proof || coalesce(s.node, ''),
+         sha256(CASE WHEN w.place % 2 = 0 THEN w.cur || coalesce(s.node, '') ELSE s.node || w.cur END)
+  FROM walk w LEFT JOIN nodes s ON s.tree = w.tree AND s.lv = w.lv AND s.place = xor(w.place, 1::BIGINT)
+  WHERE w.n > 1),
+climb AS (
+  SELECT w.doc_id, w.leaf, t.node AS subroot, t.n, 0 AS lv, t.place, w.proof, w.cur
+  FROM walk w JOIN tops t ON t.name = w.tree WHERE w.n = 1
+  UNION ALL
+  SELECT c.doc_id, c.leaf, c.subroot, (c.n + 1) // 2, c.lv + 1, c.place // 2, c.proof || coalesce(s.node, ''),
+         sha256(CASE WHEN c.place % 2 = 0 THEN c.cur || coalesce(s.node, '') ELSE s.node || c.cur END)
+  FROM climb c LEFT JOIN crown s ON s.lv = c.lv AND s.place = xor(c.place, 1::BIGINT)
+  WHERE c.n > 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = root AS verified
+FROM climb, root WHERE n = 1
+"""
+
+ORACLE["op12_prefix_trie"] = f"""
+WITH RECURSIVE t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+o AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+         sha256(octet_length(encode(role)) || ':' || role || text)) AS pos FROM t),
+c AS (
+  SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS base, {_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM t),
+heads AS (
+  SELECT c.conv_id, o.pos, o.role, o.text FROM c JOIN o ON o.conv_id = c.base AND o.pos <= c.h),
+r AS (
+  SELECT * FROM heads UNION ALL SELECT o.conv_id, o.pos, o.role, o.text FROM o JOIN c USING (conv_id) WHERE o.pos > c.h),
+s AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY pos) AS d FROM r),
+p AS (
+  SELECT conv_id, 0::BIGINT AS depth, '' AS node, NULL::VARCHAR AS up, 0::BIGINT AS points FROM c
+  UNION ALL
+  SELECT p.conv_id, s.d, sha256(p.node || octet_length(encode(s.role)) || ':' || s.role || s.text), p.node, length(s.text)
+  FROM p JOIN s ON s.conv_id = p.conv_id AND s.d = p.depth + 1),
+last AS (SELECT conv_id, max(depth) AS depth FROM p GROUP BY conv_id),
+n AS (
+  SELECT p.depth, p.node, any_value(p.up) AS up, min(p.conv_id) AS conv_id, count(*) AS n_convs, any_value(p.points) AS points,
+         sha256(coalesce(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) FILTER (WHERE p.depth = last.depth), '')) AS ends
+  FROM p JOIN last USING (conv_id) GROUP BY p.depth, p.node),
+kids AS (SELECT up, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY up),
+own AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids ON kids.up = n.node),
+above AS (
+  SELECT node AS top, node, depth, (n_convs - 1) * points AS saved, CASE WHEN n_children = 0 THEN 1 ELSE 0 END AS leaf, up FROM own
+  UNION ALL
+  SELECT a.up, a.node, a.depth, a.saved, a.leaf, o.up FROM above a JOIN own o ON o.node = a.up),
+tree AS (SELECT top, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens FROM above GROUP BY top)
+SELECT own.conv_id, own.depth, u.conv_id AS parent_conv_id, own.n_convs, own.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, own.ends AS ends_sha256
+FROM own JOIN tree ON tree.top = own.node LEFT JOIN own u ON u.node = own.up
+"""
+
+ORACLE["op13_exact_dedup"] = """
+SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
+       count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+"""
