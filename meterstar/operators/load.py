@@ -1,9 +1,9 @@
-"""Load strategies (SNK-5..11, SNK-21/22) as DataFrame transformations, and Parquet table folders.
+"""Load strategies (SNK-5..11, SNK-21/22) as DataFrame transformations, and loads into tables.
 
 Each strategy is a *pure* function ``(target, source) -> new table contents`` built from joins and
 unions, so it can be planned, explained and checked against SQL. ``materialize`` writes the result
-into a plain Parquet folder with Spark's own writers: append, overwrite, and dynamic partition
-overwrite, which replaces only the partitions that a load touches.
+into a table (``tables.TableFolder`` or ``tables.CatalogTable``): append, a whole new version, or only
+the partition folders that a load touches.
 """
 
 from __future__ import annotations
@@ -12,10 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from meterstar.operators.dedup import keep_first
-from meterstar.session import delete_path, drop_materialized, materialized
+from meterstar.operators.tables import PART, CatalogTable, TableFolder  # noqa: F401 - part of this module's interface
+from meterstar.session import drop_materialized, materialized
 
 # --- strategy semantics ---------------------------------------------------------------------------
 
@@ -108,106 +108,47 @@ def add_new_columns(target: DataFrame, source: DataFrame) -> DataFrame:
     return target.unionByName(source, allowMissingColumns=True)
 
 
-# --- table folders ---------------------------------------------------------------------------------
+# --- loads into tables -------------------------------------------------------------------------------
 
-PART = "_part"
-
-
-class TableFolder:
-    """A Parquet table in a folder, written with Spark's own save modes. One writer at a time.
+STRATEGIES = ("view", "table", "append", "insert_new", "merge", "delete_insert", "time_interval")
 
-    ``partition_by`` names a column whose text form is the partition folder (``_part=<text>``; NULL
-    and '' share Spark's default folder). The column itself stays in the files, so its type and
-    value come back as they were. ``read`` hides the folder column.
 
-    A failed write raises and changes nothing that was committed: appends and dynamic overwrites are
-    committed by Spark at the end of the job, and a whole replacement is first staged in the shared
-    folder. No error is ever read as "no table": a table exists when its folder does.
-    """
+PERIODS = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}
 
-    def __init__(self, spark: SparkSession, path: str, partition_by: str | None = None):
-        self.spark, self.path, self.partition_by = spark, path.rstrip("/"), partition_by
-
-    def exists(self) -> bool:
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
-
-    def _scan(self) -> DataFrame:
-        # files of different loads may have different columns; folder values stay text ('01' is not 1)
-        found = self.spark.read.option("mergeSchema", True).parquet(self.path)
-        if not self.partition_by:
-            return found
-        fields = [f for f in found.schema.fields if f.name != PART] + [T.StructField(PART, T.StringType())]
-        return self.spark.read.schema(T.StructType(fields)).parquet(self.path)
-
-    def read(self) -> DataFrame | None:
-        """The table, or None before its first load."""
-        return self._scan().drop(PART) if self.exists() else None
-
-    def folder_of(self, column: Column) -> Column:
-        text = column.cast("string")
-        return F.when(text != "", text)
-
-    def _placed(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(PART, self.folder_of(F.col(self.partition_by))) if self.partition_by else df
-
-    def _write(self, df: DataFrame, mode: str, dynamic: bool = False) -> None:
-        if not self.partition_by:
-            df.write.mode(mode).parquet(self.path)
-            return
-        # rows of one folder may spread over tasks (hash of the row), so a hot folder is no hot task
-        salt = F.xxhash64(*[F.col(c) for c in df.columns])
-        placed = self._placed(df).repartitionByRange(F.col(PART), salt).sortWithinPartitions(PART)
-        w = placed.write.mode(mode).partitionBy(PART)
-        w.option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(self.path)
-
-    def append(self, df: DataFrame) -> None:
-        self._write(df, "append")
-
-    def replace(self, df: DataFrame) -> None:
-        """New contents for the whole table; ``df`` may read the table itself."""
-        done = materialized(df, "replace")
-        self._write(done, "overwrite")
-        drop_materialized(done)
-
-    def touched(self, parts: DataFrame) -> DataFrame:
-        """Rows of the table in the folders that ``parts`` (one column PART) names, NULL included."""
-        if not self.exists():
-            return None
-        rows, some = self._scan(), parts.where(F.col(PART).isNotNull()).distinct()
-        null_part = parts.where(F.col(PART).isNull()).limit(1).select(F.lit(1).alias("_one"))
-        null_rows = rows.where(F.col(PART).isNull()).withColumn("_one", F.lit(1)).join(null_part, "_one", "left_semi").drop("_one")
-        return rows.join(some, PART, "left_semi").unionByName(null_rows).drop(PART)
-
-    def replace_folders(self, df: DataFrame, parts: DataFrame) -> None:
-        """New contents for the folders in ``parts``; all other folders stay as they are."""
-        done = materialized(df, "folders")
-        self._write(done, "overwrite", dynamic=True)
-        # dynamic overwrite cannot empty a folder: those of ``parts`` without rows now are deleted.
-        # At most the folders that one load touches, so their names fit the driver.
-        now = self._placed(done).select(PART).distinct()
-        gone = parts.distinct().join(now, parts[PART].eqNullSafe(now[PART]), "left_anti")
-        names = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-        for r in gone.collect():
-            delete_path(self.spark, f"{self.path}/{names.getPartitionPathString(PART, r[PART])}")
-        drop_materialized(done)
 
+def folder_range(start, end, period: str) -> Column:
+    """Folders that ``start <= time < end`` can lie in, where folder names are days or months of that time.
 
-STRATEGIES = ("view", "table", "append", "insert_new", "merge", "delete_insert", "time_interval")
+    The bounds are constants of the plan, so it is a static partition filter.
+    """
+    hit = F.col(PART).isNotNull()
+    if start is not None:
+        hit = hit & (F.col(PART) >= F.date_format(F.lit(start).cast("timestamp_ntz"), PERIODS[period]))
+    if end is not None:
+        last = F.lit(end).cast("timestamp_ntz") - F.expr("INTERVAL 1 MICROSECOND")
+        hit = hit & (F.col(PART) <= F.date_format(last, PERIODS[period]))
+    return hit
 
 
 def materialize(spark: SparkSession, df: DataFrame, strategy: str, table: TableFolder | None = None,
                 name: str | None = None, key: Sequence[str] = (), order: Sequence | None = None,
-                incremental_key: str | None = None, window: tuple | None = None,
-                high_water: str | None = None, lookback: str | None = None, full_refresh: bool = False):
+                incremental_key: str | None = None, window: tuple | None = None, period: str | None = None,
+                high_water: str | None = None, lookback: str | None = None, full_refresh: bool = False,
+                moves: bool = True):
     """SNK-21/22: one entry point over the strategies.
 
     ``view`` registers a temp view (lazy); the others write into ``table``. ``full_refresh`` rebuilds
     the table from ``df`` whatever the strategy. ``high_water`` (a column) keeps only rows newer than
     the table's maximum first (SNK-8). ``time_interval`` takes only rows inside its window, on the
     first run as on every other. The delivery is staged once, so its plan runs once however many joins
-    read it. On a partitioned table, merge / delete_insert / time_interval read and rewrite only the
-    folders that the load touches.
+    read it.
+
+    On a partitioned table, merge / delete_insert / time_interval read and rewrite only the folders that the
+    load touches. For a keyed load these are the delivery's folders, and those where its keys lie now,
+    for which the table's keys are read; ``moves=False`` says that a key never changes its folder (the
+    folder column depends on the key) and saves that. For a window they follow from its bounds, if
+    ``period`` ('day' or 'month') says that folders are named by that period of ``incremental_key`` (or of
+    ``high_water``, whose maximum then lies in the last folder).
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}; one of {STRATEGIES}")
@@ -225,7 +166,7 @@ def materialize(spark: SparkSession, df: DataFrame, strategy: str, table: TableF
         table.replace(df)
         return None
     if high_water:
-        df = high_water_rows(df, target, high_water, lookback)
+        df = high_water_rows(df, table.newest() if period else target, high_water, lookback)
     if strategy == "append":
         table.append(df)
         return None
@@ -240,12 +181,15 @@ def materialize(spark: SparkSession, df: DataFrame, strategy: str, table: TableF
             folder = table.folder_of(F.col(table.partition_by)).alias(PART)
             parts = df.select(folder)
             if strategy == "time_interval":
-                hit = target.where(in_window(incremental_key, *window))
-            else:
-                # a key may move between folders: its old row must go too
-                hit = target.join(df.select(*key).distinct(), list(key), "left_semi")
-            parts = materialized(parts.unionByName(hit.select(folder)).distinct(), "parts")
-            target = table.touched(parts)
+                old = table.scan()
+                hit = old.where(folder_range(*window, period) if period else in_window(incremental_key, *window))
+                parts = parts.unionByName(hit.select(PART))
+            elif moves:
+                # a key may lie in another folder: its old row must go too
+                parts = parts.unionByName(table.scan().join(df.select(*key).distinct(), list(key), "left_semi").select(PART))
+            parts = materialized(parts.distinct(), "parts")
+            listed = table.names(parts)
+            target = table.touched(parts if listed is None else listed)
         if strategy == "merge":
             # on_schema_change = append_new_columns: widen the target, never drop a column
             result = upsert(add_new_columns(target, df.limit(0)), df, key, order)
@@ -256,7 +200,7 @@ def materialize(spark: SparkSession, df: DataFrame, strategy: str, table: TableF
         if parts is None:
             table.replace(result)
         else:
-            table.replace_folders(result, parts)
+            table.replace_folders(result, parts if listed is None else listed)
             drop_materialized(parts)
     drop_materialized(df)
     return None
@@ -297,6 +241,17 @@ def write_partitioned(df: DataFrame, path: str, ts_col: str, date_col: str = "pi
     out.sortWithinPartitions(date_col, *cluster_by).write.mode(mode).partitionBy(date_col).parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """SNK-13: a named table at ``path``, hashed and sorted by ``keys`` into ``buckets`` files.
+
+    Joins and aggregates on the keys read it without an exchange, as long as both sides of a join have the same
+    number of buckets. For keys of many values (order ids): one value's rows, NULL included, share a file.
+    """
+    (df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+     .option("path", path).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def pruned_range(ts_col: str, start, end, date_col: str = "pickup_date", granularity: str = "day",
                  inclusive_end: bool = False) -> Column:
     """Predicate on a timestamp plus the implied predicate on its date partition column, so the

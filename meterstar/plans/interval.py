@@ -121,6 +121,8 @@ def run_window(spark: SparkSession, sf_dir: str, window, staging_table, report_t
     the persisted staging table and replace those days in the report. Tables partitioned by day
     rewrite only the window's days. A side of the window that is None is open."""
     stg = staging_trips(spark, sf_dir, window).withColumn("pickup_date", F.to_date("pickup_datetime"))
-    load.materialize(spark, stg, "time_interval", staging_table, incremental_key="pickup_datetime", window=window)
+    load.materialize(spark, stg, "time_interval", staging_table, incremental_key="pickup_datetime", window=window,
+                     period="day" if staging_table.partition_by == "pickup_date" else None)
     rep = trips_report(staging_table.read(), window).withColumn("report_date", F.col("trip_date"))
-    load.materialize(spark, rep, "time_interval", report_table, incremental_key="trip_date", window=window)
+    load.materialize(spark, rep, "time_interval", report_table, incremental_key="trip_date", window=window,
+                     period="day" if report_table.partition_by == "report_date" else None)

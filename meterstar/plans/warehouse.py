@@ -395,7 +395,8 @@ def load_fct(spark: SparkSession, sf_dir: str, table, until: str | None = None,
         fct = fct.where(F.col("pickup_datetime") < F.lit(until).cast("timestamp_ntz"))
     target = None if full_refresh else table.read()
     if target is not None:
-        fct = high_water_rows(fct, target, "pickup_datetime", lookback)
+        newest = table.newest() if table.partition_by in ("pickup_date", "pickup_month") else target
+        fct = high_water_rows(fct, newest, "pickup_datetime", lookback)
     problems = Q.contract_violations(fct, FCT_CONTRACT)
     if problems:
         raise Q.QualityError("; ".join(problems))
@@ -405,5 +406,6 @@ def load_fct(spark: SparkSession, sf_dir: str, table, until: str | None = None,
     # a partitioned table takes its folder column from the pickup time: its day or its month
     folder = {"pickup_date": F.to_date("pickup_datetime"), "pickup_month": F.date_format("pickup_datetime", "yyyy-MM")}
     placed = fct.withColumns({c: e for c, e in folder.items() if c == table.partition_by})
-    materialize(spark, placed, "merge", table, key=["trip_id"], full_refresh=full_refresh)
+    # a trip id contains the pickup time, so a trip never changes its folder
+    materialize(spark, placed, "merge", table, key=["trip_id"], full_refresh=full_refresh, moves=table.partition_by not in folder)
     drop_materialized(fct)

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterstar.operators import load
-from meterstar.session import drop_materialized, materialized
 
 
 def read_paged_records(spark: SparkSession, path: str, record_schema: T.StructType,
@@ -56,18 +55,18 @@ def child_table(parent: DataFrame, list_col: str, parent_key: str | Sequence[str
             .select(*keys, "_list_idx", "_item.*"))
 
 
-def replace_with_children(spark: SparkSession, root: str, name: str, parent: DataFrame,
-                          children: dict[str, DataFrame]) -> dict[str, load.TableFolder]:
+def replace_with_children(spark: SparkSession, root: str, name: str, parent: DataFrame, children: dict[str, DataFrame],
+                          catalog: bool = False) -> dict[str, load.TableFolder]:
     """SNK-14: replace-load a parent and its child tables (``name__child``), so no child keeps rows of
     an earlier load.
 
-    All tables are computed and staged before the first one is replaced: an error in any of them leaves
-    all as they were. The swaps themselves follow one another; a load that breaks off there is repeated.
+    All new versions are written beside the tables before the first one is switched in: an error in any of
+    them leaves all as they were. With ``catalog`` the tables have names in the session catalog and a switch is
+    one ``ALTER TABLE`` each; else they are folders under ``root`` and a switch is a rename.
     """
     contents = {name: parent, **{f"{name}__{child}": df for child, df in children.items()}}
-    ready = {n: materialized(df, n) for n, df in contents.items()}
-    tables = {n: load.TableFolder(spark, f"{root}/{n}") for n in contents}
-    for n, df in ready.items():
-        tables[n].replace(df)
-        drop_materialized(df)
+    tables = {n: load.CatalogTable(spark, n, root) if catalog else load.TableFolder(spark, f"{root}/{n}") for n in contents}
+    ready = {n: tables[n].prepare(df) for n, df in contents.items()}
+    for n, version in ready.items():
+        tables[n].switch(version)
     return tables
