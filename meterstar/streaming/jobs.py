@@ -9,6 +9,7 @@ rewrites the same keys with the same values, so the keyed sinks are idempotent.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,17 +65,20 @@ def publish(messages: DataFrame, topic: str, bootstrap: str | None = None, path:
     messages.write.mode("append").json(path)
 
 
-def upsert_sink(table: load.TableFolder, key: Sequence[str], derive: dict | None = None) -> Callable[[DataFrame, int], None]:
-    """SNK-16: foreachBatch writer merging each micro-batch into a keyed table.
+def upsert_sink(table: load.TableFolder, key: Sequence[str], derive: dict | None = None,
+                moves: bool = True) -> Callable[[DataFrame, int], None]:
+    """SNK-16: foreachBatch writer merging each micro-batch into a keyed table. A batch that is replayed after a
+    failure replaces its own rows, so it changes nothing.
 
     ``derive`` adds columns before the merge, typically the table's partition column (e.g.
     ``{"window_day": F.to_date("window_start")}``): a micro-batch then rewrites only the days it
-    touches. The merge stages the micro-batch once, so its plan runs once.
+    touches, and reads only those with ``moves=False`` (the derived column depends on the key alone). The merge
+    stages the micro-batch once, so its plan runs once.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         for name, col in (derive or {}).items():
             batch = batch.withColumn(name, col)
-        load.materialize(batch.sparkSession, batch, "merge", table, key=key)
+        load.materialize(batch.sparkSession, batch, "merge", table, key=key, moves=moves)
     return write
 
 
@@ -102,8 +106,8 @@ def run_bounded(df: DataFrame, checkpoint: str, mode: str, sink: Callable | None
                 path: str | None = None, name: str | None = None) -> StreamingQuery:
     """STR-9/STR-10: process everything available, then stop (``trigger(availableNow=True)``).
 
-    Bounded runs use ``complete`` or ``update`` (+ keyed sink): in ``append`` mode the last window
-    never closes because the watermark stops behind the final event.
+    In ``append`` mode a window comes out once the watermark has passed it; the last ones need a closing
+    event behind them (``update`` with a keyed sink does not).
     """
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if name:
@@ -114,3 +118,39 @@ def run_bounded(df: DataFrame, checkpoint: str, mode: str, sink: Callable | None
         q = w.format("parquet").start(path)
     q.awaitTermination()
     return q
+
+
+def publish_in_order(messages: DataFrame, time_col: str, path: str, files: int | None = None) -> None:
+    """SNK-18 for a replay: message files that a stream reads in the order of ``time_col`` (which is not published).
+
+    Messages are range-partitioned by time, and the files' times follow their names, as a file stream
+    takes the oldest files first. Lateness is judged between micro-batches, so however many files one
+    takes, no message is late. Files published later come after those that are there.
+    """
+    spark, n = messages.sparkSession, files or int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    listed = lambda: {f.getPath().getName(): f for f in fs.listStatus(folder)} if fs.exists(folder) else {}
+    before = listed()
+    messages.repartitionByRange(n, time_col).drop(time_col).write.mode("append").json(path)
+    new = sorted(name for name in listed() if name not in before and name.startswith("part-"))
+    start = max([int(time.time() * 1000) - 10 * len(new), *(f.getModificationTime() for f in before.values())])
+    for k, name in enumerate(new, 1):
+        fs.setTimes(folder.suffix(f"/{name}"), start + 10 * k, -1)
+
+
+def run_interrupted(df: DataFrame, checkpoint: str, mode: str, path: str, batches: int = 1) -> int:
+    """STR-10: start a file sink query, stop it once ``batches`` micro-batches are done; returns how many were.
+
+    A later run on the same ``checkpoint`` goes on behind the last committed batch; a batch that was cut off
+    is run again with the same files, and the sink's own log keeps it from being written twice.
+    """
+    q = run_unbounded(df, checkpoint, mode, every="0 seconds", path=path)
+    try:
+        while q.isActive and (q.lastProgress is None or q.lastProgress["batchId"] + 1 < batches):
+            time.sleep(0.05)
+        if q.exception():
+            raise q.exception()
+    finally:
+        q.stop()
+    return q.lastProgress["batchId"] + 1

@@ -184,3 +184,64 @@ def test_append_sessions_emit_closed_sessions_only(spark, tmp_dir):
     got = spark.read.parquet(out)
     assert as_set(got, cols) == as_set(J.zone_sessions(J.decoded(spark, SF_SMALL)), cols)
     assert got.count() == got.select("window_start", "pulocationid").distinct().count()
+
+
+# --- streams that queries run: order of files, restarts, replays ------------------------------------------
+
+
+def test_files_are_published_in_event_order(spark, tmp_dir):
+    topic = os.path.join(tmp_dir, "topic")
+    first = spark.range(1000).select(F.to_json(F.struct("id")).alias("value"), (F.col("id") * 7 % 1000).alias("at"))
+    S.publish_in_order(first, "at", topic, 5)
+    S.publish_in_order(first.withColumn("at", F.col("at") + 1000), "at", topic, 3)
+    files = sorted((p for p in os.listdir(topic) if p.startswith("part-")), key=lambda p: os.stat(f"{topic}/{p}").st_mtime_ns)
+    at = [[int(r.value[6:-1]) * 7 % 1000 for r in S.read_topic_batch(spark, "", path=f"{topic}/{p}").collect()] for p in files]
+    assert len(files) == 8 and sum(map(len, at)) == 2000
+    for group in (at[:5], at[5:]):
+        assert all(max(a) < min(b) for a, b in zip(group, group[1:]))
+
+
+def test_sessions_come_in_several_batches_and_leave_the_state(spark, monkeypatch):
+    runs = []
+    real = S.run_bounded
+    monkeypatch.setattr(S, "run_bounded", lambda *a, **k: (runs.append(real(*a, **k)), runs[-1])[1])
+    J.sessions_sink(spark, SF_SMALL)
+    progress = runs[0].recentProgress
+    assert len([p for p in progress if p["numInputRows"]]) >= J.MICRO_BATCHES
+    assert all(s["numRowsDroppedByWatermark"] == 0 for p in progress for s in p["stateOperators"])
+    assert progress[-1]["stateOperators"][0]["numRowsTotal"] <= 1        # at most the closing event's session is open
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmp_dir):
+    """The last batch is committed to the sink but not to the checkpoint, and so runs again."""
+    topic = J.landed_topic(spark, SF_SMALL, 3)
+    table = load.TableFolder(spark, os.path.join(tmp_dir, "tips"), "window_day")
+    sink = S.upsert_sink(table, ["window_start"], derive={"window_day": F.to_date("window_start")}, moves=False)
+    ran = []
+    run = lambda: S.run_bounded(J.hourly_tips(J._stream(spark, topic, 1)), os.path.join(tmp_dir, "ck"), "update",
+                                sink=lambda b, i: (ran.append(i), sink(b, i))[1])
+    run()
+    cols = ["window_start", "window_end", "total_tip_amount"]
+    before = as_set(table.read(), cols)
+    assert before == as_set(J.hourly_tips(J.decoded(spark, SF_SMALL)), cols) and max(ran) >= 2
+    last = max(ran)
+    for f in (f"{last}", f".{last}.crc"):
+        os.remove(os.path.join(tmp_dir, "ck", "commits", f))
+    ran.clear()
+    run()
+    assert last in ran and as_set(table.read(), cols) == before
+    assert table.read().count() == len(before)
+
+
+def test_a_stopped_query_goes_on_where_it_stopped(spark, tmp_dir):
+    topic = J.landed_topic(spark, SF_SMALL, 6)
+    events = W.pass_through(J._stream(spark, topic, 1))
+    ck, out = os.path.join(tmp_dir, "ck"), os.path.join(tmp_dir, "out")
+    done = S.run_interrupted(events, ck, "append", out, batches=2)
+    assert 2 <= done and 0 < spark.read.parquet(out).count()
+    q = S.run_bounded(events, ck, "append", path=out)
+    fresh = [p["batchId"] for p in q.recentProgress if p["numInputRows"]]
+    assert not fresh or min(fresh) >= done
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, spark.read.parquet(out).collect()), key=key) == sorted(
+        map(tuple, W.pass_through(J.decoded(spark, SF_SMALL)).collect()), key=key)
