@@ -29,4 +29,4 @@ def query(name: str, sql: str | None = None, covers: str = ""):
 def load_all() -> None:
     """Import every plan module so their queries register."""
     from meterstar.plans import (  # noqa: F401
-        interval, landing, loads, nested, quality_checks, reports, stream_jobs, warehouse)
+        interval, landing, layouts, loads, nested, quality_checks, reports, stream_jobs, warehouse)

@@ -17,6 +17,8 @@ SESSION_DEFAULTS = {
     # Interval replace rewrites only the partitions it touches.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # counts, minima and maxima of whole columns come from footers where a V2 scan is used (files.footer_table)
+    "spark.sql.parquet.aggregatePushdown": "true",
     "spark.ui.enabled": "false",
 }
 

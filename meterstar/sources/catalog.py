@@ -29,6 +29,16 @@ def named(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def external(spark: SparkSession, name: str, path: str, analyze: Iterable[str] | None = None) -> DataFrame:
+    """Register Parquet files at ``path`` under a name, without a copy; ``analyze`` computes the table's size and row
+    count, and the statistics of those columns, for the planner (``ANALYZE TABLE``)."""
+    spark.catalog.createTable(name, path=path, source="parquet")
+    if analyze is not None:
+        columns = ", ".join(f"`{c}`" for c in analyze)
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS" + (f" FOR COLUMNS {columns}" if columns else ""))
+    return spark.table(name)
+
+
 def preview(df: DataFrame, n: int = 5):
     """SNK-20: the first ``n`` rows as a local pandas frame (bounded: LIMIT before the transfer)."""
     return df.limit(n).toPandas()

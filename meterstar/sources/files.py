@@ -20,6 +20,18 @@ def read_parquet(spark: SparkSession, paths: str | Sequence[str], columns: Seque
     return df.select(*columns) if columns else df
 
 
+def footer_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table read by the V2 scan, which answers ``COUNT(*)``, minima and maxima of numbers and dates
+    from the files' footers: one row per file reaches the aggregate (``PushedAggregation`` in the plan)."""
+    key = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(key)
+    spark.conf.set(key, ",".join(x for x in before.split(",") if x.strip() != "parquet"))
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(key, before)
+
+
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None,
              header: bool = True, check_header: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
     """SRC-4/5/6: CSV (also .csv.gz) with a header.
