@@ -18,6 +18,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _PIECES = regex.compile(PATTERN)
 KNOWN = 400_000        # pre-tokens whose counts a worker remembers
+LONG = 1000            # characters from which on a pre-token is merged without the encoder's own pattern, which fails on very long runs
 
 # The cleaning that the query counts tokens before and after: runs of one mark shrink to it, long numbers to 0.
 CLEANING = ((r"([!#$%&*])\1+", r"\1"), (r"\d{6,}", "0"))
@@ -40,9 +41,14 @@ class Counter:
         if n is None:
             if len(self.known) >= KNOWN:
                 self.known.clear()
-            n = self.known[piece] = len(self.encoding.encode_ordinary(piece))
+            n = self.known[piece] = self._merged(piece)
         return n
 
+    def _merged(self, piece: str) -> int:
+        if len(piece) < LONG:
+            return len(self.encoding.encode_ordinary(piece))
+        return len(self.encoding._encode_single_piece(piece))  # a pre-token is one piece already
+
 
 def pieces(text: str) -> list[str]:
     return _PIECES.findall(text)

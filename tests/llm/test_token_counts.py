@@ -64,3 +64,18 @@ def test_odd_rows(spark):
     assert len(got) == docs.count()
     assert {(r["n_tokens"], r["n_edits"], r["n_tokens_edited"]) for r in got if r["doc_id"] in (1, 2)} == {(0, 0, 0)}
     assert T.counted(no_docs(spark)).count() == 0
+
+
+@pytest.mark.parametrize("run", [" ", "x", "́", "!", "7", "\n"])
+def test_long_runs_count_as_shorter_ones_do(counter, run):
+    whole = counter.encoding.encode_ordinary
+    for n in (T.LONG - 1, T.LONG, T.LONG + 1, 20_000):
+        assert T.CountTree(run * n, counter).total == len(whole(run * n))
+
+
+def test_runs_of_two_million_characters(spark):
+    n = 2_000_000
+    docs = spark.createDataFrame([(1, " " * n), (2, "x" * n), (3, "́" * n), (4, "a " + "!" * n), (5, "a b")], "doc_id long, text string")
+    got = {r.doc_id: r for r in T.counted(docs).collect()}
+    assert got[5].n_tokens == 2 and got[4].n_tokens_edited == 3 and got[4].n_edits == 1
+    assert all(0 < got[i].n_tokens for i in (1, 2, 3))
