@@ -15,8 +15,9 @@ SSN_A, SSN_B = 898 * 99, 9999
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 # Fixed formats; the order is the order of the alternatives. All but e-mails begin where no word character precedes.
+# A name has 127 labels at most; what a longer one goes on with stays, as the labels of all e-mails do.
 FORMATS = {
-    "email": r"(?<![\p{L}\p{N}._+-])[\p{L}\p{N}._+-]{1,64}+@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]*[A-Za-z0-9])+",
+    "email": r"(?<![\p{L}\p{N}._+-])[\p{L}\p{N}._+-]{1,64}+@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]*[A-Za-z0-9]){1,127}",
     "iban": r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?!\w)",
     "phone": r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?!\w)"
              r"|\+[0-9]{1,3}[ .-]?[0-9]{3}[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?!\w)"
@@ -25,7 +26,7 @@ FORMATS = {
     "date": r"(?<!-)(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9-])|(?<!/)[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2}(?![\w/])",
     "ip": rf"(?<!\.){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.[0-9])",
     "card": r"(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?!\w)",
-    "secret": r"(?=[A-Fa-f]*[0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?!\w)",
+    "secret": r"(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{32,}+(?!\w)",
 }
 # What begins a value is tested before the alternatives are, so that most places of a text fail at once.
 ANY = FORMATS["email"] + r"|(?=[0-9A-Za-f+(])(?<!\w)(?:" + "|".join(p for k, p in FORMATS.items() if k != "email") + ")"
@@ -205,7 +206,7 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text"
 
     Found and validated: e-mail addresses, IBANs (check digits), phone numbers, social security
     numbers (number ranges), dates (calendar, 1900 to 2099), IPv4 addresses, card numbers (Luhn)
-    and long hexadecimal secrets (with a digit). Each value runs through an alternating Feistel network on its own
+    and hexadecimal secrets of 32 digits or more (with a digit; one of mixed case becomes upper case). Each value runs through an alternating Feistel network on its own
     digits, letters or ranges, with check digits computed anew, so a valid value becomes another
     valid value, and equal values get equal pseudonyms in every document. Values that do not
     validate stay. ``count_col`` adds the number of replaced values.

@@ -143,3 +143,20 @@ def test_a_value_that_fails_in_one_format_is_tried_in_the_next(spark):
     secret = "AB12" + "0123456789ABCDEF" * 2  # fits the pattern of an IBAN, not its check digits
     values = [secret[:n] for n in (32, 33, 34)]
     assert pseudonyms(spark, values) == [expected("secret", v) for v in values]
+
+
+def test_names_with_very_many_labels(spark):
+    labels = ".b" * 100_000
+    texts = [f"see jane.doe@a{labels}.com now", "x@" + "a" * 200_000 + ".com", "x@" + "a-" * 100_000 + "b.com", "x@a" + "." * 100_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.text for r in pii.pseudonymise(df, KEY).orderBy("doc_id").collect()]
+    assert got[0] != texts[0] and got[0].endswith(f"@a{labels}.com now") and len(got[0]) == len(texts[0])
+    assert got[1][1:] == texts[1][1:] and got[2][1:] == texts[2][1:] and got[3] == texts[3]
+
+
+def test_secrets_of_any_length_and_case(spark):
+    secrets = ["0f" * 16, "0F" * 70, "0f" * 5000, "0fAb" * 10, "a1" * 16 + "B"]
+    df = spark.createDataFrame([(i, f"key {s}.") for i, s in enumerate(secrets)], "doc_id long, text string")
+    got = [r.text[4:-1] for r in pii.pseudonymise(df, KEY).orderBy("doc_id").collect()]
+    for old, new in zip(secrets, got):
+        assert new != old and len(new) == len(old) and re.fullmatch("[0-9a-f]+" if old == old.lower() else "[0-9A-F]+", new)
