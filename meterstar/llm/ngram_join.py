@@ -183,9 +183,10 @@ def _members(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     # the points of these lists, each once; one text of each, and the share of their coordinates that others share
     degree = lists.groupBy("pid").agg(F.count("*").alias("degree"))
-    points = staged(some.join(degree, "pid").groupBy("pid").agg(
-        F.first("n").alias("n"), F.first(F.col("degree") / F.size("coords")).alias("common"),
-        F.min(F.struct("doc_id", "text_key")).alias("x")).select("pid", "n", "common", F.col("x.doc_id").alias("text_id"), "x.text_key"), "met")
+    # copies are counted down to one row on the map side, before they meet their point's degree
+    one = some.groupBy("pid").agg(F.max("n").alias("n"), F.max(F.size("coords")).alias("size"), F.min(F.struct("doc_id", "text_key")).alias("x"))
+    points = staged(one.join(degree, "pid").select(
+        "pid", "n", (F.col("degree") / F.col("size")).alias("common"), F.col("x.doc_id").alias("text_id"), "x.text_key"), "met")
     found = texts.join(points.select("pid", "text_id", "text_key"),
                        texts["doc_id"].eqNullSafe(points["text_id"]) & (texts["text_key"] == points["text_key"]))
     sets = staged(_with_vectors(found.groupBy("pid").agg(F.first("text").alias("text"))), "sets")
@@ -221,10 +222,11 @@ def _members(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     survivors = staged(_possible_pairs(both.select("left", "right")), "survivors")
     far = _verified(survivors, sets)
 
-    roots = components(near.union(far)).withColumnRenamed("node", "pid")
+    # staged, so that the join with all rows, copies of a text in any number, can be split by size
+    roots = staged(components(near.union(far)).withColumnRenamed("node", "pid"), "roots")
     out = staged(every.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "pid").join(roots, "pid", "left").select(
         "doc_id", "text_key", "n_shingles", F.coalesce("root", "pid").alias("root")), "members")
-    for t in (every, shared, lists, points, sets, branches, close, nodes, tiles, over, survivors, near, far):
+    for t in (every, shared, lists, points, sets, branches, close, nodes, tiles, over, survivors, near, far, roots):
         drop_staged(t)
     return out
 
@@ -258,7 +260,8 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     by 64-bit hashes, as are shingles.
     """
     member = _members(docs, id_col, text_col)
-    smallest = member.where("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # staged, so that a component with a third of all rows can be split in the join
+    smallest = staged(member.where("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("component_id")), "smallest")
     return member.join(smallest, "root", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
