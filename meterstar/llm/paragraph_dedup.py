@@ -200,7 +200,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.struct("keep.doc_id", "keep.text_key") != F.struct("other.doc_id", "other.text_key"))
     repeated = staged(named.join(kept, "root").select("key", "keep"), "repeated")
     # each place once: rows that repeat an id and text in any number are one document
-    found = every.select("doc_id", "text_key", "begin", "words", "key").distinct().join(repeated, "key")
+    found = every.select("doc_id", "text_key", "begin", "words", "key").join(repeated, "key").distinct()
 
     # neighbouring repeated paragraphs of a document
     doc = Window.partitionBy("doc_id", "text_key").orderBy("begin")
