@@ -16,7 +16,8 @@ from meterstar.llm.common import drop_staged, staged
 CURVES = 3             # orderings, each of its own projection and shift
 PROJECTED = 8          # dimensions that a curve runs through
 BITS = 7               # cells per dimension: 2^BITS; a key has PROJECTED * BITS bits
-SPAN = 16_384          # ranks of a data block and of a query chunk: the most that meets in one task
+SPAN = 16_384          # rows of a data block, and
+QUERIES = 4_096        # queries of a chunk along a curve: the most that meets in one task
 PROBES = 64            # queries that the window is measured with, against all rows
 RECALL = 0.96          # share of the probes' true neighbours that the window must hold
 LEAST_WINDOW = 64      # ranks on either side at least
@@ -95,6 +96,19 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))[:k]]
 
 
+def _nearest_of(q: np.ndarray, x: np.ndarray, ids: np.ndarray, rows: np.ndarray, scores: np.ndarray, slack: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k of ``rows`` of ``x`` nearest to ``q`` and their exact scores, ties to smaller ids.
+
+    ``scores`` come from a matrix product, whose last bits depend on a row's place in it; all rows that may be
+    among the k by them (``slack`` bounds the error) are scored again, each by itself in the order of its components.
+    """
+    if len(rows) > k:
+        rows = rows[scores >= -np.partition(-scores, k - 1)[k - 1] - slack]
+    own = (x[rows] * q).sum(axis=1)
+    order = np.lexsort((ids[rows], -own))[:k]
+    return rows[order], own[order]
+
+
 def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(vec_id, vec) with vectors as doubles; without null, zero and non-finite ones, and ids that are null."""
     v = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vec"))
@@ -124,7 +138,8 @@ def _exact(usable: DataFrame, probes: list, k: int) -> DataFrame:
 
 
 def _ranked(usable: DataFrame, curves: Curves, every: int) -> DataFrame:
-    """(curve, rank, is_query, vec_id, vec): rows and queries along each curve; rank counts the rows before.
+    """(curve, rank, turn, is_query, vec_id, vec): rows and queries along each curve; rank counts the rows
+    before, turn the queries before.
 
     Range partitions by key are sorted and numbered on their own; the partitions' row counts give
     the offsets, so no task sees more than its own partition.
@@ -145,25 +160,25 @@ def _ranked(usable: DataFrame, curves: Curves, every: int) -> DataFrame:
         part, seen = TaskContext.get().partitionId(), {}
         for batch in batches:
             curve, is_query = batch.column("curve").to_numpy(), batch.column("is_query").to_numpy(zero_copy_only=False)
-            place_ = np.zeros(len(curve), np.int64)
+            places = np.zeros((2, len(curve)), np.int64)
             for c in np.unique(curve):
                 rows = np.flatnonzero(curve == c)
-                data = np.cumsum(~is_query[rows])
-                place_[rows] = seen.get(c, 0) + data - ~is_query[rows]
-                seen[c] = seen.get(c, 0) + (data[-1] if len(data) else 0)
+                for own, what in enumerate((~is_query[rows], is_query[rows])):
+                    count = np.cumsum(what)
+                    places[own, rows] = seen.get((c, own), 0) + count - what
+                    seen[c, own] = seen.get((c, own), 0) + count[-1]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(curve), part, np.int32)), pa.array(place_)] + [batch.column(n) for n in ("curve", "is_query", "vec_id", "vec")],
-                ["part", "place", "curve", "is_query", "vec_id", "vec"])
+                [pa.array(np.full(len(curve), part, np.int32)), *map(pa.array, places)] + [batch.column(n) for n in ("curve", "is_query", "vec_id", "vec")],
+                ["part", "place", "turn", "curve", "is_query", "vec_id", "vec"])
 
     keyed = usable.mapInArrow(place, "curve int, key long, is_query boolean, vec_id long, vec array<double>")
     spread = keyed.repartitionByRange("curve", "key", "vec_id").sortWithinPartitions("curve", "key", "vec_id", "is_query")
-    rows = staged(spread.mapInArrow(number, "part int, place long, curve int, is_query boolean, vec_id long, vec array<double>"), "ranked")
-    counts = rows.where("not is_query").groupBy("curve", "part").agg(F.count("*").alias("n"))
+    rows = staged(spread.mapInArrow(number, "part int, place long, turn long, curve int, is_query boolean, vec_id long, vec array<double>"), "ranked")
+    parts = rows.groupBy("curve", "part").agg(F.count_if(~F.col("is_query")).alias("n"), F.count_if("is_query").alias("m"))
     w = Window.partitionBy("curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    # a range partition may hold queries only: offsets for every partition
-    parts = rows.select("curve", "part").distinct().join(counts, ["curve", "part"], "left").select("curve", "part", F.coalesce("n", F.lit(0)).alias("n"))
-    offsets = parts.select("curve", "part", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("before"))
-    return rows.join(offsets, ["curve", "part"]).select("curve", (F.col("before") + F.col("place")).alias("rank"), "is_query", "vec_id", "vec")
+    offsets = parts.select("curve", "part", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(a) for c, a in (("n", "before"), ("m", "asked"))])
+    return rows.join(offsets, ["curve", "part"]).select("curve", (F.col("before") + F.col("place")).alias("rank"),
+                                                        (F.col("asked") + F.col("turn")).alias("turn"), "is_query", "vec_id", "vec")
 
 
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -176,7 +191,9 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
     one curve at least. Clustered vectors need a narrow one; for vectors without any structure no ordering
     helps and the window becomes a share of the table, which keeps the recall and costs what it must.
 
-    Windows are met block by block: SPAN consecutive rows and SPAN ranks of queries share a task.
+    Windows are met block by block: SPAN consecutive rows and QUERIES consecutive queries share a task, however
+    many queries fall on one place of a curve. A row moves once for each chunk of queries whose windows touch
+    its block, a query once for each block that its window touches.
 
     Returns ``query_id, rank, vec_id, score``, nearest first, ties to the smaller id. Vectors that are
     null, zero, of another length than most, or with null or non-finite components take no part; a
@@ -213,7 +230,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
 
     ranked = staged(_ranked(usable, curves, every), "curve-ranks")
     # two tables of their own columns, as they meet again below
-    data, queries = (ranked.where(F.col("is_query") == q).select(*[F.col(c).alias(c) for c in ("curve", "rank", "vec_id", "vec")]) for q in (False, True))
+    data, queries = (ranked.where(F.col("is_query") == q).select(*[F.col(c).alias(c) for c in ("curve", "rank", "turn", "vec_id", "vec")]) for q in (False, True))
 
     probes = (usable.where(F.col("vec_id") % every == 0).orderBy(F.xxhash64("vec_id"), "vec_id").limit(PROBES)).collect()
     if not probes:
@@ -225,26 +242,26 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
     needed = gap.agg(F.percentile("gap", RECALL)).first()[0] or 0
     window = max(LEAST_WINDOW, 2 * k, int(np.ceil(needed)))
 
-    # query chunk c looks at ranks [c * SPAN - window, (c + 1) * SPAN + window]: data goes to the chunks that see it
-    chunks = F.sequence(F.greatest(F.lit(0), F.floor((F.col("rank") - window) / SPAN)), F.floor((F.col("rank") + window) / SPAN))
-    ask = queries.select("curve", F.floor(F.col("rank") / SPAN).alias("chunk"), "rank", F.col("vec_id"), "vec")
-    asked = ask.select("curve", "chunk").distinct()
-    told = (data.select("curve", F.floor(F.col("rank") / SPAN).alias("block"), "rank", "vec_id", "vec", F.explode(chunks).alias("chunk"))
-            .join(asked, ["curve", "chunk"]))
+    # queries go to the blocks that their windows touch, blocks to the chunks of queries that ask for them
     blocks = F.explode(F.sequence(F.greatest(F.lit(0), F.floor((F.col("rank") - window) / SPAN)), F.floor((F.col("rank") + window) / SPAN)))
-    ask = ask.select("*", blocks.alias("block"))
+    ask = queries.select("curve", F.floor(F.col("turn") / QUERIES).alias("chunk"), "rank", "vec_id", "vec", blocks.alias("block"))
+    asked = ask.select(*[F.col(c).alias(c) for c in ("curve", "chunk", "block")]).distinct()  # columns of its own, as the two meet below
+    told = data.select("curve", F.floor(F.col("rank") / SPAN).alias("block"), "rank", "vec_id", "vec").join(asked, ["curve", "block"])
 
     def meet(q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
         rows = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         if len(q) and len(d):
             cand, at, x = d["vec_id"].to_numpy(), d["rank"].to_numpy(), np.stack(d["vec"].to_numpy())
+            longest = np.sqrt((x * x).sum(axis=1).max())
             for begin in range(0, len(q), 256):
                 part = q.iloc[begin: begin + 256]
-                s = np.stack(part["vec"].to_numpy()) @ x.T
+                qs = np.stack(part["vec"].to_numpy())
+                s = qs @ x.T
                 for i, (own, r) in enumerate(zip(part["vec_id"].to_numpy(), part["rank"].to_numpy())):
                     seen = np.flatnonzero((np.abs(at - r) <= window) & (cand != own))
-                    best = seen[_best(cand[seen], s[i, seen], k)]
-                    rows.append((np.full(len(best), own), cand[best], s[i, best]))
+                    if len(seen):
+                        best, score = _nearest_of(qs[i], x, cand, seen, s[i, seen], 1e-12 * longest * np.linalg.norm(qs[i]), k)
+                        rows.append((np.full(len(best), own), cand[best], score))
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*rows)))))
 
     key = ["curve", "chunk", "block"]

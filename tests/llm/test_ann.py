@@ -66,3 +66,32 @@ def test_many_equal_vectors(spark):
     df = spark.createDataFrame([(i, [1.0, 1.0] if i < 700 else [float(i % 7), 1.0]) for i in range(1000)], "vec_id long, embedding array<double>")
     got = ann.nearest(df)
     assert got.count() == 50 * 20
+
+
+def test_equal_vectors_tie_exactly(spark):
+    """Rows with the same vector have the same score to the last bit wherever they lie in a block, so ids decide
+    (among those that the window found)."""
+    rng = np.random.default_rng(4)
+    one, two = rng.normal(size=41), rng.normal(size=41)
+    df = spark.createDataFrame([(i, (one if i % 3 else two).tolist()) for i in range(1000)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert len(got) == 50
+    for q, found in got.items():
+        ids = [v for _, v, _ in sorted(found)]
+        assert ids == sorted(ids) and len(ids) == 20 and all((i % 3 == 0) == (q % 3 == 0) for i in ids)
+        assert len({s for _, _, s in found}) == 1
+
+
+def test_many_queries_on_one_place_of_a_curve(spark, monkeypatch):
+    """One very long vector puts all other queries on few places; chunks stay bounded and nothing is lost."""
+    monkeypatch.setattr(ann, "QUERIES", 16)
+    monkeypatch.setattr(ann, "SPAN", 128)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1200, 8))
+    x[1] *= 1e6
+    ids = np.arange(1200)
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    got = ann.nearest(df).collect()
+    assert len(got) == 60 * 20 and recall(got, brute(ids, x, 20)) >= 0.9
