@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterstar.llm.common import staged
+from meterstar.llm.common import drop_staged, staged
 
 LEVELS = 6              # an aligned builder takes 2^LEVELS nodes
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -226,7 +226,10 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", levels: int = LEVELS) -> t
                                 fields["doc_id"].alias("doc_id"), fields["doc_id"].cast("string").alias("id_text"),
                                 leaf_hash(fields).alias("node"),
                                 F.when(struck, claim).alias("claim")), "merkle-leaves")
-    trees = forest(placed(leaves, ["doc_id", "node"]), ["id_text", "claim"], levels)
+    order = placed(leaves, ["doc_id", "node"])
+    trees = forest(order, ["id_text", "claim"], levels)
+    drop_staged(leaves)
+    drop_staged(order)
     tops = roots(trees, levels).select(F.lit("").alias("tree"), F.col("tree").alias("name"), F.col("root").alias("node"))
     return trees, forest(placed(tops, ["name"]), ["name"], levels)
 

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterstar.llm.common import staged
+from meterstar.llm.common import drop_staged, staged
 
 KEY = 32          # hex digits of a turn's key: 128 bits of its SHA-256
 BLOCK_BITS = 10   # a block has up to 2^BLOCK_BITS neighbouring conversations
@@ -45,17 +45,17 @@ def rebuilt(convs: DataFrame) -> DataFrame:
     return seq.select("conv_id", F.array_join("seq.key", "").alias("path"), F.col("seq.points").alias("points"))
 
 
-def blocks(paths: DataFrame) -> DataFrame:
-    """Rows in order of (path, conv_id), numbered by ``block`` and place ``at`` in it, with their blocks' neighbours.
+def blocks(paths: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows in order of (path, conv_id), numbered by ``block`` and place ``at`` in it, and their blocks' neighbours.
 
-    Range-partitioned and sorted, so equal paths in any number spread over blocks. A row with place -1
+    Range-partitioned and sorted, so equal paths in any number spread over blocks. A neighbour with place -1
     repeats the last row of the block before, one with place 2^BLOCK_BITS the first of the next.
     """
     mask = (1 << BLOCK_BITS) - 1
     keys = ["path", "conv_id"]
     sort = paths.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("id", F.monotonically_increasing_id())
     rows = staged(sort.select(F.shiftright("id", BLOCK_BITS).alias("block"), F.col("id").bitwiseAND(mask).alias("at"),
-                              "conv_id", "path", "points"), "trie-order")
+                              F.col("conv_id").cast("bigint").alias("conv_id"), "path", "points"), "trie-order")
     part = F.shiftright("block", 33 - BLOCK_BITS)
     ends = staged(rows.groupBy("block").agg(F.min_by("path", "at").alias("first"), F.max_by("path", "at").alias("last"))
                   .withColumn("part", part), "trie-ends")
@@ -71,7 +71,7 @@ def blocks(paths: DataFrame) -> DataFrame:
         F.struct(F.lit(1 << BLOCK_BITS).cast("bigint").alias("at"), F.col("right").alias("path")))).alias("e"))
     edge = sides.select("block", "e.at", F.lit(0).cast("bigint").alias("conv_id"), "e.path",
                         F.array().cast("array<bigint>").alias("points")).where("path IS NOT NULL")
-    return rows.withColumn("conv_id", F.col("conv_id").cast("bigint")).unionByName(edge)
+    return rows, edge
 
 
 # --- range minima ---------------------------------------------------------------------------------
@@ -249,8 +249,11 @@ def trie(turns: DataFrame) -> DataFrame:
     a ``conv_id`` belong to no conversation and make no node. An empty table has no node. One conversation's
     turn keys (36 bytes a turn) are held in one row; nothing else is held whole.
     """
-    rows = blocks(rebuilt(staged(conversations(turns), "trie-turns")))
-    parts = staged(rows.groupBy("block").applyInPandas(block_nodes, PARTS), "trie-nodes")
+    ordered = staged(conversations(turns), "trie-turns")
+    rows, ends = blocks(rebuilt(ordered))
+    parts = staged(rows.unionByName(ends).groupBy("block").applyInPandas(block_nodes, PARTS), "trie-nodes")
+    for t in (ordered, rows, ends):
+        drop_staged(t)
     some = parts.where("key IS NOT NULL")
     sums = some.groupBy("key").agg(
         F.min("conv_id").alias("conv_id"), F.max("depth").alias("depth"), F.max("parent_key").alias("parent_key"),
