@@ -1,10 +1,10 @@
 """Declarative data-quality checks (DQ-1..14).
 
 A check run returns one row per check: ``check, column, failing_rows, passed``.
-Row-level checks (not_null, accepted_values, expression_is_true, non_negative, positive, row_count) on
-one table are folded into a *single* aggregation (one scan, partial aggregation per task); keyed checks
-(unique, unique combination, relationships) are grouped aggregations / anti joins. The report is
-tiny (one row per check), so ``enforce`` may collect it.
+All checks on one table take one scan: row-level ones (not_null, accepted_values, expression_is_true,
+non_negative, positive, row_count) and relationships are flags that one aggregation adds up, and all
+uniqueness checks share one shuffle on (check, key). The report is tiny (one row per check), so
+``enforce`` may collect it.
 
 NULL handling follows the warehouse tests: accepted_values and expression_is_true ignore NULLs,
 unique ignores NULL keys, unique_combination_of_columns groups NULLs together, relationships
@@ -20,8 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterstar.operators.star import orphans
-
 REPORT_SCHEMA = "check string, column string, failing_rows bigint, passed boolean"
 
 
@@ -54,9 +52,6 @@ def scalar(sql_expr_df: DataFrame, expected, name): return Check("scalar", "*",
                                                                 name=name)
 
 
-ROW_LEVEL = {"not_null", "accepted_values", "expression_is_true", "non_negative", "positive", "row_count"}
-
-
 def _failing(check: Check) -> Column:
     c = F.col(check.column) if check.kind != "expression_is_true" else None
     if check.kind == "not_null":
@@ -86,31 +81,59 @@ def run_models(runs: Sequence[tuple[str, DataFrame, Sequence[Check]]]) -> DataFr
     return out
 
 
+def _key_text(df: DataFrame, cols: Sequence[str]) -> Column:
+    """Key columns as one text that tells any two keys apart: each as its length and its value, NULL as '-'."""
+    kinds = dict(df.dtypes)
+    parts = []
+    for c in cols:
+        v = F.col(c) + F.lit(0).cast(kinds[c]) if kinds[c] in ("float", "double") else F.col(c)   # -0.0 equals 0.0
+        parts.append(F.coalesce(F.concat(F.octet_length(v.cast("string")), F.lit(":"), v.cast("string")), F.lit("-")))
+    return F.concat(*parts)
+
+
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Evaluate ``checks`` on ``df``; one report row per check."""
+    """Evaluate ``checks`` on ``df``; one report row per check.
+
+    All checks read ``df`` in one scan. Relationships are left joins to the parents' distinct keys, which only
+    flag a row. Without keyed checks one aggregate counts all failures. With them, each row gives one entry for
+    its row-level flags (which the map side adds up) and one (check, key) entry per uniqueness check, so a
+    single shuffle on (check, key) serves all of them; keys are compared as whole texts.
+    """
+    keyed = [c for c in checks if c.kind in ("unique", "unique_combination")]
+    scalars = [c for c in checks if c.kind == "scalar"]
+    rows = [c for c in checks if c not in keyed and c not in scalars]
+    src, failing = df, []
+    for i, c in enumerate(rows):
+        if c.kind == "relationships":
+            keys = c.parent.select(F.col(c.parent_key).alias(f"__parent{i}")).where(F.col(f"__parent{i}").isNotNull()).distinct()
+            src = src.join(keys, F.col(c.column) == F.col(f"__parent{i}"), "left")
+            failing.append(F.col(c.column).isNotNull() & F.col(f"__parent{i}").isNull())
+        else:
+            failing.append(F.lit(True) if c.kind == "row_count" else _failing(c))
     parts: list[DataFrame] = []
-    row_level = [c for c in checks if c.kind in ROW_LEVEL]
-    if row_level:
-        agg = df.agg(*[(F.abs(F.count(F.lit(1)) - F.lit(c.expected)) if c.kind == "row_count"
-                        else F.count_if(_failing(c))).alias(f"f{i}") for i, c in enumerate(row_level)])
-        parts.append(agg.select(F.inline(F.array(*[_row(c.label, c.column, F.col(f"f{i}"))
-                                                   for i, c in enumerate(row_level)]))))
-    for c in checks:
-        if c.kind in ROW_LEVEL:
-            continue
-        if c.kind in ("unique", "unique_combination"):
+    if keyed:
+        flags = [F.coalesce(x, F.lit(False)).cast("bigint").alias(f"f{i}") for i, x in enumerate(failing)]
+        none = [F.lit(0).cast("bigint").alias(f"f{i}") for i in range(len(failing))]
+        entries = [F.struct(F.lit(-1).alias("id"), F.lit(None).cast("string").alias("key"), *flags)] if rows else []
+        for j, c in enumerate(keyed):
             cols = c.values if c.kind == "unique_combination" else [c.column]
-            src = df if c.kind == "unique_combination" else df.where(F.col(c.column).isNotNull())
-            dup = src.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-            failing = dup.agg(F.count(F.lit(1)).alias("f"))
-        elif c.kind == "relationships":
-            failing = orphans(df, c.parent, c.column, c.parent_key).agg(F.count(F.lit(1)).alias("f"))
-        elif c.kind == "scalar":
-            v = c.parent.select(F.col(c.parent.columns[0]).alias("v"))
-            failing = v.agg(F.when(F.first("v") == F.lit(c.expected), 0).otherwise(1).alias("f"))
-        else:
-            raise ValueError(f"unknown check {c.kind}")
-        parts.append(failing.select(F.inline(F.array(_row(c.label, c.column, F.col("f"))))))
+            entry = F.struct(F.lit(j).alias("id"), _key_text(df, cols).alias("key"), *none)
+            entries.append(entry if c.kind == "unique_combination" else F.when(F.col(c.column).isNotNull(), entry))
+        each = src.select(F.explode(F.array(*entries)).alias("e")).where("e IS NOT NULL").select("e.*")
+        groups = each.groupBy("id", "key").agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"f{i}").alias(f"f{i}") for i in range(len(rows))])
+        counts = [F.coalesce(F.sum(f"f{i}"), F.lit(0)) for i in range(len(rows))]
+        counts += [F.count_if((F.col("id") == j) & (F.col("n") > 1)) for j in range(len(keyed))]
+    else:
+        groups, counts = src, [F.count_if(x) for x in failing]
+    done = [*rows, *keyed]
+    if done:
+        counts = [F.abs(n - F.lit(c.expected)) if c.kind == "row_count" else n for c, n in zip(done, counts)]
+        agg = groups.agg(*[n.alias(f"n{i}") for i, n in enumerate(counts)])
+        parts.append(agg.select(F.inline(F.array(*[_row(c.label, c.column, F.col(f"n{i}")) for i, c in enumerate(done)]))))
+    for c in scalars:
+        v = c.parent.select(F.col(c.parent.columns[0]).alias("v"))
+        failed = v.agg(F.when(F.first("v") == F.lit(c.expected), 0).otherwise(1).alias("f"))
+        parts.append(failed.select(F.inline(F.array(_row(c.label, c.column, F.col("f"))))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
