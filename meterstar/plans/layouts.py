@@ -67,3 +67,25 @@ def footer_order_keys(spark, sf_dir):
     """Row count and key range of a table from its footers alone."""
     return files.footer_table(spark, f"{sf_dir}/orders.parquet").agg(
         F.count(F.lit(1)).alias("row_count"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
+
+
+@query("calendar_day_orders", covers="SRC-19 AG-6 JN-1", sql="""
+WITH span AS (SELECT min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi FROM orders),
+days AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM span),
+n AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1)
+SELECT days.day, coalesce(n.n, 0) AS orders FROM days LEFT JOIN n ON n.day = days.day""")
+def calendar_day_orders(spark, sf_dir):
+    """Orders of every day between the first and the last, days without any included (a generated range of days)."""
+    day = F.col("o_orderdate").cast("date")
+    orders = D.table(spark, sf_dir, "orders").select(day.alias("day"))
+    lo, hi = orders.agg(F.min("day"), F.max("day")).first()
+    n = (hi - lo).days + 1 if lo else 0
+    days = files.generated_range(spark, n).select(F.date_add(F.lit(lo).cast("date"), F.col("id").cast("int")).alias("day"))
+    found = orders.where("day IS NOT NULL").groupBy("day").agg(F.count(F.lit(1)).alias("orders"))
+    return days.join(found, "day", "left").select("day", F.coalesce("orders", F.lit(0)).alias("orders"))
+
+
+@query("preview_row_count", covers="SNK-20 SRT-5", sql=T + "SELECT least(count(*), 5) AS preview_rows FROM trips")
+def preview_row_count(spark, sf_dir):
+    """How many rows a preview of the trips shows: any five (LIMIT without an order, so which ones is left open)."""
+    return D.trips(spark, sf_dir, ["vendor_id"]).limit(5).agg(F.count(F.lit(1)).alias("preview_rows"))

@@ -161,12 +161,18 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit("Boro Zone").alias("service_zone")))
 
 
+def _literal(spark: SparkSession, rows: Sequence[tuple[int, str]], key: str, value: str) -> DataFrame:
+    """A few fixed rows as a literal relation: its size is known to the planner, which broadcasts it."""
+    values = ", ".join(f"({k}, '{v}')" for k, v in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({key}, {value})")
+
+
 def payment_types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PAYMENT_TYPES, "payment_type int, description string")
+    return _literal(spark, PAYMENT_TYPES, "payment_type", "description")
 
 
 def payment_names(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PAYMENT_NAMES, "payment_type_id int, payment_type_name string")
+    return _literal(spark, PAYMENT_NAMES, "payment_type_id", "payment_type_name")
 
 
 # --- raw feeds (landing shape) -------------------------------------------------------------------

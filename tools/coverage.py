@@ -34,9 +34,9 @@ IMPL = {
     "SRC-18": ("sources/catalog.py:register_views, named", "test_sources_layout::test_gzip_csv_and_catalog_views"),
     "SRC-19": ("sources/files.py:generated_range", "test_streaming::test_bounded_batch_read_of_topic_folder"),
     "SNK-1": ("operators/load.py:write_files", "test_sources_layout::test_partitioned_clustered_write_prunes"),
-    "SNK-2": ("operators/load.py:TableFolder.replace; sources/jdbc.py:write_table(mode=overwrite, truncate)", "test_operators"),
+    "SNK-2": ("operators/tables.py:TableFolder.replace (renames) / CatalogTable.replace (SET LOCATION)", "test_tables"),
     "SNK-3": ("operators/load.py:materialize('view'); sources/catalog.py:view", "test_sources_layout"),
-    "SNK-4": ("operators/load.py:materialize('table') / TableFolder.replace", "test_operators::test_materialize_strategies_and_idempotence"),
+    "SNK-4": ("operators/load.py:materialize('table'); operators/tables.py:CatalogTable", "test_tables, test_operators::test_materialize_strategies_and_idempotence"),
     "SNK-5": ("operators/load.py:materialize('append') / TableFolder.append", "test_operators::test_materialize_strategies_and_idempotence"),
     "SNK-6": ("operators/load.py:insert_new, new_rows, materialize('insert_new')", "test_operators, test_properties"),
     "SNK-7": ("operators/load.py:upsert, materialize('merge') (partition-scoped)", "test_operators, test_properties"),
@@ -45,11 +45,11 @@ IMPL = {
     "SNK-10": ("operators/load.py:replace_interval, materialize('time_interval') (partition-scoped); plans/interval.py:run_window", "test_operators, test_properties, test_persisted_flows"),
     "SNK-11": ("operators/load.py:delete_insert, materialize('delete_insert')", "test_operators, test_properties"),
     "SNK-12": ("operators/load.py:write_partitioned, TableFolder(partition_by=)", "test_sources_layout::test_partitioned_clustered_write_prunes"),
-    "SNK-13": ("operators/load.py:write_partitioned(cluster_by=), pruned_range", "test_sources_layout::test_partitioned_clustered_write_prunes"),
-    "SNK-14": ("sources/nested.py:replace_with_children", "test_quality_nested::test_replace_with_children"),
-    "SNK-15": ("streaming/jobs.py:run_bounded/run_unbounded (file sink); sources/jdbc.py:append_sink", "test_streaming::test_pass_through_file_sink"),
-    "SNK-16": ("streaming/jobs.py:upsert_sink (derive partition)", "test_streaming"),
-    "SNK-17": ("batch window results written by materialize / parquet", "test_streaming"),
+    "SNK-13": ("operators/load.py:write_partitioned(cluster_by=), pruned_range, write_bucketed", "test_sources_layout::test_partitioned_clustered_write_prunes, test_layouts"),
+    "SNK-14": ("sources/nested.py:replace_with_children (catalog=True: names)", "test_quality_nested::test_replace_with_children, test_tables::test_parent_and_children_switch_together"),
+    "SNK-15": ("streaming/jobs.py:run_bounded/run_interrupted (file sink); sources/jdbc.py:append_sink", "test_streaming::test_a_stopped_query_goes_on_where_it_stopped"),
+    "SNK-16": ("streaming/jobs.py:upsert_sink (derive partition, replay safe)", "test_streaming::test_a_replayed_batch_changes_nothing"),
+    "SNK-17": ("plans/stream_jobs.py:window_counts_table (materialize into a table folder)", "test_plans"),
     "SNK-18": ("streaming/windows.py:to_messages; streaming/jobs.py:publish", "test_streaming::test_publish_then_consume"),
     "SNK-19": ("sources/catalog.py:view (createOrReplaceTempView)", "test_sources_layout"),
     "SNK-20": ("sources/catalog.py:preview (limit before toPandas)", "test_sources_layout::test_preview_is_bounded"),
@@ -123,9 +123,9 @@ IMPL = {
     "STR-6": ("streaming/windows.py:session_counts_split(key=None)", "test_streaming::test_split_sessions_match_native_on_hot_key"),
     "STR-7": ("streaming/windows.py:longest_session", "test_streaming::test_longest_session_single_row"),
     "STR-8": ("streaming/windows.py:guard", "oracle"),
-    "STR-9": ("streaming/jobs.py:run_bounded (availableNow)", "test_streaming"),
-    "STR-10": ("checkpointLocation + trigger interval (jobs.run_unbounded)", "test_streaming::test_unbounded_query_runs_and_stops"),
-    "STR-11": ("session_counts in append, update or complete mode", "test_streaming::test_append_sessions_emit_closed_sessions_only"),
+    "STR-9": ("streaming/jobs.py:run_bounded (availableNow)", "test_streaming, test_plans (stream_*)"),
+    "STR-10": ("streaming/jobs.py:run_interrupted, run_unbounded, checkpointLocation", "test_streaming::test_a_stopped_query_goes_on_where_it_stopped"),
+    "STR-11": ("plans/stream_jobs.py:sessions_sink (append, watermark, closing event)", "test_streaming::test_sessions_come_in_several_batches_and_leave_the_state"),
     "STR-12": ("streaming/jobs.py:read_topic(starting=, group_id=) + checkpoint offsets", "not tested: no Kafka connector"),
     "DQ-1": ("operators/quality.py:not_null", "test_quality_nested"), "DQ-2": ("operators/quality.py:unique", "test_quality_nested"),
     "DQ-3": ("operators/quality.py:accepted_values", "test_quality_nested"), "DQ-4": ("operators/quality.py:relationships", "test_quality_nested"),
