@@ -16,86 +16,139 @@ from meterstar.llm.common import components, drop_staged, mixed, shingle_hashes,
 SHINGLE = 5
 SIMILARITY = (80, 100)  # paragraphs link when 100 * intersection >= 80 * union of their shingles
 RECALL = 0.99           # share of linked pairs that meet in a band at least
-LONG_LINE = 20          # a line of so many words ends a paragraph
+ROWS = 2                # MinHashes of a band
+LONG_LINE = 20          # a line of so many words ends a piece
 CUT_REACH = 6           # a content-defined cut is the smallest hash so many words to either side
-MOST_WORDS = 64         # a paragraph without any cut is cut after so many words
-LEAST_WORDS = 6         # shorter paragraphs are no repeats by themselves
-LEAST_RUN = 16          # words that neighbouring repeated paragraphs have together at least
+MOST_WORDS = 64         # a piece without any cut is cut after so many words
+LEAST_WORDS = 6         # shorter pieces are no repeats by themselves
+LEAST_RUN = 16          # words of a paragraph, and of neighbouring repeats together, at least
 
 
-def bands(similarity: float, recall: float) -> int:
-    """Bands of one MinHash each that let pairs of this similarity meet with this probability."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - similarity))
+def bands(similarity: float, recall: float, rows: int = 1) -> int:
+    """Bands of so many MinHashes that let pairs of this similarity meet with this probability."""
+    return math.ceil(math.log(1 - recall) / math.log(1 - similarity ** rows))
 
 
-BANDS = bands(SIMILARITY[0] / SIMILARITY[1], RECALL)
-_SEEDS = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
+BANDS = bands(SIMILARITY[0] / SIMILARITY[1], RECALL, ROWS)
+_SEEDS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
 _POWERS = np.cumprod(np.full(MOST_WORDS, 0x9E3779B97F4A7C15, np.uint64))
+_BASE = np.uint64(0xD6E8FEB86659FD93)
+_BACK = np.uint64(pow(int(_BASE), -1, 2**64))  # undoes a factor _BASE
 
 
-def split_paragraphs(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of a whole text (A-Z lower-cased) and the places of words that begin a paragraph.
-
-    Paragraphs end with long lines, and where the hash of a word pair is the smallest around: cuts
-    that depend on nearby words alone, so a passage is cut alike wherever it stands, also inside
-    other paragraphs.
-    """
+def _lines(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of a whole text (A-Z lower-cased) and the words of each line."""
     lines = [line.split() for line in (text or "").encode("utf-8", "surrogatepass").lower().split(b"\n")]
-    h = word_hashes([w for line in lines for w in line])
+    return word_hashes([w for line in lines for w in line]), np.array([len(line) for line in lines])
+
+
+def _pieces(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     n = len(h)
     if n == 0:
-        return h, np.zeros(0, np.int64)
-    sizes = np.array([len(line) for line in lines])
+        return np.zeros(0, np.int64)
     ends = np.cumsum(sizes)
-    cut = np.zeros(n + 1, bool)
-    cut[0] = True
-    cut[ends[sizes >= LONG_LINE]] = True
-    cut[(ends - sizes)[sizes >= LONG_LINE]] = True
+    long = sizes >= LONG_LINE
+    forced = np.unique(np.concatenate([[0, n], ends[long], (ends - sizes)[long]]))
+    inner = np.zeros(0, np.int64)
     if n > 1:
         pair = mixed(h[:-1] * np.uint64(3) + h[1:])
         around = np.pad(pair, CUT_REACH, constant_values=np.uint64(2**64 - 1))
-        least = np.lib.stride_tricks.sliding_window_view(around, 2 * CUT_REACH + 1).argmin(axis=1) == CUT_REACH
-        inner = np.flatnonzero(least)
-        cut[inner[(inner >= CUT_REACH) & (inner < n - CUT_REACH)]] = True
-    at = np.flatnonzero(cut[:n])
+        inner = np.flatnonzero(np.lib.stride_tricks.sliding_window_view(around, 2 * CUT_REACH + 1).argmin(axis=1) == CUT_REACH)
+        # the few words beside an end of a long line stay with their neighbours
+        after = np.searchsorted(forced, inner, "right")
+        inner = inner[(inner - forced[after - 1] >= LEAST_WORDS) & (forced[np.minimum(after, len(forced) - 1)] - inner >= LEAST_WORDS)]
+    at = np.union1d(forced[:-1], inner)
     gaps = np.diff(np.append(at, n))
     if gaps.max() > MOST_WORDS:
         at = np.concatenate([np.arange(a, a + g, MOST_WORDS) for a, g in zip(at, gaps)])
-    return h, at
+    return at
+
+
+def split_paragraphs(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of a whole text and the places of words that begin a piece.
+
+    Pieces end with long lines, and where the hash of a word pair is the smallest around: cuts
+    that depend on nearby words alone, so a passage is cut alike wherever it stands, also inside
+    other paragraphs.
+    """
+    h, sizes = _lines(text)
+    return h, _pieces(h, sizes)
 
 
-def paragraph_keys(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(begin, words, key, MinHashes) of the paragraphs that have LEAST_WORDS words."""
-    ends = np.append(at[1:], len(h))
-    long = ends - at >= LEAST_WORDS
-    begin, end = at[long], ends[long]
+def natural_paragraphs(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(begin, end) of a text's lines, and of its blocks of lines between blank lines where it has any, of LEAST_RUN words."""
+    ends = np.cumsum(sizes)
+    begin, end = ends - sizes, ends
+    blank = sizes == 0
+    if blank[:-1].any():
+        block = np.cumsum(blank)
+        first = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+        several = np.add.reduceat(~blank, first) > 1
+        last = np.append(first[1:], len(sizes)) - 1
+        begin, end = np.append(begin, begin[first][several]), np.append(end, ends[last][several])
+    long = end - begin >= LEAST_RUN
+    return begin[long], end[long]
+
+
+def piece_keys(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(begin, words, key) of the pieces that have LEAST_WORDS words."""
+    size = np.diff(np.append(at, len(h)))
+    long = size >= LEAST_WORDS
+    if not long.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    place = np.arange(len(h)) - np.repeat(at, size)
+    return at[long], size[long], mixed(np.add.reduceat(h * _POWERS[place], at)[long] + size[long].astype(np.uint64))
+
+
+def paragraph_keys(h: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, band hashes) of the natural paragraphs at these places."""
     if not len(begin):
-        return begin, begin, np.zeros(0, np.uint64), np.zeros((0, BANDS), np.uint64)
-    place = np.arange(len(h)) - np.repeat(at, np.diff(np.append(at, len(h))))
-    key = mixed(np.add.reduceat(h * _POWERS[place], at)[long] + (end - begin).astype(np.uint64))
+        return np.zeros(0, np.uint64), np.zeros((0, BANDS), np.uint64)
+    # a sum of words times powers, moved to the same start for every paragraph
+    total = np.append(np.uint64(0), np.cumsum(h * np.cumprod(np.append(np.uint64(1), np.full(len(h) - 1, _BASE)))))
+    key = (total[end] - total[begin]) * np.cumprod(np.append(np.uint64(1), np.full(int(begin.max()), _BACK)))[begin]
     s = shingle_hashes(h, SHINGLE)
     span = np.stack([begin, end - SHINGLE + 1], axis=1).ravel()
     low = [np.minimum.reduceat(np.append(mixed(s ^ seed), np.uint64(2**64 - 1)), span)[::2] for seed in _SEEDS]
-    return begin, end - begin, key, np.stack(low, axis=1)
+    band = []
+    for i in range(BANDS):
+        x = np.full(len(begin), i + 1, np.uint64)
+        for m in low[i * ROWS: (i + 1) * ROWS]:
+            x = mixed(x * _BASE + m)
+        band.append(x)
+    return mixed(mixed(key) + (end - begin).astype(np.uint64)), np.stack(band, axis=1)
 
 
 def _paragraphs(texts: DataFrame) -> DataFrame:
-    """One row per paragraph: doc_id, text_key, begin, words, key and its MinHashes."""
+    """One row per piece and natural paragraph: doc_id, text_key, begin, words, key and its bands (null for pieces)."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [paragraph_keys(*split_paragraphs(t)) for t in batch.column("text").to_pylist()]
-            if not found:
+            row, begin, words, key, band = [], [], [], [], []
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                h, sizes = _lines(text)
+                one, (b, e) = piece_keys(h, _pieces(h, sizes)), natural_paragraphs(sizes)
+                k, low = paragraph_keys(h, b, e)
+                row.append(np.full(len(one[0]) + len(b), i))
+                begin += [one[0], b]
+                words += [one[1], e - b]
+                key += [one[2], k]
+                band += [np.zeros((len(one[0]), BANDS), np.uint64), low]
+            if not row:
                 continue
-            row = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
-            begin, words, key, low = (np.concatenate([f[i] for f in found]) for i in range(4))
+            at = pa.array(np.concatenate(row))
+            piece = np.concatenate([np.full(len(x), j % 2 == 0) for j, x in enumerate(key)])
+            band = np.concatenate(band)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(row), batch.column("text_key").take(row), pa.array(begin.astype(np.int64)),
-                 pa.array(words.astype(np.int64)), pa.array(key.view(np.int64)),
-                 *[pa.array(np.ascontiguousarray(low[:, i]).view(np.int64)) for i in range(BANDS)]],
-                ["doc_id", "text_key", "begin", "words", "key", *[f"m{i}" for i in range(BANDS)]])
+                [batch.column("doc_id").take(at), batch.column("text_key").take(at), pa.array(np.concatenate(begin).astype(np.int64)),
+                 pa.array(np.concatenate(words).astype(np.int64)), pa.array(np.concatenate(key).view(np.int64)),
+                 *[pa.array(np.ascontiguousarray(band[:, i]).view(np.int64), mask=piece) for i in range(BANDS)]],
+                ["doc_id", "text_key", "begin", "words", "key", *_BANDS])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(cut, f"doc_id {kind}, text_key long, begin long, words long, key long, " + ", ".join(f"m{i} long" for i in range(BANDS)))
+    return texts.mapInArrow(cut, f"doc_id {kind}, text_key long, begin long, words long, key long, " + ", ".join(f"{b} long" for b in _BANDS))
+
+
+_BANDS = [f"b{i}" for i in range(BANDS)]
 
 
 def _shingled(places: DataFrame, texts: DataFrame) -> DataFrame:
@@ -104,7 +157,7 @@ def _shingled(places: DataFrame, texts: DataFrame) -> DataFrame:
         for batch in batches:
             keys, sets = [], []
             for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
-                h, _ = split_paragraphs(text)
+                h = word_hashes(word_bytes(text))
                 for w in wanted:
                     keys.append(w["key"])
                     sets.append(np.unique(shingle_hashes(h[w["begin"]: w["begin"] + w["words"]], SHINGLE)).view(np.int64))
@@ -158,14 +211,15 @@ def _beside_hubs(pairs: DataFrame, links: DataFrame, places: DataFrame, texts: D
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Passages of whole texts that repeat, exactly or nearly, across the table: one row per passage.
 
-    Paragraphs (see ``split_paragraphs``) with the same words are one class. MinHash bands bring
-    near copies together: every class of a band is compared with the band's smallest class by exact
-    Jaccard over five-word shingles, at 0.8; where some classes do not link to it (a common shingle brought
-    them together), all classes that met there are joined exactly. Classes and links form components; the
-    smallest place (doc_id, text hash, begin) of a component is kept, the others are removals. What a
-    single document repeats within itself alone is no repeat across documents and is left alone.
-    Neighbouring repeated paragraphs of a document are one passage if they have LEAST_RUN words together;
-    shorter repeats (a common line) are left alone.
+    Two kinds of places are compared. Natural paragraphs (lines, and blocks between blank lines, of LEAST_RUN
+    words) meet by MinHash banding: paragraphs of equal words are one class, every class of a band is compared
+    with the band's smallest class by exact Jaccard over five-word shingles, at 0.8; where some classes do not
+    link to it (common shingles brought them together), all classes that met there are joined exactly. Pieces
+    (see ``split_paragraphs``) find what repeats word for word inside other paragraphs: pieces of equal words
+    are one class. Classes and links form components; the smallest place (doc_id, text hash, begin) of a
+    component is kept, the others are removals. What a single document repeats within itself alone is no
+    repeat across documents and is left alone. Repeated places of a document that overlap or touch are one
+    passage if they have LEAST_RUN words together; shorter repeats (a common line) are left alone.
 
     Returns ``doc_id, begin_word, n_words, n_paragraphs, removed_words, kept_doc_ids``: the passage's
     place in words of the text, how many of its words are removals, and the documents that
@@ -176,14 +230,18 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     every = staged(_paragraphs(texts), "paragraphs")
     place = F.struct("doc_id", "text_key", "begin")
 
+    # one row per class; a piece that stands in one place only is nothing
+    classes = staged(every.groupBy("key").agg(F.min(F.struct(place.alias("lo"), "words")).alias("x"), F.max(place).alias("hi"),
+                                              *[F.first(b).alias(b) for b in _BANDS])
+                     .where(F.col("b0").isNotNull() | (F.col("x.lo") != F.col("hi"))).select("key", "x.lo", "x.words", "hi", *_BANDS), "classes")
+
     # links between classes: the classes of a band meet its smallest one
-    low = every.select("key", F.posexplode(F.array(*[f"m{i}" for i in range(BANDS)])).alias("band", "m"))
-    low = low.select("key", F.xxhash64("band", "m").alias("band"))
+    low = classes.where("b0 is not null").select("key", F.explode(F.array(*_BANDS)).alias("band"))
     hubs = staged(low.groupBy("band").agg(F.min("key").alias("hub"), F.max("key").alias("last")).where("hub <> last").select("band", "hub"), "hubs")
     pairs = staged(low.join(hubs, "band").where("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct(), "band-pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    places = staged(every.join(ends, "key").groupBy("key").agg(F.min(F.struct(place, "words")).alias("x")).select(
-        "key", F.col("x.col1.doc_id").alias("doc"), F.col("x.col1.text_key").alias("doc_key"), F.col("x.col1.begin").alias("begin"), "x.words"), "places")
+    places = staged(classes.join(ends, "key").select(
+        "key", F.col("lo.doc_id").alias("doc"), F.col("lo.text_key").alias("doc_key"), F.col("lo.begin").alias("begin"), "words"), "places")
     sets = staged(_shingled(places, texts), "paragraph-sets")
     both = (pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
             .join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b"))
@@ -193,28 +251,30 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     roots = staged(components(links.union(beside)).withColumnRenamed("node", "key"), "paragraph-roots")
 
     # components found in two documents or more; sums are partial, so one passage in a third of all rows is no hot task
-    classes = every.groupBy("key").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
-    named = staged(classes.join(roots, "key", "left").where((F.col("lo") != F.col("hi")) | F.col("root").isNotNull())
-                   .select("key", "lo", "hi", F.coalesce("root", "key").alias("root")), "classes")
+    named = staged(classes.select("key", "lo", "hi").join(roots, "key", "left").where((F.col("lo") != F.col("hi")) | F.col("root").isNotNull())
+                   .select("key", "lo", "hi", F.coalesce("root", "key").alias("root")), "named-classes")
     kept = named.groupBy("root").agg(F.min("lo").alias("keep"), F.max("hi").alias("other")).where(
         F.struct("keep.doc_id", "keep.text_key") != F.struct("other.doc_id", "other.text_key"))
     repeated = staged(named.join(kept, "root").select("key", "keep"), "repeated")
     # each place once: rows that repeat an id and text in any number are one document
     found = every.select("doc_id", "text_key", "begin", "words", "key").join(repeated, "key").distinct()
 
-    # neighbouring repeated paragraphs of a document
-    doc = Window.partitionBy("doc_id", "text_key").orderBy("begin")
-    end = F.max(F.col("begin") + F.col("words")).over(doc.rowsBetween(Window.unboundedPreceding, -1))
-    found = found.withColumn("fresh", F.when(F.col("begin") <= end, 0).otherwise(1))
-    found = found.withColumn("run", F.sum("fresh").over(doc.rangeBetween(Window.unboundedPreceding, 0)))
-    own = place == F.col("keep")
-    once = found.select("doc_id", "text_key", "run", "begin", "words", "keep", own.alias("own")).distinct()
-    runs = once.groupBy("doc_id", "text_key", "run").agg(
-        F.min("begin").alias("begin_word"), F.sum("words").alias("n_words"), F.count("*").alias("n_paragraphs"),
-        F.sum(F.when(F.col("own"), 0).otherwise(F.col("words"))).alias("removed_words"),
-        F.array_sort(F.collect_set("keep.doc_id")).alias("kept_doc_ids"))
+    # repeated places of a document that overlap or touch, in order; words of several removals count once
+    doc = Window.partitionBy("doc_id", "text_key").orderBy("begin", "words")
+    before = doc.rowsBetween(Window.unboundedPreceding, -1)
+    own, end = place == F.col("keep"), F.col("begin") + F.col("words")
+    found = found.select("doc_id", "text_key", "begin", "words", "keep", end.alias("end"), own.alias("own"))
+    covered = F.max(F.when(~F.col("own"), F.col("end"))).over(before)
+    found = found.withColumns({
+        "fresh": F.when(F.col("begin") <= F.max("end").over(before), 0).otherwise(1),
+        "other": F.when((F.lag("begin").over(doc) == F.col("begin")) & (F.lag("words").over(doc) == F.col("words")), 0).otherwise(1),
+        "gone": F.when(F.col("own"), 0).otherwise(F.greatest(F.lit(0), F.col("end") - F.greatest("begin", F.coalesce(covered, F.lit(0)))))})
+    found = found.withColumn("run", F.sum("fresh").over(doc.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = found.groupBy("doc_id", "text_key", "run").agg(
+        F.min("begin").alias("begin_word"), (F.max("end") - F.min("begin")).alias("n_words"), F.sum("other").alias("n_paragraphs"),
+        F.sum("gone").alias("removed_words"), F.array_sort(F.collect_set("keep.doc_id")).alias("kept_doc_ids"))
     out = staged(runs.where(F.col("n_words") >= LEAST_RUN).select(
         "doc_id", "begin_word", "n_words", "n_paragraphs", "removed_words", "kept_doc_ids"), "passages")
-    for t in (every, hubs, pairs, places, sets, links, beside, roots, named, repeated):
+    for t in (every, classes, hubs, pairs, places, sets, links, beside, roots, named, repeated):
         drop_staged(t)
     return out
