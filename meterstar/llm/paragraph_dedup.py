@@ -30,7 +30,8 @@ def bands(similarity: float, recall: float, rows: int = 1) -> int:
 
 
 BANDS = bands(SIMILARITY[0] / SIMILARITY[1], RECALL, ROWS)
-_SEEDS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
+_SEEDS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
+BLOCK = 1 << 16         # words of neighbouring documents that are worked through at once
 _POWERS = np.cumprod(np.full(MOST_WORDS, 0x9E3779B97F4A7C15, np.uint64))
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _BACK = np.uint64(pow(int(_BASE), -1, 2**64))  # undoes a factor _BASE
@@ -42,25 +43,32 @@ def _lines(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes([w for line in lines for w in line]), np.array([len(line) for line in lines])
 
 
-def _pieces(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def _pieces(h: np.ndarray, sizes: np.ndarray, doc_ends: np.ndarray) -> np.ndarray:
+    """Where pieces begin in the words of several documents, one after another; no cut looks beyond its document."""
     n = len(h)
     if n == 0:
         return np.zeros(0, np.int64)
     ends = np.cumsum(sizes)
     long = sizes >= LONG_LINE
-    forced = np.unique(np.concatenate([[0, n], ends[long], (ends - sizes)[long]]))
+    forced = np.unique(np.concatenate([[0, n], doc_ends, ends[long], (ends - sizes)[long]]))
     inner = np.zeros(0, np.int64)
-    if n > 1:
+    if n > 2 * CUT_REACH:
         pair = mixed(h[:-1] * np.uint64(3) + h[1:])
-        around = np.pad(pair, CUT_REACH, constant_values=np.uint64(2**64 - 1))
-        inner = np.flatnonzero(np.lib.stride_tricks.sliding_window_view(around, 2 * CUT_REACH + 1).argmin(axis=1) == CUT_REACH)
+        pair[doc_ends[(doc_ends > 0) & (doc_ends < n)] - 1] = np.uint64(2**64 - 1)
+        pair = np.append(pair, np.full(CUT_REACH, np.uint64(2**64 - 1)))
+        two = np.minimum(pair[:-1], pair[1:])
+        four = np.minimum(two[:-2], two[2:])
+        six = np.minimum(four[:-2], four[2:])  # the smallest of CUT_REACH pairs from each on
+        mid = pair[CUT_REACH: len(six) - 1]
+        inner = np.flatnonzero((mid < six[: len(mid)]) & (mid <= six[CUT_REACH + 1: CUT_REACH + 1 + len(mid)])) + CUT_REACH
         # the few words beside an end of a long line stay with their neighbours
         after = np.searchsorted(forced, inner, "right")
-        inner = inner[(inner - forced[after - 1] >= LEAST_WORDS) & (forced[np.minimum(after, len(forced) - 1)] - inner >= LEAST_WORDS)]
-    at = np.union1d(forced[:-1], inner)
+        inner = inner[(inner - forced[after - 1] >= LEAST_WORDS) & (forced[after] - inner > LEAST_WORDS)]
+    at = np.sort(np.concatenate([forced[:-1], inner]))
     gaps = np.diff(np.append(at, n))
-    if gaps.max() > MOST_WORDS:
-        at = np.concatenate([np.arange(a, a + g, MOST_WORDS) for a, g in zip(at, gaps)])
+    wide = np.flatnonzero(gaps > MOST_WORDS)
+    if len(wide):
+        at = np.sort(np.concatenate([at, *[np.arange(at[i] + MOST_WORDS, at[i] + gaps[i], MOST_WORDS) for i in wide]]))
     return at
 
 
@@ -72,7 +80,7 @@ def split_paragraphs(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     other paragraphs.
     """
     h, sizes = _lines(text)
-    return h, _pieces(h, sizes)
+    return h, _pieces(h, sizes, np.array([len(h)]))
 
 
 def natural_paragraphs(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,9 +115,9 @@ def paragraph_keys(h: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[n
     # a sum of words times powers, moved to the same start for every paragraph
     total = np.append(np.uint64(0), np.cumsum(h * np.cumprod(np.append(np.uint64(1), np.full(len(h) - 1, _BASE)))))
     key = (total[end] - total[begin]) * np.cumprod(np.append(np.uint64(1), np.full(int(begin.max()), _BACK)))[begin]
-    s = shingle_hashes(h, SHINGLE)
+    s = np.append(shingle_hashes(h, SHINGLE), np.uint64(0))  # one more, so that every span ends within
     span = np.stack([begin, end - SHINGLE + 1], axis=1).ravel()
-    low = [np.minimum.reduceat(np.append(mixed(s ^ seed), np.uint64(2**64 - 1)), span)[::2] for seed in _SEEDS]
+    low = [np.minimum.reduceat(s * seed, span)[::2] for seed in _SEEDS]  # an odd factor orders spread hashes anew
     band = []
     for i in range(BANDS):
         x = np.full(len(begin), i + 1, np.uint64)
@@ -123,26 +131,31 @@ def _paragraphs(texts: DataFrame) -> DataFrame:
     """One row per piece and natural paragraph: doc_id, text_key, begin, words, key and its bands (null for pieces)."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, begin, words, key, band = [], [], [], [], []
+            first, some, n = 0, [], 0
             for i, text in enumerate(batch.column("text").to_pylist()):
-                h, sizes = _lines(text)
-                one, (b, e) = piece_keys(h, _pieces(h, sizes)), natural_paragraphs(sizes)
-                k, low = paragraph_keys(h, b, e)
-                row.append(np.full(len(one[0]) + len(b), i))
-                begin += [one[0], b]
-                words += [one[1], e - b]
-                key += [one[2], k]
-                band += [np.zeros((len(one[0]), BANDS), np.uint64), low]
-            if not row:
-                continue
-            at = pa.array(np.concatenate(row))
-            piece = np.concatenate([np.full(len(x), j % 2 == 0) for j, x in enumerate(key)])
-            band = np.concatenate(band)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(at), batch.column("text_key").take(at), pa.array(np.concatenate(begin).astype(np.int64)),
-                 pa.array(np.concatenate(words).astype(np.int64)), pa.array(np.concatenate(key).view(np.int64)),
-                 *[pa.array(np.ascontiguousarray(band[:, i]).view(np.int64), mask=piece) for i in range(BANDS)]],
-                ["doc_id", "text_key", "begin", "words", "key", *_BANDS])
+                some.append(_lines(text))
+                n += len(some[-1][0])
+                if n >= BLOCK or i + 1 == batch.num_rows:
+                    yield keyed(batch.slice(first, len(some)), some)
+                    first, some, n = i + 1, [], 0
+
+    def keyed(docs: pa.RecordBatch, lines: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        h = np.concatenate([x for x, _ in lines])
+        doc_ends = np.cumsum([len(x) for x, _ in lines])
+        starts = doc_ends - [len(x) for x, _ in lines]
+        begin, words, key = piece_keys(h, _pieces(h, np.concatenate([x for _, x in lines]), doc_ends))
+        natural = [natural_paragraphs(x) for _, x in lines]
+        b, e = (np.concatenate([x[j] + at for x, at in zip(natural, starts)]) for j in (0, 1))
+        k, band = paragraph_keys(h, b, e)
+        place = np.concatenate([begin, b]).astype(np.int64)
+        doc = np.searchsorted(doc_ends, place, "right")
+        piece, at = np.arange(len(place)) < len(begin), pa.array(doc)
+        band = np.concatenate([np.zeros((len(begin), BANDS), np.uint64), band])
+        return pa.RecordBatch.from_arrays(
+            [docs.column("doc_id").take(at), docs.column("text_key").take(at), pa.array(place - starts[doc]),
+             pa.array(np.concatenate([words, e - b]).astype(np.int64)), pa.array(np.concatenate([key, k]).view(np.int64)),
+             *[pa.array(np.ascontiguousarray(band[:, i]).view(np.int64), mask=piece) for i in range(BANDS)]],
+            ["doc_id", "text_key", "begin", "words", "key", *_BANDS])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     return texts.mapInArrow(cut, f"doc_id {kind}, text_key long, begin long, words long, key long, " + ", ".join(f"{b} long" for b in _BANDS))

@@ -147,3 +147,13 @@ def test_few_words_beside_long_lines_stay_with_their_neighbours():
         h, at = P.split_paragraphs(f"{prose(i, 24, 50_000)}\n{prose(300 + i, 70, 50_000)}\n{prose(600 + i, 20, 50_000)}")
         sizes = [b - a for a, b in zip(at, [*at[1:], len(h)])]
         assert {24, 94} <= set(at.tolist()) and min(sizes) >= P.LEAST_WORDS
+
+
+def test_documents_are_cut_alike_alone_and_in_blocks():
+    texts = [prose(i, 7 * i % 150, 50_000).replace(" ", "\n", i % 4) for i in range(60)] + ["", "same " * 90, f"{prose(1, 25)}\n\nab"]
+    lines = [P._lines(t) for t in texts]
+    sizes = np.array([len(h) for h, _ in lines])
+    ends = np.cumsum(sizes)
+    got = P._pieces(np.concatenate([h for h, _ in lines]), np.concatenate([s for _, s in lines]), ends)
+    want = [P.split_paragraphs(t)[1] + e - n for t, e, n in zip(texts, ends, sizes)]
+    assert got.tolist() == np.concatenate(want).tolist()
