@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterstar.functions.expr import TS_TEXT
@@ -30,17 +30,22 @@ SESSION_GAP = "5 minutes"
 DISTANCE_OVER = 5
 
 
+def _ride(**instead: Column) -> list[Column]:
+    """The fields of a trip event from an event row; ``instead`` replaces some."""
+    fields = {
+        "PULocationID": F.col("user_id").cast("int"),
+        "DOLocationID": (F.col("event_id") % 265).cast("int"),
+        "passenger_count": F.lit(1),
+        "trip_distance": F.col("value"),
+        "tip_amount": F.col("value"),
+        "total_amount": F.col("value"),
+        "lpep_pickup_datetime": F.date_format("ts", TS_TEXT),
+        "lpep_dropoff_datetime": F.date_format(F.col("ts") + F.expr("INTERVAL 10 MINUTES"), TS_TEXT)}
+    return [c.alias(name) for name, c in (fields | instead).items()]
+
+
 def trip_events_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = D.events(spark, sf_dir)
-    return e.select(
-        F.col("user_id").cast("int").alias("PULocationID"),
-        (F.col("event_id") % 265).cast("int").alias("DOLocationID"),
-        F.lit(1).alias("passenger_count"),
-        F.col("value").alias("trip_distance"),
-        F.col("value").alias("tip_amount"),
-        F.col("value").alias("total_amount"),
-        F.date_format("ts", TS_TEXT).alias("lpep_pickup_datetime"),
-        F.date_format(F.col("ts") + F.expr("INTERVAL 10 MINUTES"), TS_TEXT).alias("lpep_dropoff_datetime"))
+    return D.events(spark, sf_dir).select(*_ride())
 
 
 def trip_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,19 +176,14 @@ CLOSING_TIME, CLOSING_ZONE = "9999-01-01 00:00:00", -1   # an event behind all o
 def landed_topic(spark: SparkSession, sf_dir: str, files: int, close: bool = False) -> str:
     """The trip topic as message files (SNK-18), oldest events first; ``close`` adds the closing event."""
     path = scratch_path(spark, "topics", f"trips-{uuid.uuid4().hex}")
-    rides = trip_events_frame(spark, sf_dir)
-    _publish(rides, path, files)
+    events = D.events(spark, sf_dir).select("event_id", "user_id", "value", "ts")
+    S.publish_in_order(events, "ts", path, files, value=F.to_json(F.struct(*_ride())))
     if close:
-        last = rides.limit(1).withColumns({"PULocationID": F.lit(CLOSING_ZONE), "lpep_pickup_datetime": F.lit(CLOSING_TIME)})
-        _publish(last, path, 1)
+        last = _ride(PULocationID=F.lit(CLOSING_ZONE), lpep_pickup_datetime=F.lit(CLOSING_TIME))
+        S.publish_in_order(events.limit(1), "ts", path, 1, value=F.to_json(F.struct(*last)))
     return path
 
 
-def _publish(rides: DataFrame, path: str, files: int) -> None:
-    value = F.to_json(F.struct(*W.TRIP_EVENT_FIELDS)).alias("value")
-    S.publish_in_order(rides.select(value, F.col("lpep_pickup_datetime").alias("at")), "at", path, files)
-
-
 def _files(spark: SparkSession) -> int:
     """Message files of a topic: as many as a shuffle has partitions, one a micro-batch at least."""
     return max(MICRO_BATCHES, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -206,7 +206,8 @@ def sessions_sink(spark: SparkSession, sf_dir: str) -> load.TableFolder:
     table, checkpoint = _sink(spark, "sessions", "session_day")
     S.run_bounded(zone_sessions(_stream(spark, topic, -(-files // MICRO_BATCHES))), checkpoint, "append",
                   sink=S.upsert_sink(table, ["window_start", "pulocationid"],
-                                     derive={"session_day": F.to_date("window_start")}, moves=False))
+                                     derive={"session_day": F.to_date("window_start")}, moves=False),
+                  parts=S.state_parts(spark, S.folder_bytes(spark, topic)))
     return table
 
 
@@ -233,7 +234,8 @@ def stream_hourly_tips(spark, sf_dir):
     topic = landed_topic(spark, sf_dir, MICRO_BATCHES)
     table, checkpoint = _sink(spark, "tips", "window_day")
     S.run_bounded(hourly_tips(_stream(spark, topic, 1)), checkpoint, "update",
-                  sink=S.upsert_sink(table, ["window_start"], derive={"window_day": F.to_date("window_start")}, moves=False))
+                  sink=S.upsert_sink(table, ["window_start"], derive={"window_day": F.to_date("window_start")}, moves=False),
+                  parts=S.state_parts(spark, S.folder_bytes(spark, topic)))
     return table.read().select("window_start", "window_end", "total_tip_amount")
 
 

@@ -12,11 +12,12 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from meterstar.operators import load
+from meterstar.session import drop_materialized, materialized
 
 MESSAGE_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 
@@ -72,13 +73,19 @@ def upsert_sink(table: load.TableFolder, key: Sequence[str], derive: dict | None
 
     ``derive`` adds columns before the merge, typically the table's partition column (e.g.
     ``{"window_day": F.to_date("window_start")}``): a micro-batch then rewrites only the days it
-    touches, and reads only those with ``moves=False`` (the derived column depends on the key alone). The merge
-    stages the micro-batch once, so its plan runs once.
+    touches, and reads only those with ``moves=False`` (the derived column depends on the key alone). The
+    micro-batch is staged once, so its plan (which reads and commits the state) runs once: by the merge, and here
+    for the batch that begins a table with folders, as ranging its rows over them reads it twice.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         for name, col in (derive or {}).items():
             batch = batch.withColumn(name, col)
+        begins = table.partition_by and not table.exists()
+        if begins:
+            batch = materialized(batch, "batch")
         load.materialize(batch.sparkSession, batch, "merge", table, key=key, moves=moves)
+        if begins:
+            drop_materialized(batch)
     return write
 
 
@@ -102,13 +109,36 @@ def run_unbounded(df: DataFrame, checkpoint: str, mode: str, every: str = "10 se
     return w.foreachBatch(sink).start() if sink is not None else w.format("parquet").start(path)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes that lie in a folder, on whatever file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
+def state_parts(spark: SparkSession, topic_bytes: int, part_mb: int = 64) -> int:
+    """Partitions for the state of a query over a topic: one per ``part_mb`` of messages, one per core at least.
+
+    Every micro-batch opens and commits each of them, however few rows it holds.
+    """
+    return max(spark.sparkContext.defaultParallelism, -(-topic_bytes // (part_mb << 20)))
+
+
 def run_bounded(df: DataFrame, checkpoint: str, mode: str, sink: Callable | None = None,
-                path: str | None = None, name: str | None = None) -> StreamingQuery:
+                path: str | None = None, name: str | None = None, parts: int | None = None) -> StreamingQuery:
     """STR-9/STR-10: process everything available, then stop (``trigger(availableNow=True)``).
 
     In ``append`` mode a window comes out once the watermark has passed it; the last ones need a closing
-    event behind them (``update`` with a keyed sink does not).
+    event behind them (``update`` with a keyed sink does not). ``parts`` is the number of state partitions of a
+    new query (else as many as a shuffle has); one that goes on from its checkpoint keeps its own.
     """
+    if parts:
+        key, conf = "spark.sql.shuffle.partitions", df.sparkSession.conf
+        before = conf.get(key)
+        conf.set(key, parts)   # a query takes its settings along when it starts
+        try:
+            return run_bounded(df, checkpoint, mode, sink, path, name)
+        finally:
+            conf.set(key, before)
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if name:
         w = w.queryName(name)
@@ -120,9 +150,12 @@ def run_bounded(df: DataFrame, checkpoint: str, mode: str, sink: Callable | None
     return q
 
 
-def publish_in_order(messages: DataFrame, time_col: str, path: str, files: int | None = None) -> None:
+def publish_in_order(messages: DataFrame, time_col: str, path: str, files: int | None = None,
+                     value: Column | None = None) -> None:
     """SNK-18 for a replay: message files that a stream reads in the order of ``time_col`` (which is not published).
 
+    ``value`` gives the text of a message from the columns of ``messages``; it is made where the files are written,
+    so that neither the sample for the ranges nor the shuffle carries it.
     Messages are range-partitioned by time, and the files' times follow their names, as a file stream
     takes the oldest files first. Lateness is judged between micro-batches, so however many files one
     takes, no message is late. Files published later come after those that are there.
@@ -132,7 +165,9 @@ def publish_in_order(messages: DataFrame, time_col: str, path: str, files: int |
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     listed = lambda: {f.getPath().getName(): f for f in fs.listStatus(folder)} if fs.exists(folder) else {}
     before = listed()
-    messages.repartitionByRange(n, time_col).drop(time_col).write.mode("append").json(path)
+    dealt = messages.repartitionByRange(n, time_col)
+    dealt = dealt.drop(time_col) if value is None else dealt.select(value.alias("value"))
+    dealt.write.mode("append").json(path)
     new = sorted(name for name in listed() if name not in before and name.startswith("part-"))
     start = max([int(time.time() * 1000) - 10 * len(new), *(f.getModificationTime() for f in before.values())])
     for k, name in enumerate(new, 1):
